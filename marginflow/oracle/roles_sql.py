@@ -82,7 +82,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
 _role("cost_sheet", ("sold_sku_months",), f"""
 SELECT CAST(partkey AS VARCHAR) AS sku, mes_comercial,
-       {sround('p_retailprice * (0.40 + 0.02 * CAST(substr(mes_comercial, 6, 2) AS INTEGER))')} AS costo_teorico
+       {sround('p_retailprice * (0.40::DOUBLE + 0.02::DOUBLE * CAST(substr(mes_comercial, 6, 2) AS INTEGER))')} AS costo_teorico
 FROM sold_sku_months JOIN part ON partkey = p_partkey WHERE p_size > 2""")
 
 _role("offer_sheet", ("cost_sheet",), """
