@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginflow.operators.aggregates import exact_sum
+
 
 def share(amount: Column, weight: Column, total: Column) -> Column:
     """``amount · weight / total``; 0 when the total is null or not positive."""
@@ -24,7 +26,7 @@ def with_group_total(df: DataFrame, keys: Sequence[str], value: str | Column,
     """Add Σ value over the row's group.  Rows whose key is null get a null
     total unless ``null_keys_group`` (then nulls form one group)."""
     v = F.col(value) if isinstance(value, str) else value
-    tot = df.groupBy(*keys).agg(F.sum(v).alias(out))
+    tot = df.groupBy(*keys).agg(exact_sum(v).alias(out))
     if null_keys_group:
         cond = [df[k].eqNullSafe(tot[k]) for k in keys]
         joined = df.join(tot, cond, "left")

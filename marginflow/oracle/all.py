@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from marginflow.oracle import q_fact
+from marginflow.oracle import q_fact, q_plans
 
 ORACLE: dict[str, str] = {}
-for _m in (q_fact,):
+for _m in (q_fact, q_plans):
     ORACLE.update(_m.ORACLE)

@@ -33,14 +33,14 @@ CTE["fact_wholesale"] = f"""SELECT 'wholesale' AS channel, {Q.business_unit('emp
   (price - ch.costo_real) * {Q.nz('cantidad')} AS margin, a.proveedor AS supplier, a.marca AS brand,
   cliente_nombre AS customer, {Q.code_label('vendedor', S.SELLER_LABELS, 'Seller')} AS seller,
   {Q.document_number('comprobante_tipo', 'comprobante_codigo', 'comprobante_numero')} AS document,
-  {SR('1.0 - ' + Q.discount_factor(*_DISC) + ') * (100.0')} AS offer_pct
+  {SR('1.0 - ' + Q.discount_factor(*_DISC) + ') * (100.0')} AS offer_pct, linea_id AS line_id
 FROM ws_lines LEFT JOIN cost_history ch ON ch.sku = articulo_id AND ch.mes_comercial = cm
 LEFT JOIN arts a ON a.sku = trim(articulo_id)"""
 
 CTE["web_valid"] = f"""SELECT *, {Q.nz(Q.try_double('precio'))} AS _price, {Q.nz('cantidad')} AS _qty,
   {Q.nz(Q.try_double('envio_costo_tienda'))} AS _sf
 FROM web_order_items WHERE estado_pago = 'paid' AND estado <> 'cancelled' AND fecha >= {TEXT_FLOOR}"""
-CTE["web_tot"] = "SELECT pedido_id, sum(_price * _qty) AS _tot FROM web_valid GROUP BY pedido_id"
+CTE["web_tot"] = f"SELECT pedido_id, {Q.xsum('_price * _qty')} AS _tot FROM web_valid GROUP BY pedido_id"
 CTE["web_lines"] = f"""SELECT *, {CM('d')} AS cm FROM (
   SELECT v.*, {Q.share('(_sf / 1.21)', '(_price * _qty)', 't._tot')} AS _freight, {LD('fecha')} AS d
   FROM web_valid v LEFT JOIN web_tot t ON v.pedido_id = t.pedido_id) WHERE d >= {FLOOR}"""
@@ -80,7 +80,7 @@ FROM market_order_items i JOIN mk_orders o ON i.order_id = o.id
 LEFT JOIN o2p p ON CAST(p.order_id AS BIGINT) = o.id
 LEFT JOIN cost_history ch ON ch.sku = i.seller_sku AND ch.mes_comercial = o.cm
 LEFT JOIN arts a ON a.sku = trim(i.seller_sku)"""
-CTE["fact_sales"] = """SELECT * FROM fact_wholesale UNION ALL BY NAME SELECT * FROM fact_webstore
+CTE["fact_sales"] = """SELECT * EXCLUDE (line_id) FROM fact_wholesale UNION ALL BY NAME SELECT * FROM fact_webstore
 UNION ALL BY NAME SELECT * FROM fact_marketplace"""
 
 _DEPS = {
@@ -124,7 +124,7 @@ def fact_sql(body: str, *ctes: str, roles: tuple[str, ...] = (), extra: dict | N
 
 ORACLE = {
     "cost_history": fact_sql("SELECT * FROM cost_history", "cost_history"),
-    "fact_wholesale": fact_sql("SELECT * FROM fact_wholesale", "fact_wholesale"),
+    "fact_wholesale": fact_sql("SELECT * EXCLUDE (line_id) FROM fact_wholesale", "fact_wholesale"),
     "fact_webstore": fact_sql("SELECT * FROM fact_webstore", "fact_webstore"),
     "fact_marketplace": fact_sql("SELECT * FROM fact_marketplace", "fact_marketplace"),
     "fact_sales": fact_sql("SELECT * FROM fact_sales", "fact_sales"),

@@ -35,6 +35,9 @@ def sround(x: str, n: int = 2) -> str:
 
 GROSS_UNIT_PRICE = sround("l_extendedprice / l_quantity * (1.0 + l_tax)")
 
+LINE_ID = ("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_quantity) AS BIGINT), "
+           "CAST(round(l_extendedprice * 100) AS BIGINT))")
+
 ROLES: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
@@ -60,7 +63,7 @@ SELECT CASE c_mktsegment WHEN 'AUTOMOBILE' THEN '0001' WHEN 'BUILDING' THEN '000
        CASE WHEN l_linenumber % 4 = 0 THEN '' ELSE lpad(CAST(l_suppkey % 10 AS VARCHAR), 4, '0') END
            AS comprobante_codigo,
        CAST(o_orderkey AS VARCHAR) AS comprobante_numero,
-       o_custkey AS cliente_id, c_name AS cliente_nombre, l_linenumber AS renglon
+       o_custkey AS cliente_id, c_name AS cliente_nombre, l_linenumber AS renglon, {LINE_ID} AS linea_id
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""")
 

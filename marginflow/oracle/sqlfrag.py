@@ -51,3 +51,12 @@ def share(amount: str, weight: str, total: str) -> str:
 
 def try_double(x: str) -> str:
     return f"TRY_CAST({x} AS DOUBLE)"
+
+
+def xsum(x: str) -> str:
+    """Exact sum (decimal) returned as double — mirrors ``exact_sum``."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
+
+
+def xavg(x: str) -> str:
+    return f"({xsum(x)} / count({x}))"

@@ -84,10 +84,10 @@ _FACT_TYPES = {"quantity": "double", "unit_price": "double", "net_price": "doubl
                "offer_pct": "double", "date": "date"}
 
 
-def _finish(df: DataFrame) -> DataFrame:
+def _finish(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
     return df.select(*[
         (F.col(c) if c in df.columns else F.lit(None)).cast(_FACT_TYPES.get(c, "string")).alias(c)
-        for c in FACT_COLUMNS])
+        for c in FACT_COLUMNS], *(extra or []))
 
 
 # ---------------------------------------------------------------------------
@@ -95,7 +95,7 @@ def _finish(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def fact_wholesale(sales: DataFrame, articles: DataFrame, costs: DataFrame,
-                   start: dt.date = HISTORY_FLOOR) -> DataFrame:
+                   start: dt.date = HISTORY_FLOOR, with_line_id: bool = False) -> DataFrame:
     """ERP lines: unit/fiscal CASE, chained discounts (price is already net of
     tax), cost by commercial month, margin ``(net − cost)·qty``."""
     s = sales.where(F.col("empresa").isin(*S.COMPANY_CODES))
@@ -120,13 +120,14 @@ def fact_wholesale(sales: DataFrame, articles: DataFrame, costs: DataFrame,
         S.code_label("vendedor", S.SELLER_LABELS, "Seller").alias("seller"),
         S.document_number("comprobante_tipo", "comprobante_codigo", "comprobante_numero").alias("document"),
         S.combined_discount_pct("descuento", "descuento_global", "descuento_financiero").alias("offer_pct"),
+        F.col("linea_id").alias("line_id"),
     )
     j = _with_lookups(lines, costs, articles)
     out = (j.withColumn("line_total", F.col("quantity") * S.tax_gross("unit_price", "tax_pct"))
             .withColumn("margin", (F.col("net_price") - F.col("unit_cost")) * F.col("quantity"))
             .withColumnRenamed("proveedor", "supplier").withColumnRenamed("marca", "brand")
             .withColumn("product", F.col("descripcion")))
-    return _finish(out)
+    return _finish(out, ["line_id"] if with_line_id else [])
 
 
 def fact_webstore(items: DataFrame, articles: DataFrame, costs: DataFrame,

@@ -75,3 +75,76 @@ def q_package_totals(spark, sf):
 @query("order_to_package")
 def q_order_to_package(spark, sf):
     return FCT.order_to_package(q_package_join(spark, sf))
+
+
+# --- §2.10 composite: freight allocation, customer segments ---------------------
+
+from marginflow.plans import freight as FR  # noqa: E402
+from marginflow.plans import segments as SEG  # noqa: E402
+from marginflow.functions import scalars as S  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def wholesale_fact_with_ids(spark, sf):
+    return FCT.fact_wholesale(R.erp_sales(spark, sf), R.erp_articles(spark, sf), costs(spark, sf),
+                              with_line_id=True)
+
+
+def freight_inputs(spark, sf):
+    return (wholesale_fact_with_ids(spark, sf), R.preparations(spark, sf), R.erp_articles(spark, sf),
+            R.freight_invoices(spark, sf))
+
+
+@query("freight_allocation")
+def q_freight_allocation(spark, sf):
+    return FR.freight_allocation(*freight_inputs(spark, sf))
+
+
+@query("fanout_safe_join")
+def q_fanout_safe_join(spark, sf):
+    fact = wholesale_fact_with_ids(spark, sf)
+    lines = fact.where(F.col("unit").isin(S.UNIT_A, S.UNIT_B) & F.col("order_id").isNotNull())
+    return FR.fanout_safe_join(lines.select("line_id", "order_id", "sku"), R.preparations(spark, sf))
+
+
+@query("freight_key")
+def q_freight_key(spark, sf):
+    return FR.freight_lines(*freight_inputs(spark, sf)).select(
+        "line_id", "preparacion_id", "transporte", "unit", "freight_key")
+
+
+@query("all_or_nothing_regroup")
+def q_all_or_nothing_regroup(spark, sf):
+    fl = FR.freight_lines(*freight_inputs(spark, sf)).withColumn(
+        "_fb", S.nz("net_price") * S.nz("quantity") * FR.ESTIMATE_RATE)
+    out = FR.all_or_nothing_regroup(fl, ["order_id", "sku"], "line_id", "is_real", "real_part",
+                                    "_fb", "freight_key")
+    return out.withColumn("value", F.round("value", 2))
+
+
+@query("daily_ticket")
+def q_daily_ticket(spark, sf):
+    return SEG.daily_ticket(R.erp_sales(spark, sf))
+
+
+@query("company_flags")
+def q_company_flags(spark, sf):
+    return SEG.company_flags(R.erp_sales(spark, sf))
+
+
+@query("customer_segments")
+def q_customer_segments(spark, sf):
+    return SEG.customer_segments(R.erp_customers(spark, sf), R.erp_sales(spark, sf))
+
+
+QUERIES["segment_join"] = q_customer_segments
+
+
+@query("customer_tier")
+def q_customer_tier(spark, sf):
+    return q_customer_segments(spark, sf).select("customer_id", "tier")
+
+
+@query("tier_distribution")
+def q_tier_distribution(spark, sf):
+    return SEG.tier_distribution(q_customer_segments(spark, sf))

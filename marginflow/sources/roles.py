@@ -92,9 +92,18 @@ def erp_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("cliente_id"),
         F.col("c_name").alias("cliente_nombre"),
         F.col("l_linenumber").alias("renglon"),
+        line_id().alias("linea_id"),
     )
 
 
+def line_id():
+    """Unique text id of a landed line (integers only, so every engine
+    renders it the same way)."""
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                       F.round("l_quantity").cast("bigint"),
+                       F.round(F.col("l_extendedprice") * 100).cast("bigint"))
+
+
 def erp_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article catalog: tax %, supplier, brand, litres per unit.  Some parts
     are missing on purpose (default tax, null attributes)."""
