@@ -148,3 +148,12 @@ def q_customer_tier(spark, sf):
 @query("tier_distribution")
 def q_tier_distribution(spark, sf):
     return SEG.tier_distribution(q_customer_segments(spark, sf))
+
+
+# --- remaining sections live in their own modules; importing registers them --
+
+def _load_all():
+    from marginflow import queries_intervals, queries_ops, queries_stream  # noqa: F401
+
+
+_load_all()
