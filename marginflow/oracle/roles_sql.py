@@ -83,10 +83,11 @@ _role("sold_sku_months", (), f"""
 SELECT DISTINCT l_partkey AS partkey, {commercial_month_sql('o_orderdate')} AS mes_comercial
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 
-_role("cost_sheet", ("sold_sku_months",), f"""
-SELECT CAST(partkey AS VARCHAR) AS sku, mes_comercial,
-       {sround('p_retailprice * (0.40::DOUBLE + 0.02::DOUBLE * CAST(substr(mes_comercial, 6, 2) AS INTEGER))')} AS costo_teorico
-FROM sold_sku_months JOIN part ON partkey = p_partkey WHERE p_size > 2""")
+_role("cost_sheet", (), f"""
+SELECT CAST(p_partkey AS VARCHAR) AS sku, strftime(m, '%Y-%m') AS mes_comercial,
+       {sround('p_retailprice * (0.40::DOUBLE + 0.02::DOUBLE * CAST(strftime(m, \'%m\') AS INTEGER))')} AS costo_teorico
+FROM part, unnest(generate_series(DATE '1994-12-01', DATE '2001-08-01', INTERVAL 1 MONTH)) AS t(m)
+WHERE p_size > 2""")
 
 _role("offer_sheet", ("cost_sheet",), """
 SELECT sku, mes_comercial, CAST(CAST(sku AS BIGINT) % 4 AS DOUBLE) * 5.0 AS oferta_pct, 1 AS _seq
@@ -188,4 +189,7 @@ def with_roles(body: str, *names: str, extra: dict[str, str] | None = None) -> s
         ctes.append(f"{k} AS ({v}\n)")
     if not ctes:
         return body
+    b = body.lstrip()
+    if b[:5].upper() == "WITH ":
+        return "WITH " + ",\n".join(ctes) + ",\n" + b[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body

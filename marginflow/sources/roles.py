@@ -141,16 +141,22 @@ def sold_sku_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             .distinct())
 
 
+# Commercial months covered by the landed orders (fixed range of the data).
+COST_MONTHS = ("1994-12-01", "2001-08-01")
+
+
 def cost_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly theoretical cost sheet (sku, month, cost).  Parts with
+    """Monthly theoretical cost sheet (sku, month, cost): one row per part
+    and commercial month, generated per part row (no join).  Parts with
     ``p_size <= 2`` have no cost (their margin stays null)."""
     p = read_table(spark, sf_dir, "part").where(F.col("p_size") > 2).select("p_partkey", "p_retailprice")
-    sm = sold_sku_months(spark, sf_dir)
+    months = F.sequence(F.to_date(F.lit(COST_MONTHS[0])), F.to_date(F.lit(COST_MONTHS[1])),
+                        F.expr("INTERVAL 1 MONTH"))
+    pm = (p.select("p_partkey", "p_retailprice", F.explode(months).alias("_m"))
+           .withColumn("mes_comercial", F.date_format("_m", "yyyy-MM")))
     month = F.substring("mes_comercial", 6, 2).cast("int")
-    return (sm.join(p, sm.partkey == p.p_partkey)
-            .select(F.col("partkey").cast("string").alias("sku"), "mes_comercial",
-                    F.round(F.col("p_retailprice") * (F.lit(0.40) + F.lit(0.02) * month), 2)
-                    .alias("costo_teorico")))
+    return pm.select(F.col("p_partkey").cast("string").alias("sku"), "mes_comercial",
+                     F.round(F.col("p_retailprice") * (F.lit(0.40) + F.lit(0.02) * month), 2).alias("costo_teorico"))
 
 
 def offer_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
