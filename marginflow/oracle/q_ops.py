@@ -283,3 +283,8 @@ ORACLE["find_value_in_row"] = with_roles("""SELECT id, column_name, value FROM (
   UNION ALL SELECT id, 'status', status FROM market_orders
   UNION ALL SELECT id, 'buyer_nickname', buyer_nickname FROM market_orders) WHERE contains(value, '1999-12-31')""",
                                          "market_orders")
+
+ORACLE["margin_by_month"] = fact_sql(f"""SELECT commercial_month, channel, count(*) AS lines,
+  {SR(XS('line_total'))} AS revenue, {SR(XS('margin'))} AS margin,
+  count(*) FILTER (WHERE margin IS NULL) AS lines_without_cost FROM fact_sales GROUP BY commercial_month, channel""",
+                                     "fact_sales")

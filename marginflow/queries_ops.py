@@ -607,3 +607,16 @@ def q_null_profile(spark, sf):
 def q_find_value_in_row(spark, sf):
     return QL.find_value_in_row(R.market_orders(spark, sf).select("id", "date_created", "status", "buyer_nickname"),
                                 "id", needle="1999-12-31")
+
+
+# --- flagship ------------------------------------------------------------------------
+
+@query("margin_by_month")
+def q_margin_by_month(spark, sf):
+    """Revenue and margin by commercial month and channel over the unified
+    fact; lines without a known cost are counted, not zero-filled."""
+    f = q_fact_sales(spark, sf)
+    return f.groupBy("commercial_month", "channel").agg(
+        F.count(F.lit(1)).alias("lines"), F.round(exact_sum("line_total"), 2).alias("revenue"),
+        F.round(exact_sum("margin"), 2).alias("margin"),
+        F.count_if(F.col("margin").isNull()).alias("lines_without_cost"))
