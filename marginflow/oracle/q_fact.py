@@ -58,7 +58,7 @@ CTE["pk_orders"] = """SELECT DISTINCT s.shipping_id, s.costo_envio, CAST(o.id AS
   coalesce(o.total_amount, 0.0) AS total_amount
 FROM market_shipments s JOIN market_orders o ON CAST(CAST(o.shipping_id AS BIGINT) AS VARCHAR) = s.shipping_id
 WHERE o.status IN ('paid')"""
-CTE["pk_tot"] = "SELECT shipping_id, sum(total_amount) AS package_total FROM pk_orders GROUP BY shipping_id"
+CTE["pk_tot"] = f"SELECT shipping_id, {Q.xsum('total_amount')} AS package_total FROM pk_orders GROUP BY shipping_id"
 CTE["o2p"] = """SELECT order_id, arg_max(costo_envio, shipping_id) AS costo_envio,
   arg_max(package_total, shipping_id) AS package_total
 FROM (SELECT p.order_id, p.shipping_id, p.costo_envio, t.package_total FROM pk_orders p

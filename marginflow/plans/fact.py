@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from marginflow.functions import scalars as S
 from marginflow.functions.time import commercial_month, local_date
 from marginflow.operators.allocate import allocate_proportional, share
-from marginflow.operators.dedupe import dedupe_keep_last, keep_one_per_key
+from marginflow.operators.aggregates import exact_sum
+from marginflow.operators.dedupe import keep_one_per_key
 
 CHANNEL_WHOLESALE = "wholesale"
 CHANNEL_WEBSTORE = "webstore"
@@ -48,15 +49,19 @@ def window_start(as_of: dt.date | None = None, window_days: int | None = None,
 def cost_history(costs: DataFrame, offers: DataFrame) -> DataFrame:
     """Real cost per (sku, commercial month) = theoretical × (1 − offer/100).
 
-    Offers are deduped per (sku, month) keeping the later sheet row; a
-    missing offer counts as 0; the result is unique on (sku, month)."""
-    off = dedupe_keep_last(offers.select("sku", "mes_comercial", "oferta_pct", "_seq"),
-                           ["sku", "mes_comercial"], ["_seq"]).drop("_seq")
-    j = costs.join(off, ["sku", "mes_comercial"], "left")
-    out = j.select("sku", "mes_comercial", "costo_teorico",
-                   S.nz("oferta_pct").alias("oferta_pct"),
-                   (F.col("costo_teorico") * (F.lit(1.0) - S.nz("oferta_pct") / 100.0)).alias("costo_real"))
-    return keep_one_per_key(out, ["sku", "mes_comercial"], [])
+    Both sheets are deduped per (sku, month) *before* the join with cheap
+    numeric aggregates (a later sheet row wins when the sheet carries a
+    ``_seq``; otherwise the highest cost, deterministically); a missing offer
+    counts as 0.  The join of two key-unique sides is key-unique, so no
+    dedupe of the (large) result is needed."""
+    keys = ["sku", "mes_comercial"]
+    pick = (F.max_by("costo_teorico", "_seq") if "_seq" in costs.columns else F.max("costo_teorico"))
+    c = costs.groupBy(*keys).agg(pick.alias("costo_teorico"))
+    off = offers.groupBy(*keys).agg(F.max_by("oferta_pct", "_seq").alias("oferta_pct"))
+    j = c.join(off, keys, "left")
+    return j.select("sku", "mes_comercial", "costo_teorico",
+                    S.nz("oferta_pct").alias("oferta_pct"),
+                    (F.col("costo_teorico") * (F.lit(1.0) - S.nz("oferta_pct") / 100.0)).alias("costo_real"))
 
 
 def article_lookup(articles: DataFrame) -> DataFrame:
@@ -67,98 +72,106 @@ def article_lookup(articles: DataFrame) -> DataFrame:
     return keep_one_per_key(a, ["sku"], [])
 
 
-def _with_lookups(lines: DataFrame, costs: DataFrame, articles: DataFrame) -> DataFrame:
-    c = costs.select(F.col("sku").alias("_csku"), F.col("mes_comercial").alias("_cmes"),
-                     F.col("costo_real").alias("unit_cost"))
-    a = article_lookup(articles).select(F.col("sku").alias("_asku"), "iva_pct", "proveedor", "marca",
-                                        "descripcion")
-    j = lines.join(c, (lines.sku == c._csku) & (lines.commercial_month == c._cmes), "left")
-    j = j.join(a, F.trim(j.sku) == a._asku, "left")
-    return (j.drop("_csku", "_cmes", "_asku")
-             .withColumn("tax_pct", F.coalesce(F.col("iva_pct"), F.lit(21.0))).drop("iva_pct"))
-
-
 _FACT_TYPES = {"quantity": "double", "unit_price": "double", "net_price": "double",
                "tax_pct": "double", "unit_cost": "double", "commission": "double",
                "freight": "double", "line_total": "double", "margin": "double",
                "offer_pct": "double", "date": "date"}
 
+# Columns every channel's line builder produces before pricing.
+LINE_COLUMNS = ["channel", "unit", "fiscal", "company", "order_id", "date", "commercial_month", "sku",
+                "title", "quantity", "unit_price", "commission", "_freight", "_line_total", "customer",
+                "seller", "document", "offer_pct", "line_id"]
+_LINE_TYPES = dict(_FACT_TYPES, _freight="double", _line_total="double")
+
+
+def _lines_schema(df: DataFrame) -> DataFrame:
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(_LINE_TYPES.get(c, "string")).alias(c)
+                       for c in LINE_COLUMNS])
+
 
-def _finish(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    return df.select(*[
-        (F.col(c) if c in df.columns else F.lit(None)).cast(_FACT_TYPES.get(c, "string")).alias(c)
-        for c in FACT_COLUMNS], *(extra or []))
+def price_lines(lines: DataFrame, costs: DataFrame, articles: DataFrame,
+                extra: list[str] | None = None) -> DataFrame:
+    """The single pricing step shared by all channels: one cost lookup on
+    (sku, commercial month), one article lookup on sku, then
+
+    * net price = list price for wholesale (already without tax), else
+      price / (1 + tax/100);
+    * line total = qty·price·(1 + tax/100) for wholesale, else qty·price;
+    * margin = (net − cost − commission)·qty − freight  (null when the cost
+      is unknown; commission and freight are 0 where a channel has none).
+    """
+    c = costs.select(F.col("sku").alias("_csku"), F.col("mes_comercial").alias("_cmes"),
+                     F.col("costo_real").alias("unit_cost"))
+    a = article_lookup(articles).select(F.col("sku").alias("_asku"), "iva_pct", "proveedor", "marca",
+                                        "descripcion")
+    j = lines.join(c, (lines.sku == c._csku) & (lines.commercial_month == c._cmes), "left")
+    j = j.join(a, F.trim(j.sku) == a._asku, "left")
+    tax = F.coalesce(F.col("iva_pct"), F.lit(21.0))
+    wholesale = F.col("channel") == CHANNEL_WHOLESALE
+    price, q = F.col("unit_price"), F.col("quantity")
+    net = F.when(wholesale, price).otherwise(S.tax_net(price, tax))
+    freight = S.nz("_freight")
+    out = j.select(
+        "*", tax.alias("tax_pct"), net.alias("net_price"),
+        F.when(wholesale, q * S.tax_gross(price, tax)).otherwise(F.col("_line_total")).alias("line_total"),
+        ((net - F.col("unit_cost") - F.col("commission")) * q - freight).alias("margin"),
+        F.when(wholesale, F.lit(None).cast("double")).otherwise(F.round(freight, 2)).alias("freight"),
+        F.col("proveedor").alias("supplier"), F.col("marca").alias("brand"),
+        F.when(F.col("channel") == CHANNEL_MARKETPLACE, F.col("title")).otherwise(F.col("descripcion"))
+         .alias("product"))
+    return out.select(*[F.col(c).cast(_FACT_TYPES.get(c, "string")).alias(c) for c in FACT_COLUMNS],
+                      *(extra or []))
 
 
 # ---------------------------------------------------------------------------
-# channels
+# channel line builders (everything a channel knows before the lookups)
 # ---------------------------------------------------------------------------
 
-def fact_wholesale(sales: DataFrame, articles: DataFrame, costs: DataFrame,
-                   start: dt.date = HISTORY_FLOOR, with_line_id: bool = False) -> DataFrame:
-    """ERP lines: unit/fiscal CASE, chained discounts (price is already net of
-    tax), cost by commercial month, margin ``(net − cost)·qty``."""
+def _text_floor(start: dt.date) -> str:
+    return (start - dt.timedelta(days=1)).isoformat()
+
+
+def wholesale_lines(sales: DataFrame, start: dt.date = HISTORY_FLOOR) -> DataFrame:
+    """ERP lines: unit/fiscal CASE, chained discounts (price already net of tax)."""
     s = sales.where(F.col("empresa").isin(*S.COMPANY_CODES))
     # sargable pre-filter on the raw text column, exact filter after parsing
-    s = s.where(F.col("fecha") >= F.lit((start - dt.timedelta(days=1)).isoformat()))
+    s = s.where(F.col("fecha") >= F.lit(_text_floor(start)))
     s = s.withColumn("date", local_date("fecha")).where(F.col("date") >= F.lit(start))
-    price = S.chained_discount("precio_lista", "descuento", "descuento_global", "descuento_financiero")
-    lines = s.select(
+    d = ("descuento", "descuento_global", "descuento_financiero")
+    return _lines_schema(s.select(
         F.lit(CHANNEL_WHOLESALE).alias("channel"),
         S.business_unit("empresa", "sucursal").alias("unit"),
         S.fiscal_flag("empresa").alias("fiscal"),
         S.code_label("empresa", S.COMPANY_LABELS, "Company").alias("company"),
-        F.col("pedido_id").alias("order_id"),
-        "date",
-        commercial_month("date").alias("commercial_month"),
-        F.col("articulo_id").alias("sku"),
-        S.nz("cantidad").alias("quantity"),
-        price.alias("unit_price"),
-        price.alias("net_price"),
-        F.lit(0.0).alias("commission"),
+        F.col("pedido_id").alias("order_id"), "date", commercial_month("date").alias("commercial_month"),
+        F.col("articulo_id").alias("sku"), S.nz("cantidad").alias("quantity"),
+        S.chained_discount("precio_lista", *d).alias("unit_price"), F.lit(0.0).alias("commission"),
         F.col("cliente_nombre").alias("customer"),
         S.code_label("vendedor", S.SELLER_LABELS, "Seller").alias("seller"),
         S.document_number("comprobante_tipo", "comprobante_codigo", "comprobante_numero").alias("document"),
-        S.combined_discount_pct("descuento", "descuento_global", "descuento_financiero").alias("offer_pct"),
-        F.col("linea_id").alias("line_id"),
-    )
-    j = _with_lookups(lines, costs, articles)
-    out = (j.withColumn("line_total", F.col("quantity") * S.tax_gross("unit_price", "tax_pct"))
-            .withColumn("margin", (F.col("net_price") - F.col("unit_cost")) * F.col("quantity"))
-            .withColumnRenamed("proveedor", "supplier").withColumnRenamed("marca", "brand")
-            .withColumn("product", F.col("descripcion")))
-    return _finish(out, ["line_id"] if with_line_id else [])
+        S.combined_discount_pct(*d).alias("offer_pct"), F.col("linea_id").alias("line_id")))
 
 
-def fact_webstore(items: DataFrame, articles: DataFrame, costs: DataFrame,
-                  start: dt.date = HISTORY_FLOOR) -> DataFrame:
-    """Paid, not cancelled web-store lines: net price, the order's store
-    freight (net of 21 %) shared by line value, margin
-    ``(net − cost)·qty − freight``; commission unknown → 0."""
+def webstore_lines(items: DataFrame, start: dt.date = HISTORY_FLOOR) -> DataFrame:
+    """Paid, not cancelled web-store lines with the order's store freight
+    (net of 21 %) shared by line value; commission unknown → 0."""
     it = items.where(S.webstore_valid("estado_pago", "estado"))
-    it = it.where(F.col("fecha") >= F.lit((start - dt.timedelta(days=1)).isoformat()))
+    it = it.where(F.col("fecha") >= F.lit(_text_floor(start)))
     price = S.nz(F.col("precio").try_cast("double"))
     it = it.select("*", price.alias("_price"), S.nz("cantidad").alias("_qty"),
                    S.nz(F.col("envio_costo_tienda").try_cast("double")).alias("_store_freight"))
-    # order value over all valid lines of the order (before the date filter)
+    # order value over all valid lines of the order (before the exact date filter)
     it = allocate_proportional(it, ["pedido_id"], S.fee_net("_store_freight"),
                                F.col("_price") * F.col("_qty"), out="_freight")
     it = it.withColumn("date", local_date("fecha")).where(F.col("date") >= F.lit(start))
-    lines = it.select(
+    return _lines_schema(it.select(
         F.lit(CHANNEL_WEBSTORE).alias("channel"), F.lit(S.UNIT_A).alias("unit"),
         F.lit(S.FISCAL).alias("fiscal"), F.col("pedido_numero").alias("order_id"), "date",
         commercial_month("date").alias("commercial_month"), "sku",
         F.col("_qty").alias("quantity"), F.col("_price").alias("unit_price"),
-        F.lit(0.0).alias("commission"), F.col("_freight"),
-        (F.col("_qty") * F.col("_price")).alias("line_total"),
-        F.col("cliente_nombre").alias("customer"))
-    j = _with_lookups(lines, costs, articles)
-    out = (j.withColumn("net_price", S.tax_net("unit_price", "tax_pct"))
-            .withColumn("margin", (F.col("net_price") - F.col("unit_cost")) * F.col("quantity") - F.col("_freight"))
-            .withColumn("freight", F.round("_freight", 2))
-            .withColumnRenamed("proveedor", "supplier").withColumnRenamed("marca", "brand")
-            .withColumn("product", F.col("descripcion")))
-    return _finish(out)
+        F.lit(0.0).alias("commission"), "_freight",
+        (F.col("_qty") * F.col("_price")).alias("_line_total"),
+        F.col("cliente_nombre").alias("customer")))
 
 
 def package_orders(shipments: DataFrame, orders: DataFrame,
@@ -178,7 +191,7 @@ def package_orders(shipments: DataFrame, orders: DataFrame,
 
 
 def package_totals(pk_orders: DataFrame) -> DataFrame:
-    return pk_orders.groupBy("shipping_id").agg(F.sum("total_amount").alias("package_total"))
+    return pk_orders.groupBy("shipping_id").agg(exact_sum("total_amount").alias("package_total"))
 
 
 def order_to_package(pk_orders: DataFrame) -> DataFrame:
@@ -190,35 +203,51 @@ def order_to_package(pk_orders: DataFrame) -> DataFrame:
                             ["order_id"], ["shipping_id"]).drop("shipping_id")
 
 
-def fact_marketplace(orders: DataFrame, items: DataFrame, shipments: DataFrame,
-                     articles: DataFrame, costs: DataFrame,
-                     start: dt.date = HISTORY_FLOOR) -> DataFrame:
-    """Valid marketplace orders × their items: net price, per-unit commission
-    (net of 21 %), package freight shared by line value across all orders of
-    the package, margin ``(net − cost − commission)·qty − freight``."""
+def marketplace_lines(orders: DataFrame, items: DataFrame, shipments: DataFrame,
+                      start: dt.date = HISTORY_FLOOR) -> DataFrame:
+    """Valid marketplace orders × their items: per-unit commission (net of
+    21 %), package freight shared by line value across all orders of the
+    package.  Items, orders and the per-order package lookup all join on the
+    order key, so they share one hash partitioning."""
     o = orders.where(S.marketplace_valid("status"))
-    o = o.where(F.col("date_created") >= F.lit((start - dt.timedelta(days=1)).isoformat()))
+    o = o.where(F.col("date_created") >= F.lit(_text_floor(start)))
     o = o.withColumn("date", local_date("date_created")).where(F.col("date") >= F.lit(start))
     pk = order_to_package(package_orders(shipments, orders)).select(
         F.col("order_id").cast("bigint").alias("_pk_order"), "costo_envio", "package_total")
     o = o.join(pk, o.id == pk._pk_order, "left")
     j = items.join(o, items.order_id == o.id, "inner")
     qty, price = S.nz("quantity"), S.nz("unit_price")
-    lines = j.select(
+    return _lines_schema(j.select(
         F.lit(CHANNEL_MARKETPLACE).alias("channel"), F.lit(S.UNIT_A).alias("unit"),
         F.lit(S.FISCAL).alias("fiscal"), F.col("id").cast("string").alias("order_id"), "date",
         commercial_month("date").alias("commercial_month"), F.col("seller_sku").alias("sku"),
-        F.col("title").alias("product"), qty.alias("quantity"), price.alias("unit_price"),
+        "title", qty.alias("quantity"), price.alias("unit_price"),
         S.fee_net(S.nz("sale_fee")).alias("commission"),
         share(S.fee_net(S.nz("costo_envio")), price * qty, F.col("package_total")).alias("_freight"),
-        (qty * price).alias("line_total"), F.col("buyer_nickname").alias("customer"))
-    jj = _with_lookups(lines, costs, articles)
-    out = (jj.withColumn("net_price", S.tax_net("unit_price", "tax_pct"))
-             .withColumn("margin", (F.col("net_price") - F.col("unit_cost") - F.col("commission"))
-                         * F.col("quantity") - F.col("_freight"))
-             .withColumn("freight", F.round("_freight", 2))
-             .withColumnRenamed("proveedor", "supplier").withColumnRenamed("marca", "brand"))
-    return _finish(out)
+        (qty * price).alias("_line_total"), F.col("buyer_nickname").alias("customer")))
+
+
+# ---------------------------------------------------------------------------
+# facts
+# ---------------------------------------------------------------------------
+
+def fact_wholesale(sales: DataFrame, articles: DataFrame, costs: DataFrame,
+                   start: dt.date = HISTORY_FLOOR, with_line_id: bool = False) -> DataFrame:
+    """Wholesale fact: margin ``(net − cost)·qty``."""
+    return price_lines(wholesale_lines(sales, start), costs, articles, ["line_id"] if with_line_id else [])
+
+
+def fact_webstore(items: DataFrame, articles: DataFrame, costs: DataFrame,
+                  start: dt.date = HISTORY_FLOOR) -> DataFrame:
+    """Web-store fact: margin ``(net − cost)·qty − freight``."""
+    return price_lines(webstore_lines(items, start), costs, articles)
+
+
+def fact_marketplace(orders: DataFrame, items: DataFrame, shipments: DataFrame,
+                     articles: DataFrame, costs: DataFrame,
+                     start: dt.date = HISTORY_FLOOR) -> DataFrame:
+    """Marketplace fact: margin ``(net − cost − commission)·qty − freight``."""
+    return price_lines(marketplace_lines(orders, items, shipments, start), costs, articles)
 
 
 def union_channels(*frames: DataFrame) -> DataFrame:
@@ -230,11 +259,12 @@ def union_channels(*frames: DataFrame) -> DataFrame:
 
 
 def fact_sales(sources: dict[str, DataFrame], start: dt.date = HISTORY_FLOOR) -> DataFrame:
+    """All channels: their lines are unioned first and priced once, so the
+    cost and article lookups each run as a single join."""
     costs = cost_history(sources["cost_sheet"], sources["offer_sheet"])
-    arts = sources["erp_articles"]
-    return union_channels(
-        fact_wholesale(sources["erp_sales"], arts, costs, start),
-        fact_webstore(sources["web_order_items"], arts, costs, start),
-        fact_marketplace(sources["market_orders"], sources["market_order_items"],
-                         sources["market_shipments"], arts, costs, start),
-    )
+    lines = union_channels(
+        wholesale_lines(sources["erp_sales"], start),
+        webstore_lines(sources["web_order_items"], start),
+        marketplace_lines(sources["market_orders"], sources["market_order_items"],
+                          sources["market_shipments"], start))
+    return price_lines(lines, costs, sources["erp_articles"])

@@ -145,18 +145,27 @@ def sold_sku_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 COST_MONTHS = ("1994-12-01", "2001-08-01")
 
 
+def _cost_months():
+    """(yyyy-MM, month number) pairs of ``COST_MONTHS`` as a literal array."""
+    y, m = (int(x) for x in COST_MONTHS[0][:7].split("-"))
+    ey, em = (int(x) for x in COST_MONTHS[1][:7].split("-"))
+    out = []
+    while (y, m) <= (ey, em):
+        out.append(F.struct(F.lit(f"{y:04d}-{m:02d}").alias("mes"), F.lit(m).alias("m")))
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return F.array(*out)
+
+
 def cost_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly theoretical cost sheet (sku, month, cost): one row per part
-    and commercial month, generated per part row (no join).  Parts with
-    ``p_size <= 2`` have no cost (their margin stays null)."""
+    and commercial month, generated per part row from a literal month list
+    (no join, no per-row date formatting).  Parts with ``p_size <= 2`` have
+    no cost (their margin stays null)."""
     p = read_table(spark, sf_dir, "part").where(F.col("p_size") > 2).select("p_partkey", "p_retailprice")
-    months = F.sequence(F.to_date(F.lit(COST_MONTHS[0])), F.to_date(F.lit(COST_MONTHS[1])),
-                        F.expr("INTERVAL 1 MONTH"))
-    pm = (p.select("p_partkey", "p_retailprice", F.explode(months).alias("_m"))
-           .withColumn("mes_comercial", F.date_format("_m", "yyyy-MM")))
-    month = F.substring("mes_comercial", 6, 2).cast("int")
-    return pm.select(F.col("p_partkey").cast("string").alias("sku"), "mes_comercial",
-                     F.round(F.col("p_retailprice") * (F.lit(0.40) + F.lit(0.02) * month), 2).alias("costo_teorico"))
+    pm = p.select("p_partkey", "p_retailprice", F.explode(_cost_months()).alias("_m"))
+    return pm.select(F.col("p_partkey").cast("string").alias("sku"), F.col("_m.mes").alias("mes_comercial"),
+                     F.round(F.col("p_retailprice") * (F.lit(0.40) + F.lit(0.02) * F.col("_m.m")), 2)
+                     .alias("costo_teorico"))
 
 
 def offer_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
