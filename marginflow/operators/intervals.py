@@ -2,10 +2,13 @@
 
 Empty intervals (``start >= end``) are dropped and touching intervals merge.
 Nothing is materialised as an in-memory list: every operation is a sweep
-line over endpoint events, expressed with window functions partitioned by
-the entity key, so keys spread over the cluster.
+line over endpoint events.  By default the sweep is a window per key; with
+``skew_safe=True`` its running scans are cut into (key, time-bucket)
+segments with carries (``operators.scan``), so a hot key is split over many
+tasks.  The skew-safe form reads its input twice per scan, so deep chains
+of it should cut lineage (``session.cut_lineage``) between steps.
 
-* ``interval_union``  — islands of a running ``max(end)``;
+* ``interval_union``  — running coverage count over ±1 endpoint events;
 * ``interval_setop``  — one sweep over tagged events (+1 at a start, −1 at an
   end, per input set) gives elementary segments with a cover count per set;
   a predicate on the counts selects A−B, A∩B, A∪B, …; adjacent selected
@@ -21,6 +24,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginflow.operators.scan import running_sums
+
 MICROS_PER_HOUR = 3_600_000_000
 
 
@@ -38,9 +43,14 @@ def normalize(df: DataFrame, keys: Sequence[str], start: str = "start", end: str
     return df.select(*keys, F.col(start).alias("start"), F.col(end).alias("end")).where(F.col("start") < F.col("end"))
 
 
-def interval_union(df: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Merge overlapping or touching intervals per key."""
-    d = normalize(df, keys, start, end)
+def _boundaries_to_intervals(bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows ``(keys, t, is_start)`` that strictly alternate start/end per key
+    → intervals ``[start, next boundary)``."""
+    nxt = running_sums(bounds, keys, ["t"], {}, next_of="t")
+    return nxt.where("is_start").select(*keys, F.col("t").alias("start"), F.col("next_t").alias("end"))
+
+
+def _union_windowed(d: DataFrame, keys: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("start", "end")
     prev_max = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("_new", F.when(prev_max.isNull() | (F.col("start") > prev_max), 1).otherwise(0))
@@ -48,37 +58,65 @@ def interval_union(df: DataFrame, keys: Sequence[str], start: str = "start", end
     return d.groupBy(*keys, "_isl").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_isl")
 
 
+def interval_union(df: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end",
+                   skew_safe: bool = False) -> DataFrame:
+    """Merge overlapping or touching intervals per key.
+
+    Default: islands of a running ``max(end)`` in one per-key window.
+    ``skew_safe``: a sweep over ±1 endpoint events netted per (key, t) with a
+    map-side partial aggregate; the running coverage (a bucketed scan that
+    splits a hot key, ``operators.scan``) crosses 0→positive at an island
+    start and positive→0 at its end."""
+    d = normalize(df, keys, start, end)
+    if not skew_safe:
+        return _union_windowed(d, keys)
+    ev = (d.select(*keys, F.col("start").alias("t"), F.lit(1).alias("delta"))
+           .unionByName(d.select(*keys, F.col("end").alias("t"), F.lit(-1).alias("delta"))))
+    per_t = ev.groupBy(*keys, "t").agg(F.sum("delta").alias("delta")).where(F.col("delta") != 0)
+    cov = running_sums(per_t, keys, ["t"], {"c": "delta"})
+    before = F.col("c") - F.col("delta")
+    bounds = cov.where(((before <= 0) & (F.col("c") > 0)) | ((before > 0) & (F.col("c") <= 0))) \
+                .select(*keys, "t", (F.col("c") > 0).alias("is_start"))
+    return _boundaries_to_intervals(bounds, keys)
+
+
 def interval_setop(sets: dict[str, DataFrame], keys: Sequence[str],
-                   pred: Callable[[dict[str, Column]], Column]) -> DataFrame:
+                   pred: Callable[[dict[str, Column]], Column], skew_safe: bool = False) -> DataFrame:
     """Segments (per key) where ``pred(counts)`` holds; ``counts[name]`` is
-    how many intervals of set ``name`` cover the segment."""
+    how many intervals of set ``name`` cover the segment.  One sweep gives
+    the counts after every event time and the next event time (a per-key
+    window, or with ``skew_safe`` a bucketed scan); the chosen elementary
+    segments are merged by ``interval_union``."""
     names = list(sets)
     events = None
     for n in names:
         d = normalize(sets[n], keys)
-        zeros = {m: F.lit(0) for m in names}
         s = d.select(*keys, F.col("start").alias("t"),
-                     *[(F.lit(1) if m == n else zeros[m]).alias(f"_d_{m}") for m in names])
+                     *[F.lit(1 if m == n else 0).alias(f"_d_{m}") for m in names])
         e = d.select(*keys, F.col("end").alias("t"),
-                     *[(F.lit(-1) if m == n else zeros[m]).alias(f"_d_{m}") for m in names])
+                     *[F.lit(-1 if m == n else 0).alias(f"_d_{m}") for m in names])
         ev = s.unionByName(e)
         events = ev if events is None else events.unionByName(ev)
     per_t = events.groupBy(*keys, "t").agg(*[F.sum(f"_d_{m}").alias(f"_d_{m}") for m in names])
-    w = Window.partitionBy(*keys).orderBy("t")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seg = per_t.select(*keys, F.col("t").alias("start"), F.lead("t").over(w).alias("end"),
-                       *[F.sum(f"_d_{m}").over(run).alias(f"_c_{m}") for m in names])
+    if skew_safe:
+        seg = running_sums(per_t, keys, ["t"], {f"_c_{m}": f"_d_{m}" for m in names}, next_of="t")
+    else:
+        w = Window.partitionBy(*keys).orderBy("t")
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        seg = per_t.select("*", F.lead("t").over(w).alias("next_t"),
+                           *[F.sum(f"_d_{m}").over(run).alias(f"_c_{m}") for m in names])
     counts = {m: F.col(f"_c_{m}") for m in names}
-    chosen = seg.where(F.col("end").isNotNull() & pred(counts))
-    return interval_union(chosen, keys)
+    chosen = seg.where(F.col("next_t").isNotNull() & pred(counts)) \
+                .select(*keys, F.col("t").alias("start"), F.col("next_t").alias("end"))
+    return interval_union(chosen, keys, skew_safe=skew_safe)
 
 
-def interval_subtract(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return interval_setop({"a": a, "b": b}, keys, lambda c: (c["a"] > 0) & (c["b"] <= 0))
+def interval_subtract(a: DataFrame, b: DataFrame, keys: Sequence[str], skew_safe: bool = False) -> DataFrame:
+    return interval_setop({"a": a, "b": b}, keys, lambda c: (c["a"] > 0) & (c["b"] <= 0), skew_safe)
 
 
-def interval_intersect(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return interval_setop({"a": a, "b": b}, keys, lambda c: (c["a"] > 0) & (c["b"] > 0))
+def interval_intersect(a: DataFrame, b: DataFrame, keys: Sequence[str], skew_safe: bool = False) -> DataFrame:
+    return interval_setop({"a": a, "b": b}, keys, lambda c: (c["a"] > 0) & (c["b"] > 0), skew_safe)
 
 
 def interval_hours(df: DataFrame, keys: Sequence[str]) -> DataFrame:

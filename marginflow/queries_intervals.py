@@ -69,13 +69,13 @@ def q_null_safe_change_join(spark, sf):
 @query("interval_union")
 def q_interval_union(spark, sf):
     a, _ = _sets(spark, sf)
-    return IV.interval_union(a, ["key"])
+    return IV.interval_union(a, ["key"], skew_safe=True)
 
 
 @query("interval_subtract")
 def q_interval_subtract(spark, sf):
     a, b = _sets(spark, sf)
-    return IV.interval_subtract(b, a, ["key"])
+    return IV.interval_subtract(b, a, ["key"], skew_safe=True)
 
 
 @query("interval_intersect")
@@ -83,13 +83,13 @@ def q_interval_intersect(spark, sf):
     si = _state_intervals(spark, sf)
     a = si.where("sellable").select(F.col("sku").alias("key"), "start", "end")
     b = si.where(F.col("item_id").cast("bigint") % 2 == 0).select(F.col("sku").alias("key"), "start", "end")
-    return IV.interval_intersect(a, b, ["key"])
+    return IV.interval_intersect(a, b, ["key"], skew_safe=True)
 
 
 @query("interval_hours")
 def q_interval_hours(spark, sf):
     a, _ = _sets(spark, sf)
-    return IV.interval_hours(IV.interval_union(a, ["key"]), ["key"]).withColumn("hours", F.round("hours", 6))
+    return IV.interval_hours(IV.interval_union(a, ["key"], skew_safe=True), ["key"]).withColumn("hours", F.round("hours", 6))
 
 
 @query("interval_overlap_join")

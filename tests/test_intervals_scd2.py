@@ -47,6 +47,7 @@ def test_union_edge_cases(spark):
     iv = [(0, 2), (2, 4), (5, 9), (6, 7), (5, 9), (10, 10), (12, 11)]   # touching, nested, identical, empty, reversed
     got = back(IV.interval_union(frame(spark, iv), ["key"]).collect())
     assert got == [(0, 4), (5, 9)]
+    assert back(IV.interval_union(frame(spark, iv), ["key"], skew_safe=True).collect()) == got
 
 
 @settings(max_examples=12, deadline=None)
@@ -56,6 +57,8 @@ def test_setops_match_model(spark, a, b):
     ua, ub = model_points(a), model_points(b)
     sub = back(IV.interval_subtract(A, B, ["key"]).collect())
     inter = back(IV.interval_intersect(A, B, ["key"]).collect())
+    assert back(IV.interval_subtract(A, B, ["key"], skew_safe=True).collect()) == sub
+    assert back(IV.interval_intersect(A, B, ["key"], skew_safe=True).collect()) == inter
     assert model_points(sub) == ua - ub
     assert model_points(inter) == ua & ub
     # results are merged: no two pieces touch or overlap
