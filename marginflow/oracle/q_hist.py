@@ -73,3 +73,87 @@ ORACLE = {
   AS hours FROM u GROUP BY key""", "listing_observations", extra={"obs": _obs_state()}),
     "observation_coverage": with_roles(COVERAGE, "pulse_moments"),
 }
+
+
+# --- interval set operations on the state history ---------------------------------
+
+def _setop_sql(a: str, b: str, pred: str) -> str:
+    return f"""WITH h AS ({scd2_sql(*STATE)}),
+si AS (SELECT item_id, sku, sellable, reason, desde AS start, least(coalesce(hasta, visto_hasta), {HIST_END}) AS "end" FROM h),
+a AS ({a}), b AS ({b}),
+ev AS (SELECT key, start AS t, 1 AS da, 0 AS db FROM a WHERE start < "end"
+       UNION ALL SELECT key, "end", -1, 0 FROM a WHERE start < "end"
+       UNION ALL SELECT key, start, 0, 1 FROM b WHERE start < "end"
+       UNION ALL SELECT key, "end", 0, -1 FROM b WHERE start < "end"),
+pt AS (SELECT key, t, sum(da) AS da, sum(db) AS db FROM ev GROUP BY key, t),
+seg AS (SELECT key, t AS start, lead(t) OVER (PARTITION BY key ORDER BY t) AS "end",
+  sum(da) OVER (PARTITION BY key ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ca,
+  sum(db) OVER (PARTITION BY key ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cb FROM pt),
+ch AS (SELECT key, start, "end" FROM seg WHERE "end" IS NOT NULL AND {pred}),
+m AS (SELECT *, max("end") OVER (PARTITION BY key ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  AS pm FROM ch),
+i AS (SELECT *, sum(CASE WHEN pm IS NULL OR start > pm THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY start, "end"
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM m)
+SELECT key, min(start) AS start, max("end") AS "end" FROM i GROUP BY key, isl"""
+
+
+_SELL = 'SELECT sku AS key, start, "end" FROM si WHERE sellable'
+_OOS = "SELECT sku AS key, start, \"end\" FROM si WHERE reason = 'out_of_stock'"
+_EVEN = 'SELECT sku AS key, start, "end" FROM si WHERE CAST(item_id AS BIGINT) % 2 = 0'
+ORACLE["interval_subtract"] = with_roles(_setop_sql(_OOS, _SELL, "ca > 0 AND cb <= 0"), "listing_observations",
+                                         extra={"obs": _obs_state()})
+ORACLE["interval_intersect"] = with_roles(_setop_sql(_SELL, _EVEN, "ca > 0 AND cb > 0"), "listing_observations",
+                                          extra={"obs": _obs_state()})
+
+# --- experiment universe and assignment -------------------------------------------------
+
+EXP = {
+    "cat": """SELECT item_id, arg_max(sku, (ts, event_id)) AS sku, arg_max(status, (ts, event_id)) AS status,
+  arg_max(catalog_listing, (ts, event_id)) AS catalog_listing FROM listing_observations GROUP BY item_id""",
+    "xsales": """SELECT event_id AS order_id, sku, CAST(ts AS DATE) AS date,
+  CAST(available_quantity % 5 + 1 AS DOUBLE) AS quantity FROM listing_observations
+  WHERE len(sub_status) = 0 AND status = 'active'""",
+    "skus": """SELECT p.sku, p.any_active, p.any_catalog, coalesce(v.units, 0.0) AS units, coalesce(v.orders, 0) AS orders
+FROM (SELECT sku, bool_or(status = 'active') AS any_active, bool_or(catalog_listing) AS any_catalog FROM cat GROUP BY sku) p
+LEFT JOIN (SELECT sku, CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE) AS units, count(DISTINCT order_id) AS orders
+           FROM xsales WHERE date >= DATE '2023-12-02' GROUP BY sku) v ON p.sku = v.sku
+WHERE p.sku IS NOT NULL""",
+    "grp": """SELECT *, CAST(CASE WHEN floor(i / 3) % 2 = 0 THEN i % 3 + 1 ELSE 3 - i % 3 END AS INTEGER) AS grp
+FROM (SELECT *, row_number() OVER (ORDER BY any_active DESC, units DESC, sku ASC) - 1 AS i FROM skus)""",
+    "assign": """SELECT sku, grp, week, ['10-18', '18-25', '25-35'][((grp - 1 + week - 1) % 3) + 1] AS band,
+  TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((week - 1) * 7 AS INTEGER)) AS week_start,
+  TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((week - 1) * 7 + 7 AS INTEGER)) AS week_end
+FROM grp, (SELECT unnest([1, 2, 3]) AS week)""",
+}
+
+
+def exp_sql(body: str) -> str:
+    return with_roles(body, "listing_observations", extra=EXP)
+
+
+ORACLE["listing_sales_join"] = exp_sql("SELECT * FROM skus")
+ORACLE["serpentine_assign"] = exp_sql("SELECT sku, any_active, units, grp FROM grp")
+ORACLE["latin_square_assign"] = exp_sql("SELECT * FROM assign")
+ORACLE["group_balance"] = exp_sql("""SELECT grp, count(*) AS skus,
+  round(CAST(sum(CAST(units AS DECIMAL(38,6))) AS DECIMAL(38,6)), 4)::DOUBLE AS units FROM grp GROUP BY grp""")
+ORACLE["active_membership"] = exp_sql("""SELECT DISTINCT item_id FROM cat WHERE sku IN (SELECT sku FROM assign
+  WHERE week_start <= TIMESTAMP '2024-01-10 12:00:00' AND week_end >= TIMESTAMP '2024-01-10 12:00:00')""")
+
+# --- streams and run log ----------------------------------------------------------------------
+
+ORACLE["sales_per_hour"] = with_roles("""SELECT date_trunc('hour', ts) AS hour,
+  CAST(round(CAST(sum(CAST(price AS DECIMAL(38,6))) AS DECIMAL(38,6)), 2) AS DOUBLE) AS revenue, count(*) AS events
+FROM listing_observations WHERE len(sub_status) = 0 GROUP BY 1""", "listing_observations")
+ORACLE["coverage_sessions"] = with_roles("""WITH m AS (SELECT moment, CASE WHEN lag(moment) OVER (ORDER BY moment) IS NULL
+  OR date_diff('microsecond', lag(moment) OVER (ORDER BY moment), moment) > 7200000000 THEN 1 ELSE 0 END AS new
+  FROM pulse_moments),
+s AS (SELECT moment, sum(new) OVER (ORDER BY moment ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM m)
+SELECT min(moment) AS start, max(moment) + INTERVAL 2 HOUR AS "end", count(*) AS pulses FROM s GROUP BY sid""",
+                                         "pulse_moments")
+ORACLE["freshness_report"] = """WITH log AS (SELECT event_type AS step, ts, value >= 5 AS ok FROM events),
+lo AS (SELECT step, max(ts) AS last_ok FROM log WHERE ok GROUP BY step),
+st AS (SELECT l.step, count(*) AS failure_streak FROM log l LEFT JOIN lo ON l.step = lo.step
+       WHERE lo.last_ok IS NULL OR l.ts > lo.last_ok GROUP BY l.step)
+SELECT s.step, lo.last_ok, coalesce(st.failure_streak, 0) AS failure_streak,
+  (lo.last_ok IS NULL OR lo.last_ok < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 2 HOUR) AS overdue
+FROM (SELECT DISTINCT step FROM log) s LEFT JOIN lo ON s.step = lo.step LEFT JOIN st ON s.step = st.step"""

@@ -111,10 +111,9 @@ def q_observation_coverage(spark, sf):
 def q_coverage_sessions(spark, sf):
     """Session windows with a 2 h gap over pulse moments (approximation of
     coverage: every session end is extended by the gap)."""
-    m = R.pulse_moments(spark, sf).withColumn("ts", F.col("moment").cast("timestamp"))
-    s = m.groupBy(F.session_window("ts", "2 hours").alias("s")).agg(F.count(F.lit(1)).alias("pulses"))
-    return s.select(F.col("s.start").cast("timestamp_ntz").alias("start"),
-                    F.col("s.end").cast("timestamp_ntz").alias("end"), "pulses")
+    m = R.pulse_moments(spark, sf)
+    s = m.groupBy(F.session_window("moment", "2 hours").alias("s")).agg(F.count(F.lit(1)).alias("pulses"))
+    return s.select(F.col("s.start").alias("start"), F.col("s.end").alias("end"), "pulses")
 
 
 @query("exposure_split")
@@ -232,9 +231,8 @@ def q_late_data_policy(spark, sf):
 @query("sales_per_hour")
 def q_sales_per_hour(spark, sf):
     s = R.listing_observations(spark, sf).where(F.size("sub_status") == 0)
-    s = s.withColumn("ts", F.col("ts").cast("timestamp"))
     g = s.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.round(exact_sum("price"), 2).alias("revenue"),
                                                            F.count(F.lit(1)).alias("events"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "revenue", "events")
+    return g.select(F.col("w.start").alias("hour"), "revenue", "events")
 
 
