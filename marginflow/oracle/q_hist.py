@@ -157,3 +157,42 @@ st AS (SELECT l.step, count(*) AS failure_streak FROM log l LEFT JOIN lo ON l.st
 SELECT s.step, lo.last_ok, coalesce(st.failure_streak, 0) AS failure_streak,
   (lo.last_ok IS NULL OR lo.last_ok < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 2 HOUR) AS overdue
 FROM (SELECT DISTINCT step FROM log) s LEFT JOIN lo ON s.step = lo.step LEFT JOIN st ON s.step = st.step"""
+
+
+# --- joins on histories ----------------------------------------------------------------------
+
+BB = (["winning", "status"], ["winner_price"])
+PRICE = (["price"], ["sku"])
+
+
+def _hist_cte(name: str, spec) -> str:
+    return f"{name} AS ({scd2_sql(*spec)})"
+
+
+def hist_sql(body: str, **specs) -> str:
+    ctes = ",\n".join(_hist_cte(n, sp) for n, sp in specs.items())
+    return with_roles(f"WITH {ctes}\n{body}", "listing_observations", "pulse_moments",
+                      extra=dict(EXP, obs=_obs_state()))
+
+
+ORACLE["buybox_to_sku"] = hist_sql(f"""SELECT c.sku, b.item_id, b.desde,
+  least(coalesce(b.hasta, b.visto_hasta), {HIST_END}) AS "end" FROM bb b JOIN cat c ON b.item_id = c.item_id
+WHERE b.winning""", bb=BB)
+ORACLE["null_safe_change_join"] = hist_sql("""SELECT o.item_id, o.winning AS open_winning, l.winning FROM
+  (SELECT item_id, winning FROM bb WHERE hasta IS NULL) o JOIN
+  (SELECT item_id, arg_max_null(winning, (ts, event_id)) AS winning FROM obs
+   WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY item_id) l ON o.item_id = l.item_id
+WHERE o.winning IS DISTINCT FROM l.winning""", bb=BB)
+ORACLE["interval_overlap_join"] = hist_sql(f"""SELECT p.item_id, p.price AS a_price, greatest(p.desde, s.desde) AS start,
+  least(least(coalesce(p.hasta, p.visto_hasta), {HIST_END}), least(coalesce(s.hasta, s.visto_hasta), {HIST_END})) AS "end"
+FROM ph p JOIN (SELECT * FROM st WHERE sellable) s ON p.item_id = s.item_id
+  AND p.desde < least(coalesce(s.hasta, s.visto_hasta), {HIST_END})
+  AND least(coalesce(p.hasta, p.visto_hasta), {HIST_END}) > s.desde""", ph=PRICE, st=STATE)
+ORACLE["broken_days"] = hist_sql(f"""SELECT o.sku, o.day FROM
+  (SELECT DISTINCT sku, CAST(ts AS DATE) AS day FROM obs
+   WHERE CAST(ts AS DATE) IN (SELECT DISTINCT CAST(moment AS DATE) FROM pulse_moments)) o
+WHERE NOT EXISTS (SELECT 1 FROM (
+  SELECT DISTINCT sku, CAST(unnest(generate_series(f, l, INTERVAL 1 DAY)) AS DATE) AS day FROM (
+    SELECT sku, CAST(desde + INTERVAL 86399999999 MICROSECOND AS DATE) AS f,
+           CAST(least(coalesce(hasta, visto_hasta), {HIST_END}) AS DATE) - 1 AS l FROM st WHERE sellable)
+  WHERE f <= l) fd WHERE fd.sku = o.sku AND fd.day = o.day)""", st=STATE)

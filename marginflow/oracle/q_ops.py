@@ -288,3 +288,17 @@ ORACLE["margin_by_month"] = fact_sql(f"""SELECT commercial_month, channel, count
   {SR(XS('line_total'))} AS revenue, {SR(XS('margin'))} AS margin,
   count(*) FILTER (WHERE margin IS NULL) AS lines_without_cost FROM fact_sales GROUP BY commercial_month, channel""",
                                      "fact_sales")
+
+ORACLE["late_data_policy"] = fact_sql("""SELECT date >= DATE '1998-07-26' AS in_window, count(*) AS rows FROM (
+  SELECT date FROM fact_wholesale WHERE date < DATE '1998-07-26'
+  UNION ALL SELECT date FROM fact_wholesale WHERE date >= DATE '1998-07-26' AND date < DATE '1998-08-02')
+GROUP BY 1""", "fact_wholesale")
+ORACLE["last_run_streak"] = with_roles("""WITH d AS (SELECT item_id, CAST(ts AS DATE) AS day,
+  bool_or(available_quantity > 0) AS stock,
+  bool_or(event_id IS NOT NULL AND status = 'active' AND available_quantity = 0) AS sold_out
+  FROM listing_observations GROUP BY 1, 2),
+i AS (SELECT DISTINCT item_id, day FROM d WHERE stock AND NOT sold_out),
+g AS (SELECT item_id, day, day - CAST(row_number() OVER (PARTITION BY item_id ORDER BY day) AS INTEGER) AS grp FROM i),
+s AS (SELECT item_id, min(day) AS start_day, max(day) AS end_day, count(*) AS days FROM g GROUP BY item_id, grp)
+SELECT item_id, arg_max(start_day, start_day) AS start_day, arg_max(end_day, start_day) AS end_day,
+  arg_max(days, start_day) AS days FROM s GROUP BY item_id""", "listing_observations")
