@@ -4,7 +4,11 @@ equal it) and for interval union / hours / coverage."""
 from __future__ import annotations
 
 from marginflow.oracle.q_ops import REASON
-from marginflow.oracle.roles_sql import with_roles
+from marginflow.oracle.roles_sql import sround, with_roles
+
+
+def SR6(x: str) -> str:
+    return sround(x, 6)
 
 def scd2_sql(state: list[str], extras: list[str]) -> str:
     chg = " OR ".join(f"{s} IS DISTINCT FROM lag({s}) OVER w" for s in state)
@@ -196,3 +200,81 @@ WHERE NOT EXISTS (SELECT 1 FROM (
     SELECT sku, CAST(desde + INTERVAL 86399999999 MICROSECOND AS DATE) AS f,
            CAST(least(coalesce(hasta, visto_hasta), {HIST_END}) AS DATE) - 1 AS l FROM st WHERE sellable)
   WHERE f <= l) fd WHERE fd.sku = o.sku AND fd.day = o.day)""", st=STATE)
+
+
+# --- exposure split ------------------------------------------------------------------------
+
+def _islands(src: str, keys: str) -> str:
+    """Union of intervals in CTE-able SELECT ``src`` (columns keys, start, "end")."""
+    return f"""SELECT {keys}, min(start) AS start, max("end") AS "end" FROM (
+  SELECT *, sum(CASE WHEN pm IS NULL OR start > pm THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY start, "end"
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM (
+    SELECT *, max("end") OVER (PARTITION BY {keys} ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+      AS pm FROM ({src}) WHERE start < "end"))
+GROUP BY {keys}, isl"""
+
+
+def _subtract(a: str, b: str, keys: str) -> str:
+    k = keys
+    chosen = f"""SELECT {k}, start, "end" FROM (
+  SELECT {k}, t AS start, lead(t) OVER (PARTITION BY {k} ORDER BY t) AS "end",
+    sum(da) OVER (PARTITION BY {k} ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ca,
+    sum(db) OVER (PARTITION BY {k} ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cb
+  FROM (SELECT {k}, t, sum(da) AS da, sum(db) AS db FROM (
+    SELECT {k}, start AS t, 1 AS da, 0 AS db FROM ({a}) WHERE start < "end"
+    UNION ALL SELECT {k}, "end", -1, 0 FROM ({a}) WHERE start < "end"
+    UNION ALL SELECT {k}, start, 0, 1 FROM ({b}) WHERE start < "end"
+    UNION ALL SELECT {k}, "end", 0, -1 FROM ({b}) WHERE start < "end") GROUP BY {k}, t))
+WHERE "end" IS NOT NULL AND ca > 0 AND cb <= 0"""
+    return _islands(chosen, keys)
+
+
+XEND = "TIMESTAMP '2024-01-22 00:00:00'"
+XSTART = "TIMESTAMP '2024-01-01 00:00:00'"
+HRS = "(date_diff('microsecond', start, \"end\") / 3600000000.0)"
+
+EXPOSURE = {
+    "cov": """SELECT min(start) AS start, max("end") AS "end" FROM (
+  SELECT *, sum(CASE WHEN pm IS NULL OR start > pm THEN 1 ELSE 0 END) OVER (ORDER BY start, "end"
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM (
+    SELECT *, max("end") OVER (ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM (
+      SELECT start, CASE WHEN nxt IS NULL THEN least(start + INTERVAL 7200 SECOND, TIMESTAMP '2024-01-22 00:00:00')
+        WHEN date_diff('microsecond', start, nxt) <= 7200000000 THEN nxt END AS "end"
+      FROM (SELECT moment AS start, lead(moment) OVER (ORDER BY moment) AS nxt FROM pulse_moments
+            WHERE moment BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-22 00:00:00'))
+    WHERE "end" IS NOT NULL AND start < "end"))
+GROUP BY isl""",
+    "wk": """SELECT DISTINCT week, week_start + INTERVAL 24 HOUR AS w_start,
+  least(week_end, TIMESTAMP '2024-01-31 00:00:00') AS w_end FROM assign""",
+    "obsw": """SELECT week, greatest(c.start, w_start) AS start, least(c."end", w_end) AS "end"
+FROM cov c JOIN wk ON c.start < w_end AND c."end" > w_start""",
+    "oh": f"""SELECT week, CAST(sum(CAST({HRS} AS DECIMAL(38,6))) AS DOUBLE) AS h_observed FROM obsw GROUP BY week""",
+    "si": f"""SELECT * FROM (SELECT sku, sellable, reason, greatest(desde, {XSTART}) AS start,
+  least(coalesce(hasta, visto_hasta), {XEND}) AS "end" FROM st WHERE sku IS NOT NULL) WHERE start < "end" """,
+    "pc": """SELECT s.sku, o.week, greatest(s.start, o.start) AS start, least(s."end", o."end") AS "end", s.sellable,
+  s.reason = 'out_of_stock' AS oos FROM si s JOIN obsw o ON s.start < o."end" AND s."end" > o.start""",
+    "vv": _islands('SELECT sku, week, start, "end" FROM pc WHERE sellable', "sku, week"),
+    "qq": _subtract('SELECT sku, week, start, "end" FROM pc WHERE oos', 'SELECT sku, week, start, "end" FROM vv',
+                    "sku, week"),
+    "vh": f"SELECT sku, week, CAST(sum(CAST({HRS} AS DECIMAL(38,6))) AS DOUBLE) AS h_sellable FROM vv GROUP BY ALL",
+    "qh": f"SELECT sku, week, CAST(sum(CAST({HRS} AS DECIMAL(38,6))) AS DOUBLE) AS h_out_of_stock FROM qq GROUP BY ALL",
+    "hr": "SELECT DISTINCT sku, week, true AS has FROM pc WHERE start < \"end\"",
+    "exposure": f"""SELECT a.sku, a.week, a.grp, a.band, w.w_start, w.w_end,
+  date_diff('microsecond', w.w_start, w.w_end) / 3600000000.0 AS h_window,
+  {SR6('coalesce(vh.h_sellable, 0.0)')} AS h_sellable, {SR6('coalesce(qh.h_out_of_stock, 0.0)')} AS h_out_of_stock,
+  {SR6("CASE WHEN coalesce(hr.has, false) THEN coalesce(oh.h_observed, 0.0) - coalesce(vh.h_sellable, 0.0) - coalesce(qh.h_out_of_stock, 0.0) ELSE 0.0 END")} AS h_other,
+  {SR6("date_diff('microsecond', w.w_start, w.w_end) / 3600000000.0 - coalesce(oh.h_observed, 0.0)")} AS h_no_data,
+  {SR6("CASE WHEN coalesce(hr.has, false) THEN 0.0 ELSE coalesce(oh.h_observed, 0.0) END")} AS h_unattributed
+FROM assign a JOIN wk w ON a.week = w.week AND w.w_end > w.w_start LEFT JOIN oh ON a.week = oh.week
+LEFT JOIN vh ON a.sku = vh.sku AND a.week = vh.week LEFT JOIN qh ON a.sku = qh.sku AND a.week = qh.week
+LEFT JOIN hr ON a.sku = hr.sku AND a.week = hr.week""",
+}
+
+
+def exposure_sql(body: str) -> str:
+    ctes = dict(EXP, obs=_obs_state(), st=scd2_sql(*STATE))
+    ctes.update(EXPOSURE)
+    return with_roles(body, "listing_observations", "pulse_moments", extra=ctes)
+
+
+ORACLE["exposure_split"] = exposure_sql("SELECT * FROM exposure")
