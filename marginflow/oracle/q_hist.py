@@ -214,7 +214,7 @@ def _islands(src: str, keys: str) -> str:
 GROUP BY {keys}, isl"""
 
 
-def _subtract(a: str, b: str, keys: str) -> str:
+def _subtract(a: str, b: str, keys: str, pred: str = "ca > 0 AND cb <= 0") -> str:
     k = keys
     chosen = f"""SELECT {k}, start, "end" FROM (
   SELECT {k}, t AS start, lead(t) OVER (PARTITION BY {k} ORDER BY t) AS "end",
@@ -225,7 +225,7 @@ def _subtract(a: str, b: str, keys: str) -> str:
     UNION ALL SELECT {k}, "end", -1, 0 FROM ({a}) WHERE start < "end"
     UNION ALL SELECT {k}, start, 0, 1 FROM ({b}) WHERE start < "end"
     UNION ALL SELECT {k}, "end", 0, -1 FROM ({b}) WHERE start < "end") GROUP BY {k}, t))
-WHERE "end" IS NOT NULL AND ca > 0 AND cb <= 0"""
+WHERE "end" IS NOT NULL AND {pred}"""
     return _islands(chosen, keys)
 
 
@@ -271,10 +271,33 @@ LEFT JOIN hr ON a.sku = hr.sku AND a.week = hr.week""",
 }
 
 
+EXPOSURE["pp"] = f"""SELECT * FROM (SELECT sku, price, desde AS start, least(coalesce(hasta, visto_hasta), {XEND}) AS "end"
+  FROM ph WHERE sku IS NOT NULL AND price IS NOT NULL) WHERE start < {XEND} AND "end" > {XSTART}"""
+EXPOSURE["twp"] = f"""SELECT sku, week,
+  {sround('CAST(sum(CAST(price * h AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(CAST(h AS DECIMAL(38,6))) AS DOUBLE)', 4)}
+  AS published_price FROM (
+  SELECT p.sku, v.week, p.price,
+    date_diff('microsecond', greatest(p.start, v.start), least(p."end", v."end")) / 3600000000.0 AS h
+  FROM pp p JOIN vv v ON p.sku = v.sku AND p.start < v."end" AND p."end" > v.start) WHERE h > 0 GROUP BY sku, week"""
+EXPOSURE["bbw"] = f"""SELECT * FROM (SELECT c.sku, b.desde AS start, least(coalesce(b.hasta, b.visto_hasta), {XEND}) AS "end"
+  FROM bb b JOIN cat c ON b.item_id = c.item_id WHERE b.winning) WHERE start < {XEND} AND "end" > {XSTART}"""
+EXPOSURE["vweeks"] = "SELECT DISTINCT sku, week FROM vv"
+EXPOSURE["bbi"] = _subtract('SELECT w.sku, w.week, b.start, b."end" FROM bbw b JOIN vweeks w ON b.sku = w.sku',
+                            'SELECT sku, week, start, "end" FROM vv', "sku, week", "ca > 0 AND cb > 0")
+EXPOSURE["bbh"] = f"""SELECT w.sku, w.week,
+  {sround('coalesce(h.h, 0.0)', 6)} AS h_buybox FROM vweeks w
+  JOIN (SELECT DISTINCT sku FROM bbw) p ON w.sku = p.sku
+  LEFT JOIN (SELECT sku, week, CAST(sum(CAST({HRS} AS DECIMAL(38,6))) AS DOUBLE) AS h FROM bbi GROUP BY ALL) h
+    ON w.sku = h.sku AND w.week = h.week"""
+
+
 def exposure_sql(body: str) -> str:
-    ctes = dict(EXP, obs=_obs_state(), st=scd2_sql(*STATE))
+    ctes = dict(EXP, obs=_obs_state(), st=scd2_sql(*STATE), ph=scd2_sql(*PRICE), bb=scd2_sql(*BB))
     ctes.update(EXPOSURE)
     return with_roles(body, "listing_observations", "pulse_moments", extra=ctes)
 
 
 ORACLE["exposure_split"] = exposure_sql("SELECT * FROM exposure")
+
+ORACLE["time_weighted_price"] = exposure_sql("SELECT * FROM twp")
+ORACLE["buybox_hours"] = exposure_sql("SELECT * FROM bbh")
