@@ -291,6 +291,44 @@ EXPOSURE["bbh"] = f"""SELECT w.sku, w.week,
     ON w.sku = h.sku AND w.week = h.week"""
 
 
+EXPOSURE["twp_raw"] = """SELECT sku, week,
+  CAST(sum(CAST(price * h AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(CAST(h AS DECIMAL(38,6))) AS DOUBLE) AS pp FROM (
+  SELECT p.sku, v.week, p.price,
+    date_diff('microsecond', greatest(p.start, v.start), least(p."end", v."end")) / 3600000000.0 AS h
+  FROM pp p JOIN vv v ON p.sku = v.sku AND p.start < v."end" AND p."end" > v.start) WHERE h > 0 GROUP BY sku, week"""
+_XS = "CAST(sum(CAST({} AS DECIMAL(38,6))) AS DOUBLE)"
+EXPOSURE["xs"] = """SELECT event_id AS order_id, sku, CAST(ts AS DATE) AS date, CAST(available_quantity % 5 + 1 AS DOUBLE) AS q,
+  price FROM listing_observations WHERE len(sub_status) = 0 AND status = 'active'"""
+EXPOSURE["sd"] = f"""SELECT sku, date, {_XS.format('q')} AS units, count(DISTINCT order_id) AS orders,
+  {_XS.format('price * q')} AS revenue, {_XS.format('(price * 0.55) * q')} AS cost,
+  {_XS.format('(price * 0.10) * q')} AS commission, {_XS.format('0.5')} AS freight,
+  {_XS.format('(price / 1.21) * q')} AS net FROM xs GROUP BY sku, date"""
+EXPOSURE["sw"] = f"""SELECT d.sku, a.week, {_XS.format('d.units')} AS units, CAST(sum(d.orders) AS BIGINT) AS orders,
+  {_XS.format('d.revenue')} AS revenue, {_XS.format('d.cost')} AS cost, {_XS.format('d.commission')} AS commission,
+  {_XS.format('d.freight')} AS freight, {_XS.format('d.net')} AS net
+FROM sd d JOIN (SELECT a.sku, a.week, CAST(w.w_start AS DATE) AS d0, CAST(w.w_end AS DATE) AS d1
+                FROM assign a JOIN wk w ON a.week = w.week AND w.w_end > w.w_start) a
+  ON d.sku = a.sku AND d.date >= a.d0 AND d.date < a.d1 GROUP BY d.sku, a.week"""
+EXPOSURE["lc"] = """SELECT sku, arg_max(price * 0.55, (date, order_id)) AS unit_cost, 21.0 AS tax_pct FROM xs
+WHERE price * 0.55 > 0 GROUP BY sku"""
+_U = "coalesce(s.units, 0.0)"
+_M = "(coalesce(s.revenue, 0.0) - coalesce(s.cost, 0.0) - coalesce(s.commission, 0.0) - coalesce(s.freight, 0.0))"
+_MN = "(coalesce(s.net, 0.0) - coalesce(s.cost, 0.0) - coalesce(s.commission, 0.0) - coalesce(s.freight, 0.0))"
+_OK = "(t.pp IS NOT NULL AND e.h_sellable > 0)"
+EXPOSURE["consolidated"] = f"""SELECT e.sku, e.week, e.grp, e.band, e.h_window, e.h_sellable, e.h_out_of_stock, e.h_other,
+  e.h_no_data, e.h_unattributed, b.h_buybox, {sround(_U, 4)} AS units, coalesce(s.orders, 0) AS orders,
+  {sround('coalesce(s.revenue, 0.0)', 4)} AS revenue, {sround(_M, 4)} AS margin_gross_basis,
+  {sround(_MN, 4)} AS margin_net, {sround(f'CASE WHEN {_U} > 0 THEN {_M} / {_U} END', 4)} AS margin_per_unit,
+  {sround(f'CASE WHEN {_U} > 0 THEN coalesce(s.revenue, 0.0) / {_U} END', 4)} AS avg_price,
+  {sround(f'CASE WHEN {_OK} THEN t.pp END', 4)} AS published_price,
+  {sround(f'CASE WHEN {_OK} AND c.unit_cost > 0 THEN (t.pp / (1.0 + coalesce(c.tax_pct, 0.0) / 100.0)) / c.unit_cost - 1 END', 6)}
+    AS markup,
+  {sround(f'CASE WHEN e.h_sellable > 0 THEN {_U} / (e.h_sellable / 24.0) END', 6)} AS units_per_sellable_day
+FROM exposure e LEFT JOIN twp_raw t ON e.sku = t.sku AND e.week = t.week
+LEFT JOIN bbh b ON e.sku = b.sku AND e.week = b.week LEFT JOIN sw s ON e.sku = s.sku AND e.week = s.week
+LEFT JOIN lc c ON e.sku = c.sku"""
+
+
 def exposure_sql(body: str) -> str:
     ctes = dict(EXP, obs=_obs_state(), st=scd2_sql(*STATE), ph=scd2_sql(*PRICE), bb=scd2_sql(*BB))
     ctes.update(EXPOSURE)
@@ -301,3 +339,40 @@ ORACLE["exposure_split"] = exposure_sql("SELECT * FROM exposure")
 
 ORACLE["time_weighted_price"] = exposure_sql("SELECT * FROM twp")
 ORACLE["buybox_hours"] = exposure_sql("SELECT * FROM bbh")
+ORACLE["experiment_consolidate"] = exposure_sql("SELECT * FROM consolidated")
+ORACLE["exposure_rate"] = exposure_sql("SELECT sku, week, units, h_sellable, units_per_sellable_day FROM consolidated")
+
+_D = "CASE WHEN {d} <> 0 THEN {n} / {d} END"
+ORACLE["band_summary"] = exposure_sql(f"""SELECT band, {sround('days', 4)} AS days,
+  {sround(_D.format(n='margin', d='days'), 4)} AS margin_per_day,
+  {sround(_D.format(n='margin', d='units'), 4)} AS margin_per_unit,
+  {sround(_D.format(n='units', d='days'), 4)} AS units_per_day,
+  {sround('mean_markup', 6)} AS mean_markup, sku_weeks FROM (
+  SELECT band, CAST(sum(CAST(h_sellable AS DECIMAL(38,6))) AS DOUBLE) / 24.0 AS days,
+    CAST(sum(CAST(margin_gross_basis AS DECIMAL(38,6))) AS DOUBLE) AS margin,
+    CAST(sum(CAST(units AS DECIMAL(38,6))) AS DOUBLE) AS units,
+    CAST(sum(CAST(markup AS DECIMAL(38,6))) AS DOUBLE) / count(markup) AS mean_markup, count(*) AS sku_weeks
+  FROM consolidated WHERE h_sellable > 0 GROUP BY band)""")
+
+_G = "(CASE WHEN quantity <> 0 THEN line_total / quantity END)"
+_FPU = "(CASE WHEN quantity <> 0 THEN coalesce(freight, 0.0) / quantity END)"
+_PCT = (f"((({_G} - coalesce({_G} - net_price, 0.0)) - unit_cost - coalesce(commission, 0.0) - coalesce({_FPU}, 0.0))"
+        f" / (CASE WHEN {_G} <> 0 THEN {_G} END) * 100.0)")
+ORACLE["elasticity_by_band"] = with_roles(f"""WITH sales AS (
+  SELECT sku, quantity, price * quantity AS line_total, price * 0.55 AS unit_cost, price * 0.10 AS commission,
+         0.5 AS freight, price / 1.21 AS net_price FROM (
+    SELECT sku, price, CAST(available_quantity % 5 + 1 AS DOUBLE) AS quantity FROM listing_observations
+    WHERE len(sub_status) = 0 AND status = 'active')),
+banded AS (SELECT *, CASE WHEN p IS NULL THEN NULL WHEN p < 10.0 THEN '<10' WHEN p < 18.0 THEN '10-18'
+  WHEN p < 25.0 THEN '18-25' WHEN p < 35.0 THEN '25-35' ELSE '>35' END AS band FROM (SELECT *, {_PCT} AS p FROM sales)),
+per AS (SELECT sku, band, CAST(sum(CAST(((net_price - unit_cost - commission) * quantity - coalesce(freight, 0.0))
+    AS DECIMAL(38,6))) AS DOUBLE) AS margin, CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE) AS units
+  FROM banded WHERE band IS NOT NULL GROUP BY sku, band),
+r AS (SELECT *, CASE WHEN units <> 0 THEN margin / units END AS mpu,
+  list_position(['<10', '10-18', '18-25', '25-35', '>35'], band) AS band_rank,
+  count(*) OVER (PARTITION BY sku) AS bands FROM per),
+b AS (SELECT *, max(mpu) OVER (PARTITION BY sku) AS best FROM r WHERE bands >= 2),
+w AS (SELECT sku, arg_max(band, band_rank) AS winner_band, arg_max(mpu, band_rank) AS mpu,
+  arg_max(units, band_rank) AS units FROM b WHERE mpu >= best - abs(best) * 0.1 GROUP BY sku)
+SELECT sku, winner_band, {sround('mpu', 4)} AS margin_per_unit, {sround('units', 4)} AS units,
+  units >= 15 AS with_volume FROM w""", "listing_observations")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from marginflow.functions import scalars as S
 from marginflow.operators import intervals as IV
 from marginflow.operators import windows as WN
-from marginflow.operators.aggregates import exact_sum
+from marginflow.operators.aggregates import exact_avg, exact_sum
 from marginflow.operators.dedupe import latest_per_key
 from marginflow.sources import roles as R
 from marginflow.streaming.scd2 import clip_end, scd2_from_log
@@ -313,7 +313,7 @@ def band_summary(consolidated: DataFrame) -> DataFrame:
     m = consolidated.where(F.col("h_sellable") > 0)
     days = exact_sum("h_sellable") / 24.0
     g = m.groupBy("band").agg(days.alias("days"), exact_sum("margin_gross_basis").alias("margin"),
-                              exact_sum("units").alias("units"), F.avg("markup").alias("mean_markup"),
+                              exact_sum("units").alias("units"), exact_avg("markup").alias("mean_markup"),
                               F.count(F.lit(1)).alias("sku_weeks"))
     return g.select("band", F.round("days", 4).alias("days"),
                     F.round(F.try_divide(F.col("margin"), F.when(F.col("days") != 0, F.col("days"))), 4).alias("margin_per_day"),
