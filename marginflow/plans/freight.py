@@ -28,10 +28,15 @@ ESTIMATE_RATE = 0.05
 
 def fanout_safe_join(lines: DataFrame, preps: DataFrame) -> DataFrame:
     """Lines ⟕ preparations on the order code; a line may legitimately go out
-    in several preparations, but a repeated (line, preparation) pair is one."""
-    p = preps.select(F.col("pedido_codigo").alias("_order"), "preparacion_id", "transporte")
-    j = lines.join(p, lines.order_id == p._order, "left").drop("_order")
-    return keep_one_per_key(j, ["line_id", "preparacion_id"], [])
+    in several preparations, but a repeated (line, preparation) pair is one.
+
+    A line carries one order, so a repeated (line, preparation) pair can only
+    come from a repeated (order, preparation) row: the dedupe runs on the
+    (small) preparations table before the join instead of on every joined
+    line after it — same rows, one large aggregate less."""
+    p = keep_one_per_key(preps.select(F.col("pedido_codigo").alias("_order"), "preparacion_id", "transporte"),
+                         ["_order", "preparacion_id"], [])
+    return lines.join(p, lines.order_id == p._order, "left").drop("_order")
 
 
 def line_volume(litres, qty):
