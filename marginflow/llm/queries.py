@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import outliers, packing, sharding, warc
+from marginflow.llm import order_minhash, outliers, packing, sharding, warc
 from marginflow.llm.common import new_path, table
 
 
@@ -20,6 +20,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -36,6 +40,7 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_order_minhash": op2_order_minhash,
     "op5_packing": op5_packing,
     "op9_sharding": op9_sharding,
     "op10_outliers": op10_outliers,
