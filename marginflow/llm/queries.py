@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import order_minhash, outliers, packing, sharding, warc
+from marginflow.llm import order_minhash, outliers, packing, sharding, suffix, warc
 from marginflow.llm.common import new_path, table
 
 
@@ -24,6 +24,10 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -41,6 +45,7 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_order_minhash": op2_order_minhash,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_packing": op5_packing,
     "op9_sharding": op9_sharding,
     "op10_outliers": op10_outliers,
