@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import order_minhash, outliers, packing, sharding, suffix, warc
+from marginflow.llm import decontaminate, order_minhash, outliers, packing, sharding, suffix, warc
 from marginflow.llm.common import new_path, table
 
 
@@ -32,6 +32,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return c.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sharding.assign_shards(table(spark, sf_dir, "documents"))
     return s.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -47,6 +52,7 @@ QUERIES = {
     "op2_order_minhash": op2_order_minhash,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_packing": op5_packing,
+    "op6_decontamination": op6_decontamination,
     "op9_sharding": op9_sharding,
     "op10_outliers": op10_outliers,
 }
@@ -60,4 +66,21 @@ ORACLE_SQL = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
         FROM f""",
+    "op6_decontamination": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                   FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+              FROM benchmark),
+        win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS win
+                FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM win),
+        dw AS (SELECT rid, sizes.n, unnest(range(1, len(w) - sizes.n + 2)) AS i, w FROM d, sizes WHERE len(w) >= sizes.n),
+        hit AS (SELECT dw.rid, dw.i, dw.n, win.item_id FROM (SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM dw) dw JOIN win ON win.win = dw.win AND win.n = dw.n),
+        cover AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+        items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY rid)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN cover USING (rid) LEFT JOIN items USING (rid)""",
 }
