@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import decontaminate, order_minhash, outliers, packing, sharding, suffix, warc
+from marginflow.llm import decontaminate, order_minhash, outliers, packing, sharding, style_tree, suffix, warc
 from marginflow.llm.common import new_path, table
 
 
@@ -37,6 +37,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sharding.assign_shards(table(spark, sf_dir, "documents"))
     return s.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -53,6 +57,7 @@ QUERIES = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
+    "op8_style_tree": op8_style_tree,
     "op9_sharding": op9_sharding,
     "op10_outliers": op10_outliers,
 }
