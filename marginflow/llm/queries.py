@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import decontaminate, order_minhash, outliers, packing, sharding, style_tree, suffix, warc
+from marginflow.llm import decontaminate, order_minhash, outliers, packing, pii, preference, sharding, style_tree, suffix, warc
 from marginflow.llm.common import new_path, table
 
 
@@ -24,6 +24,10 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
 
@@ -37,6 +41,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.pairs_of(preference.conversations_of(table(spark, sf_dir, "conversations")))
+    return preference.flat(preference.format_pairs(pairs))
+
+
 def op8_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -54,9 +63,11 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_order_minhash": op2_order_minhash,
+    "op3_pii": op3_pii,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
+    "op7_preference": op7_preference,
     "op8_style_tree": op8_style_tree,
     "op9_sharding": op9_sharding,
     "op10_outliers": op10_outliers,
@@ -88,4 +99,23 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN cover USING (rid) LEFT JOIN items USING (rid)""",
+    "op7_preference": """
+        WITH c AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS t
+                   FROM (SELECT DISTINCT conv_id, turn, coalesce(role, 'none') AS role, coalesce(text, '') AS text FROM conversations) GROUP BY conv_id),
+        n AS (SELECT *, lead(conv_id) OVER w AS next_id, lead(t) OVER w AS next_t,
+                     list_position([x.role = 'assistant' FOR x IN t], true) AS head,
+                     len(t) + 1 - list_position(list_reverse([x.role = 'assistant' FOR x IN t]), true) AS last
+              FROM c WINDOW w AS (PARTITION BY t[1], floor(conv_id / 256) ORDER BY conv_id)),
+        p AS (SELECT conv_id AS chosen_id, next_id AS rejected_id, t AS a,
+                     CASE WHEN next_t IS NOT NULL THEN next_t WHEN coalesce(head, 0) = 0 THEN t
+                          ELSE list_concat(list_concat(t[:last - 1], CASE WHEN head < last THEN [t[head]] ELSE [] END), t[last + 1:]) END AS b
+              FROM n),
+        s AS (SELECT *, coalesce((SELECT min(i) - 1 FROM (SELECT unnest(range(1, greatest(len(a), len(b)) + 1)) AS i) WHERE a[i] IS DISTINCT FROM b[i]), len(a)) AS k FROM p)
+        SELECT chosen_id, rejected_id, CAST(k AS BIGINT) AS n_shared, len(a) = k AND len(b) = k AS tie,
+               coalesce(array_to_string(['<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10) FOR x IN a[:k]], ''), '') AS prompt,
+               coalesce(array_to_string(['<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10) FOR x IN a[k + 1:]], ''), '') AS chosen,
+               coalesce(array_to_string(['0:' || (13 + length(x.role)) || CASE WHEN x.role = 'assistant' THEN ',1:' ELSE ',0:' END || (length(x.text) + 10) || ',0:1' FOR x IN a[k + 1:]], ','), '') AS chosen_mask,
+               coalesce(array_to_string(['<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10) FOR x IN b[k + 1:]], ''), '') AS rejected,
+               coalesce(array_to_string(['0:' || (13 + length(x.role)) || CASE WHEN x.role = 'assistant' THEN ',1:' ELSE ',0:' END || (length(x.text) + 10) || ',0:1' FOR x IN b[k + 1:]], ','), '') AS rejected_mask
+        FROM s""",
 }
