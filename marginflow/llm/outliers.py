@@ -46,7 +46,7 @@ CHI2_KEPT = 5.385
 CHI2_CUTOFF = 46.0
 #: Least standard deviations of the vector's parts, in their own units; a part that is the
 #: same in most texts would else make any other value infinitely far.
-FLOOR = (0.25, 0.08, 0.5, 0.05)
+FLOOR = (0.25, 0.2, 0.5, 0.15)
 DIM = len(FLOOR)
 
 COUNTS_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
@@ -210,14 +210,14 @@ def judge(counts: DataFrame, lang_col: str = "lang", source_col: str = "source")
     levels = fit.withColumn("_at", F.explode(F.array(
         F.struct(F.col("_lang").alias("l"), F.col("_source").alias("s")), F.struct(F.col("_lang").alias("l"), F.lit("*").alias("s")), F.struct(F.lit("*").alias("l"), F.lit("*").alias("s")),
     ))).select(F.col("_at.l").alias("l"), F.col("_at.s").alias("s"), *[f"x{i}" for i in range(DIM)])
-    est = robust_estimates(levels, ["l", "s"]).filter(F.col("n") >= int(MIN_GROUP * KEPT_PART)).select("l", "s", "centre", "inverse")
+    est = robust_estimates(levels, ["l", "s"]).filter(F.col("n") >= int(MIN_GROUP * KEPT_PART)).select("l", "s", F.struct("centre", "inverse").alias("e"))
     few = F.broadcast if _few(est) else (lambda x: x)
-    at = lambda k, lang, src: few(est.select(F.col("l").alias(f"l{k}"), F.col("s").alias(f"s{k}"), F.struct("centre", "inverse").alias(f"e{k}")).filter(
-        (F.col("l") != "*") & (F.col("s") != "*") if k == 0 else (F.col("l") != "*") & (F.col("s") == "*") if k == 1 else (F.col("l") == "*")))
-    j = v.join(at(0, None, None), (F.col("_lang") == F.col("l0")) & (F.col("_source") == F.col("s0")), "left")
-    j = j.join(at(1, None, None), F.col("_lang") == F.col("l1"), "left")
-    j = j.join(F.broadcast(at(2, None, None)), F.lit("*") == F.col("l2"), "left")
-    j = j.withColumn("_e", F.coalesce("e0", "e1", "e2")).withColumns({"centre": F.col("_e.centre"), "inverse": F.col("_e.inverse")})
+    top = est.filter("l = '*'").first()  # one row
+    widest = F.lit(None) if top is None else F.struct(*[F.array(*map(F.lit, top["e"][k])).alias(k) for k in ("centre", "inverse")])
+    j = v.join(few(est.filter("s <> '*'").withColumnsRenamed({"l": "_lang", "s": "_source", "e": "e0"})), ["_lang", "_source"], "left")
+    j = j.join(few(est.filter("l <> '*' and s = '*'").select(F.col("l").alias("_lang"), F.col("e").alias("e1"))), "_lang", "left")
+    j = j.withColumn("_e", F.coalesce("e0", "e1", widest.cast("struct<centre:array<double>,inverse:array<double>>")))
+    j = j.withColumns({"centre": F.col("_e.centre"), "inverse": F.col("_e.inverse")})
     j = j.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CHI2_CUTOFF, F.lit(True))
     return j.withColumn("kept", kept).select(*[c for c in counts.columns], "base_failed", "distance", "kept")
