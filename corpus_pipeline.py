@@ -12,17 +12,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import outliers, packing
-from marginflow.llm.common import new_path, stored
+from marginflow.llm import decontaminate, order_minhash, outliers, packing, pii
+from marginflow.llm.common import new_path
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a row number under a name of its own; the stages read files, so a second
+    scan gives the same numbers."""
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    numbered, row = _numbered(docs)
+    kept = outliers.quality_rules(numbered, row).filter("kept").select(row)
+    return numbered.join(kept, row, "left_semi").drop(row)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return order_minhash.keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark window."""
+    numbered, row = _numbered(docs)
+    found = decontaminate.contamination(numbered, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=row)
+    clean = found.filter("not contaminated").select(row)
+    return numbered.join(clean, row, "left_semi").drop(row)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by tags."""
+    out = pii.redact(docs)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, with_ids=True)
+    """The pieces of all documents, with their token ids."""
+    return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
     ("packing", packing_stage),
 ]
 
