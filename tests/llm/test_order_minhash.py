@@ -81,7 +81,7 @@ def test_nulls_ties_and_clashing_columns(spark):
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node string").withColumnRenamed("node", "digest")
     got = om.near_duplicates(docs).collect()
-    assert sorted((str(r.doc_id), str(r.class_id)) for r in got) == brute_classes([(a, b) for a, b, _ in rows[:-1]]) + [("14", "14")] or len(got) == len(rows)
+    assert sorted((str(r.doc_id), str(r.class_id)) for r in got) == sorted([*brute_classes([(a, b) for a, b, _ in rows[:-1]]), ("14", "14")])
     by = defaultdict(set)
     for r in got:
         by[r.class_id].add(r.doc_id)
