@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginflow.session import stored
+
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
@@ -81,14 +83,16 @@ def global_index(df: DataFrame, order: Sequence[Column], out: str = "idx",
     inside each (sorted) partition ``monotonically_increasing_id`` minus the
     partition's base id is the local position; a partition's offset is the
     row count of the partitions before it (one number per partition, so that
-    table is tiny and broadcast by construction).  ``order`` must be a total
-    order (add tie-breakers) for the result to be deterministic.
+    table is tiny and broadcast by construction).  The locally numbered rows
+    are written once and both sides read them: a second range partitioning
+    would sample bounds of its own and give other partitions.  ``order`` must
+    be a total order (add tie-breakers) for the result to be deterministic.
     """
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_local", F.monotonically_increasing_id()
-                            - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    ranged = stored(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_local", F.monotonically_increasing_id()
+                                - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)), "global-index")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(wo), F.lit(0)).alias("_off"))

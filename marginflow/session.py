@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,8 +23,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Optimised skew handling for aggregations/windows after a shuffle.
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    # Split a skewed join even where the split costs an extra shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
@@ -51,31 +52,32 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder.
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick one when it
-    is unset (tests on one machine).
+    A folder of our own is made only on a ``local`` master (tests on one
+    machine); elsewhere a missing setting is an error, because executors do
+    not see the driver's disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not current:
         current = sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="marginflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
 
-    Survives executor loss (unlike ``localCheckpoint``); used after iterative
-    steps whose lineage would otherwise grow without bound.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Every later use sees the same rows (also rows numbered by partition), no
+    step is computed twice, and a lost executor costs no recomputation."""
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

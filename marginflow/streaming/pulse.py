@@ -1,17 +1,19 @@
 """Observation pulses as a Structured Streaming job.
 
 Each micro-batch of observations is merged into the validity-interval
-history with ``scd2_merge_log``: the open interval of every item is turned
-into two synthetic observations (at ``desde`` and at ``visto_hasta``), the
-batch's observations are added, and the runs are rebuilt with
-``scd2_from_log``.  A batch may therefore hold many observations per item
-in any order, and replaying the log in any batching gives the same history
-as one batch rebuild.
-
-State lives in versioned Parquet tables under the cluster's shared
-``spark.checkpoint.dir`` (never a machine-local folder): batch *n* reads
-version *n−1* and writes version *n*; a failed batch is retried by Spark
-against the same input version, so executor loss is harmless.
+history with ``scd2_merge_log``: the open interval of an item is turned into
+two synthetic observations (at ``desde`` and at ``visto_hasta``), the batch's
+observations are added, and the runs are rebuilt with ``scd2_from_log``.
+Items with an observation at or before what their open interval has seen are
+late; their runs are rebuilt from the kept observations.  So a batch may hold
+many observations per item in any order, and replaying the log in any
+batching gives the same history as one batch rebuild.
+
+State lives in Parquet under the cluster's shared ``spark.checkpoint.dir``:
+the observations of each epoch (append-only) and versions of the history.
+Version *n* is the state after epoch *n − 1*: a run that starts again reads
+the newest complete version from storage, and a retried epoch reads the same
+input version and writes the same output.
 """
 
 from __future__ import annotations
@@ -29,37 +31,70 @@ from marginflow.streaming.scd2 import scd2_from_log
 
 def scd2_merge_log(history: DataFrame | None, batch: DataFrame, item: str, ts: str,
                    state: Sequence[str], extras: Sequence[str] = (),
-                   tiebreak: Sequence[str] = ()) -> DataFrame:
+                   tiebreak: Sequence[str] = (), log: DataFrame | None = None) -> DataFrame:
+    """``history`` after the observations of ``batch``.
+
+    ``log`` holds all observations so far, the batch's too; late items are
+    rebuilt from it.  Without ``log`` the batches must come in order of time
+    per item."""
     cols = [item, ts, *state, *extras, *tiebreak]
-    obs = batch.select(*cols).withColumn("_src", F.lit(1))
     if history is None:
-        return scd2_from_log(obs, item, ts, state, extras, ["_src", *tiebreak])
+        return scd2_from_log(batch.select(*cols), item, ts, state, extras, tiebreak)
+    late_runs = None
+    if log is not None:
+        seen = history.where(F.col("hasta").isNull()).select(item, F.col("visto_hasta").alias("_seen"))
+        since = batch.groupBy(item).agg(F.min(ts).alias("_since"))
+        late = since.join(seen, item).where(F.col("_since") <= F.col("_seen")).select(item)
+        late_runs = scd2_from_log(log.select(*cols).join(late, item, "left_semi"), item, ts, state, extras, tiebreak)
+        history = history.join(late, item, "left_anti")
+        batch = batch.join(late, item, "left_anti")
+    obs = batch.select(*cols).withColumn("_src", F.lit(1))
     closed = history.where(F.col("hasta").isNotNull())
     open_ = history.where(F.col("hasta").isNull())
     tb = [F.lit(None).cast(batch.schema[t].dataType).alias(t) for t in tiebreak]
-    syn = (open_.select(item, F.col("desde").alias(ts), *state, *extras, *tb).withColumn("_src", F.lit(0))
-           .unionByName(open_.select(item, F.col("visto_hasta").alias(ts), *state, *extras, *tb)
-                        .withColumn("_src", F.lit(0))))
+    moments = F.explode(F.array("desde", "visto_hasta")).alias(ts)
+    syn = open_.select(item, moments, *state, *extras, *tb).withColumn("_src", F.lit(0))
     rebuilt = scd2_from_log(syn.unionByName(obs), item, ts, state, extras, ["_src", *tiebreak])
-    return closed.select(*rebuilt.columns).unionByName(rebuilt)
+    out = closed.select(*rebuilt.columns).unionByName(rebuilt)
+    return out if late_runs is None else out.unionByName(late_runs)
 
 
 class HistoryTable:
-    """Versioned history in a shared folder: ``<base>/v=000001`` …"""
+    """Versioned history in a shared folder: ``<base>/v=000001`` …
+
+    ``version`` is the newest complete one (its ``_SUCCESS`` file is there)."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base
-        self.version = 0
 
     def path(self, v: int) -> str:
         return os.path.join(self.base, f"v={v:06d}")
 
-    def read(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.path(self.version)) if self.version else None
+    def versions(self) -> list[int]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        root = path(self.base)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        names = [st.getPath() for st in fs.listStatus(root)]
+        return sorted(int(p.getName()[2:]) for p in names
+                      if p.getName().startswith("v=") and fs.exists(path(p, "_SUCCESS")))
+
+    @property
+    def version(self) -> int:
+        return max(self.versions(), default=0)
+
+    def read(self, below: int | None = None) -> DataFrame | None:
+        """The newest version, or the newest one before version ``below``."""
+        v = max((x for x in self.versions() if below is None or x < below), default=0)
+        return self.spark.read.parquet(self.path(v)) if v else None
 
     def write(self, df: DataFrame, v: int) -> None:
+        """Writes version ``v``; the same epoch again overwrites it, but a version that newer
+        ones stand on stays."""
+        if self.version > v:
+            raise ValueError(f"history has version {self.version}; version {v} would be lost work")
         df.write.mode("overwrite").parquet(self.path(v))
-        self.version = v
 
 
 def run_pulse_stream(spark: SparkSession, source_path: str, schema, to_observations,
@@ -67,7 +102,8 @@ def run_pulse_stream(spark: SparkSession, source_path: str, schema, to_observati
                      tiebreak: Sequence[str] = (), base: str | None = None,
                      max_files_per_trigger: int | None = None) -> HistoryTable:
     """Drain the observation files available now through ``foreachBatch``
-    and return the history table."""
+    and return the history table.  A second run on the same ``base`` goes on
+    where the first one ended."""
     root = base or os.path.join(ensure_checkpoint_dir(spark), f"pulse-{uuid.uuid4().hex[:8]}")
     table = HistoryTable(spark, os.path.join(root, "history"))
     reader = spark.readStream.schema(schema)
@@ -78,11 +114,17 @@ def run_pulse_stream(spark: SparkSession, source_path: str, schema, to_observati
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = to_observations(reader.parquet(source_path))
 
+    log_path = os.path.join(root, "observations")
+
     def merge(batch_df: DataFrame, epoch_id: int) -> None:
-        if batch_df.isEmpty():
+        path = os.path.join(log_path, f"epoch={epoch_id:06d}")
+        batch_df.write.mode("overwrite").parquet(path)
+        batch = spark.read.schema(batch_df.schema).parquet(path)
+        if batch.isEmpty():
             return
-        nxt = scd2_merge_log(table.read(), batch_df, item, ts, state, extras, tiebreak)
-        table.write(nxt, epoch_id + 1)
+        before = table.read(epoch_id + 1)
+        log = spark.read.schema(batch_df.schema).parquet(log_path)
+        table.write(scd2_merge_log(before, batch, item, ts, state, extras, tiebreak, log), epoch_id + 1)
 
     q = (stream.writeStream.foreachBatch(merge)
          .option("checkpointLocation", os.path.join(root, "checkpoint"))

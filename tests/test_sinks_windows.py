@@ -60,3 +60,15 @@ def test_serpentine(spark):
             rnd, p = divmod(pos, 3)
             expect[i] = p + 1 if rnd % 2 == 0 else 3 - p
         assert dict(zip(out["id"], out["grp"])) == expect
+
+
+def test_global_index_is_exact_over_many_partitions(spark):
+    from marginflow.operators.windows import global_index
+
+    n = 200_000
+    df = spark.range(0, n, 1, 16).select(F.xxhash64("id").alias("k"), "id")
+    got = global_index(df, [F.col("k"), F.col("id")], num_partitions=16)
+    r = got.agg(F.countDistinct("idx").alias("d"), F.min("idx").alias("a"), F.max("idx").alias("b")).first()
+    assert (r.d, r.a, r.b) == (n, 0, n - 1)
+    w = got.where("idx < 50").orderBy("idx").collect()
+    assert [x.k for x in w] == sorted(x.k for x in w)

@@ -30,25 +30,53 @@ def _log(n_items=5, n_pulses=12, seed=11):
 SCHEMA = "event_id bigint, item string, ts timestamp_ntz, st string, units int, value double"
 
 
+ARROW = pa.schema([("event_id", pa.int64()), ("item", pa.string()), ("ts", pa.timestamp("us")),
+                   ("st", pa.string()), ("units", pa.int32()), ("value", pa.float64())])
+
+
+def _file(src, name, rows):
+    pq.write_table(pa.table([list(c) for c in zip(*rows)] if rows else [[] for _ in ARROW], schema=ARROW), os.path.join(src, name))
+
+
+def _run(spark, src, base):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    return run_pulse_stream(spark, src, schema, lambda s: s, "item", "ts", ["st"], ["units"], ["event_id"], base=base,
+                            max_files_per_trigger=1)
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.select("item", "desde", "hasta", "visto_hasta", "st", "units").collect()), key=str)
+
+
+def _rebuilt(spark, rows):
+    return _rows(scd2_from_log(spark.createDataFrame(rows, SCHEMA), "item", "ts", ["st"], ["units"], ["event_id"]))
+
+
 def test_pulse_stream_many_batches_equals_rebuild(spark):
     rows = _log()
-    src = tempfile.mkdtemp(prefix="mf-stream-src-")
+    src, base = tempfile.mkdtemp(prefix="mf-stream-src-"), tempfile.mkdtemp(prefix="mf-stream-")
     # four files → four micro-batches (one file per trigger), arriving in order
-    arrow_schema = pa.schema([("event_id", pa.int64()), ("item", pa.string()), ("ts", pa.timestamp("us")),
-                              ("st", pa.string()), ("units", pa.int32()), ("value", pa.float64())])
     for k in range(4):
-        chunk = [r for r in rows if (r[2] - T0).total_seconds() // 3600 // 3 == k]
-        cols = list(zip(*chunk))
-        pq.write_table(pa.table([list(c) for c in cols], schema=arrow_schema), os.path.join(src, f"obs_{k}.parquet"))
-    schema = spark.createDataFrame([], SCHEMA).schema
-    table = run_pulse_stream(spark, src, schema, lambda s: s, "item", "ts", ["st"], ["units"], ["event_id"],
-                             max_files_per_trigger=1)
+        _file(src, f"obs_{k}.parquet", [r for r in rows if (r[2] - T0).total_seconds() // 3600 // 3 == k])
+    table = _run(spark, src, base)
     assert table.version >= 4          # one history version per micro-batch
-    got = sorted(tuple(r) for r in table.read().select("item", "desde", "hasta", "visto_hasta", "st", "units").collect())
-    full = spark.createDataFrame(rows, SCHEMA)
-    want = sorted(tuple(r) for r in scd2_from_log(full, "item", "ts", ["st"], ["units"], ["event_id"]).select(
-        "item", "desde", "hasta", "visto_hasta", "st", "units").collect())
-    assert got == want
+    assert _rows(table.read()) == _rebuilt(spark, rows)
+
+
+def test_restart_late_rows_and_empty_run(spark):
+    """Batches out of order and cut anyhow, a new run for each: the history is that of one rebuild."""
+    rows = _log(seed=3)
+    random.Random(9).shuffle(rows)
+    src, base = tempfile.mkdtemp(prefix="mf-stream-src-"), tempfile.mkdtemp(prefix="mf-stream-")
+    for k in range(3):
+        _file(src, f"obs_{k}.parquet", rows[k::3])
+        table = _run(spark, src, base)
+        assert _rows(table.read()) == _rebuilt(spark, [r for j in range(k + 1) for r in rows[j::3]])
+    version = table.version
+    assert _rows(_run(spark, src, base).read()) == _rebuilt(spark, rows)     # nothing new
+    _file(src, "obs_empty.parquet", [])
+    again = _run(spark, src, base)
+    assert _rows(again.read()) == _rebuilt(spark, rows) and again.version >= version
 
 
 def test_windowed_revenue_stream(spark):
