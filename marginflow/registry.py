@@ -153,7 +153,7 @@ def q_tier_distribution(spark, sf):
 # --- remaining sections live in their own modules; importing registers them --
 
 def _load_all():
-    from marginflow import queries_intervals, queries_ops, queries_stream  # noqa: F401
+    from marginflow import queries_intervals, queries_ops, queries_sources, queries_stream  # noqa: F401
 
 
 _load_all()

@@ -23,42 +23,41 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
+def _if_any(kept: DataFrame, dropped: DataFrame, incoming: DataFrame) -> DataFrame:
+    """``kept``, and ``dropped`` too if ``incoming`` turns out empty: decided inside the plan by a
+    one-row flag, so no job runs while the plan is built."""
+    none = incoming.limit(1).agg(F.count(F.lit(1)).alias("_rows")).where("_rows = 0")
+    back = dropped.withColumn("_rows", F.lit(0).cast("bigint")).join(F.broadcast(none), "_rows", "left_semi").drop("_rows")
+    return kept.unionByName(back)
 
 
 def replace_all(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Whole-table replace; empty incoming keeps the current table."""
-    return current if is_empty(incoming) else incoming
+    return _if_any(current.limit(0), current, incoming).unionByName(incoming, allowMissingColumns=True)
 
 
 def replace_window(current: DataFrame, incoming: DataFrame, date_col: str,
                    cutoff: dt.date | Column) -> DataFrame:
     """Drop current rows with ``date >= cutoff`` and append incoming."""
-    if is_empty(incoming):
-        return current
     cut = F.lit(cutoff) if not isinstance(cutoff, Column) else cutoff
-    keep = current.where(F.col(date_col) < cut)
-    return keep.unionByName(incoming, allowMissingColumns=True)
+    old = F.coalesce(F.col(date_col) < cut, F.lit(False))
+    return _if_any(current.where(old), current.where(~old), incoming).unionByName(incoming, allowMissingColumns=True)
 
 
 def replace_window_and_keys(current: DataFrame, incoming: DataFrame, date_col: str,
                             cutoff: dt.date, keys: Sequence[str]) -> DataFrame:
     """As ``replace_window``, and also drop any current row whose key is in
     incoming (a row that moved across the cutoff is not duplicated)."""
-    if is_empty(incoming):
-        return current
-    keep = current.where(F.col(date_col) < F.lit(cutoff))
-    keep = keep.join(incoming.select(*keys).distinct(), list(keys), "left_anti")
-    return keep.unionByName(incoming, allowMissingColumns=True)
+    old = F.coalesce(F.col(date_col) < F.lit(cutoff), F.lit(False))
+    keep = current.where(old).join(incoming.select(*keys).distinct(), list(keys), "left_anti")
+    # with nothing incoming, no old row was dropped
+    return _if_any(keep, current.where(~old), incoming).unionByName(incoming, allowMissingColumns=True)
 
 
 def replace_keys(current: DataFrame, incoming: DataFrame, requested: DataFrame,
                  keys: Sequence[str], also_received: bool = True) -> DataFrame:
     """Delete the *requested* keys (and, by default, every key received —
     see README D18), then append incoming.  Nothing requested → no-op."""
-    if is_empty(requested) and is_empty(incoming):
-        return current
     drop = requested.select(*keys)
     if also_received:
         drop = drop.unionByName(incoming.select(*keys))
@@ -108,12 +107,6 @@ def schema_contract(declared: T.StructType, actual: T.StructType | None) -> list
     return [f.name for f in declared.fields if f.name not in have]
 
 
-def check_schema_contract(declared: T.StructType, actual: T.StructType | None) -> None:
-    missing = schema_contract(declared, actual)
-    if missing:
-        raise ValueError(f"table is missing declared columns: {missing}")
-
-
 def snapshot_rows(photo: DataFrame, day: dt.date, error_col: str = "error") -> DataFrame:
     """Today's photo without error rows, stamped with the day."""
     return photo.where(F.col(error_col).isNull()).withColumn("fecha", F.lit(day))
@@ -124,14 +117,15 @@ def snapshot_rows(photo: DataFrame, day: dt.date, error_col: str = "error") -> D
 # ---------------------------------------------------------------------------
 
 def new_version_path(base: str) -> str:
-    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
     return os.path.join(base, f"v={stamp}-{uuid.uuid4().hex[:8]}")
 
 
 def publish_version(spark: SparkSession, df: DataFrame, base: str,
                     partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as a new immutable version under ``base`` and return its
-    path; readers pick the newest complete version (``_SUCCESS`` present)."""
+    path; readers pick the newest complete version (``_SUCCESS`` present).
+    Making a table from a query again never blanks it."""
     path = new_version_path(base)
     w = df.write.mode("errorifexists")
     if partition_by:
@@ -140,6 +134,15 @@ def publish_version(spark: SparkSession, df: DataFrame, base: str,
     return path
 
 
+def replace_all_version(spark: SparkSession, df: DataFrame, base: str) -> str | None:
+    """Publish ``df`` as the table's next version; an empty one is dropped
+    again before a reader could see it (its rows are written once)."""
+    staged = new_version_path(os.path.join(base, "_staged"))
+    df.write.parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    return None if rows.isEmpty() else publish_version(spark, rows, base)
+
+
 def latest_version(spark: SparkSession, base: str) -> str | None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -157,9 +160,7 @@ def latest_version(spark: SparkSession, base: str) -> str | None:
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite);
-    empty input writes nothing."""
-    if is_empty(df):
-        return
+    with no rows no partition is touched."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
@@ -170,10 +171,11 @@ def daily_snapshot(photo: DataFrame, path: str, day: dt.date, error_col: str = "
     replace_partitions(snapshot_rows(photo, day, error_col), path, ["fecha"])
 
 
-def append_incremental(df: DataFrame, path: str) -> None:
-    if not is_empty(df):
-        df.write.mode("append").parquet(path)
-
-
-def create_table_as(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def append_incremental(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Append the rows whose key the table lacks, so a run that was broken
+    off goes on where it ended and a repeated one adds nothing."""
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        df = df.join(spark.read.schema(df.schema).parquet(path).select(*keys).distinct(), list(keys), "left_anti")
+    df.write.mode("append").parquet(path)

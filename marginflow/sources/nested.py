@@ -9,12 +9,12 @@ so documents are processed inside the scan's tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marginflow.operators.dedupe import keep_one_per_key
+
 ITEM_SCHEMA = T.ArrayType(T.StructType([
     T.StructField("renglon", T.IntegerType()),
     T.StructField("item", T.StructType([T.StructField("seller_sku", T.StringType()),
@@ -47,20 +47,23 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) ->
 
 
 def nested_to_text(df: DataFrame) -> DataFrame:
-    """Array/map/struct columns → JSON text (for a text-only sink)."""
+    """Array/map/struct columns → JSON text (for a text-only sink); null
+    fields stay as ``null`` (``to_json`` would drop their keys)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            cols.append(F.to_json(F.col(f"`{f.name}`")).alias(f.name))
+            cols.append(F.to_json(F.col(f"`{f.name}`"), {"ignoreNullFields": "false"}).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
 
 
 def multiget_envelope(df: DataFrame, code: str = "code", body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """Split ``{code, body}`` responses: (bodies with code 200, reject count)."""
-    ok = df.where(F.col(code) == 200).select(f"{body}.*")
-    rejects = df.agg(F.count_if(F.col(code) != 200).alias("rejected"), F.count(F.lit(1)).alias("rows"))
+    """Split ``{code, body}`` responses: (bodies with code 200, reject count);
+    anything but 200 is a reject, a null code too."""
+    good = F.col(code).eqNullSafe(F.lit(200))
+    ok = df.where(good).select(f"{body}.*")
+    rejects = df.agg(F.count_if(~good).alias("rejected"), F.count(F.lit(1)).alias("rows"))
     return ok, rejects
 
 
@@ -114,84 +117,90 @@ def attribute_value_from_text(attrs_text: str | Column, attr_id: str = "SELLER_S
 def wms_order_project(df: DataFrame) -> DataFrame:
     """Null-safe projection of nested warehouse order headers (a missing
     parent struct yields nulls, never an error)."""
+    place, customer = F.col("clienteUbicacion"), F.col("clienteUbicacion.cliente")
     return df.select(
         F.col("codigo"), F.col("fecha"), F.col("estado"), F.col("importe"),
-        F.col("cliente.codigo").alias("cliente_codigo"), F.col("cliente.nombre").alias("cliente_nombre"),
-        F.col("direccion.provincia").alias("provincia"), F.col("direccion.localidad").alias("localidad"),
-        F.col("direccion.calle").alias("direccion"), F.col("despacho.codigo").alias("codigo_despacho"),
-        F.col("despacho.servicio").alias("servicio_envio"),
-        F.col("orden_preparacion"))
+        customer["codigo"].alias("cliente_codigo"), customer["descripcion"].alias("cliente_nombre"),
+        place["provincia"].alias("provincia"), place["localidad"].alias("localidad"),
+        place["direccion"].alias("direccion"), F.col("codigoDespacho").alias("codigo_despacho"),
+        F.col("servicioDeEnvioTipo").alias("servicio_envio"), F.col("ordenPreparacion").alias("orden_preparacion"))
 
 
 def preparation_rollup(preps: DataFrame) -> DataFrame:
-    """Per preparation: Σ packages, Σ volume, Σ grams → kg (round 3), type
-    ``Pallets`` when any container's JSON text mentions pallet/pale, order
-    count; then one row per (preparation, order), deduped."""
-    cont = F.col("contenedores")
-    total = lambda field: F.aggregate(cont, F.lit(0.0), lambda acc, c: acc + F.coalesce(c[field].cast("double"),
-                                                                                     F.lit(0.0)))
+    """Per preparation: carrier, Σ packages over its containers, Σ volume and
+    Σ grams → kg (round 3) over its items, type ``Pallets`` when any
+    container's JSON text mentions pallet/pale, number of orders listed; then
+    one row per (preparation, order), deduped.  Missing arrays count as empty,
+    missing numbers as 0."""
+    kind = {f.name: f.dataType for f in preps.schema.fields}
+    arr = lambda name: F.coalesce(F.col(name), F.array().cast(kind[name]))
+    total = lambda name, field: F.aggregate(
+        arr(name), F.lit(0.0), lambda acc, c: acc + F.coalesce(c[field].cast("double"), F.lit(0.0)))
     text = lambda c: F.lower(F.to_json(c, {"ignoreNullFields": "false"}))
-    pallets = F.exists(cont, lambda c: text(c).contains("pallet") | text(c).contains("pale"))
+    pallets = F.exists(arr("contenedores"), lambda c: text(c).contains("pallet") | text(c).contains("pale"))
+    described = F.when(F.col("despachoDescripcion") != "", F.col("despachoDescripcion"))
     per = preps.select(
-        F.col("preparacion_id"),
-        total("bultos").alias("bultos_preparacion"),
-        total("volumen").alias("volumen_preparacion"),
-        F.round(total("gramos") / 1000.0, 3).alias("kg_preparacion"),
+        F.col("id").alias("preparacion_id"),
+        F.coalesce(described, "despachoCodigo").alias("transporte"),
+        total("contenedores", "cantidadBulto").alias("bultos_preparacion"),
+        total("items", "volumen").alias("volumen_preparacion"),
+        F.round(total("items", "peso") / 1000.0, 3).alias("kg_preparacion"),
         F.when(pallets, F.lit("Pallets")).otherwise(F.lit("Bultos")).alias("tipo_preparacion"),
-        F.size(F.array_distinct(F.col("pedidos.codigo"))).alias("cant_pedidos_en_prep"),
-        F.col("pedidos"),
+        F.size(arr("pedidos")).alias("cant_pedidos_en_prep"),
+        F.explode(arr("pedidos")).alias("p"),
     )
-    rows = per.select("*", F.explode("pedidos").alias("p")).select(
-        "preparacion_id", F.col("p.codigo").alias("pedido_codigo"), "bultos_preparacion",
-        "volumen_preparacion", "kg_preparacion", "tipo_preparacion", "cant_pedidos_en_prep")
-    return rows.dropDuplicates(["preparacion_id", "pedido_codigo"])
+    rows = per.withColumn("pedido_codigo", F.col("p.codigo").cast("string")).drop("p")
+    return keep_one_per_key(rows, ["preparacion_id", "pedido_codigo"], [])
 
 
 # ---------------------------------------------------------------------------
 # files
 # ---------------------------------------------------------------------------
 
-def cost_sheets_load(spark: SparkSession, costs_glob: str, offers_glob: str) -> tuple[DataFrame, DataFrame]:
-    """Monthly sheet pairs exported as CSV, month taken from the file name
-    (``costos_2026-05.csv``); comma-decimal numbers and percentages parsed."""
+def cost_sheets_load(spark: SparkSession, costs_path: str, offers_path: str) -> tuple[DataFrame, DataFrame]:
+    """Monthly sheet pairs exported as CSV, month taken from the file's path
+    (``…2026-05…``); comma-decimal numbers and percentages parsed.
+
+    ``_seq`` is the row's place in its sheet (file, then row within the file),
+    so "the last row of a key wins" can be told from the greatest value."""
     from marginflow.functions import scalars as S
 
-    month = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4}-\d{2})", 1)
-    c = (spark.read.option("header", True).csv(costs_glob)
+    month = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2})", 1)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    read = lambda path, schema: spark.read.option("header", True).schema(schema).csv(path)
+    c = (read(costs_path, "`Codigo` string, `Costo Teorico` string")
          .select(S.normalize_sku(F.col("Codigo")).alias("sku"), month.alias("mes_comercial"),
-                 S.parse_decimal_comma(F.col("Costo Teorico")).alias("costo_teorico"),
-                 F.col("_metadata.file_name").alias("_file"))
+                 S.parse_decimal_comma(F.col("Costo Teorico")).alias("costo_teorico"), place.alias("_seq"))
          .where(F.col("sku").isNotNull()))
-    o = (spark.read.option("header", True).csv(offers_glob)
+    o = (read(offers_path, "`SKU` string, `DESCUENTO TOTAL PROVEEDOR` string")
          .select(S.normalize_sku(F.col("SKU")).alias("sku"), month.alias("mes_comercial"),
-                 S.parse_percent(F.col("DESCUENTO TOTAL PROVEEDOR")).alias("oferta_pct"),
-                 F.monotonically_increasing_id().alias("_seq"))
+                 S.parse_percent(F.col("DESCUENTO TOTAL PROVEEDOR")).alias("oferta_pct"), place.alias("_seq"))
          .where(F.col("sku").isNotNull()))
-    return c.drop("_file"), o
+    return c, o
 
 
-def file_manifest(spark: SparkSession, path_glob: str, fmt: str = "csv") -> DataFrame:
-    """One row per file: name, size, modification time (from ``_metadata``)."""
-    df = spark.read.format(fmt).option("header", True).load(path_glob)
-    return df.select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("size"),
-                     F.col("_metadata.file_modification_time").alias("mtime")).distinct()
+def file_manifest(spark: SparkSession, path_glob: str) -> DataFrame:
+    """One row per file: name, size, modification time.  The files are listed,
+    not read: the content column is pruned."""
+    df = spark.read.format("binaryFile").load(path_glob)
+    return df.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"),
+                     F.col("modificationTime").alias("mtime"))
 
 
-def manifest_fingerprint(manifest: DataFrame) -> DataFrame:
-    """sha2 of the sorted (name|size|mtime) list — one row."""
+def fingerprint() -> Column:
+    """Aggregate: sha2 over the (name|size|mtime) lines, whatever their order: each line's
+    digest is summed as a number, so no list of all files is built."""
     line = F.concat_ws("|", "name", F.col("size").cast("string"), F.col("mtime").cast("string"))
-    return manifest.agg(F.sha2(F.concat_ws("\n", F.array_sort(F.collect_list(line))), 256).alias("fingerprint"))
+    part = lambda k: F.sum(F.conv(F.substring(F.sha2(line, 256), 1 + 12 * k, 12), 16, 10).cast("decimal(38,0)"))
+    return F.sha2(F.concat_ws("|", *[part(k).cast("string") for k in range(5)], F.count(F.lit(1)).cast("string")), 256)
 
 
-def file_manifest_changed(current_fp: str | None, stored_fp: str | None) -> bool:
-    """Unreadable/absent stored state counts as changed."""
-    return stored_fp is None or current_fp != stored_fp
+def manifest_changed(current: Column, stored: Column) -> Column:
+    """Absent or unreadable stored state counts as changed."""
+    return stored.isNull() | ~current.eqNullSafe(stored)
 
 
 def flatten_catalog(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Full catalog load: documents → dotted columns (``catalog_loads``)."""
     return flatten_struct_columns(read_json_documents(spark, path, schema))
-
-
-def select_paths(df: DataFrame, paths: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(p).alias(p) for p in paths])
