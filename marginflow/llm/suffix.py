@@ -41,10 +41,12 @@ MIN_BYTES = 400
 GRAM = 100
 #: Depth that multikey quicksort reaches before blind tries take over.
 SHALLOW = 32
-#: Contexts that one task sorts together; beyond, the ladder counts.
-GROUP = 20_000
+#: Contexts that one task sorts together (40 MB at most); beyond, the ladder counts.
+GROUP = 50_000
 #: Window starts of a text that are hashed at once.
 PART = 1 << 20
+#: An anchor's context: least and greatest offset of the anchor in a window, bytes.
+CONTEXT = "h long, node long, at int, d1 int, d2 int, ctx binary"
 
 
 def anchors(data: bytes, length: int = MIN_BYTES, gram: int = GRAM) -> tuple[np.ndarray, ...]:
@@ -264,11 +266,15 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = MIN_BY
     nodes = stored(stored(nodes.select("digest", "copies", "x.*"), "anchors").withColumn("node", F.monotonically_increasing_id()), "nodes")
     each = nodes.select("node", F.explode(F.arrays_zip("h", "at", "lo", "hi")).alias("x")).select("node", "x.*")
     twice = each.groupBy("h").agg(F.count(F.lit(1)).alias("n_h")).filter("n_h > 1")
-    again = each.join(twice, "h").groupBy("node").agg(F.collect_list(F.struct("h", "n_h", "at", "lo", "hi")).alias("a"))
-    with_text = again.join(nodes.select("node", "digest"), "node").join(_texts(docs, text_col), "digest").select("node", "a", "t")
+    again = each.join(twice, "h")
+    hot = twice.filter(F.col("n_h") > group).limit(1).count() > 0
+
+    def with_text(places: DataFrame) -> DataFrame:
+        a = places.groupBy("node").agg(F.collect_list(F.struct("h", "at", "lo", "hi")).alias("a"))
+        return a.join(nodes.select("node", "digest"), "node").join(_texts(docs, text_col), "digest").select("node", "a", "t").mapInArrow(cut, CONTEXT)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        schema = pa.schema([("h", pa.int64()), ("node", pa.int64()), ("at", pa.int32()), ("d1", pa.int32()), ("d2", pa.int32()), ("ctx", pa.binary())])
         for b in batches:
             rows, size = [], 0
             for node, a, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
@@ -276,19 +282,15 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = MIN_BY
                 for x in a:
                     at, lo, hi = x["at"], x["lo"], x["hi"]
                     ctx = text[lo : hi + length]
-                    rows.append((x["h"], x["n_h"], node, at, at - hi, at - lo, ctx))
+                    rows.append((x["h"], node, at, at - hi, at - lo, ctx))
                     size += len(ctx)
                 if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "n_h", "node", "at", "d1", "d2", "ctx"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "n_h", "node", "at", "d1", "d2", "ctx"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    contexts = with_text.mapInArrow(cut, "h long, n_h long, node long, at int, d1 int, d2 int, ctx binary")
-    hot = twice.filter(F.col("n_h") > group).limit(1).count() > 0
-    if hot:
-        contexts = stored(contexts, "contexts")
-    usual = contexts.filter(F.col("n_h") <= group).repartition("h").sortWithinPartitions("h")
+    usual = with_text(again.filter(F.col("n_h") <= group)).repartition("h").sortWithinPartitions("h")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int, int]] = []
@@ -309,7 +311,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = MIN_BY
 
         for b in batches:
             cols = [b.column(i).to_pylist() for i in range(b.num_columns)]
-            for h, _, node, at, d1, d2, ctx in zip(*cols, strict=True):
+            for h, node, at, d1, d2, ctx in zip(*cols, strict=True):
                 if h != now:
                     done()
                     now = h
@@ -322,7 +324,7 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = MIN_BY
 
     spans = usual.mapInArrow(compare, "node long, s int, e int")
     if hot:
-        spans = spans.union(_ladder(contexts.filter(F.col("n_h") > group), length))
+        spans = spans.union(_ladder(with_text(again.filter(F.col("n_h") > group)), length))
     return nodes, spans
 
 
