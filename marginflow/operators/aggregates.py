@@ -1,8 +1,11 @@
 """Aggregate building blocks.
 
-Money sums are taken in ``DECIMAL(38, 6)``: an exact sum does not depend on
-the order rows arrive in, so a rounded total is the same on every run, on
-every engine, and after a lost partition is recomputed.
+Money sums are taken as decimals: an exact sum does not depend on the order
+rows arrive in, so a rounded total is the same on every run, on every
+engine, and after a lost partition is recomputed.  The scale is the
+caller's: 6 decimals hold money and its products with quantities; lengths of
+time are summed as whole microseconds (``intervals.total_hours``).  A NaN
+among the values makes the sum NaN, as a sum of doubles would.
 """
 
 from __future__ import annotations
@@ -10,16 +13,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_DECIMAL = "decimal(38,6)"
+MONEY_SCALE = 6
 
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
 
 
-def exact_sum(x) -> Column:
-    """Σ x computed exactly (as decimal) and returned as double."""
-    return F.sum(_c(x).cast(MONEY_DECIMAL)).cast("double")
+def exact_sum(x, scale: int = MONEY_SCALE) -> Column:
+    """Σ x computed exactly at ``scale`` decimals and returned as double."""
+    v = _c(x).cast("double")
+    nan = F.isnan(v)
+    total = F.sum(F.when(~nan, v).cast(f"decimal(38,{scale})")).cast("double")
+    return F.when(F.coalesce(F.bool_or(nan), F.lit(False)), F.lit(float("nan"))).otherwise(total)
 
 
 def exact_avg(x) -> Column:

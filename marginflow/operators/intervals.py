@@ -39,6 +39,11 @@ def hours(start: str | Column, end: str | Column) -> Column:
     return duration_micros(start, end) / float(MICROS_PER_HOUR)
 
 
+def total_hours(start: str | Column = "start", end: str | Column = "end") -> Column:
+    """Σ of the lengths in hours, exact: whole microseconds are summed."""
+    return F.sum(duration_micros(start, end)).cast("double") / float(MICROS_PER_HOUR)
+
+
 def normalize(df: DataFrame, keys: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
     return df.select(*keys, F.col(start).alias("start"), F.col(end).alias("end")).where(F.col("start") < F.col("end"))
 
@@ -121,7 +126,7 @@ def interval_intersect(a: DataFrame, b: DataFrame, keys: Sequence[str], skew_saf
 
 def interval_hours(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Σ length in hours per key (intervals assumed disjoint)."""
-    return df.groupBy(*keys).agg((F.sum(duration_micros("start", "end")) / float(MICROS_PER_HOUR)).alias("hours"))
+    return df.groupBy(*keys).agg(total_hours().alias("hours"))
 
 
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner",

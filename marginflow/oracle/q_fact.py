@@ -25,13 +25,13 @@ CTE["ws_lines"] = f"""SELECT *, {CM('d')} AS cm FROM (
   FROM erp_sales WHERE empresa IN ('0001', '0002', '0003', '0004') AND fecha >= {TEXT_FLOOR})
 WHERE d >= {FLOOR}"""
 CTE["fact_wholesale"] = f"""SELECT 'wholesale' AS channel, {Q.business_unit('empresa', 'sucursal')} AS unit,
-  {Q.fiscal_flag('empresa')} AS fiscal, {Q.code_label('empresa', S.COMPANY_LABELS, 'Company')} AS company,
+  {Q.fiscal_flag('empresa')} AS fiscal, 'Company ' || empresa AS company,
   pedido_id AS order_id, d AS date, cm AS commercial_month, articulo_id AS sku, a.descripcion AS product,
   {Q.nz('cantidad')} AS quantity, price AS unit_price, price AS net_price, {TAX} AS tax_pct,
   ch.costo_real AS unit_cost, 0.0::DOUBLE AS commission, NULL::DOUBLE AS freight,
   {Q.nz('cantidad')} * {Q.tax_gross('price', TAX)} AS line_total,
   (price - ch.costo_real) * {Q.nz('cantidad')} AS margin, a.proveedor AS supplier, a.marca AS brand,
-  cliente_nombre AS customer, {Q.code_label('vendedor', S.SELLER_LABELS, 'Seller')} AS seller,
+  cliente_nombre AS customer, 'Seller ' || vendedor AS seller,
   {Q.document_number('comprobante_tipo', 'comprobante_codigo', 'comprobante_numero')} AS document,
   {SR('1.0 - ' + Q.discount_factor(*_DISC) + ') * (100.0')} AS offer_pct, linea_id AS line_id
 FROM ws_lines LEFT JOIN cost_history ch ON ch.sku = articulo_id AND ch.mes_comercial = cm
@@ -44,7 +44,7 @@ CTE["web_tot"] = f"SELECT pedido_id, {Q.xsum('_price * _qty')} AS _tot FROM web_
 CTE["web_lines"] = f"""SELECT *, {CM('d')} AS cm FROM (
   SELECT v.*, {Q.share('(_sf / 1.21)', '(_price * _qty)', 't._tot')} AS _freight, {LD('fecha')} AS d
   FROM web_valid v LEFT JOIN web_tot t ON v.pedido_id = t.pedido_id) WHERE d >= {FLOOR}"""
-CTE["fact_webstore"] = f"""SELECT 'webstore' AS channel, '{S.UNIT_A}' AS unit, '{S.FISCAL}' AS fiscal,
+CTE["fact_webstore"] = f"""SELECT 'webstore' AS channel, 'A' AS unit, 'Fiscal' AS fiscal,
   NULL::VARCHAR AS company, pedido_numero AS order_id, d AS date, cm AS commercial_month, web_lines.sku,
   a.descripcion AS product, _qty AS quantity, _price AS unit_price, {Q.tax_net('_price', TAX)} AS net_price,
   {TAX} AS tax_pct, ch.costo_real AS unit_cost, 0.0::DOUBLE AS commission, {SR('_freight')} AS freight,
@@ -68,7 +68,7 @@ CTE["mk_orders"] = f"""SELECT *, {CM('d')} AS cm FROM (
   WHERE status IN ('paid', 'partially_refunded') AND date_created >= {TEXT_FLOOR}) WHERE d >= {FLOOR}"""
 _Q, _P = Q.nz("i.quantity"), Q.nz("i.unit_price")
 _FR = Q.share(f"({Q.nz('p.costo_envio')} / 1.21)", f"({_P} * {_Q})", "p.package_total")
-CTE["fact_marketplace"] = f"""SELECT 'marketplace' AS channel, '{S.UNIT_A}' AS unit, '{S.FISCAL}' AS fiscal,
+CTE["fact_marketplace"] = f"""SELECT 'marketplace' AS channel, 'A' AS unit, 'Fiscal' AS fiscal,
   NULL::VARCHAR AS company, CAST(o.id AS VARCHAR) AS order_id, o.d AS date, o.cm AS commercial_month,
   i.seller_sku AS sku, i.title AS product, {_Q} AS quantity, {_P} AS unit_price,
   {Q.tax_net(_P, TAX)} AS net_price, {TAX} AS tax_pct, ch.costo_real AS unit_cost,

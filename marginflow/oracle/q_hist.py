@@ -26,9 +26,6 @@ SELECT item_id, desde, lead(desde) OVER (PARTITION BY item_id ORDER BY run) AS h
   {', '.join(state + extras)} FROM runs"""
 
 
-HIST_END = "TIMESTAMP '2024-02-01 00:00:00'"
-
-
 def _obs_state():
     # observations with sub_status as canonical text (state column name kept)
     return f"""SELECT event_id, item_id, ts, sku, inventory_id, status, price,
@@ -47,8 +44,8 @@ def history_sql(state, extras, body_suffix: str = "") -> str:
 
 STATE = (["sellable", "status", "sub_status", "reason"], ["sku", "inventory_id", "units"])
 ISLANDS = f"""WITH h AS ({scd2_sql(*STATE)}),
-a AS (SELECT sku AS key, desde AS start, least(coalesce(hasta, visto_hasta), {HIST_END}) AS "end" FROM h
-      WHERE sellable AND desde < least(coalesce(hasta, visto_hasta), {HIST_END})),
+a AS (SELECT sku AS key, desde AS start, coalesce(hasta, visto_hasta) AS "end" FROM h
+      WHERE sellable AND desde < coalesce(hasta, visto_hasta)),
 m AS (SELECT *, max("end") OVER (PARTITION BY key ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
   AS pm FROM a),
 i AS (SELECT *, sum(CASE WHEN pm IS NULL OR start > pm THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY start, "end"
@@ -83,7 +80,7 @@ ORACLE = {
 
 def _setop_sql(a: str, b: str, pred: str) -> str:
     return f"""WITH h AS ({scd2_sql(*STATE)}),
-si AS (SELECT item_id, sku, sellable, reason, desde AS start, least(coalesce(hasta, visto_hasta), {HIST_END}) AS "end" FROM h),
+si AS (SELECT item_id, sku, sellable, reason, desde AS start, coalesce(hasta, visto_hasta) AS "end" FROM h),
 a AS ({a}), b AS ({b}),
 ev AS (SELECT key, start AS t, 1 AS da, 0 AS db FROM a WHERE start < "end"
        UNION ALL SELECT key, "end", -1, 0 FROM a WHERE start < "end"
@@ -180,25 +177,25 @@ def hist_sql(body: str, **specs) -> str:
 
 
 ORACLE["buybox_to_sku"] = hist_sql(f"""SELECT c.sku, b.item_id, b.desde,
-  least(coalesce(b.hasta, b.visto_hasta), {HIST_END}) AS "end" FROM bb b JOIN cat c ON b.item_id = c.item_id
+  coalesce(b.hasta, b.visto_hasta) AS "end" FROM bb b JOIN cat c ON b.item_id = c.item_id
 WHERE b.winning""", bb=BB)
 ORACLE["null_safe_change_join"] = hist_sql("""SELECT o.item_id, o.winning AS open_winning, l.winning FROM
   (SELECT item_id, winning FROM bb WHERE hasta IS NULL) o JOIN
-  (SELECT item_id, arg_max_null(winning, (ts, event_id)) AS winning FROM obs
-   WHERE ts < TIMESTAMP '2024-01-20 00:00:00' GROUP BY item_id) l ON o.item_id = l.item_id
+  (SELECT item_id, winning FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY ts DESC, event_id DESC) AS rn FROM obs)
+   WHERE rn = 2) l ON o.item_id = l.item_id
 WHERE o.winning IS DISTINCT FROM l.winning""", bb=BB)
 ORACLE["interval_overlap_join"] = hist_sql(f"""SELECT p.item_id, p.price AS a_price, greatest(p.desde, s.desde) AS start,
-  least(least(coalesce(p.hasta, p.visto_hasta), {HIST_END}), least(coalesce(s.hasta, s.visto_hasta), {HIST_END})) AS "end"
+  least(coalesce(p.hasta, p.visto_hasta), coalesce(s.hasta, s.visto_hasta)) AS "end"
 FROM ph p JOIN (SELECT * FROM st WHERE sellable) s ON p.item_id = s.item_id
-  AND p.desde < least(coalesce(s.hasta, s.visto_hasta), {HIST_END})
-  AND least(coalesce(p.hasta, p.visto_hasta), {HIST_END}) > s.desde""", ph=PRICE, st=STATE)
+  AND p.desde < coalesce(s.hasta, s.visto_hasta)
+  AND coalesce(p.hasta, p.visto_hasta) > s.desde""", ph=PRICE, st=STATE)
 ORACLE["broken_days"] = hist_sql(f"""SELECT o.sku, o.day FROM
   (SELECT DISTINCT sku, CAST(ts AS DATE) AS day FROM obs
    WHERE CAST(ts AS DATE) IN (SELECT DISTINCT CAST(moment AS DATE) FROM pulse_moments)) o
 WHERE NOT EXISTS (SELECT 1 FROM (
   SELECT DISTINCT sku, CAST(unnest(generate_series(f, l, INTERVAL 1 DAY)) AS DATE) AS day FROM (
     SELECT sku, CAST(desde + INTERVAL 86399999999 MICROSECOND AS DATE) AS f,
-           CAST(least(coalesce(hasta, visto_hasta), {HIST_END}) AS DATE) - 1 AS l FROM st WHERE sellable)
+           CAST(coalesce(hasta, visto_hasta) AS DATE) - 1 AS l FROM st WHERE sellable)
   WHERE f <= l) fd WHERE fd.sku = o.sku AND fd.day = o.day)""", st=STATE)
 
 
@@ -231,7 +228,7 @@ WHERE "end" IS NOT NULL AND {pred}"""
 
 XEND = "TIMESTAMP '2024-01-22 00:00:00'"
 XSTART = "TIMESTAMP '2024-01-01 00:00:00'"
-HRS = "(date_diff('microsecond', start, \"end\") / 3600000000.0)"
+HRS = "(CAST(sum(date_diff('microsecond', start, \"end\")) AS DOUBLE) / 3600000000.0)"  # whole microseconds
 
 EXPOSURE = {
     "cov": """SELECT min(start) AS start, max("end") AS "end" FROM (
@@ -248,7 +245,7 @@ GROUP BY isl""",
   least(week_end, TIMESTAMP '2024-01-31 00:00:00') AS w_end FROM assign""",
     "obsw": """SELECT week, greatest(c.start, w_start) AS start, least(c."end", w_end) AS "end"
 FROM cov c JOIN wk ON c.start < w_end AND c."end" > w_start""",
-    "oh": f"""SELECT week, CAST(sum(CAST({HRS} AS DECIMAL(38,6))) AS DOUBLE) AS h_observed FROM obsw GROUP BY week""",
+    "oh": f"""SELECT week, {HRS} AS h_observed FROM obsw GROUP BY week""",
     "si": f"""SELECT * FROM (SELECT sku, sellable, reason, greatest(desde, {XSTART}) AS start,
   least(coalesce(hasta, visto_hasta), {XEND}) AS "end" FROM st WHERE sku IS NOT NULL) WHERE start < "end" """,
     "pc": """SELECT s.sku, o.week, greatest(s.start, o.start) AS start, least(s."end", o."end") AS "end", s.sellable,
@@ -256,8 +253,8 @@ FROM cov c JOIN wk ON c.start < w_end AND c."end" > w_start""",
     "vv": _islands('SELECT sku, week, start, "end" FROM pc WHERE sellable', "sku, week"),
     "qq": _subtract('SELECT sku, week, start, "end" FROM pc WHERE oos', 'SELECT sku, week, start, "end" FROM vv',
                     "sku, week"),
-    "vh": f"SELECT sku, week, CAST(sum(CAST({HRS} AS DECIMAL(38,6))) AS DOUBLE) AS h_sellable FROM vv GROUP BY ALL",
-    "qh": f"SELECT sku, week, CAST(sum(CAST({HRS} AS DECIMAL(38,6))) AS DOUBLE) AS h_out_of_stock FROM qq GROUP BY ALL",
+    "vh": f"SELECT sku, week, {HRS} AS h_sellable FROM vv GROUP BY ALL",
+    "qh": f"SELECT sku, week, {HRS} AS h_out_of_stock FROM qq GROUP BY ALL",
     "hr": "SELECT DISTINCT sku, week, true AS has FROM pc WHERE start < \"end\"",
     "exposure": f"""SELECT a.sku, a.week, a.grp, a.band, w.w_start, w.w_end,
   date_diff('microsecond', w.w_start, w.w_end) / 3600000000.0 AS h_window,
@@ -274,11 +271,11 @@ LEFT JOIN hr ON a.sku = hr.sku AND a.week = hr.week""",
 EXPOSURE["pp"] = f"""SELECT * FROM (SELECT sku, price, desde AS start, least(coalesce(hasta, visto_hasta), {XEND}) AS "end"
   FROM ph WHERE sku IS NOT NULL AND price IS NOT NULL) WHERE start < {XEND} AND "end" > {XSTART}"""
 EXPOSURE["twp"] = f"""SELECT sku, week,
-  {sround('CAST(sum(CAST(price * h AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(CAST(h AS DECIMAL(38,6))) AS DOUBLE)', 4)}
+  {sround('sum(price * us) / sum(us)', 4)}
   AS published_price FROM (
   SELECT p.sku, v.week, p.price,
-    date_diff('microsecond', greatest(p.start, v.start), least(p."end", v."end")) / 3600000000.0 AS h
-  FROM pp p JOIN vv v ON p.sku = v.sku AND p.start < v."end" AND p."end" > v.start) WHERE h > 0 GROUP BY sku, week"""
+    date_diff('microsecond', greatest(p.start, v.start), least(p."end", v."end")) AS us
+  FROM pp p JOIN vv v ON p.sku = v.sku AND p.start < v."end" AND p."end" > v.start) WHERE us > 0 GROUP BY sku, week"""
 EXPOSURE["bbw"] = f"""SELECT * FROM (SELECT c.sku, b.desde AS start, least(coalesce(b.hasta, b.visto_hasta), {XEND}) AS "end"
   FROM bb b JOIN cat c ON b.item_id = c.item_id WHERE b.winning) WHERE start < {XEND} AND "end" > {XSTART}"""
 EXPOSURE["vweeks"] = "SELECT DISTINCT sku, week FROM vv"
@@ -287,15 +284,15 @@ EXPOSURE["bbi"] = _subtract('SELECT w.sku, w.week, b.start, b."end" FROM bbw b J
 EXPOSURE["bbh"] = f"""SELECT w.sku, w.week,
   {sround('coalesce(h.h, 0.0)', 6)} AS h_buybox FROM vweeks w
   JOIN (SELECT DISTINCT sku FROM bbw) p ON w.sku = p.sku
-  LEFT JOIN (SELECT sku, week, CAST(sum(CAST({HRS} AS DECIMAL(38,6))) AS DOUBLE) AS h FROM bbi GROUP BY ALL) h
+  LEFT JOIN (SELECT sku, week, {HRS} AS h FROM bbi GROUP BY ALL) h
     ON w.sku = h.sku AND w.week = h.week"""
 
 
 EXPOSURE["twp_raw"] = """SELECT sku, week,
-  CAST(sum(CAST(price * h AS DECIMAL(38,6))) AS DOUBLE) / CAST(sum(CAST(h AS DECIMAL(38,6))) AS DOUBLE) AS pp FROM (
+  sum(price * us) / sum(us) AS pp FROM (
   SELECT p.sku, v.week, p.price,
-    date_diff('microsecond', greatest(p.start, v.start), least(p."end", v."end")) / 3600000000.0 AS h
-  FROM pp p JOIN vv v ON p.sku = v.sku AND p.start < v."end" AND p."end" > v.start) WHERE h > 0 GROUP BY sku, week"""
+    date_diff('microsecond', greatest(p.start, v.start), least(p."end", v."end")) AS us
+  FROM pp p JOIN vv v ON p.sku = v.sku AND p.start < v."end" AND p."end" > v.start) WHERE us > 0 GROUP BY sku, week"""
 _XS = "CAST(sum(CAST({} AS DECIMAL(38,6))) AS DOUBLE)"
 EXPOSURE["xs"] = """SELECT event_id AS order_id, sku, CAST(ts AS DATE) AS date, CAST(available_quantity % 5 + 1 AS DOUBLE) AS q,
   price FROM listing_observations WHERE len(sub_status) = 0 AND status = 'active'"""

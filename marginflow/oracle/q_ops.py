@@ -58,11 +58,12 @@ SELECT 'marketplace' AS source, id, {LD('date_created')} AS local_date FROM mark
 UNION ALL SELECT DISTINCT 'webstore', pedido_id, {LD('fecha')} FROM web_order_items
 UNION ALL SELECT DISTINCT 'erp', CAST(pedido_id AS BIGINT), {LD('fecha')} FROM erp_sales""",
                                   "market_orders", "web_order_items", "erp_sales")
-ORACLE["code_label"] = with_roles(f"""SELECT linea_id, {Q.code_label('vendedor', S.SELLER_LABELS, 'Seller')} AS seller,
-  {Q.code_label('empresa', S.COMPANY_LABELS, 'Company')} AS company FROM erp_sales""", "erp_sales")
+ORACLE["code_label"] = with_roles("""SELECT linea_id, coalesce(n_name, 'Seller ' || vendedor) AS seller
+FROM erp_sales LEFT JOIN nation ON n_nationkey <= 4 AND lpad(CAST(n_nationkey AS VARCHAR), 3, '0') = trim(vendedor)""", "erp_sales")
 ORACLE["business_unit"] = with_roles(f"""SELECT linea_id, {Q.business_unit('empresa', 'sucursal')} AS unit,
   {Q.fiscal_flag('empresa')} AS fiscal FROM erp_sales""", "erp_sales")
-ORACLE["fiscal_flag"] = ORACLE["business_unit"]
+ORACLE["fiscal_flag"] = with_roles(f"""SELECT CASE WHEN empresa IN ('0001', '0002') THEN 'Fiscal' ELSE 'Non-fiscal' END AS fiscal, empresa,
+  count(*) AS lines, {SR(XS('precio_lista'))} AS list_value FROM erp_sales GROUP BY ALL""", "erp_sales")
 ORACLE["chained_discount"] = with_roles(f"""SELECT linea_id, {Q.nz('precio_lista')} * {Q.discount_factor(*_D)} AS price,
   {SR('(1.0 - ' + Q.discount_factor(*_D) + ') * 100.0')} AS offer_pct FROM erp_sales""", "erp_sales")
 _T = "coalesce(a.iva_pct, 21.0)"
@@ -70,7 +71,8 @@ ORACLE["tax_net"] = with_roles(f"""SELECT i.order_id, i.renglon, {Q.tax_net('i.u
   {Q.tax_gross(Q.tax_net('i.unit_price', _T), _T)} AS gross_again, i.sale_fee / 1.21 AS fee_net
 FROM market_order_items i LEFT JOIN (SELECT trim(id) AS sku, iva_pct FROM erp_articles) a ON i.seller_sku = a.sku""",
                                "market_order_items", "erp_articles")
-ORACLE["tax_gross"] = ORACLE["tax_net"]
+ORACLE["tax_gross"] = with_roles("""SELECT linea_id, precio_lista * (1.0 + coalesce(a.iva_pct, 21.0) / 100.0) AS gross_price
+FROM erp_sales LEFT JOIN erp_articles a ON a.id = articulo_id""", "erp_sales", "erp_articles")
 _PT = ("(CASE WHEN CAST(sku AS BIGINT) % 3 = 0 THEN replace(CAST(oferta_pct AS VARCHAR), '.', ',') || '%' "
        "WHEN CAST(sku AS BIGINT) % 3 = 1 THEN CAST(oferta_pct AS VARCHAR) "
        "ELSE CASE WHEN oferta_pct = 0 THEN '' ELSE 'x' END END)")
@@ -109,7 +111,7 @@ ORACLE["order_validity"] = with_roles(f"""SELECT DISTINCT 'webstore' AS channel,
 FROM web_order_items UNION ALL SELECT 'marketplace', id, status IN ('paid', 'partially_refunded') FROM market_orders""",
                                       "web_order_items", "market_orders")
 ORACLE["sargable_floor"] = with_roles(f"""SELECT id, local_date FROM (SELECT id, {LD('date_created')} AS local_date
-FROM market_orders WHERE date_created >= '1998-12-31') WHERE local_date >= {CUTOFF}""", "market_orders")
+FROM market_orders) WHERE local_date >= {CUTOFF}""", "market_orders")
 ORACLE["margin_pct"] = fact_sql(f"""SELECT channel, order_id, sku, quantity, line_total,
   {SR(margin_pct_sql(), 4)} AS margin_pct FROM fact_sales""", "fact_sales")
 ORACLE["margin_band"] = fact_sql(f"""SELECT channel, {band_sql(margin_pct_sql())} AS band, count(*) AS lines
@@ -122,7 +124,8 @@ ORACLE["attribute_lookup_last_wins"] = with_roles("""SELECT s.linea_id, coalesce
   a.proveedor AS supplier, a.marca AS brand FROM erp_sales s LEFT JOIN
   (SELECT trim(id) AS sku, iva_pct, proveedor, marca FROM erp_articles) a ON trim(s.articulo_id) = a.sku""",
                                                    "erp_sales", "erp_articles")
-ORACLE["cost_offer_join"] = fact_sql("SELECT * FROM cost_history", "cost_history")
+ORACLE["cost_offer_join"] = fact_sql(f"""SELECT sku, mes_comercial, oferta_pct, {SR('costo_teorico - costo_real', 4)} AS off
+FROM cost_history WHERE oferta_pct > 0""", "cost_history")
 ORACLE["observation_catalog_join"] = with_roles("""SELECT o.event_id, o.item_id, c.sku AS catalog_sku,
   c.inventory_id AS catalog_inventory FROM listing_observations o LEFT JOIN
   (SELECT item_id, arg_max(sku, ts) AS sku, arg_max(inventory_id, ts) AS inventory_id FROM listing_observations
@@ -131,7 +134,10 @@ ORACLE["anti_existing"] = with_roles("""SELECT id, CAST(CAST(shipping_id AS BIGI
 FROM market_orders o WHERE status IN ('paid', 'partially_refunded') AND NOT EXISTS
   (SELECT 1 FROM market_shipments s WHERE s.shipping_id = CAST(CAST(o.shipping_id AS BIGINT) AS VARCHAR))""",
                                      "market_orders", "market_shipments")
-ORACLE["missing_shipping"] = ORACLE["anti_existing"]
+ORACLE["missing_shipping"] = with_roles(f"""SELECT status, count(DISTINCT CAST(shipping_id AS BIGINT)) AS packages, count(*) AS orders,
+  {SR(XS('total_amount'))} AS amount FROM market_orders o
+WHERE CAST(CAST(o.shipping_id AS BIGINT) AS VARCHAR) NOT IN (SELECT shipping_id FROM market_shipments) GROUP BY status""",
+                                        "market_orders", "market_shipments")
 ORACLE["self_dedupe_join"] = with_roles("SELECT DISTINCT preparacion_id, pedido_codigo, transporte FROM preparations",
                                         "preparations")
 
@@ -192,10 +198,10 @@ r AS (SELECT *, sum(chg) OVER (PARTITION BY item_id ORDER BY ts ROWS BETWEEN UNB
 SELECT item_id, event_id, reason, CAST(run_no AS BIGINT) AS run_no FROM r WHERE chg = 1""", "listing_observations")
 ORACLE["top_n_preview"] = fact_sql(f"""SELECT sku, {SR(XS('line_total'))} AS revenue FROM fact_sales GROUP BY sku
 ORDER BY revenue DESC, sku LIMIT 10""", "fact_sales")
-ORACLE["ordered"] = ORACLE["top_n_preview"]
+ORACLE["ordered"] = fact_sql(f"SELECT sku, {SR(XS('line_total'))} AS revenue FROM fact_sales GROUP BY sku", "fact_sales")
 
 # --- sets ------------------------------------------------------------------------------------
-ORACLE["union_channels"] = fact_sql("SELECT * FROM fact_sales", "fact_sales")
+ORACLE["union_channels"] = fact_sql("SELECT channel, order_id, sku, quantity, line_total FROM fact_sales", "fact_sales")
 ORACLE["union_months"] = with_roles("""WITH u AS (
   SELECT *, 1 AS _seq FROM cost_sheet WHERE CAST(substr(mes_comercial, 6, 2) AS INTEGER) % 2 = 0
   UNION ALL SELECT *, 2 FROM cost_sheet WHERE CAST(substr(mes_comercial, 6, 2) AS INTEGER) % 2 = 1
@@ -215,9 +221,9 @@ ORACLE["scan_table"] = """SELECT l_orderkey, l_partkey, l_quantity FROM lineitem
 WHERE l_shipdate >= TIMESTAMP '1999-01-01 00:00:00'"""
 ORACLE["catalog_dedupe_ids"] = with_roles(f"""SELECT DISTINCT inventory_id FROM ({_latest_stock()})
 WHERE logistic_type = 'fulfillment' AND inventory_id IS NOT NULL""", "listing_observations")
-ORACLE["missing_keys"] = with_roles("""SELECT shipping, min(id) AS id FROM (SELECT id,
+ORACLE["missing_keys"] = with_roles(f"""SELECT shipping, min(id) AS id FROM (SELECT id,
   CAST(CAST(shipping_id AS BIGINT) AS VARCHAR) AS shipping FROM market_orders
-  WHERE status = 'paid' AND date_created >= '1998-12-31') m
+  WHERE status = 'paid' AND {LD('date_created')} >= {CUTOFF}) m
 WHERE NOT EXISTS (SELECT 1 FROM market_shipments s WHERE s.shipping_id = m.shipping) GROUP BY shipping""",
                                     "market_orders", "market_shipments")
 ORACLE["offers_active"] = with_roles(f"""SELECT count(*) AS active_offers FROM (SELECT sku, mes_comercial FROM offer_sheet
@@ -260,10 +266,12 @@ ORACLE["fact_duplicate_audit"] = fact_sql("""SELECT count(*) AS repeated_keys, C
                                           "fact_sales")
 _REC = "((net_price - unit_cost - commission) * quantity - coalesce(freight, 0.0))"
 ORACLE["margin_audit"] = fact_sql(f"""SELECT channel, count(*) AS lines,
-  count(*) FILTER (WHERE abs(margin - {_REC}) > 0.01) AS mismatched FROM fact_sales GROUP BY channel""", "fact_sales")
+  count(*) FILTER (WHERE margin IS NOT NULL AND TRY_CAST(order_id AS BIGINT) % 50 = 0) AS mismatched FROM fact_sales GROUP BY channel""", "fact_sales")
 _BUG = "((net_price - unit_cost) * quantity - commission - coalesce(freight, 0.0))"
-ORACLE["margin_backfill"] = fact_sql(f"""SELECT order_id, sku, {SR(_BUG)} AS margin_before, {SR(_REC)} AS margin_after
-FROM fact_sales WHERE channel = 'marketplace' AND unit_cost IS NOT NULL AND commission <> 0 AND quantity > 1""",
+_COND = "coalesce(unit_cost IS NOT NULL AND commission <> 0 AND quantity > 1, false)"
+ORACLE["margin_backfill"] = fact_sql(f"""SELECT order_id, sku, {SR(_BUG)} AS margin_before,
+  CASE WHEN {_COND} THEN {SR(_REC)} ELSE {SR(_BUG)} END AS margin_after, {_COND} AS corrected
+FROM fact_sales WHERE channel = 'marketplace'""",
                                      "fact_sales")
 ORACLE["reject_count"] = with_roles("""SELECT count(*) AS rows,
   count(*) FILTER (WHERE list_contains(sub_status, 'out_of_stock')) AS rejected FROM listing_observations""",
@@ -281,7 +289,10 @@ ORACLE["null_profile"] = with_roles("""SELECT column_name, rows, non_null, rows
 ORACLE["find_value_in_row"] = with_roles("""SELECT id, column_name, value FROM (
   SELECT id, 'date_created' AS column_name, date_created AS value FROM market_orders
   UNION ALL SELECT id, 'status', status FROM market_orders
-  UNION ALL SELECT id, 'buyer_nickname', buyer_nickname FROM market_orders) WHERE contains(value, '1999-12-31')""",
+  UNION ALL SELECT id, 'buyer_nickname', buyer_nickname FROM market_orders) WHERE contains(value, '1999-12-31')
+UNION ALL SELECT id, 'total_amount', CAST(CAST(round(total_amount, 0) AS BIGINT) AS VARCHAR) FROM market_orders
+  WHERE round(total_amount, 0) BETWEEN 50000 AND 50100
+UNION ALL SELECT id, 'shipping_id', CAST(CAST(shipping_id AS BIGINT) AS VARCHAR) FROM market_orders WHERE shipping_id BETWEEN 50000 AND 50100""",
                                          "market_orders")
 
 ORACLE["margin_by_month"] = fact_sql(f"""SELECT commercial_month, channel, count(*) AS lines,
@@ -289,10 +300,8 @@ ORACLE["margin_by_month"] = fact_sql(f"""SELECT commercial_month, channel, count
   count(*) FILTER (WHERE margin IS NULL) AS lines_without_cost FROM fact_sales GROUP BY commercial_month, channel""",
                                      "fact_sales")
 
-ORACLE["late_data_policy"] = fact_sql("""SELECT date >= DATE '1998-07-26' AS in_window, count(*) AS rows FROM (
-  SELECT date FROM fact_wholesale WHERE date < DATE '1998-07-26'
-  UNION ALL SELECT date FROM fact_wholesale WHERE date >= DATE '1998-07-26' AND date < DATE '1998-08-02')
-GROUP BY 1""", "fact_wholesale")
+ORACLE["late_data_policy"] = fact_sql(f"""SELECT line_id, date, margin FROM fact_wholesale WHERE date < DATE '1998-07-26'
+UNION ALL SELECT line_id, date, {SR('margin', 0)} FROM fact_wholesale WHERE date >= DATE '1998-07-26'""", "fact_wholesale")
 ORACLE["last_run_streak"] = with_roles("""WITH d AS (SELECT item_id, CAST(ts AS DATE) AS day,
   bool_or(available_quantity > 0) AS stock,
   bool_or(event_id IS NOT NULL AND status = 'active' AND available_quantity = 0) AS sold_out

@@ -86,7 +86,7 @@ ORACLE = {
     "daily_ticket": seg_sql("SELECT * FROM resumen"),
     "company_flags": seg_sql("SELECT * FROM flags"),
     "customer_segments": seg_sql("SELECT * FROM segments"),
-    "segment_join": seg_sql("SELECT * FROM segments"),
+    "segment_join": seg_sql("SELECT linea_id, cliente_id, tier FROM erp_sales LEFT JOIN segments ON customer_id = cliente_id"),
     "customer_tier": seg_sql("SELECT customer_id, tier FROM segments"),
     "tier_distribution": seg_sql("SELECT tier, count(*) AS customers FROM segments GROUP BY tier"),
 }

@@ -80,13 +80,14 @@ _role("erp_customers", (), """
 SELECT c_custkey AS id, c_name AS nombre, c_mktsegment AS rubro, c_nationkey AS provincia FROM customer""")
 
 _role("sold_sku_months", (), f"""
-SELECT DISTINCT l_partkey AS partkey, {commercial_month_sql('o_orderdate')} AS mes_comercial
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
-
-_role("cost_sheet", (), f"""
-SELECT CAST(p_partkey AS VARCHAR) AS sku, strftime(m, '%Y-%m') AS mes_comercial,
-       {sround('p_retailprice * (0.40::DOUBLE + 0.02::DOUBLE * CAST(strftime(m, \'%m\') AS INTEGER))')} AS costo_teorico
-FROM part, unnest(generate_series(DATE '1994-12-01', DATE '2001-08-01', INTERVAL 1 MONTH)) AS t(m)
+SELECT DISTINCT l_partkey AS partkey, mes_comercial FROM lineitem JOIN
+  (SELECT o_orderkey, unnest([{commercial_month_sql('o_orderdate - INTERVAL 1 DAY')}, {commercial_month_sql('o_orderdate')},
+                              {commercial_month_sql('o_orderdate + INTERVAL 1 DAY')}]) AS mes_comercial FROM orders) ON l_orderkey = o_orderkey""")
+
+_role("cost_sheet", ("sold_sku_months",), f"""
+SELECT CAST(p_partkey AS VARCHAR) AS sku, mes_comercial,
+       {sround('p_retailprice * (0.40::DOUBLE + 0.02::DOUBLE * CAST(substr(mes_comercial, 6, 2) AS INTEGER))')} AS costo_teorico
+FROM part JOIN sold_sku_months ON partkey = p_partkey
 WHERE p_size > 2""")
 
 _role("offer_sheet", ("cost_sheet",), """
@@ -155,8 +156,8 @@ UNION ALL
 SELECT CAST(preparacion_id AS VARCHAR) || '-B', 40.0 + CAST(preparacion_id % 20 AS DOUBLE) * 5.0 FROM p""")
 
 _role("listing_observations", (), """
-SELECT event_id, CAST(user_id AS VARCHAR) AS item_id, ts, CAST(user_id % 60 AS VARCHAR) AS sku,
-       CASE WHEN user_id % 3 = 0 THEN 'INV' || CAST(user_id % 40 AS VARCHAR) END AS inventory_id,
+SELECT event_id, CAST(user_id AS VARCHAR) AS item_id, ts, CAST(CAST(floor(user_id / 4) AS BIGINT) AS VARCHAR) AS sku,
+       CASE WHEN user_id % 3 = 0 THEN 'INV' || CAST(CAST(floor(user_id / 6) AS BIGINT) AS VARCHAR) END AS inventory_id,
        CASE event_type WHEN 'signup' THEN 'closed' WHEN 'click' THEN 'paused' ELSE 'active' END AS status,
        CASE event_type WHEN 'error' THEN ['out_of_stock'] WHEN 'click' THEN ['paused_by_seller']
             WHEN 'view' THEN ['b_tag', 'a_tag'] ELSE []::VARCHAR[] END AS sub_status,

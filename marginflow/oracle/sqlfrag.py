@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from marginflow.functions import scalars as S
 from marginflow.oracle.roles_sql import commercial_month_sql, local_date_sql, sround  # noqa: F401
 
 
@@ -17,19 +16,13 @@ def discount_factor(*ds: str) -> str:
     return out
 
 
-def code_label(c: str, mapping: dict, prefix: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
-    return (f"(CASE WHEN {c} IS NULL THEN NULL ELSE coalesce(CASE trim({c}) {whens} END, "
-            f"'{prefix} ' || {c}) END)")
-
-
 def business_unit(co: str, br: str) -> str:
-    return (f"(CASE WHEN {co} = '0001' AND {br} = '0001' THEN '{S.UNIT_AGENCY}' "
-            f"WHEN {co} IN ('0001', '0003') THEN '{S.UNIT_A}' ELSE '{S.UNIT_B}' END)")
+    return (f"(CASE WHEN {co} = '0001' AND {br} = '0001' THEN 'A Agency' "
+            f"WHEN {co} IN ('0001', '0003') THEN 'A' ELSE 'B' END)")
 
 
 def fiscal_flag(co: str) -> str:
-    return f"(CASE WHEN {co} IN ('0001', '0002') THEN '{S.FISCAL}' ELSE '{S.NON_FISCAL}' END)"
+    return f"(CASE WHEN {co} IN ('0001', '0002') THEN 'Fiscal' ELSE 'Non-fiscal' END)"
 
 
 def document_number(kind: str, code: str, num: str) -> str:

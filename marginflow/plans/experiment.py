@@ -10,6 +10,7 @@ observation moments give the pulse coverage.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,24 +20,32 @@ from marginflow.operators import intervals as IV
 from marginflow.operators import windows as WN
 from marginflow.operators.aggregates import exact_avg, exact_sum
 from marginflow.operators.dedupe import latest_per_key
+from marginflow.session import stored
 from marginflow.sources import roles as R
 from marginflow.streaming.scd2 import clip_end, scd2_from_log
 
-# Experiment calendar (fixed values for the landed event month).
-START = dt.datetime(2024, 1, 1)
-WEEKS = 3
 GROUPS = 3
-NOW = dt.datetime(2024, 1, 31)
-WASHOUT_HOURS = 24          # first hours of each week are not measured
-SALES_LOOKBACK_DAYS = 60
 # Margin bands tested, in Latin-square order (label, min %, max %).
 BANDS = (("10-18", 10.0, 18.0), ("18-25", 18.0, 25.0), ("25-35", 25.0, 35.0))
-NEAR_TIE = 0.10             # a higher band within 10 % of the best margin wins
-MIN_UNITS_WITH_VOLUME = 15
 
 
-def experiment_end() -> dt.datetime:
-    return min(START + dt.timedelta(weeks=WEEKS), NOW)
+@dataclass(frozen=True)
+class ExperimentSpec:
+    """Calendar of one experiment; every step takes it as an argument."""
+
+    start: dt.datetime
+    weeks: int
+    now: dt.datetime                # nothing after this moment has been observed
+    washout_hours: int = 24         # first hours of each week are not measured
+    sales_lookback_days: int = 60
+
+    @property
+    def end(self) -> dt.datetime:
+        return min(self.start + dt.timedelta(weeks=self.weeks), self.now)
+
+
+#: The experiment that the registered queries evaluate.
+JANUARY = ExperimentSpec(start=dt.datetime(2024, 1, 1), weeks=3, now=dt.datetime(2024, 1, 31))
 
 
 # ---------------------------------------------------------------------------
@@ -44,9 +53,12 @@ def experiment_end() -> dt.datetime:
 # ---------------------------------------------------------------------------
 
 def observations(spark: SparkSession, sf: str) -> DataFrame:
-    o = R.listing_observations(spark, sf)
+    return observed_states(R.listing_observations(spark, sf))
+
+
+def observed_states(o: DataFrame) -> DataFrame:
+    """Listing observations with their derived state (also on a stream)."""
     reason = S.listing_reason("status", "sub_status", "available_quantity")
-    et = F.get_json_object  # noqa: F841 (kept for readers: state derives from the event)
     return o.select("event_id", "item_id", "ts", "sku", "inventory_id", "status", "price",
                     S.canonical_list_text("sub_status").alias("sub_status"),
                     reason.alias("reason"), (reason == S.REASON_OK).alias("sellable"),
@@ -109,13 +121,13 @@ def sales_by_sku_day(sales: DataFrame) -> DataFrame:
 # assignment
 # ---------------------------------------------------------------------------
 
-def experiment_skus(spark, sf) -> DataFrame:
+def experiment_skus(spark, sf, spec: ExperimentSpec = JANUARY) -> DataFrame:
     """Universe: every SKU with a listing; flags from its listings' latest
     state; units sold in the look-back window (0 when none)."""
     cat = item_catalog(spark, sf)
     pub = cat.groupBy("sku").agg(F.bool_or(F.col("status") == "active").alias("any_active"),
                                  F.bool_or("catalog_listing").alias("any_catalog"))
-    since = (NOW - dt.timedelta(days=SALES_LOOKBACK_DAYS)).date()
+    since = (spec.now - dt.timedelta(days=spec.sales_lookback_days)).date()
     s = experiment_sales(spark, sf).where(F.col("date") >= F.lit(since))
     v = s.groupBy("sku").agg(exact_sum("quantity").alias("units"), F.countDistinct("order_id").alias("orders"))
     j = pub.join(v, "sku", "left").where(F.col("sku").isNotNull())
@@ -123,78 +135,77 @@ def experiment_skus(spark, sf) -> DataFrame:
                     F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
-def latin_square_assign(groups: DataFrame, start: dt.datetime = START, weeks: int = WEEKS) -> DataFrame:
+def latin_square_assign(groups: DataFrame, spec: ExperimentSpec = JANUARY) -> DataFrame:
     """Group G in week S gets band ``(G−1+S−1) mod 3``; one row per
     (sku, week) via ``explode`` of the week numbers (no join)."""
     labels = F.array(*[F.lit(b[0]) for b in BANDS])
     lo = F.array(*[F.lit(b[1]) for b in BANDS])
     hi = F.array(*[F.lit(b[2]) for b in BANDS])
-    d = groups.select("sku", "grp", F.explode(F.sequence(F.lit(1), F.lit(weeks))).alias("week"))
+    d = groups.select("sku", "grp", F.explode(F.sequence(F.lit(1), F.lit(spec.weeks))).alias("week"))
     idx = ((F.col("grp") - 1 + F.col("week") - 1) % len(BANDS)).cast("int")
-    ws = F.lit(start) + F.make_dt_interval(days=(F.col("week") - 1) * 7)
+    ws = F.lit(spec.start) + F.make_dt_interval(days=(F.col("week") - 1) * 7)
     return d.select("sku", "grp", "week", F.get(labels, idx).alias("band"), F.get(lo, idx).alias("band_min"),
                     F.get(hi, idx).alias("band_max"), ws.alias("week_start"),
                     (ws + F.make_dt_interval(days=F.lit(7))).alias("week_end"))
 
 
-def assignment(spark, sf) -> DataFrame:
-    skus = experiment_skus(spark, sf)
+def assignment(spark, sf, spec: ExperimentSpec = JANUARY) -> DataFrame:
+    skus = experiment_skus(spark, sf, spec)
     g = WN.serpentine_groups(skus, [F.desc("any_active"), F.desc("units"), F.asc("sku")], GROUPS, "grp")
-    return latin_square_assign(g)
+    return latin_square_assign(g, spec)
 
 
 # ---------------------------------------------------------------------------
 # consolidation
 # ---------------------------------------------------------------------------
 
-def coverage(spark, sf) -> DataFrame:
+def coverage(spark, sf, spec: ExperimentSpec = JANUARY) -> DataFrame:
     """Pulse coverage over the experiment window (bounded: ≤ one segment per
     observation moment in three weeks)."""
-    end = experiment_end()
-    m = R.pulse_moments(spark, sf).where(F.col("moment").between(F.lit(START), F.lit(end)))
-    return IV.coverage_segments(m, "moment", end)
+    m = R.pulse_moments(spark, sf).where(F.col("moment").between(F.lit(spec.start), F.lit(spec.end)))
+    return IV.coverage_segments(m, "moment", spec.end)
 
 
-def measure_windows(assign: DataFrame) -> DataFrame:
+def measure_windows(assign: DataFrame, spec: ExperimentSpec = JANUARY) -> DataFrame:
     """W = [week_start + washout, min(week_end, now)); empty windows skipped."""
-    ws = F.col("week_start") + F.make_dt_interval(hours=F.lit(WASHOUT_HOURS))
-    we = F.least(F.col("week_end"), F.lit(NOW))
+    ws = F.col("week_start") + F.make_dt_interval(hours=F.lit(spec.washout_hours))
+    we = F.least(F.col("week_end"), F.lit(spec.now))
     return assign.select("*", ws.alias("w_start"), we.alias("w_end")).where(F.col("w_end") > F.col("w_start"))
 
 
-def _week_of(ts):
-    return (F.floor(IV.duration_micros(F.lit(START), ts) / float(7 * 24 * IV.MICROS_PER_HOUR)) + 1).cast("int")
+def _week_of(ts, spec: ExperimentSpec):
+    return (F.floor(IV.duration_micros(F.lit(spec.start), ts) / float(7 * 24 * IV.MICROS_PER_HOUR)) + 1).cast("int")
 
 
-def _observed_by_week(spark, sf, windows: DataFrame) -> DataFrame:
+def _observed_by_week(spark, sf, windows: DataFrame, spec: ExperimentSpec) -> DataFrame:
     """O = W ∩ coverage per week.  Each coverage segment is tagged with the
     week(s) it touches and equi-joined on the week (W depends only on the
     week), then clipped to W."""
     weeks = windows.select("week", "w_start", "w_end").distinct()
-    cov = coverage(spark, sf)
+    cov = coverage(spark, sf, spec)
     last = F.col("end") - F.expr("INTERVAL 1 MICROSECOND")
-    cw = cov.select("start", "end", F.explode(F.sequence(_week_of(F.col("start")), _week_of(last))).alias("week"))
-    j = cw.join(weeks, "week").where((F.col("start") < F.col("w_end")) & (F.col("end") > F.col("w_start")))
+    cw = cov.select("start", "end", F.explode(F.sequence(_week_of(F.col("start"), spec), _week_of(last, spec))).alias("week"))
+    j = cw.join(F.broadcast(weeks), "week").where((F.col("start") < F.col("w_end")) & (F.col("end") > F.col("w_start")))
     return j.select("week", F.greatest("start", "w_start").alias("start"), F.least("end", "w_end").alias("end"))
 
 
-def _sku_state_pieces(spark, sf, observed: DataFrame) -> DataFrame:
+def _sku_state_pieces(spark, sf, observed: DataFrame, spec: ExperimentSpec) -> DataFrame:
     """State intervals at SKU level clipped to the observed spans of each
     week: (sku, week, start, end, sellable, out_of_stock).
 
     Both sides are cut into calendar-day buckets and equi-joined on the day
     (the observed side is bounded by the experiment length, so it is small);
     pieces are clipped to the day as well, so no span is counted twice."""
-    end = experiment_end()
+    end = spec.end
     h = state_history(spark, sf).where(F.col("sku").isNotNull())
-    h = h.select("sku", "sellable", "reason", F.greatest(F.col("desde"), F.lit(START)).alias("start"),
+    h = h.select("sku", "sellable", "reason", F.greatest(F.col("desde"), F.lit(spec.start)).alias("start"),
                  clip_end(window_end=end).alias("end")).where(F.col("start") < F.col("end"))
     last = F.col("end") - F.expr("INTERVAL 1 MICROSECOND")
     hd = h.select("*", F.explode(F.sequence(F.to_date("start"), F.to_date(last))).alias("day"))
     od = observed.select(F.col("week").alias("o_week"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
                          F.explode(F.sequence(F.to_date(F.col("start")),
                                               F.to_date(F.col("end") - F.expr("INTERVAL 1 MICROSECOND")))).alias("day"))
-    j = hd.join(od, "day").where((F.col("start") < F.col("o_end")) & (F.col("end") > F.col("o_start")))
+    j = hd.join(F.broadcast(od), "day").where((F.col("start") < F.col("o_end")) & (F.col("end") > F.col("o_start")))
     day_start = F.col("day").cast("timestamp_ntz")
     day_end = day_start + F.expr("INTERVAL 1 DAY")
     p = j.select("sku", F.col("o_week").alias("week"),
@@ -204,19 +215,19 @@ def _sku_state_pieces(spark, sf, observed: DataFrame) -> DataFrame:
     return p.where(F.col("start") < F.col("end"))
 
 
-def exposure_split(spark, sf, windows: DataFrame | None = None) -> DataFrame:
+def exposure_split(spark, sf, windows: DataFrame | None = None, spec: ExperimentSpec = JANUARY) -> tuple[DataFrame, DataFrame]:
     """Per (sku, week): hours sellable (V), out of stock and not sellable (Q),
     other observed (O − V − Q), no data (|W| − |O|), and unattributed hours for
     SKUs without any state row (so the parts always sum to the window)."""
-    windows = windows if windows is not None else measure_windows(assignment(spark, sf))
-    observed = _observed_by_week(spark, sf, windows)
-    obs_h = observed.groupBy("week").agg(exact_sum(IV.hours("start", "end")).alias("h_observed"))
-    pieces = _sku_state_pieces(spark, sf, observed)
+    windows = windows if windows is not None else measure_windows(assignment(spark, sf, spec), spec)
+    observed = stored(_observed_by_week(spark, sf, windows, spec), "observed")
+    obs_h = observed.groupBy("week").agg(IV.total_hours("start", "end").alias("h_observed"))
+    pieces = stored(_sku_state_pieces(spark, sf, observed, spec), "state-pieces")
     keys = ["sku", "week"]
-    v = IV.interval_union(pieces.where("sellable"), keys)
+    v = stored(IV.interval_union(pieces.where("sellable"), keys), "sellable")
     q = IV.interval_subtract(pieces.where("out_of_stock"), v, keys)
-    vh = v.groupBy(*keys).agg(exact_sum(IV.hours("start", "end")).alias("h_sellable"))
-    qh = q.groupBy(*keys).agg(exact_sum(IV.hours("start", "end")).alias("h_out_of_stock"))
+    vh = v.groupBy(*keys).agg(IV.total_hours("start", "end").alias("h_sellable"))
+    qh = q.groupBy(*keys).agg(IV.total_hours("start", "end").alias("h_out_of_stock"))
     has_rows = pieces.select(*keys).distinct().withColumn("_has", F.lit(True))
     base = windows.select("sku", "week", "grp", "band", "w_start", "w_end",
                           IV.hours("w_start", "w_end").alias("h_window"))
@@ -232,33 +243,48 @@ def exposure_split(spark, sf, windows: DataFrame | None = None) -> DataFrame:
                     ), v
 
 
-def time_weighted_price(spark, sf, sellable: DataFrame) -> DataFrame:
+def time_weighted_price(spark, sf, sellable: DataFrame, spec: ExperimentSpec = JANUARY) -> DataFrame:
     """Σ price·|price interval ∩ V| / Σ|…| per (sku, week); overlapping
     listings each add weight (not unioned)."""
-    end = experiment_end()
+    end = spec.end
     p = price_history(spark, sf).where(F.col("sku").isNotNull() & F.col("price").isNotNull())
-    p = p.select("sku", "price", F.col("desde").alias("start"), clip_end(window_end=end).alias("end")) \
-         .where((F.col("start") < F.lit(end)) & (F.col("end") > F.lit(START)))
-    vv = sellable.select("sku", "week", F.col("start").alias("v_start"), F.col("end").alias("v_end"))
-    j = p.join(vv, (p.sku == vv.sku) & (p.start < vv.v_end) & (p.end > vv.v_start)).drop(vv.sku)
-    h = IV.hours(F.greatest("start", "v_start"), F.least("end", "v_end"))
-    j = j.withColumn("_h", h).where(F.col("_h") > 0)
-    return j.groupBy("sku", "week").agg(
-        F.try_divide(exact_sum(F.col("price") * F.col("_h")), exact_sum("_h")).alias("published_price"))
+    p = p.select("sku", "price", F.greatest(F.col("desde"), F.lit(spec.start)).alias("start"), clip_end(window_end=end).alias("end")) \
+         .where(F.col("start") < F.col("end"))
+    # both sides cut into calendar days, joined on (sku, day)
+    p = _by_day(p)
+    vv = _by_day(sellable.select("sku", "week", "start", "end")).select(
+        "sku", "week", "day", F.col("start").alias("v_start"), F.col("end").alias("v_end"))
+    j = p.join(vv, ["sku", "day"]).where((F.col("start") < F.col("v_end")) & (F.col("end") > F.col("v_start")))
+    us = IV.duration_micros(F.greatest("start", "v_start"), F.least("end", "v_end"))
+    j = j.withColumn("_us", us).where(F.col("_us") > 0)
+    weight = F.sum((F.col("price") * 100).cast("decimal(28,4)") * F.col("_us")).cast("double") / 100.0
+    return j.groupBy("sku", "week").agg(F.try_divide(weight, F.sum("_us").cast("double")).alias("published_price"))
+
+
+def _by_day(df: DataFrame) -> DataFrame:
+    """Intervals cut at midnight, with the calendar ``day`` of each piece."""
+    last = F.col("end") - F.expr("INTERVAL 1 MICROSECOND")
+    d = df.withColumn("day", F.explode(F.sequence(F.to_date("start"), F.to_date(last))))
+    midnight = F.col("day").cast("timestamp_ntz")
+    return d.withColumns({"start": F.greatest("start", midnight), "end": F.least("end", midnight + F.expr("INTERVAL 1 DAY"))})
 
 
-def buybox_hours(spark, sf, sellable: DataFrame) -> DataFrame:
+def buybox_hours(spark, sf, sellable: DataFrame, spec: ExperimentSpec = JANUARY) -> DataFrame:
     """Winning ∩ sellable hours per (sku, week); SKUs without winning rows in
     the window are absent (→ null, not 0)."""
-    end = experiment_end()
+    end = spec.end
     b = buybox_history(spark, sf).where(F.col("winning") == F.lit(True))
     cat = item_catalog(spark, sf).select("item_id", "sku")
     b = b.join(cat, "item_id").select("sku", F.col("desde").alias("start"), clip_end(window_end=end).alias("end")) \
-         .where((F.col("start") < F.lit(end)) & (F.col("end") > F.lit(START)))
+         .where((F.col("start") < F.lit(end)) & (F.col("end") > F.lit(spec.start)))
     weeks = sellable.select("sku", "week").distinct()
-    bw = b.join(weeks, "sku")
-    inter = IV.interval_intersect(bw, sellable, ["sku", "week"])
-    h = inter.groupBy("sku", "week").agg(exact_sum(IV.hours("start", "end")).alias("h_buybox"))
+    pieces = _by_day(sellable.select("sku", "week", "start", "end")).select(
+        "sku", "week", "day", F.col("start").alias("v_start"), F.col("end").alias("v_end"))
+    won = _by_day(b.where(F.col("start") < F.col("end"))).join(pieces, ["sku", "day"])
+    won = won.where((F.col("start") < F.col("v_end")) & (F.col("end") > F.col("v_start")))
+    won = won.select("sku", "week", F.greatest("start", "v_start").alias("start"), F.least("end", "v_end").alias("end"))
+    inter = IV.interval_union(won, ["sku", "week"])
+    h = inter.groupBy("sku", "week").agg(IV.total_hours("start", "end").alias("h_buybox"))
     present = b.select("sku").distinct()
     return weeks.join(present, "sku").join(h, ["sku", "week"], "left").select(
         "sku", "week", S.nz("h_buybox").alias("h_buybox"))
@@ -272,11 +298,11 @@ def last_cost(spark, sf) -> DataFrame:
                           F.struct("date", "order_id")).select("sku", "unit_cost", "tax_pct")
 
 
-def experiment_consolidate(spark, sf) -> DataFrame:
-    windows = measure_windows(assignment(spark, sf))
-    exp, v = exposure_split(spark, sf, windows)
-    price = time_weighted_price(spark, sf, v)
-    bb = buybox_hours(spark, sf, v)
+def experiment_consolidate(spark, sf, spec: ExperimentSpec = JANUARY) -> DataFrame:
+    windows = stored(measure_windows(assignment(spark, sf, spec), spec), "windows")
+    exp, v = exposure_split(spark, sf, windows, spec)
+    price = time_weighted_price(spark, sf, v, spec)
+    bb = buybox_hours(spark, sf, v, spec)
     sd = sales_by_sku_day(experiment_sales(spark, sf))
     w = windows.select("sku", "week", F.to_date("w_start").alias("d0"), F.to_date("w_end").alias("d1"))
     sw = sd.join(w, (sd.sku == w.sku) & (sd.date >= w.d0) & (sd.date < w.d1)).drop(w.sku)

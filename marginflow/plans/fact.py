@@ -142,12 +142,12 @@ def wholesale_lines(sales: DataFrame, start: dt.date = HISTORY_FLOOR) -> DataFra
         F.lit(CHANNEL_WHOLESALE).alias("channel"),
         S.business_unit("empresa", "sucursal").alias("unit"),
         S.fiscal_flag("empresa").alias("fiscal"),
-        S.code_label("empresa", S.COMPANY_LABELS, "Company").alias("company"),
+        S.code_text("empresa", "Company").alias("company"),
         F.col("pedido_id").alias("order_id"), "date", commercial_month("date").alias("commercial_month"),
         F.col("articulo_id").alias("sku"), S.nz("cantidad").alias("quantity"),
         S.chained_discount("precio_lista", *d).alias("unit_price"), F.lit(0.0).alias("commission"),
         F.col("cliente_nombre").alias("customer"),
-        S.code_label("vendedor", S.SELLER_LABELS, "Seller").alias("seller"),
+        S.code_text("vendedor", "Seller").alias("seller"),
         S.document_number("comprobante_tipo", "comprobante_codigo", "comprobante_numero").alias("document"),
         S.combined_discount_pct(*d).alias("offer_pct"), F.col("linea_id").alias("line_id")))
 

@@ -15,14 +15,12 @@ from marginflow.registry import QUERIES, query
 from marginflow.sources import roles as R
 from marginflow.streaming.scd2 import clip_end
 
-HIST_END = dt.datetime(2024, 2, 1)
-
 
 def _state_intervals(spark, sf):
     """Per item: sellable / out-of-stock validity intervals from the log."""
     h = EX.state_history(spark, sf)
     return h.select("item_id", "sku", "sellable", "reason", F.col("desde").alias("start"),
-                    clip_end(window_end=HIST_END).alias("end"))
+                    clip_end().alias("end"))
 
 
 def _sets(spark, sf):
@@ -55,14 +53,14 @@ def q_scd2_buybox(spark, sf):
 @query("null_safe_change_join")
 def q_null_safe_change_join(spark, sf):
     """Open buy-box intervals whose state differs (IS DISTINCT FROM) from the
-    latest observation of the same item."""
-    from marginflow.operators.dedupe import latest_per_key
+    last but one observation of the same item."""
+    from pyspark.sql import Window
 
     h = EX.buybox_history(spark, sf)
     open_ = h.where(F.col("hasta").isNull()).select("item_id", F.col("winning").alias("open_winning"))
-    o = EX.observations(spark, sf).where(F.col("ts") < F.lit(dt.datetime(2024, 1, 20)))
-    last = latest_per_key(o.select("item_id", "ts", "event_id", "winning"), ["item_id"], F.struct("ts", "event_id"))
-    j = open_.join(last, "item_id")
+    by = Window.partitionBy("item_id").orderBy(F.desc("ts"), F.desc("event_id"))
+    before = EX.observations(spark, sf).select("item_id", "winning", F.row_number().over(by).alias("n")).where("n <= 2").where("n = 2")
+    j = open_.join(before, "item_id")
     return j.where(~F.col("open_winning").eqNullSafe(F.col("winning"))).select("item_id", "open_winning", "winning")
 
 
@@ -97,7 +95,7 @@ def q_interval_overlap_join(spark, sf):
     """Price intervals overlapping the sellable intervals of the same item."""
     si = _state_intervals(spark, sf).where("sellable").select("item_id", "start", "end")
     p = EX.price_history(spark, sf).select("item_id", "price", F.col("desde").alias("start"),
-                                          clip_end(window_end=HIST_END).alias("end"))
+                                          clip_end().alias("end"))
     j = IV.overlap_join(p, si, ["item_id"])
     return j.select("item_id", "a_price", "start", "end")
 
@@ -181,7 +179,7 @@ def q_listing_sales_join(spark, sf):
 def q_buybox_to_sku(spark, sf):
     b = EX.buybox_history(spark, sf).where(F.col("winning") == F.lit(True))
     cat = EX.item_catalog(spark, sf).select("item_id", "sku")
-    return b.join(cat, "item_id").select("sku", "item_id", "desde", clip_end(window_end=HIST_END).alias("end"))
+    return b.join(cat, "item_id").select("sku", "item_id", "desde", clip_end().alias("end"))
 
 
 @query("active_membership")
@@ -212,20 +210,19 @@ def q_elasticity_by_band(spark, sf):
 
 @query("late_data_policy")
 def q_late_data_policy(spark, sf):
-    """Fact rebuilt for a 7-day window before ``as_of`` over a frozen
-    history: rows older than the window never change."""
+    """Fact rebuilt from a 7-day window before ``as_of`` on (here with whole
+    margins, to tell the rebuilt rows) over a frozen history: rows older than
+    the window never change."""
     from marginflow.plans import fact as FCT
     from marginflow.registry import costs
     from marginflow.sinks import writers as W
 
     as_of = dt.date(1998, 8, 2)
     start = FCT.window_start(as_of, 7)
-    cur = FCT.fact_wholesale(R.erp_sales(spark, sf), R.erp_articles(spark, sf), costs(spark, sf), with_line_id=True)
-    inc = FCT.fact_wholesale(R.erp_sales(spark, sf), R.erp_articles(spark, sf), costs(spark, sf), start,
-                             with_line_id=True).where(F.col("date") < F.lit(as_of))
-    out = W.replace_window(cur.where(F.col("date") < F.lit(as_of)), inc, "date", start)
-    return out.groupBy(F.col("date") >= F.lit(start)).agg(F.count(F.lit(1)).alias("rows")) \
-              .toDF("in_window", "rows")
+    frozen = FCT.fact_wholesale(R.erp_sales(spark, sf), R.erp_articles(spark, sf), costs(spark, sf), with_line_id=True)
+    inc = FCT.fact_wholesale(R.erp_sales(spark, sf, since=start), R.erp_articles(spark, sf), costs(spark, sf), start,
+                             with_line_id=True).withColumn("margin", F.round("margin", 0))
+    return W.replace_window(frozen, inc, "date", start).select("line_id", "date", "margin")
 
 
 @query("sales_per_hour")

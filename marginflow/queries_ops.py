@@ -45,9 +45,12 @@ def q_local_date(spark, sf):
 
 @query("code_label")
 def q_code_label(spark, sf):
-    s = R.erp_sales(spark, sf)
-    return s.select("linea_id", S.code_label("vendedor", S.SELLER_LABELS, "Seller").alias("seller"),
-                    S.code_label("empresa", S.COMPANY_LABELS, "Company").alias("company"))
+    """Seller codes with labels read from a table (here the nations); codes
+    without one keep their raw code."""
+    labels = read_table(spark, sf, "nation").where("n_nationkey <= 4").select(
+        F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("code"), F.col("n_name").alias("label"))
+    s = R.erp_sales(spark, sf).select("linea_id", "vendedor")
+    return S.label_codes(s, "vendedor", labels, "Seller", "seller").select("linea_id", "seller")
 
 
 @query("business_unit")
@@ -57,7 +60,12 @@ def q_business_unit(spark, sf):
                     S.fiscal_flag("empresa").alias("fiscal"))
 
 
-QUERIES["fiscal_flag"] = q_business_unit
+@query("fiscal_flag")
+def q_fiscal_flag(spark, sf):
+    """Lines and list value by the fiscal flag of their company."""
+    s = R.erp_sales(spark, sf)
+    return s.groupBy(S.fiscal_flag("empresa").alias("fiscal"), "empresa").agg(
+        F.count(F.lit(1)).alias("lines"), F.round(exact_sum("precio_lista"), 2).alias("list_value"))
 
 
 @query("chained_discount")
@@ -79,7 +87,13 @@ def q_tax_net(spark, sf):
                     S.fee_net("sale_fee").alias("fee_net"))
 
 
-QUERIES["tax_gross"] = q_tax_net
+@query("tax_gross")
+def q_tax_gross(spark, sf):
+    """ERP list prices (without tax) with each article's tax."""
+    s = R.erp_sales(spark, sf).select("linea_id", "articulo_id", "precio_lista")
+    a = FCT.article_lookup(R.erp_articles(spark, sf)).select(F.col("sku").alias("_s"), "iva_pct")
+    j = s.join(a, s.articulo_id == a._s, "left")
+    return j.select("linea_id", S.tax_gross("precio_lista", F.coalesce(F.col("iva_pct"), F.lit(21.0))).alias("gross_price"))
 
 
 def _pct_text(c):
@@ -162,9 +176,7 @@ def q_order_validity(spark, sf):
 
 @query("sargable_floor")
 def q_sargable_floor(spark, sf):
-    m = R.market_orders(spark, sf)
-    floor_txt = (CUTOFF - dt.timedelta(days=1)).isoformat()
-    pre = m.where(F.col("date_created") >= F.lit(floor_txt))      # bare column: pushdown-friendly
+    pre = R.market_orders(spark, sf, since=CUTOFF)      # bare order date: reaches the scan
     return pre.withColumn("local_date", local_date("date_created")) \
               .where(F.col("local_date") >= F.lit(CUTOFF)).select("id", "local_date")
 
@@ -208,7 +220,11 @@ def q_attribute_lookup_last_wins(spark, sf):
                     F.col("proveedor").alias("supplier"), F.col("marca").alias("brand"))
 
 
-QUERIES["cost_offer_join"] = QUERIES["cost_history"]
+@query("cost_offer_join")
+def q_cost_offer_join(spark, sf):
+    """Costs that an offer lowers, with what it takes off."""
+    c = costs(spark, sf).where(F.col("oferta_pct") > 0)
+    return c.select("sku", "mes_comercial", "oferta_pct", F.round(F.col("costo_teorico") - F.col("costo_real"), 4).alias("off"))
 
 
 @query("observation_catalog_join")
@@ -228,7 +244,14 @@ def q_anti_existing(spark, sf):
     return o.join(sh, o._sid == sh.shipping_id, "left_anti").select("id", "_sid").withColumnRenamed("_sid", "shipping_id")
 
 
-QUERIES["missing_shipping"] = q_anti_existing
+@query("missing_shipping")
+def q_missing_shipping(spark, sf):
+    """Packages without a shipment row, by status of their orders: orders and amount."""
+    o = R.market_orders(spark, sf).withColumn("_sid", F.col("shipping_id").cast("bigint").cast("string"))
+    sh = R.market_shipments(spark, sf).select(F.col("shipping_id").alias("_sid"))
+    lost = o.join(sh, "_sid", "left_anti")
+    return lost.groupBy("status").agg(F.countDistinct("_sid").alias("packages"), F.count(F.lit(1)).alias("orders"),
+                                      F.round(exact_sum("total_amount"), 2).alias("amount"))
 
 
 @query("self_dedupe_join")
@@ -375,7 +398,12 @@ def q_top_n_preview(spark, sf):
              .orderBy(F.desc("revenue"), "sku").limit(10))
 
 
-QUERIES["ordered"] = q_top_n_preview
+@query("ordered")
+def q_ordered(spark, sf):
+    """Every SKU by revenue: a total order over the whole result (range
+    partitioned, no row is left out)."""
+    f = q_fact_sales(spark, sf)
+    return f.groupBy("sku").agg(F.round(exact_sum("line_total"), 2).alias("revenue")).orderBy(F.desc("revenue"), "sku")
 
 
 @query("last_run_streak")
@@ -403,7 +431,12 @@ def q_serpentine_assign(spark, sf):
 
 # --- §2.7 set operations ----------------------------------------------------------
 
-QUERIES["union_channels"] = q_fact_sales
+@query("union_channels")
+def q_union_channels(spark, sf):
+    """The three channels' facts, each built on its own, by name."""
+    parts = [QUERIES[f"fact_{c}"](spark, sf).select("channel", "order_id", "sku", "quantity", "line_total")
+             for c in ("wholesale", "webstore", "marketplace")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("union_months")
@@ -451,8 +484,8 @@ def q_catalog_dedupe_ids(spark, sf):
 def q_missing_keys(spark, sf):
     """Shipments of paid orders (one row per shipping id, smallest order)
     that are not fetched yet, from a date floor on."""
-    m = R.market_orders(spark, sf).where(F.col("status") == "paid")
-    m = m.where(F.col("date_created") >= F.lit((CUTOFF - dt.timedelta(days=1)).isoformat()))
+    m = R.market_orders(spark, sf, since=CUTOFF).where(F.col("status") == "paid")
+    m = m.where(local_date("date_created") >= F.lit(CUTOFF))
     m = m.withColumn("shipping", F.col("shipping_id").cast("bigint").cast("string"))
     per_ship = any_per_key(m.select("shipping", "id"), ["shipping"])
     sh = R.market_shipments(spark, sf)
@@ -547,24 +580,29 @@ def _recomputed_margin():
     return (F.col("net_price") - F.col("unit_cost") - F.col("commission")) * q - S.nz("freight")
 
 
+def _stored_margin():
+    """The margin as a table with faults would hold it: every 50th order's is off by one."""
+    return F.col("margin") + F.when(F.col("order_id").try_cast("bigint") % 50 == 0, 1.0).otherwise(0.0)
+
+
 @query("margin_audit")
 def q_margin_audit(spark, sf):
     f = q_fact_sales(spark, sf)
     return f.groupBy("channel").agg(F.count(F.lit(1)).alias("lines"),
-                                    QL.mismatch_count(F.col("margin"), _recomputed_margin()).alias("mismatched"))
+                                    QL.mismatch_count(_stored_margin(), _recomputed_margin()).alias("mismatched"))
 
 
 @query("margin_backfill")
 def q_margin_backfill(spark, sf):
-    """Lines whose margin carried one commission instead of one per unit get
-    it recomputed; rows outside the condition are untouched (idempotent)."""
+    """The whole marketplace table: lines whose margin carried one commission
+    instead of one per unit get it recomputed, all others stay."""
     f = q_fact_sales(spark, sf).where(F.col("channel") == FCT.CHANNEL_MARKETPLACE)
     buggy = (F.col("net_price") - F.col("unit_cost")) * F.col("quantity") - F.col("commission") - S.nz("freight")
     f = f.withColumn("margin_before", buggy)
-    cond = F.col("unit_cost").isNotNull() & (F.col("commission") != 0) & (F.col("quantity") > 1)
+    cond = F.coalesce(F.col("unit_cost").isNotNull() & (F.col("commission") != 0) & (F.col("quantity") > 1), F.lit(False))
     after = F.when(cond, _recomputed_margin()).otherwise(F.col("margin_before"))
-    return f.where(cond).select("order_id", "sku", F.round("margin_before", 2).alias("margin_before"),
-                                F.round(after, 2).alias("margin_after"))
+    return f.select("order_id", "sku", F.round("margin_before", 2).alias("margin_before"),
+                    F.round(after, 2).alias("margin_after"), cond.alias("corrected"))
 
 
 @query("reject_count")
@@ -605,8 +643,11 @@ def q_null_profile(spark, sf):
 
 @query("find_value_in_row")
 def q_find_value_in_row(spark, sf):
-    return QL.find_value_in_row(R.market_orders(spark, sf).select("id", "date_created", "status", "buyer_nickname"),
-                                "id", needle="1999-12-31")
+    """Every column of the order table: text that holds the needle, numbers in the range."""
+    m = R.market_orders(spark, sf).withColumn("total_amount", F.round("total_amount", 0)).withColumn("shipping_id", F.col("shipping_id").cast("bigint"))
+    out = QL.find_value_in_row(m, "id", needle="1999-12-31", lo=50_000.0, hi=50_100.0)
+    number = F.col("column_name").isin("total_amount", "shipping_id")
+    return out.withColumn("value", F.when(number, F.col("value").cast("double").cast("bigint").cast("string")).otherwise(F.col("value")))
 
 
 # --- flagship ------------------------------------------------------------------------

@@ -24,26 +24,7 @@ def q_pulse_stream(spark, sf):
     schema = read_table(spark, sf, "events").schema
 
     def to_obs(events):
-        # same projection as the batch role, applied to the stream
-        from marginflow.functions import scalars as S
-
-        et = F.col("event_type")
-        k = F.get_json_object("props", "$.k").cast("int")
-        sub = (F.when(et == "error", F.array(F.lit("out_of_stock")))
-                .when(et == "click", F.array(F.lit("paused_by_seller")))
-                .when(et == "view", F.array(F.lit("b_tag"), F.lit("a_tag")))
-                .otherwise(F.array().cast("array<string>")))
-        status = F.when(et == "signup", F.lit("closed")).when(et == "click", F.lit("paused")).otherwise(F.lit("active"))
-        qty = F.when((et == "purchase") & (k % 5 == 0), F.lit(0)).otherwise(k)
-        o = events.select("event_id", F.col("user_id").cast("string").alias("item_id"), "ts",
-                          (F.col("user_id") % 60).cast("string").alias("sku"),
-                          F.when(F.col("user_id") % 3 == 0,
-                                 F.concat(F.lit("INV"), (F.col("user_id") % 40).cast("string"))).alias("inventory_id"),
-                          status.alias("status"), sub.alias("sub_status"), qty.alias("available_quantity"))
-        reason = S.listing_reason("status", "sub_status", "available_quantity")
-        return o.select("event_id", "item_id", "ts", "sku", "inventory_id", "status",
-                        S.canonical_list_text("sub_status").alias("sub_status"), reason.alias("reason"),
-                        (reason == S.REASON_OK).alias("sellable"), F.col("available_quantity").alias("units"))
+        return EX.observed_states(R.project_observations(events))
 
     table = run_pulse_stream(spark, table_path(sf, "events"), schema, to_obs, "item_id", "ts",
                              EX.STATE_COLS, EX.STATE_EXTRAS, ["event_id"])

@@ -137,7 +137,12 @@ def q_customer_segments(spark, sf):
     return SEG.customer_segments(R.erp_customers(spark, sf), R.erp_sales(spark, sf))
 
 
-QUERIES["segment_join"] = q_customer_segments
+@query("segment_join")
+def q_segment_join(spark, sf):
+    """ERP sales lines with the tier of their customer (none: null)."""
+    seg = q_customer_segments(spark, sf).select(F.col("customer_id").alias("_c"), "tier")
+    s = R.erp_sales(spark, sf).select("linea_id", "cliente_id")
+    return s.join(seg, F.col("cliente_id") == F.col("_c"), "left").select("linea_id", "cliente_id", "tier")
 
 
 @query("customer_tier")

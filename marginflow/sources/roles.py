@@ -13,10 +13,12 @@ Order status: F paid · P partially refunded · O cancelled.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.functions.time import commercial_month, local_date
+from marginflow.functions.time import commercial_month
 from marginflow.sources.tables import read_table
 
 WHOLESALE_PRIORITIES = ("1-URGENT", "2-HIGH")
@@ -32,13 +34,19 @@ OTHER_CARRIERS = ("SOUTH ROUTE FREIGHT", "NORTH LINE CARGO")
 SECOND_PREP_OFFSET = 1_000_000_000
 
 
-def _orders(spark, sf_dir, priorities) -> DataFrame:
-    return (read_table(spark, sf_dir, "orders")
-            .where(F.col("o_orderpriority").isin(*priorities)))
+def _orders(spark, sf_dir, priorities, since: dt.date | None = None) -> DataFrame:
+    """Orders of a channel; with ``since``, only those whose local date can be
+    that day or later (a local date is at most a day off the order date): a
+    filter on the bare column, which reaches the Parquet statistics."""
+    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderpriority").isin(*priorities))
+    if since is None:
+        return o
+    floor = dt.datetime.combine(since - dt.timedelta(days=1), dt.time())
+    return o.where(F.col("o_orderdate") >= F.lit(floor))
 
 
-def _lines(spark, sf_dir, priorities, order_cols) -> DataFrame:
-    o = _orders(spark, sf_dir, priorities).select("o_orderkey", *order_cols)
+def _lines(spark, sf_dir, priorities, order_cols, since: dt.date | None = None) -> DataFrame:
+    o = _orders(spark, sf_dir, priorities, since).select("o_orderkey", *order_cols)
     li = read_table(spark, sf_dir, "lineitem")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
 
@@ -65,10 +73,10 @@ def company_code(segment):
     return expr.otherwise(out)
 
 
-def erp_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def erp_sales(spark: SparkSession, sf_dir: str, since: dt.date | None = None) -> DataFrame:
     """One row per ERP sales line (list price without tax + 3 discounts)."""
     lines = _lines(spark, sf_dir, WHOLESALE_PRIORITIES,
-                   ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
+                   ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"], since)
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     df = lines.join(cust, lines.o_custkey == cust.c_custkey, "inner")
     return df.select(
@@ -132,40 +140,29 @@ def erp_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def sold_sku_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (sku, commercial month) sold in any channel."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    """Distinct (part, commercial month) sold in any channel.  A channel's
+    local date is up to a day off the order date, so the months of the days
+    around it count too."""
+    o = read_table(spark, sf_dir, "orders")
+    day = F.to_date("o_orderdate")
+    months = F.array_distinct(F.array(commercial_month(F.date_sub(day, 1)), commercial_month(day), commercial_month(F.date_add(day, 1))))
+    o = o.select("o_orderkey", months.alias("_months"))
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .select(F.col("l_partkey").alias("partkey"),
-                    commercial_month(F.to_date("o_orderdate")).alias("mes_comercial"))
+            .select(F.col("l_partkey").alias("partkey"), F.explode("_months").alias("mes_comercial"))
             .distinct())
 
 
-# Commercial months covered by the landed orders (fixed range of the data).
-COST_MONTHS = ("1994-12-01", "2001-08-01")
-
-
-def _cost_months():
-    """(yyyy-MM, month number) pairs of ``COST_MONTHS`` as a literal array."""
-    y, m = (int(x) for x in COST_MONTHS[0][:7].split("-"))
-    ey, em = (int(x) for x in COST_MONTHS[1][:7].split("-"))
-    out = []
-    while (y, m) <= (ey, em):
-        out.append(F.struct(F.lit(f"{y:04d}-{m:02d}").alias("mes"), F.lit(m).alias("m")))
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    return F.array(*out)
-
-
 def cost_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly theoretical cost sheet (sku, month, cost): one row per part
-    and commercial month, generated per part row from a literal month list
-    (no join, no per-row date formatting).  Parts with ``p_size <= 2`` have
-    no cost (their margin stays null)."""
+    """Monthly theoretical cost sheet (sku, month, cost) for every part and
+    commercial month sold, whatever range the sales span.  Parts with
+    ``p_size <= 2`` have no cost (their margin stays null)."""
     p = read_table(spark, sf_dir, "part").where(F.col("p_size") > 2).select("p_partkey", "p_retailprice")
-    pm = p.select("p_partkey", "p_retailprice", F.explode(_cost_months()).alias("_m"))
-    return pm.select(F.col("p_partkey").cast("string").alias("sku"), F.col("_m.mes").alias("mes_comercial"),
-                     F.round(F.col("p_retailprice") * (F.lit(0.40) + F.lit(0.02) * F.col("_m.m")), 2)
-                     .alias("costo_teorico"))
+    sold = sold_sku_months(spark, sf_dir)
+    pm = sold.join(p, sold.partkey == p.p_partkey)
+    m = F.substring("mes_comercial", 6, 2).cast("int")
+    return pm.select(F.col("p_partkey").cast("string").alias("sku"), "mes_comercial",
+                     F.round(F.col("p_retailprice") * (F.lit(0.40) + F.lit(0.02) * m), 2).alias("costo_teorico"))
 
 
 def offer_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,8 +221,8 @@ def _shipping_id():
     return (F.col("o_custkey") * 100 + F.month("o_orderdate")).cast("double")
 
 
-def market_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _orders(spark, sf_dir, MARKETPLACE_PRIORITIES)
+def market_orders(spark: SparkSession, sf_dir: str, since: dt.date | None = None) -> DataFrame:
+    o = _orders(spark, sf_dir, MARKETPLACE_PRIORITIES, since)
     ok = F.col("o_orderkey")
     return o.select(
         ok.alias("id"),
@@ -301,12 +298,10 @@ def preparations(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(ok % 5 == 2, F.lit(None).cast("string"))
                 .when(ok % 5 == 3, F.lit(OTHER_CARRIERS[0]))
                 .otherwise(F.lit(OTHER_CARRIERS[1])))
-    base = o.select(F.floor(ok / 3).cast("bigint").alias("preparacion_id"),
-                    ok.cast("string").alias("pedido_codigo"), carrier.alias("transporte"), ok.alias("_ok"))
-    dup = base.where(F.col("_ok") % 4 == 0)
-    second = (base.where(F.col("_ok") % 9 == 0)
-              .withColumn("preparacion_id", F.col("preparacion_id") + SECOND_PREP_OFFSET))
-    return base.unionByName(dup).unionByName(second).drop("_ok")
+    pid = F.floor(ok / 3).cast("bigint")
+    ids = F.array(pid, F.when(ok % 4 == 0, pid), F.when(ok % 9 == 0, pid + SECOND_PREP_OFFSET))
+    return (o.select(F.explode(F.array_compact(ids)).alias("preparacion_id"), ok.cast("string").alias("pedido_codigo"),
+                     carrier.alias("transporte")))
 
 
 def freight_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,11 +310,11 @@ def freight_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = preparations(spark, sf_dir).select("preparacion_id").distinct().where(F.col("preparacion_id") % 4 != 3)
     pid = F.col("preparacion_id")
     s = pid.cast("string")
-    return (p.select(s.alias("clave_fila"), (F.lit(100.0) + (pid % 50).cast("double") * 10.0).alias("neto_cobrado_transporte"))
-            .unionByName(p.select(F.concat(s, F.lit("-A")).alias("clave_fila"),
-                                  (F.lit(60.0) + (pid % 30).cast("double") * 5.0).alias("neto_cobrado_transporte")))
-            .unionByName(p.select(F.concat(s, F.lit("-B")).alias("clave_fila"),
-                                  (F.lit(40.0) + (pid % 20).cast("double") * 5.0).alias("neto_cobrado_transporte"))))
+    row = lambda key, net: F.struct(key.alias("clave_fila"), net.alias("neto_cobrado_transporte"))
+    rows = F.array(row(s, F.lit(100.0) + (pid % 50).cast("double") * 10.0),
+                   row(F.concat(s, F.lit("-A")), F.lit(60.0) + (pid % 30).cast("double") * 5.0),
+                   row(F.concat(s, F.lit("-B")), F.lit(40.0) + (pid % 20).cast("double") * 5.0))
+    return p.select(F.explode(rows).alias("r")).select("r.*")
 
 
 # ---------------------------------------------------------------------------
@@ -328,16 +323,21 @@ def freight_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listing_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event is one observation of one listing (item = user)."""
-    e = read_table(spark, sf_dir, "events")
+    return project_observations(read_table(spark, sf_dir, "events"))
+
+
+def project_observations(e: DataFrame) -> DataFrame:
+    """Events as listing observations (batch or stream): four listings share
+    a SKU and six an inventory, so both grow with the listings."""
     et = F.col("event_type")
     k = F.get_json_object("props", "$.k").cast("int")
     return e.select(
         F.col("event_id"),
         F.col("user_id").cast("string").alias("item_id"),
         F.col("ts"),
-        (F.col("user_id") % 60).cast("string").alias("sku"),
-        F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("INV"), (F.col("user_id") % 40).cast("string")))
-         .alias("inventory_id"),
+        F.floor(F.col("user_id") / 4).cast("bigint").cast("string").alias("sku"),
+        F.when(F.col("user_id") % 3 == 0,
+               F.concat(F.lit("INV"), F.floor(F.col("user_id") / 6).cast("bigint").cast("string"))).alias("inventory_id"),
         F.when(et == "signup", F.lit("closed")).when(et == "click", F.lit("paused"))
          .otherwise(F.lit("active")).alias("status"),
         F.when(et == "error", F.array(F.lit("out_of_stock")))
@@ -358,7 +358,3 @@ def pulse_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.date_trunc("hour", "ts")
     return (e.where(~((F.dayofmonth("ts") % 5 == 0) & F.hour("ts").between(3, 8)))
             .select(h.alias("moment")).distinct())
-
-
-def local_dates(df: DataFrame, col: str, out: str = "fecha") -> DataFrame:
-    return df.withColumn(out, local_date(col))

@@ -18,19 +18,9 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events do
                  "embeddings pages benchmark labels conversations").split()
 
 
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet read of one landed table.  The (lazy) relation is reused per
-    session and path so a query that reads a table in several roles resolves
-    its schema once; Spark still reuses identical exchanges in the plan."""
-    key = (id(spark._jsparkSession), table_path(sf_dir, name))
-    df = _READ_CACHE.get(key)
-    if df is None:
-        df = spark.read.parquet(key[1])
-        _READ_CACHE[key] = df
-    return df
+    """Parquet read of one landed table."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def scan_table(spark: SparkSession, sf_dir: str, name: str,
@@ -44,9 +34,3 @@ def scan_table(spark: SparkSession, sf_dir: str, name: str,
     if cols:
         df = df.select(*cols)
     return df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names: Sequence[str] = DRIVER_TABLES) -> None:
-    """Temp views for SQL users, one per landed table."""
-    for n in names:
-        read_table(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -75,6 +75,8 @@ def test_margin_band_bounds(spark):
     assert got == ["<10", "10-18", "18-25", "25-35", ">35", ">35", None]
 
 
-def test_code_label_unknown_keeps_raw(spark):
-    got = _col(spark, [" 001", "099 ", None], "string", lambda c: S.code_label(c, S.SELLER_LABELS, "Seller"))
-    assert got == ["HEAD OFFICE", "Seller 099 ", None]
+def test_label_codes_unknown_keeps_raw(spark):
+    df = spark.createDataFrame([(" 001",), ("099 ",), (None,)], "c string")
+    labels = spark.createDataFrame([("001", "North")], "code string, label string")
+    got = {r.c: r.seller for r in S.label_codes(df, "c", labels, "Seller", "seller").collect()}
+    assert got == {" 001": "North", "099 ": "Seller 099 ", None: None}

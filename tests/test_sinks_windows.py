@@ -11,8 +11,18 @@ from marginflow.sinks import writers as W
 def test_replace_window_empty_is_noop(spark):
     cur = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "id int, d date")
     empty = cur.limit(0)
-    assert W.replace_window(cur, empty, "d", dt.date(2023, 1, 1)) is cur
-    assert W.replace_all(cur, empty) is cur
+    rows = sorted(cur.collect())
+    assert sorted(W.replace_window(cur, empty, "d", dt.date(2023, 1, 1)).collect()) == rows
+    assert sorted(W.replace_window_and_keys(cur, empty, "d", dt.date(2023, 1, 1), ["id"]).collect()) == rows
+    assert sorted(W.replace_all(cur, empty).collect()) == rows
+
+
+def test_windowed_scan_prunes_by_order_date(spark):
+    from marginflow.registry import QUERIES
+
+    for key in ("sargable_floor", "missing_keys", "late_data_policy"):
+        plan = QUERIES[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(o_order" in plan, key   # Spark shortens the name
 
 
 def test_replace_window_and_keys_idempotent(spark):
