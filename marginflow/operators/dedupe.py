@@ -4,7 +4,8 @@ They are written as ``groupBy(key).agg(max_by(struct(row), order))``
 rather than ``row_number() over (partition by key order by ...)``: the
 aggregate has a map-side partial step, so a hot key holding a third of the
 rows is pre-reduced on every mapper before the shuffle instead of being
-sorted whole inside one task.  Ties on ``order`` are broken by the full
+sorted whole inside one task (struct rows are aggregated by sorting, on
+either side of the shuffle).  Ties on ``order`` are broken by the full
 row, so the result is deterministic.
 """
 
@@ -48,11 +49,3 @@ def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``DISTINCT ON (keys)`` with no order: we pick the smallest row, so the
     choice is reproducible."""
     return keep_one_per_key(df, keys, [], last=False)
-
-
-def row_number_dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Window form, for callers that need the kept row's position too."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

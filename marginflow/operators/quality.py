@@ -38,21 +38,10 @@ def repeated_key_excess(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def unique_key_guard(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Offending keys (must be empty).  Use ``assert_unique`` to fail a job."""
+    """Offending keys (must be empty)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Return ``df`` unchanged, failing the job at execution if a key repeats.
-
-    The check rides inside the plan (``raise_error`` on a windowless
-    aggregate joined back is avoided: we only look at the duplicate count)."""
-    bad = unique_key_guard(df, keys).limit(1).count()
-    if bad:
-        raise ValueError(f"duplicate key {list(keys)}")
-    return df
-
-
 def mismatch_count(stored: Column, recomputed: Column, tol: float = 0.01) -> Column:
     """count of rows whose stored value differs from the recomputed one by
     more than ``tol`` (null on either side does not count)."""

@@ -3,6 +3,7 @@ equal it) and for interval union / hours / coverage."""
 
 from __future__ import annotations
 
+from marginflow.oracle.q_fact import fact_sql
 from marginflow.oracle.q_ops import REASON
 from marginflow.oracle.roles_sql import sround, with_roles
 
@@ -355,21 +356,18 @@ _G = "(CASE WHEN quantity <> 0 THEN line_total / quantity END)"
 _FPU = "(CASE WHEN quantity <> 0 THEN coalesce(freight, 0.0) / quantity END)"
 _PCT = (f"((({_G} - coalesce({_G} - net_price, 0.0)) - unit_cost - coalesce(commission, 0.0) - coalesce({_FPU}, 0.0))"
         f" / (CASE WHEN {_G} <> 0 THEN {_G} END) * 100.0)")
-ORACLE["elasticity_by_band"] = with_roles(f"""WITH sales AS (
-  SELECT sku, quantity, price * quantity AS line_total, price * 0.55 AS unit_cost, price * 0.10 AS commission,
-         0.5 AS freight, price / 1.21 AS net_price FROM (
-    SELECT sku, price, CAST(available_quantity % 5 + 1 AS DOUBLE) AS quantity FROM listing_observations
-    WHERE len(sub_status) = 0 AND status = 'active')),
-banded AS (SELECT *, CASE WHEN p IS NULL THEN NULL WHEN p < 10.0 THEN '<10' WHEN p < 18.0 THEN '10-18'
-  WHEN p < 25.0 THEN '18-25' WHEN p < 35.0 THEN '25-35' ELSE '>35' END AS band FROM (SELECT *, {_PCT} AS p FROM sales)),
-per AS (SELECT sku, band, CAST(sum(CAST(((net_price - unit_cost - commission) * quantity - coalesce(freight, 0.0))
-    AS DECIMAL(38,6))) AS DOUBLE) AS margin, CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE) AS units
+ORACLE["elasticity_by_band"] = fact_sql(f"""WITH banded AS (SELECT *,
+  CASE WHEN p IS NULL THEN NULL WHEN p < 10.0 THEN '<10' WHEN p < 18.0 THEN '10-18'
+  WHEN p < 25.0 THEN '18-25' WHEN p < 35.0 THEN '25-35' ELSE '>35' END AS band,
+  (net_price - unit_cost - commission) * quantity - coalesce(freight, 0.0) AS m FROM (SELECT *, {_PCT} AS p FROM fact_sales)),
+per AS (SELECT sku, band, CAST(sum(CAST(m AS DECIMAL(38,6))) AS DOUBLE) AS margin, CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE) AS units
   FROM banded WHERE band IS NOT NULL GROUP BY sku, band),
 r AS (SELECT *, CASE WHEN units <> 0 THEN margin / units END AS mpu,
   list_position(['<10', '10-18', '18-25', '25-35', '>35'], band) AS band_rank,
   count(*) OVER (PARTITION BY sku) AS bands FROM per),
 b AS (SELECT *, max(mpu) OVER (PARTITION BY sku) AS best FROM r WHERE bands >= 2),
-w AS (SELECT sku, arg_max(band, band_rank) AS winner_band, arg_max(mpu, band_rank) AS mpu,
-  arg_max(units, band_rank) AS units FROM b WHERE mpu >= best - abs(best) * 0.1 GROUP BY sku)
-SELECT sku, winner_band, {sround('mpu', 4)} AS margin_per_unit, {sround('units', 4)} AS units,
-  units >= 15 AS with_volume FROM w""", "listing_observations")
+w AS (SELECT sku, arg_max(band, band_rank) AS band, arg_max(units, band_rank) AS units FROM b WHERE mpu >= best - abs(best) * 0.1 GROUP BY sku),
+t AS (SELECT band, CAST(sum(CAST(m AS DECIMAL(38,6))) AS DOUBLE) AS margin, CAST(sum(CAST(quantity AS DECIMAL(38,6))) AS DOUBLE) AS units
+  FROM banded WHERE band IS NOT NULL GROUP BY band)
+SELECT t.band, {sround('t.margin', 2)} AS margin, {sround('t.units', 2)} AS units, (SELECT count(*) FROM w WHERE w.band = t.band) AS skus_won,
+  (SELECT count(*) FROM w WHERE w.band = t.band AND w.units >= 15) AS won_with_volume FROM t""", "fact_sales")

@@ -46,3 +46,16 @@ def elasticity_by_band(sales: DataFrame) -> DataFrame:
     return pick.select("sku", F.col("w.band").alias("winner_band"),
                        F.round("w.margin_per_unit", 4).alias("margin_per_unit"),
                        F.round("w.units", 4).alias("units"), (F.col("w.units") >= MIN_UNITS).alias("with_volume"))
+
+
+def band_scores(sales: DataFrame) -> DataFrame:
+    """Per band: margin and units of all its lines, and the number of SKUs it
+    wins (also counting only winners with volume).  Five rows at most."""
+    q = F.col("quantity")
+    lines = line_margin_pct(sales).where(F.col("band").isNotNull())
+    margin = (F.col("net_price") - F.col("unit_cost") - F.col("commission")) * q - S.nz("freight")
+    total = lines.groupBy("band").agg(F.round(exact_sum(margin), 2).alias("margin"), F.round(exact_sum(q), 2).alias("units"))
+    won = elasticity_by_band(sales).groupBy(F.col("winner_band").alias("band")).agg(
+        F.count(F.lit(1)).alias("skus_won"), F.count_if("with_volume").alias("won_with_volume"))
+    return total.join(won, "band", "left").select("band", "margin", "units", F.coalesce("skus_won", F.lit(0)).alias("skus_won"),
+                                                  F.coalesce("won_with_volume", F.lit(0)).alias("won_with_volume"))

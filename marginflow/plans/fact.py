@@ -187,7 +187,9 @@ def package_orders(shipments: DataFrame, orders: DataFrame,
         S.nz("total_amount").alias("total_amount"))
     sh = shipments.select("shipping_id", "costo_envio")
     j = sh.join(o, sh.shipping_id == o._sid, "inner").drop("_sid")
-    return j.dropDuplicates(["shipping_id", "order_id"])
+    # a repeated pair keeps its smallest values: numbers, so a hash aggregate
+    return j.groupBy("shipping_id", "order_id").agg(F.min("costo_envio").alias("costo_envio"),
+                                                    F.min("total_amount").alias("total_amount"))
 
 
 def package_totals(pk_orders: DataFrame) -> DataFrame:

@@ -55,12 +55,15 @@ def freight_lines(fact: DataFrame, preps: DataFrame, articles: DataFrame,
     m = m.join(lit, m.sku == lit._sku, "left").drop("_sku")
     m = (m.withColumn("freight_key", S.freight_key("preparacion_id", "transporte", "unit"))
           .withColumn("volume", line_volume(F.col("litros"), F.col("quantity"))))
-    m = with_group_total(m, ["freight_key"], "volume", out="key_volume")
+    # lines without a key would all meet in one task: each gets a key of its own for the joins
+    m = m.withColumn("_key", F.coalesce("freight_key", F.concat(F.lit("~"), "line_id")))
+    m = with_group_total(m, ["_key"], "volume", out="key_volume")
+    m = m.withColumn("key_volume", F.when(F.col("freight_key").isNotNull(), F.col("key_volume")))
     inv = keep_one_per_key(invoices.where(F.col("neto_cobrado_transporte").isNotNull())
-                           .select(F.col("clave_fila").alias("freight_key"),
+                           .select(F.col("clave_fila").alias("_key"),
                                    F.col("neto_cobrado_transporte").alias("key_freight")),
-                           ["freight_key"], [])
-    m = m.join(inv, "freight_key", "left")
+                           ["_key"], [])
+    m = m.join(inv, "_key", "left").drop("_key")
     real = (F.col("freight_key").isNotNull() & F.col("key_freight").isNotNull()
             & F.coalesce(F.col("key_volume") > 0, F.lit(False)))
     return (m.withColumn("is_real", real)

@@ -203,9 +203,11 @@ def q_band_summary(spark, sf):
 
 @query("elasticity_by_band")
 def q_elasticity_by_band(spark, sf):
-    from marginflow.plans.elasticity import elasticity_by_band
+    """Totals and SKUs won per margin band over the sales fact."""
+    from marginflow.plans.elasticity import band_scores
 
-    return elasticity_by_band(EX.experiment_sales(spark, sf))
+    f = QUERIES["fact_sales"](spark, sf)
+    return band_scores(f.select("sku", "quantity", "line_total", "net_price", "unit_cost", "commission", "freight"))
 
 
 @query("late_data_policy")

@@ -548,7 +548,7 @@ def q_replace_window_and_keys(spark, sf):
 def q_replace_keys(spark, sf):
     cur = R.preparations(spark, sf)
     req = cur.select("pedido_codigo").distinct().where(F.col("pedido_codigo").cast("bigint") % 10 == 3)
-    inc = cur.join(req, "pedido_codigo").dropDuplicates(["preparacion_id", "pedido_codigo"]) \
+    inc = cur.join(req, "pedido_codigo").distinct() \
              .withColumn("transporte", F.upper("transporte"))
     return W.replace_keys(cur, inc, req, ["pedido_codigo"])
 

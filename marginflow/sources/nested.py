@@ -41,10 +41,6 @@ def flatten_struct_columns(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*walk(df.schema, []))
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Landed JSON documents with an explicit schema (no inference)."""
-    return spark.read.schema(schema).json(path)
-
 
 def nested_to_text(df: DataFrame) -> DataFrame:
     """Array/map/struct columns → JSON text (for a text-only sink); null
@@ -199,8 +195,3 @@ def fingerprint() -> Column:
 def manifest_changed(current: Column, stored: Column) -> Column:
     """Absent or unreadable stored state counts as changed."""
     return stored.isNull() | ~current.eqNullSafe(stored)
-
-
-def flatten_catalog(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Full catalog load: documents → dotted columns (``catalog_loads``)."""
-    return flatten_struct_columns(read_json_documents(spark, path, schema))

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginflow.operators.dedupe import latest_per_key
+from marginflow.operators.dedupe import keep_one_per_key, latest_per_key
 
 
 def _same_state(a: str, b: str, state: Sequence[str]) -> Column:
@@ -38,38 +38,35 @@ def scd2_apply(history: DataFrame, batch: DataFrame, now, item: str, state: Sequ
     1. open rows whose state changed are closed: ``hasta = visto_hasta = now``;
     2. open rows with unchanged state advance ``visto_hasta`` and refresh extras;
     3. items without an open row (new, or just closed) get one from ``now``.
-    Items not in the batch and closed rows are untouched.  Empty batch → no-op.
+    Items not in the batch and closed rows are untouched, so an empty batch
+    changes nothing.
     """
-    if batch.isEmpty():
-        return history
     now_c = now if isinstance(now, Column) else F.lit(now)
     cols = [item, *state, *extras]
     b = batch.select(*cols)
     if "ts" in batch.columns:
         b = latest_per_key(batch.select(*cols, "ts"), [item], "ts").select(*cols)
     else:
-        b = b.dropDuplicates([item])
+        b = keep_one_per_key(b, [item], [])
     closed = history.where(F.col("hasta").isNotNull())
     open_ = history.where(F.col("hasta").isNull())
     j = open_.alias("o").join(b.alias("b"), F.col(f"o.{item}") == F.col(f"b.{item}"), "full_outer")
     has_o, has_b = F.col(f"o.{item}").isNotNull(), F.col(f"b.{item}").isNotNull()
     same = _same_state("o", "b", state)
-    hist_cols = ["desde", "hasta", "visto_hasta"]
+    out_cols = [item, "desde", "hasta", "visto_hasta", *state, *extras]
+    never = F.lit(None).cast(history.schema["hasta"].dataType)
 
-    def from_open(hasta, visto, refresh: bool):
-        return [F.col(f"o.{item}").alias(item), F.col("o.desde").alias("desde"), hasta.alias("hasta"),
-                visto.alias("visto_hasta"), *[F.col(f"o.{s}").alias(s) for s in state],
-                *[F.col(f"{'b' if refresh else 'o'}.{x}").alias(x) for x in extras]]
+    def row(desde, hasta, visto, keep: str, fresh: str):
+        return F.struct(F.coalesce(f"o.{item}", f"b.{item}").alias(item), desde.alias("desde"), hasta.alias("hasta"), visto.alias("visto_hasta"),
+                        *[F.col(f"{keep}.{s}").alias(s) for s in state], *[F.col(f"{fresh}.{x}").alias(x) for x in extras])
 
-    untouched = j.where(has_o & ~has_b).select(*from_open(F.col("o.hasta"), F.col("o.visto_hasta"), False))
-    advanced = j.where(has_o & has_b & same).select(*from_open(F.col("o.hasta"), now_c, True))
-    closing = j.where(has_o & has_b & ~same).select(*from_open(now_c, now_c, False))
-    opened = j.where(has_b & ~(has_o & same)).select(
-        F.col(f"b.{item}").alias(item), now_c.alias("desde"), F.lit(None).cast(history.schema["hasta"].dataType).alias("hasta"),
-        now_c.alias("visto_hasta"), *[F.col(f"b.{s}").alias(s) for s in state], *[F.col(f"b.{x}").alias(x) for x in extras])
-    out_cols = [item, *hist_cols, *state, *extras]
-    return (closed.select(*out_cols).unionByName(untouched).unionByName(advanced)
-                  .unionByName(closing).unionByName(opened))
+    # what becomes of an item's open row and what opens: an array per item, so the join runs once
+    o_desde, opened = F.col("o.desde"), row(now_c, never, now_c, "b", "b")
+    rows = (F.when(~has_b, F.array(row(o_desde, F.col("o.hasta"), F.col("o.visto_hasta"), "o", "o")))
+            .when(~has_o, F.array(opened))
+            .when(same, F.array(row(o_desde, never, now_c, "o", "b")))
+            .otherwise(F.array(row(o_desde, now_c, now_c, "o", "o"), opened)))
+    return closed.select(*out_cols).unionByName(j.select(F.explode(rows).alias("r")).select("r.*").select(*out_cols))
 
 
 def scd2_from_log(log: DataFrame, item: str, ts: str, state: Sequence[str],
@@ -100,10 +97,6 @@ def scd2_from_log(log: DataFrame, item: str, ts: str, state: Sequence[str],
                        *state, *extras)
 
 
-def open_intervals(history: DataFrame) -> DataFrame:
-    return history.where(F.col("hasta").isNull())
-
-
 def clip_end(hasta: str = "hasta", visto: str = "visto_hasta", window_end=None) -> Column:
     """``least(coalesce(hasta, visto_hasta), window_end)``."""
     e = F.coalesce(F.col(hasta), F.col(visto))
