@@ -16,11 +16,14 @@ all 32 sketches with a probability of some 6e-5 (long) or 2e-9 (short); above it
 
 How it scales: exact copies collapse first, by digest, with a combine before the shuffle, so
 copies are one node however many. Within a bucket of equal sketches, pairs are formed with one
-hub only (its least node), so a bucket of n gives n - 1 pairs. Links join most of a bucket
-into one class; only where a bucket still holds several classes, members of different classes
-(and of sizes that can be linked at all) are paired too, so that no link is lost. Components
-are found by alternating large-star and small-star steps on tables; the driver sees counts
-only.
+hub only, the member that meets most others in all its buckets, so a bucket of n gives n - 1
+pairs. Where a bucket of up to ``SMALL`` members then still holds several classes, members of
+different classes (and of sizes that can be linked at all) are paired too. In a larger one the
+alignment with the hub tells which pairs can be links at all (``_rest_of_hubs``): a text that
+is not linked to the hub shares too little with it, so that a link to another member needs
+shingles common to the two that the hub lacks; these are joined by a prefix filter, rarest
+first. So no link is lost, and no group's pairs are all formed. Components are found by
+alternating large-star and small-star steps on tables; the driver sees counts only.
 
 Defined results: a null text is in a class of its own. Texts without words are alike only if
 equal. Equal texts are one class, also under repeated or null ids; the class id is the least
@@ -35,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from marginflow.llm.common import short_batches, stored
 from marginflow.llm.textbytes import labelled, mix, shingles, word_bytes
@@ -46,6 +50,8 @@ LONG, SHORT_LENGTH = 6, 3
 #: Texts of more than SHORT shingles have long sketches, of up to SHORT_TO short ones;
 #: SHORT <= THRESHOLD * SHORT_TO, so linked texts share one kind.
 SHORT, SHORT_TO = 40, 50
+#: Buckets of up to so many members are compared in full where classes remain.
+SMALL = 32
 #: Shingles whose matrix of hashes is made at once.
 BLOCK = 50_000
 
@@ -131,8 +137,10 @@ def sketches(docs: DataFrame, text_col: str) -> DataFrame:
     return src.mapInArrow(run, "digest binary, n long, keys array<long>").dropDuplicates(["digest"])
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of node pairs (a, b), the linked ones."""
+def _compared(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Node pairs (a, b, wide): the number of shingles of b (``n``), those common with a
+    (``common``), whether they are linked and, where ``wide``, the shingles of b that a lacks
+    (``added``)."""
     short_batches(pairs.sparkSession, 64)
     d = nodes.select("node", "digest")
     p = pairs.join(d.withColumnsRenamed({"node": "a", "digest": "da"}), "a").join(d.withColumnsRenamed({"node": "b", "digest": "db"}), "b")
@@ -141,15 +149,58 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
         for b in batches:
-            good = []
-            for ta, tb in zip(b.column(2), b.column(3), strict=True):
+            linked, n, common, added = [], [], [], []
+            for wide, ta, tb in zip(b.column(2).to_pylist(), b.column(3), b.column(4), strict=True):
                 raw = ta.as_buffer()
                 if last[0] is None or not raw.equals(last[0]):
                     last = (raw, _sequence(raw.to_pybytes()))
-                good.append(similarity(last[1], _sequence(tb.as_buffer().to_pybytes())) >= THRESHOLD)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return p.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+                x = _sequence(tb.as_buffer().to_pybytes())
+                linked.append(similarity(last[1], x) >= THRESHOLD)
+                n.append(len(x))
+                more = np.setdiff1d(x, last[1], assume_unique=True) if wide else x[:0]
+                common.append(len(x) - len(more) if wide else 0)
+                added.append(more.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(common, pa.int64()), pa.array(added, pa.list_(pa.int64()))],
+                names=["a", "b", "linked", "n", "common", "added"],
+            )
+
+    return p.select("a", "b", "wide", "ta", "tb").mapInArrow(run, "a long, b long, linked boolean, n long, common long, added array<long>")
+
+
+def _rest_of_hubs(seen: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes among the texts compared with one hub that can be
+    links. ``seen`` has the comparisons with hubs of many partners (a: the hub).
+
+    A link of x and y needs (n_x + n_y) * THRESHOLD / (1 + THRESHOLD) shingles in common. Of
+    these the hub's are at most ``common`` of x, and of y; the rest must be among those that
+    both add to the hub, ``need`` of them at least for the shortest partner x can have in the
+    group. So of x's added shingles, rarest first, all but the last ``need - 1`` are joined
+    with the added ones of the group (one that x alone adds joins nothing). Only two texts so
+    far within the hub that its own shingles could make the link are paired without."""
+    root = lambda c, name: roots.select(F.col("node").alias(c), F.col("root").alias(name))
+    g = seen.join(root("b", "rb"), "b", "left").join(root("a", "ra"), "a", "left")
+    g = g.select(F.col("a").alias("hub"), F.col("b").alias("x"), "n", "common", "added", F.coalesce("rb", "b").alias("root"), F.coalesce("ra", "a").alias("hub_root"))
+    least = g.groupBy("hub").agg(F.min("n").alias("least"))
+    part = THRESHOLD / (1 + THRESHOLD)
+    g = g.join(least, "hub").withColumn("need", F.ceil((F.col("n") + F.greatest(F.col("least"), F.col("n") * THRESHOLD)) * part - F.col("common") - 1e-9))
+    g = stored(g.drop("least"), "hub-groups")
+    # a large group's shingles are spread over all tasks before they become rows
+    added = g.repartition("hub", "x").select("hub", "x", "n", "root", F.explode("added").alias("e"))
+    often = added.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    added = stored(added.join(often, ["hub", "e"]), "hub-added")
+    out = g.filter("root <> hub_root")
+    mine = added.join(out.select("hub", "x", F.greatest("need", F.lit(1)).alias("need")), ["hub", "x"]).withColumn("k", F.row_number().over(Window.partitionBy("hub", "x").orderBy("f", "e")))
+    shared = mine.groupBy("hub", "x").agg(F.count(F.lit(1)).alias("shared"))
+    # the shingles that x alone adds come first in its order
+    mine = mine.join(shared, ["hub", "x"]).filter(F.col("k") <= F.col("shared") - F.col("need") + 1).select("hub", "e", "x", "n", "root")
+    other = lambda df: df.withColumnsRenamed({"x": "y", "n": "m", "root": "other"})
+    by_shingle = mine.join(other(added.select("hub", "e", "x", "n", "root")), ["hub", "e"])
+    within = (F.col("n") + F.col("m")) * part <= F.least("common", "common_y") + 1e-9
+    weak = out.filter("need <= 0").select("hub", "x", "n", "root", "common").join(other(g.select("hub", "x", "n", "root", F.col("common").alias("common_y"))), "hub").filter(within)
+    fits = (F.col("root") != F.col("other")) & (F.col("n") >= THRESHOLD * F.col("m")) & (F.col("m") >= THRESHOLD * F.col("n"))
+    pair = lambda df: df.filter(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return pair(by_shingle).union(pair(weak)).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -184,22 +235,32 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, row_col: str | None =
     texts = docs.filter(F.col(text_col).isNotNull()).select(_digest(text_col).alias("digest"), F.col(text_col).cast("binary").alias("t"))
     texts = texts.groupBy("digest").agg(F.first("t").alias("t"))
 
-    hubs = in_bucket.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a <> last").select("key", "a")
-    tried = in_bucket.join(hubs, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    sizes = in_bucket.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = stored(in_bucket.join(sizes, "key"), "buckets")
+    meets = shared.groupBy("node").agg(F.sum("members").alias("meets"))
+    hubs = shared.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", (-F.col("node")).alias("node"))).alias("hub"))
+    hubs = hubs.select("key", (-F.col("hub.node")).alias("a"))
+    tried = shared.join(hubs, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     tried = stored(tried, "pairs")
-    links = stored(_verified(tried, nodes, texts), "links")
+    wide = tried.groupBy("a").agg((F.count(F.lit(1)) >= SMALL).alias("wide"))
+    seen = stored(_compared(tried.join(wide, "a").select("a", "b", "wide"), nodes, texts), "compared")
+    links = seen.filter("linked").select("a", "b")
 
     roots = components(links)
-    named = in_bucket.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
-    left = stored(named.join(open_, "key", "left_semi").select("key", "node", "n", "root"), "open-buckets")
-    x = left.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = left.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    left = stored(named.join(open_, "key", "left_semi"), "open-buckets")
+    few = left.filter(F.col("members") <= SMALL)
+    x = few.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    y = few.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     alike = (F.col("na") >= THRESHOLD * F.col("nb")) & (F.col("nb") >= THRESHOLD * F.col("na"))
-    rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & alike).select("a", "b").distinct()
-    rest = stored(rest.join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & alike).select("a", "b")
+    crowded = left.filter(F.col("members") > SMALL).select("key").distinct().join(hubs, "key").select("a").distinct()
+    rest = rest.union(_rest_of_hubs(seen.join(crowded, "a", "left_semi"), roots)).distinct()
+    both = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stored(rest.join(both, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        more = stored(_verified(rest, nodes, texts), "links")
+        more = stored(_compared(rest.withColumn("wide", F.lit(False)), nodes, texts).filter("linked").select("a", "b"), "links")
         if not more.isEmpty():
             roots = components(links.union(more))
 

@@ -96,6 +96,30 @@ def test_empty_table(spark):
     assert om.near_duplicates(docs).collect() == []
 
 
+@pytest.mark.parametrize("small", [om.SMALL, 2])
+def test_large_groups_lose_no_link(spark, monkeypatch, small):
+    """Copies of one text with many edits each, copies of copies, truncations, shared passages:
+    most are not linked to the hub, and the classes must be those of all pairs."""
+    monkeypatch.setattr(om, "SMALL", small)
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(220)]
+
+    def edited(words, k):
+        out = list(words)
+        for _ in range(k):
+            i = int(rng.integers(0, len(out)))
+            out[i : i + int(rng.integers(0, 2))] = [f"n{rng.integers(0, 10**9)}"]
+        return out
+
+    texts = [edited(base, int(rng.integers(0, 14))) for _ in range(60)]
+    texts += [edited(texts[int(rng.integers(0, 60))], int(rng.integers(1, 4))) for _ in range(40)]
+    texts += [base[: int(rng.integers(120, 220))] for _ in range(20)]
+    texts += [[f"u{rng.integers(0, 10**9)}" for _ in range(60)] + base[50:130] for _ in range(30)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), str(r.class_id)) for r in got) == brute_classes(rows)
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_similarity_is_the_longest_common_run(seed):
     rng = np.random.default_rng(seed)
