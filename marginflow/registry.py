@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marginflow.plans import fact as FCT
+from marginflow.session import stored
 from marginflow.sources import roles as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,13 +26,20 @@ def query(key: str):
 
 
 def fact_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    names = ["erp_sales", "erp_articles", "cost_sheet", "offer_sheet", "web_order_items",
+    names = ["erp_sales", "erp_articles", "web_order_items",
              "market_orders", "market_order_items", "market_shipments"]
-    return {n: getattr(R, n)(spark, sf) for n in names}
+    return {n: getattr(R, n)(spark, sf) for n in names} | sheets(spark, sf)
+
+
+def sheets(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Cost and offer sheets over one reading of the sold months."""
+    cost = stored(R.cost_sheet(spark, sf), "cost-sheet")
+    return {"cost_sheet": cost, "offer_sheet": R.offer_sheet(spark, sf, cost)}
 
 
 def costs(spark, sf):
-    return FCT.cost_history(R.cost_sheet(spark, sf), R.offer_sheet(spark, sf))
+    s = sheets(spark, sf)
+    return FCT.cost_history(s["cost_sheet"], s["offer_sheet"])
 
 
 # --- §2.10 composite: the fact -------------------------------------------------

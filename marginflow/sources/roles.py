@@ -165,18 +165,15 @@ def cost_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round(F.col("p_retailprice") * (F.lit(0.40) + F.lit(0.02) * m), 2).alias("costo_teorico"))
 
 
-def offer_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier offers per (sku, month) with a sheet row order ``_seq``;
-    some keys are repeated (the later row wins)."""
-    c = cost_sheet(spark, sf_dir)
+def offer_sheet(spark: SparkSession, sf_dir: str, costs: DataFrame | None = None) -> DataFrame:
+    """Supplier offers per (sku, month) of the cost sheet, with a sheet row
+    order ``_seq``; some keys are repeated (the later row wins)."""
+    c = cost_sheet(spark, sf_dir) if costs is None else costs
     k = F.col("sku").cast("bigint")
-    first = c.where(k % 5 == 0).select("sku", "mes_comercial",
-                                        ((k % 4).cast("double") * 5.0).alias("oferta_pct"),
-                                        F.lit(1).alias("_seq"))
-    second = c.where(k % 10 == 0).select("sku", "mes_comercial",
-                                          ((k % 4).cast("double") * 5.0 + 2.5).alias("oferta_pct"),
-                                          F.lit(2).alias("_seq"))
-    return first.unionByName(second)
+    pct = (k % 4).cast("double") * 5.0
+    row = lambda value, seq: F.struct(value.alias("oferta_pct"), F.lit(seq).alias("_seq"))
+    rows = F.when(k % 10 == 0, F.array(row(pct, 1), row(pct + 2.5, 2))).otherwise(F.array(row(pct, 1)))
+    return c.where(k % 5 == 0).select("sku", "mes_comercial", F.explode(rows).alias("r")).select("sku", "mes_comercial", "r.*")
 
 
 # ---------------------------------------------------------------------------
