@@ -129,20 +129,23 @@ def interval_hours(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(total_hours().alias("hours"))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "inner",
+def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str],
                  a_prefix: str = "a_", b_prefix: str = "b_") -> DataFrame:
     """Pairs of overlapping intervals on equal keys, with the clipped piece
-    ``[greatest(starts), least(ends))``.  The equi-key makes this a hash or
-    sort-merge join with a residual range predicate (never a nested loop)."""
-    aa = a.select(*keys, *[F.col(c).alias(a_prefix + c) for c in a.columns if c not in keys])
-    bb = b.select(*[F.col(k).alias("_k_" + k) for k in keys],
-                  *[F.col(c).alias(b_prefix + c) for c in b.columns if c not in keys])
-    cond = [aa[k] == bb["_k_" + k] for k in keys]
-    cond.append(aa[a_prefix + "start"] < bb[b_prefix + "end"])
-    cond.append(aa[a_prefix + "end"] > bb[b_prefix + "start"])
-    j = aa.join(bb, cond, how).drop(*["_k_" + k for k in keys])
-    return j.withColumn("start", F.greatest(a_prefix + "start", b_prefix + "start")) \
-            .withColumn("end", F.least(a_prefix + "end", b_prefix + "end"))
+    ``[greatest(starts), least(ends))``.
+
+    Both sides are listed under the calendar days they touch and joined on
+    (keys, day), so a key with long histories is not paired all with all; a
+    pair is kept at the day on which its overlap begins."""
+    days = lambda s, e: F.explode(F.sequence(F.to_date(s), F.to_date(F.col(e) - F.expr("INTERVAL 1 MICROSECOND")))).alias("_day")
+    some = F.col("start") < F.col("end")
+    aa = a.where(some).select(*keys, *[F.col(c).alias(a_prefix + c) for c in a.columns if c not in keys], days("start", "end"))
+    bb = b.where(some).select(*keys, *[F.col(c).alias(b_prefix + c) for c in b.columns if c not in keys], days("start", "end"))
+    j = aa.join(bb, [*keys, "_day"])
+    j = j.where((F.col(a_prefix + "start") < F.col(b_prefix + "end")) & (F.col(a_prefix + "end") > F.col(b_prefix + "start")))
+    j = j.withColumn("start", F.greatest(a_prefix + "start", b_prefix + "start")) \
+         .withColumn("end", F.least(a_prefix + "end", b_prefix + "end"))
+    return j.where(F.col("_day") == F.to_date("start")).drop("_day")
 
 
 def coverage_segments(moments: DataFrame, ts: str, window_end, max_gap_hours: float = 2.0,

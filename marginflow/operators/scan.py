@@ -12,6 +12,10 @@ or number ranges — deterministic, no sampling job):
    first value of the bucket after it (next value);
 3. the carry is joined back on ``(key, bucket)``.
 
+The local scan is written once to the shared folder; summary and join read
+it from there, so a chain of scans reads its input once and its plan stays
+short.
+
 The summary is tiny next to the data (≤ span/width rows per key), so its
 own per-key window is cheap even for the hottest key.  Hash partitioning is
 deterministic, so recomputing a lost partition gives the same answer.
@@ -25,6 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marginflow.session import stored
+
 # Default bucket widths: one day for time orderings, a fixed span for numbers.
 DAY_MICROS = 86_400_000_000
 NUMERIC_WIDTH = 1_000
@@ -53,17 +59,18 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
                      *[c.alias(f"_v_{k}") for k, c in vals.items()])
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = base.select("*", *[F.sum(f"_v_{k}").over(run).alias(f"_l_{k}") for k in vals],
-                        *([F.lead(next_of).over(w).alias("_lnext")] if next_of else []))
-    summ = base.groupBy(*keys, "_b").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals],
+    local = stored(base.select("*", *[F.sum(f"_v_{k}").over(run).alias(f"_l_{k}") for k in vals],
+                               *([F.lead(next_of).over(w).alias("_lnext")] if next_of else [])), "scan")
+    summ = local.groupBy(*keys, "_b").agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals],
                                           *([F.min_by(next_of, F.struct(*order)).alias("_first")] if next_of else []))
     ws = Window.partitionBy(*keys).orderBy("_b")
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(*keys, "_b", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_c_{k}")
-                                        for k in vals],
+    carry = summ.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_cb"),
+                        *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_c_{k}") for k in vals],
                         *([F.lead("_first").over(ws).alias("_cnext")] if next_of else []))
-    cond = [local[k].eqNullSafe(carry[k]) for k in keys] + [local["_b"] == carry["_b"]]
-    j = local.join(carry, cond, "left")
-    return j.select(*[local[c] for c in df.columns],
-                    *[(carry[f"_c_{k}"] + local[f"_l_{k}"]).alias(k) for k in vals],
-                    *([F.coalesce(local["_lnext"], carry["_cnext"]).alias(f"next_{next_of}")] if next_of else []))
+    same = F.col("_b") == F.col("_cb")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return local.join(carry, same, "left").select(
+        *df.columns, *[(F.col(f"_c_{k}") + F.col(f"_l_{k}")).alias(k) for k in vals],
+        *([F.coalesce("_lnext", "_cnext").alias(f"next_{next_of}")] if next_of else []))

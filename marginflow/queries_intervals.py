@@ -12,6 +12,7 @@ from marginflow.operators import intervals as IV
 from marginflow.operators.aggregates import exact_sum
 from marginflow.plans import experiment as EX
 from marginflow.registry import QUERIES, query
+from marginflow.session import stored
 from marginflow.sources import roles as R
 from marginflow.streaming.scd2 import clip_end
 
@@ -19,8 +20,8 @@ from marginflow.streaming.scd2 import clip_end
 def _state_intervals(spark, sf):
     """Per item: sellable / out-of-stock validity intervals from the log."""
     h = EX.state_history(spark, sf)
-    return h.select("item_id", "sku", "sellable", "reason", F.col("desde").alias("start"),
-                    clip_end().alias("end"))
+    return stored(h.select("item_id", "sku", "sellable", "reason", F.col("desde").alias("start"),
+                           clip_end().alias("end")), "state-intervals")
 
 
 def _sets(spark, sf):
