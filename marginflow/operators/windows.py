@@ -34,10 +34,11 @@ def changed_from_previous(keys: Sequence[str], order: Sequence[str | Column],
     return first | diff
 
 
-def change_points(df: DataFrame, keys: Sequence[str], ts: str, state: Sequence[str]) -> DataFrame:
-    """Rows that start a run of equal state per key, with a run number."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    flagged = df.withColumn("_chg", changed_from_previous(keys, [ts], state))
+def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], state: Sequence[str]) -> DataFrame:
+    """Rows that start a run of equal state per key, with a run number.
+    ``order`` should be total within a key (a time and a tie-breaker)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    flagged = df.withColumn("_chg", changed_from_previous(keys, order, state))
     flagged = flagged.withColumn("run_no", F.sum(F.col("_chg").cast("int")).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return flagged.where("_chg").drop("_chg")

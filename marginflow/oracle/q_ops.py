@@ -193,8 +193,8 @@ ORACLE["gap_pairs"] = with_roles("""SELECT start, "end" FROM (SELECT moment AS s
                                  "pulse_moments")
 ORACLE["change_points"] = with_roles(f"""WITH o AS (SELECT item_id, ts, event_id, {REASON} AS reason FROM listing_observations),
 f AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR reason IS DISTINCT FROM lag(reason) OVER w THEN 1 ELSE 0 END AS chg
-      FROM o WINDOW w AS (PARTITION BY item_id ORDER BY ts)),
-r AS (SELECT *, sum(chg) OVER (PARTITION BY item_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_no FROM f)
+      FROM o WINDOW w AS (PARTITION BY item_id ORDER BY ts, event_id)),
+r AS (SELECT *, sum(chg) OVER (PARTITION BY item_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_no FROM f)
 SELECT item_id, event_id, reason, CAST(run_no AS BIGINT) AS run_no FROM r WHERE chg = 1""", "listing_observations")
 ORACLE["top_n_preview"] = fact_sql(f"""SELECT sku, {SR(XS('line_total'))} AS revenue FROM fact_sales GROUP BY sku
 ORDER BY revenue DESC, sku LIMIT 10""", "fact_sales")

@@ -387,7 +387,7 @@ def q_gap_pairs(spark, sf):
 def q_change_points(spark, sf):
     o = R.listing_observations(spark, sf).withColumn(
         "reason", S.listing_reason("status", "sub_status", "available_quantity"))
-    return WN.change_points(o.select("item_id", "ts", "event_id", "reason"), ["item_id"], "ts", ["reason"]) \
+    return WN.change_points(o.select("item_id", "ts", "event_id", "reason"), ["item_id"], ["ts", "event_id"], ["reason"]) \
              .select("item_id", "event_id", "reason", "run_no")
 
 

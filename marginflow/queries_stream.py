@@ -42,12 +42,10 @@ def run_log(spark, sf):
 def q_freshness_report(spark, sf):
     """Per step: last OK run, consecutive failures since it, overdue flag."""
     log = run_log(spark, sf)
-    last_ok = log.where("ok").groupBy("step").agg(F.max("ts").alias("last_ok"))
-    j = log.join(last_ok, "step", "left")
-    tail = j.where(F.col("last_ok").isNull() | (F.col("ts") > F.col("last_ok")))
+    out = log.groupBy("step").agg(F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_ok"))
+    tail = log.join(out, "step").where(F.col("last_ok").isNull() | (F.col("ts") > F.col("last_ok")))
     streak = tail.groupBy("step").agg(F.count(F.lit(1)).alias("failure_streak"))
-    steps = log.select("step").distinct()
-    out = steps.join(last_ok, "step", "left").join(streak, "step", "left")
+    out = out.join(streak, "step", "left")
     overdue = (F.col("last_ok").isNull()
                | (F.col("last_ok") < F.lit(FRESHNESS_NOW) - F.expr(f"INTERVAL {OVERDUE_HOURS} HOURS")))
     return out.select("step", "last_ok", F.coalesce("failure_streak", F.lit(0)).alias("failure_streak"),
