@@ -55,6 +55,9 @@ NOISE_WORDS = frozenset(
     "topbar masthead header footer foot share sharing social related recommended recommendations comment comments reply replies respond disqus search "
     "pagination pager copyright legal disclaimer form toolbar skip".split()
 )
+#: Words that begin so say the same (commentlist, sidebarinner).
+NOISE_STEMS = ("commentlist", "commentbox", "advert", "sidebar", "breadcrumb", "newsletter", "cookiebar", "cookiebanner", "navbar", "adsense")
+NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 #: Start tags that end an open paragraph, and siblings that end each other.
 ENDS_P = frozenset(
@@ -69,6 +72,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -163,9 +167,10 @@ def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
                 else:
                     names += " " + (a or b or c).lower()
         words = _NAME.findall(names)
+        said = any(w in NOISE_WORDS or w.startswith(NOISE_STEMS) for w in words) or (bool(attrs) and _HIDDEN.search(attrs) is not None)
         up = stack[-1]
         if inline:
-            stack.append((tag, up[1], any(w in NOISE_WORDS for w in words), up[3], True))
+            stack.append((tag, up[1], said, up[3], True))
             links += tag == "a"
             continue
         mark = tag + "".join("." + w for w in words[:4])
@@ -174,7 +179,7 @@ def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
         children.setdefault(path, [])
         inside = up[3] or tag in CONTENT_TAGS or role == "main"
         content = tag in CONTENT_TAGS or tag in ("body", "html")
-        noise = tag in NOISE_TAGS or (tag == "header" and not up[3]) or (not content and any(w in NOISE_WORDS for w in words)) or role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog")
+        noise = tag in NOISE_TAGS or (tag == "header" and not up[3]) or (not content and said) or role in NOISE_ROLES
         stack.append((tag, path, noise, inside, False))
     rest = page[at:]
     text(rest)

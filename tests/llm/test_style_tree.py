@@ -13,6 +13,11 @@ def test_article_without_its_surroundings():
     assert st.main_text(PAGE) == "Title & more\nOne two three\nFour five <tag> é six\nc1\nc2"
 
 
+def test_what_says_itself_noise():
+    page = "<article><p>one</p><ol class=commentlist><li>nice</ol><p hidden>no</p><p style='display: none'>no</p><div role=alert>no</div><p class=lead>two</p><p aria-hidden=true>no</p></article>"
+    assert st.main_text(page) == "one\ntwo"
+
+
 def test_broken_markup():
     assert st.main_text("") == ""
     assert st.main_text("<p>a</div></p><p>b <a href='x'") == "a\nb"
