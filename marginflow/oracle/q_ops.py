@@ -121,9 +121,8 @@ FROM fact_sales GROUP BY ALL""", "fact_sales")
 ORACLE["cost_lookup"] = fact_sql("SELECT line_id, commercial_month, unit_cost, margin FROM fact_wholesale",
                                  "fact_wholesale")
 ORACLE["attribute_lookup_last_wins"] = with_roles("""SELECT s.linea_id, coalesce(a.iva_pct, 21.0) AS tax_pct,
-  a.proveedor AS supplier, a.marca AS brand FROM erp_sales s LEFT JOIN
-  (SELECT trim(id) AS sku, iva_pct, proveedor, marca FROM erp_articles) a ON trim(s.articulo_id) = a.sku""",
-                                                   "erp_sales", "erp_articles")
+  CASE WHEN CAST(a.id AS BIGINT) % 20 = 0 THEN 'late ' || a.proveedor ELSE a.proveedor END AS supplier, a.marca AS brand
+FROM erp_sales s LEFT JOIN erp_articles a ON s.articulo_id = a.id""", "erp_sales", "erp_articles")
 ORACLE["cost_offer_join"] = fact_sql(f"""SELECT sku, mes_comercial, oferta_pct, {SR('costo_teorico - costo_real', 4)} AS off
 FROM cost_history WHERE oferta_pct > 0""", "cost_history")
 ORACLE["observation_catalog_join"] = with_roles("""SELECT o.event_id, o.item_id, c.sku AS catalog_sku,
@@ -138,8 +137,9 @@ ORACLE["missing_shipping"] = with_roles(f"""SELECT status, count(DISTINCT CAST(s
   {SR(XS('total_amount'))} AS amount FROM market_orders o
 WHERE CAST(CAST(o.shipping_id AS BIGINT) AS VARCHAR) NOT IN (SELECT shipping_id FROM market_shipments) GROUP BY status""",
                                         "market_orders", "market_shipments")
-ORACLE["self_dedupe_join"] = with_roles("SELECT DISTINCT preparacion_id, pedido_codigo, transporte FROM preparations",
-                                        "preparations")
+ORACLE["self_dedupe_join"] = with_roles("""SELECT preparacion_id, pedido_codigo, any_value(transporte) AS transporte,
+  CASE WHEN preparacion_id >= 1000000000 THEN 2 ELSE 0 END AS fila, count(*) - 1 AS removed
+FROM preparations GROUP BY preparacion_id, pedido_codigo""", "preparations")
 
 # --- aggregations ------------------------------------------------------------------------
 ORACLE["order_value"] = with_roles(f"""SELECT pedido_id,
@@ -303,10 +303,9 @@ ORACLE["margin_by_month"] = fact_sql(f"""SELECT commercial_month, channel, count
 ORACLE["late_data_policy"] = fact_sql(f"""SELECT line_id, date, margin FROM fact_wholesale WHERE date < DATE '1998-07-26'
 UNION ALL SELECT line_id, date, {SR('margin', 0)} FROM fact_wholesale WHERE date >= DATE '1998-07-26'""", "fact_wholesale")
 ORACLE["last_run_streak"] = with_roles("""WITH d AS (SELECT item_id, CAST(ts AS DATE) AS day,
-  bool_or(available_quantity > 0) AS stock,
-  bool_or(event_id IS NOT NULL AND status = 'active' AND available_quantity = 0) AS sold_out
+  bool_or(available_quantity > 0) AS stock, bool_or(len(sub_status) = 0 AND status = 'active') AS sold
   FROM listing_observations GROUP BY 1, 2),
-i AS (SELECT DISTINCT item_id, day FROM d WHERE stock AND NOT sold_out),
+i AS (SELECT DISTINCT item_id, day FROM d WHERE stock AND NOT sold),
 g AS (SELECT item_id, day, day - CAST(row_number() OVER (PARTITION BY item_id ORDER BY day) AS INTEGER) AS grp FROM i),
 s AS (SELECT item_id, min(day) AS start_day, max(day) AS end_day, count(*) AS days FROM g GROUP BY item_id, grp)
 SELECT item_id, arg_max(start_day, start_day) AS start_day, arg_max(end_day, start_day) AS end_day,

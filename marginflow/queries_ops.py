@@ -12,7 +12,7 @@ from marginflow.functions.time import commercial_month, local_date
 from marginflow.operators import quality as QL
 from marginflow.operators import windows as WN
 from marginflow.operators.aggregates import exact_sum, weighted_average
-from marginflow.operators.dedupe import any_per_key, dedupe_keep_last, latest_per_key
+from marginflow.operators.dedupe import any_per_key, dedupe_keep_last, keep_one_per_key, latest_per_key
 from marginflow.plans import fact as FCT
 from marginflow.registry import QUERIES, costs, q_fact_sales, query
 from marginflow.sinks import writers as W
@@ -213,9 +213,18 @@ def q_cost_lookup(spark, sf):
 
 @query("attribute_lookup_last_wins")
 def q_attribute_lookup_last_wins(spark, sf):
-    s = R.erp_sales(spark, sf)
-    a = FCT.article_lookup(R.erp_articles(spark, sf))
-    j = s.join(a, F.trim(s.articulo_id) == a.sku, "left")
+    """Supplier and brand by the trimmed article id, tax by the id as it is; of
+    repeated ids the last catalog row wins (every 20th article stands again,
+    later, with a blank before its id)."""
+    s = R.erp_sales(spark, sf).select("linea_id", "articulo_id")
+    first = R.erp_articles(spark, sf).select("id", "iva_pct", "proveedor", "marca", F.lit(1).alias("fila"))
+    again = first.where(F.col("id").cast("bigint") % 20 == 0).select(
+        F.concat(F.lit(" "), "id").alias("id"), F.lit(27.0).alias("iva_pct"), F.concat(F.lit("late "), "proveedor").alias("proveedor"),
+        "marca", F.lit(2).alias("fila"))
+    a = first.unionByName(again)
+    tax = dedupe_keep_last(a.select(F.col("id").alias("_id"), "iva_pct", "fila"), ["_id"], ["fila"]).drop("fila")
+    attr = dedupe_keep_last(a.select(F.trim("id").alias("_sku"), "proveedor", "marca", "fila"), ["_sku"], ["fila"]).drop("fila")
+    j = s.join(tax, s.articulo_id == F.col("_id"), "left").join(attr, F.trim(s.articulo_id) == F.col("_sku"), "left")
     return j.select("linea_id", F.coalesce("iva_pct", F.lit(21.0)).alias("tax_pct"),
                     F.col("proveedor").alias("supplier"), F.col("marca").alias("brand"))
 
@@ -256,9 +265,13 @@ def q_missing_shipping(spark, sf):
 
 @query("self_dedupe_join")
 def q_self_dedupe_join(spark, sf):
-    p = R.preparations(spark, sf)
-    seq = F.xxhash64("preparacion_id", "pedido_codigo", "transporte")  # stand-in ingest order
-    return any_per_key(p.withColumn("_ingest", seq), ["preparacion_id", "pedido_codigo"]).drop("_ingest")
+    """Of repeated (preparation, order) rows the first that arrived stays; how
+    many went is told too."""
+    p = R.preparation_log(spark, sf)
+    keys = ["preparacion_id", "pedido_codigo"]
+    first = keep_one_per_key(p, keys, ["fila"], last=False)
+    n = p.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("removed"))
+    return first.join(n, keys)
 
 
 # --- §2.5 aggregations ----------------------------------------------------------
@@ -408,15 +421,14 @@ def q_ordered(spark, sf):
 
 @query("last_run_streak")
 def q_last_run_streak(spark, sf):
-    """Per listing: the latest run of consecutive days with stock observed
-    and no sale."""
-    o = R.listing_observations(spark, sf)
-    d = o.groupBy("item_id", F.to_date("ts").alias("day")).agg(
-        F.bool_or(F.col("available_quantity") > 0).alias("stock"),
-        F.bool_or(F.col("event_id").isNotNull() & (F.col("status") == "active") &
-                  (F.col("available_quantity") == 0)).alias("sold_out"))
-    d = d.withColumn("idle", F.col("stock") & ~F.col("sold_out"))
-    return WN.last_streak(d, ["item_id"], "day", "idle")
+    """Per listing: the latest run of consecutive days with stock in the
+    day's snapshot and no sale that day (snapshots without a match in the
+    sales)."""
+    o = R.listing_observations(spark, sf).withColumn("day", F.to_date("ts"))
+    stock = o.groupBy("item_id", "day").agg(F.max("available_quantity").alias("most")).where("most > 0")
+    sold = o.where((F.size("sub_status") == 0) & (F.col("status") == "active")).select("item_id", "day").distinct()
+    idle = stock.join(sold, ["item_id", "day"], "left_anti").withColumn("idle", F.lit(True))
+    return WN.last_streak(idle, ["item_id"], "day", "idle")
 
 
 @query("serpentine_assign")

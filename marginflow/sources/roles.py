@@ -285,9 +285,14 @@ def market_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def preparations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preparation_log(spark, sf_dir).drop("fila")
+
+
+def preparation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Warehouse preparations per wholesale order: ``prep = order div 3`` (so
     several orders share one), repeated pairs (every 4th order), a second
-    preparation for every 9th order, none for orders ≡ 7 (mod 8)."""
+    preparation for every 9th order, none for orders ≡ 7 (mod 8); ``fila`` is
+    the order in which an order's rows arrived."""
     o = _orders(spark, sf_dir, WHOLESALE_PRIORITIES).where(F.col("o_orderkey") % 8 != 7)
     ok = F.col("o_orderkey")
     carrier = (F.when(ok % 5 == 0, F.lit(SPLIT_CARRIERS[0]))
@@ -297,8 +302,8 @@ def preparations(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.lit(OTHER_CARRIERS[1])))
     pid = F.floor(ok / 3).cast("bigint")
     ids = F.array(pid, F.when(ok % 4 == 0, pid), F.when(ok % 9 == 0, pid + SECOND_PREP_OFFSET))
-    return (o.select(F.explode(F.array_compact(ids)).alias("preparacion_id"), ok.cast("string").alias("pedido_codigo"),
-                     carrier.alias("transporte")))
+    rows = o.select(F.posexplode(ids).alias("fila", "preparacion_id"), ok.cast("string").alias("pedido_codigo"), carrier.alias("transporte"))
+    return rows.where(F.col("preparacion_id").isNotNull()).select("preparacion_id", "pedido_codigo", "transporte", "fila")
 
 
 def freight_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
