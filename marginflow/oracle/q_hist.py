@@ -45,7 +45,7 @@ def history_sql(state, extras, body_suffix: str = "") -> str:
 
 STATE = (["sellable", "status", "sub_status", "reason"], ["sku", "inventory_id", "units"])
 ISLANDS = f"""WITH h AS ({scd2_sql(*STATE)}),
-a AS (SELECT sku AS key, desde AS start, coalesce(hasta, visto_hasta) AS "end" FROM h
+a AS (SELECT DISTINCT sku AS key, desde AS start, coalesce(hasta, visto_hasta) AS "end" FROM h
       WHERE sellable AND desde < coalesce(hasta, visto_hasta)),
 m AS (SELECT *, max("end") OVER (PARTITION BY key ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
   AS pm FROM a),
@@ -58,7 +58,7 @@ COVERAGE = """WITH m AS (SELECT moment FROM pulse_moments
 p AS (SELECT moment AS start, lead(moment) OVER (ORDER BY moment) AS nxt FROM m),
 s AS (SELECT start, CASE WHEN nxt IS NULL THEN least(start + INTERVAL 7200 SECOND, TIMESTAMP '2024-01-22 00:00:00')
   WHEN date_diff('microsecond', start, nxt) <= 7200000000 THEN nxt END AS "end" FROM p),
-a AS (SELECT start, "end" FROM s WHERE "end" IS NOT NULL AND start < "end"),
+a AS (SELECT DISTINCT start, "end" FROM s WHERE "end" IS NOT NULL AND start < "end"),
 mm AS (SELECT *, max("end") OVER (ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM a),
 i AS (SELECT *, sum(CASE WHEN pm IS NULL OR start > pm THEN 1 ELSE 0 END) OVER (ORDER BY start, "end"
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM mm)
@@ -208,7 +208,7 @@ def _islands(src: str, keys: str) -> str:
   SELECT *, sum(CASE WHEN pm IS NULL OR start > pm THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY start, "end"
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM (
     SELECT *, max("end") OVER (PARTITION BY {keys} ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-      AS pm FROM ({src}) WHERE start < "end"))
+      AS pm FROM (SELECT DISTINCT * FROM ({src})) WHERE start < "end"))
 GROUP BY {keys}, isl"""
 
 
