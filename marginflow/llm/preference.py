@@ -8,10 +8,11 @@ conversation or pair.
 
 ``pairs_of`` makes pairs for a table that has none: conversations that begin with the same
 turn are alternatives, and each is chosen over the next one by id; the pairs are as many as
-the conversations, not their square. Ids are compared within blocks of ``BLOCK``, so a first
-turn that a third of all conversations share is spread over many tasks. A conversation without
-a next one is chosen over itself with the last assistant turn replaced by its first (left out
-where it has one only).
+the conversations, not their square. Ids alone are numbered in the order of first turn and id,
+range by range, so a first turn that a third of all conversations share is spread over many
+tasks however its ids lie; turns are joined on by id afterwards. A conversation without a next
+one is chosen over itself with the last assistant turn replaced by its first (left out where it
+has one only).
 
 Defined results: turns stand by number, then role, then text; exact repetitions of a turn row
 count once. A null text is empty, a null role is "none". Rows without a conversation id are
@@ -25,10 +26,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-#: Ids per block within which conversations with equal first turns are paired.
-BLOCK = 256
+from marginflow.operators.windows import global_index
+
 START, END = "<|im_start|>", "<|im_end|>"
 TRAINED = "assistant"
 
@@ -47,17 +47,29 @@ def conversations_of(turns: DataFrame, id_col: str = "conv_id", turn_col: str =
     return c.select("conv", F.transform("t", lambda x: F.struct(x.getField("role").alias("role"), x.getField("text").alias("text"))).alias("turns"))
 
 
+def next_ids(conversations: DataFrame) -> DataFrame:
+    """(conv, next): of each conversation, the next one by id that begins with the same turn;
+    no row where there is none."""
+    first = F.col("turns")[0]
+    key = F.sha2(F.concat(first.getField("role"), F.lit("\n"), first.getField("text")), 256)
+    ids = conversations.filter(F.col("conv").isNotNull()).select(key.alias("first"), "conv")
+    n = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    here = global_index(ids, [F.col("first"), F.col("conv")], "at", n)
+    after = here.select((F.col("at") - 1).alias("at"), "first", F.col("conv").alias("next"))
+    return here.join(after, ["at", "first"]).select("conv", "next")
+
+
 def pairs_of(conversations: DataFrame) -> DataFrame:
     """(chosen_id, rejected_id, chosen, rejected); ``rejected_id`` is null where the rejected
     conversation is made from the chosen one."""
-    first = F.col("turns")[0]
-    c = conversations.withColumn("first", F.sha2(F.concat(first.getField("role"), F.lit("\n"), first.getField("text")), 256))
-    # a null id has no neighbours: its key is its own
-    block = F.floor(F.col("conv") / F.lit(BLOCK)).cast("long")
-    lone = F.col("conv").isNull()
-    by = Window.partitionBy("first", "block", "spread").orderBy("conv")
-    c = c.withColumn("block", block).withColumn("spread", F.when(lone, F.monotonically_increasing_id()))
-    c = c.select("conv", "turns", F.lead(F.struct("conv", "turns")).over(by).alias("next"))
+    named = lambda c: F.concat(F.lit("="), F.col(c).cast("string"))
+    # rows without an id, or without a next one, have join keys of their own that match nothing
+    own_key = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    c = conversations.withColumn("_key", F.coalesce(named("conv"), own_key))
+    c = c.join(next_ids(conversations).select(named("conv").alias("_key"), F.col("next").alias("next_id")), "_key", "left")
+    c = c.withColumn("_key", F.coalesce(named("next_id"), F.concat(F.lit("-"), F.col("_key"))))
+    others = conversations.filter(F.col("conv").isNotNull()).select(named("conv").alias("_key"), F.col("turns").alias("next_turns"))
+    c = c.join(others, "_key", "left").drop("_key")
     kinds = F.transform("turns", lambda x: x.getField("role") == TRAINED)
     head, last = F.array_position(kinds, F.lit(True)), F.size("turns") + 1 - F.array_position(F.reverse(kinds), F.lit(True))
     c = c.withColumns({"head": head, "last": last})
@@ -66,8 +78,8 @@ def pairs_of(conversations: DataFrame) -> DataFrame:
         F.concat(F.slice("turns", F.lit(1), (F.col("last") - 1).cast("int")), swap, F.slice("turns", (F.col("last") + 1).cast("int"), F.size("turns")))
     )
     return c.select(
-        F.col("conv").alias("chosen_id"), F.col("next.conv").alias("rejected_id"), F.col("turns").alias("chosen"),
-        F.when(F.col("next").isNotNull(), F.col("next.turns")).otherwise(own).alias("rejected"),
+        F.col("conv").alias("chosen_id"), F.col("next_id").alias("rejected_id"), F.col("turns").alias("chosen"),
+        F.when(F.col("next_id").isNotNull(), F.col("next_turns")).otherwise(own).alias("rejected"),
     )
 
 

@@ -40,3 +40,16 @@ def test_mask_covers_the_completion(spark):
 def test_empty_table(spark):
     t = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert pf.format_pairs(pf.pairs_of(pf.conversations_of(t))).collect() == []
+
+
+def test_next_by_id_however_ids_are_numbered(spark):
+    """Sparse and widely spread ids: each is chosen over the true next one of its first turn."""
+    ids = [3, 255, 256, 300, 70_000, 10**12, -5, *range(1_000, 200_000, 997)]
+    rows = [(i, k, r, t) for i in ids for k, r, t in ((0, "user", f"q{i % 2}" if i % 5 else "hot"), (1, "assistant", f"a{i}"))] + [(None, 0, "user", "hot")]
+    got = pf.pairs_of(pf.conversations_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
+    want, first = {}, {i: f"q{i % 2}" if i % 5 else "hot" for i in ids}
+    for f in set(first.values()):
+        same = sorted(i for i in ids if first[i] == f)
+        want |= dict(zip(same, [*same[1:], None], strict=True))
+    assert len(got) == len(ids) + 1 and {r.chosen_id: r.rejected_id for r in got} == want | {None: None}
+    assert all(r.rejected[1].text == f"a{r.rejected_id}" for r in got if r.rejected_id is not None)
