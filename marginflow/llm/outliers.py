@@ -7,7 +7,7 @@ scatter is found by concentration steps, and a text whose robust Mahalanobis dis
 a chi-square quantile is rejected.
 
 How it scales: counting is one pass over the texts; what follows reads only the small vector
-table. A concentration step is one aggregate of sums and products per (language, source),
+table. Distinct texts are found by digest, combined before the shuffle. A concentration step is one aggregate of sums and products per (language, source),
 combined before the shuffle, so a source with a third of all rows is no hot task, and one
 approximate quantile per group. Group estimates are solved by Python in parallel, a row per
 group.
@@ -16,12 +16,14 @@ Defined results: a null or empty text has no words, so it fails the base rules a
 kept. Null language or source is a group like any other. A group with fewer than
 ``MIN_GROUP`` vectors takes the estimate of its language, and a language with fewer that of
 all texts; with fewer than that in all, nothing but the base rules rejects. Ties in distance
-share one verdict. Repeated rows are judged alike, and each counts.
+share one verdict. Estimates are fitted on distinct texts, each once per group, so that copies
+pull no centre or scatter onto themselves; every row is judged, repeated ones alike.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ FLOOR = (0.25, 0.2, 0.5, 0.15)
 DIM = len(FLOOR)
 
 COUNTS_SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+#: The column that tells texts apart where estimates are fitted.
+DIGEST = "_text_digest"
 
 
 def counts_of(data: bytes) -> tuple[int, int, int, int, int, int]:
@@ -93,17 +97,21 @@ def repeat_words(words: list[bytes], width: int = 5) -> int:
 
 
 def text_counts(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns ``keep`` and the counts of every whole text."""
+    """The columns ``keep``, the counts and the digest of every whole text."""
     short_batches(docs.sparkSession)
     src = docs.select(*keep, F.col(text_col).cast("binary").alias("_text"))
-    out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [COUNTS_SCHEMA])
+    out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + [COUNTS_SCHEMA, f"`{DIGEST}` binary"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
         for b in batches:
-            rows = [counts_of(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in b.column(b.num_columns - 1)]
+            rows, digests = [], []
+            for x in b.column(b.num_columns - 1):
+                data = x.as_buffer().to_pybytes() if x.is_valid else b""
+                rows.append(counts_of(data))
+                digests.append(blake2b(data, digest_size=16).digest())
             cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 6
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols], names=[*b.schema.names[:-1], *names])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols, pa.array(digests, pa.binary())], names=[*b.schema.names[:-1], *names, DIGEST])
 
     return src.mapInArrow(count, out_schema)
 
@@ -201,15 +209,19 @@ def _consistency() -> float:
 
 
 def judge(counts: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Adds ``base_failed``, ``distance`` (null where none was computed) and ``kept``."""
+    """Adds ``base_failed``, ``distance`` (null where none was computed) and ``kept``; drops
+    the digest."""
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
     v = counts.withColumn("base_failed", base_failed()).withColumns({"_lang": name(lang_col), "_source": name(source_col)})
     v = v.withColumns({f"x{i}": x for i, x in enumerate(_vector())})
-    fit = v.filter(~F.col("base_failed")).select("_lang", "_source", *[f"x{i}" for i in range(DIM)])
+    fit = v.filter(~F.col("base_failed")).select("_lang", "_source", DIGEST, *[f"x{i}" for i in range(DIM)])
     # one table for the three levels: a group too small for an estimate takes the wider one's
     levels = fit.withColumn("_at", F.explode(F.array(
         F.struct(F.col("_lang").alias("l"), F.col("_source").alias("s")), F.struct(F.col("_lang").alias("l"), F.lit("*").alias("s")), F.struct(F.lit("*").alias("l"), F.lit("*").alias("s")),
-    ))).select(F.col("_at.l").alias("l"), F.col("_at.s").alias("s"), *[f"x{i}" for i in range(DIM)])
+    ))).select(F.col("_at.l").alias("l"), F.col("_at.s").alias("s"), DIGEST, *[f"x{i}" for i in range(DIM)])
+    # equal texts have equal vectors: any of them stands for all
+    levels = levels.groupBy("l", "s", DIGEST).agg(*[F.max(f"x{i}").alias(f"x{i}") for i in range(DIM)]).drop(DIGEST)
+    levels = stored(levels, "vectors")
     est = robust_estimates(levels, ["l", "s"]).filter(F.col("n") >= int(MIN_GROUP * KEPT_PART)).select("l", "s", F.struct("centre", "inverse").alias("e"))
     few = F.broadcast if _few(est) else (lambda x: x)
     top = est.filter("l = '*'").first()  # one row
@@ -220,7 +232,7 @@ def judge(counts: DataFrame, lang_col: str = "lang", source_col: str = "source")
     j = j.withColumns({"centre": F.col("_e.centre"), "inverse": F.col("_e.inverse")})
     j = j.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CHI2_CUTOFF, F.lit(True))
-    return j.withColumn("kept", kept).select(*[c for c in counts.columns], "base_failed", "distance", "kept")
+    return j.withColumn("kept", kept).select(*[c for c in counts.columns if c != DIGEST], "base_failed", "distance", "kept")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

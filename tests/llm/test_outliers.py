@@ -54,3 +54,17 @@ def test_edges(spark):
     got = outliers.quality_rules(docs).collect()
     assert len(got) == 8 and sum(r.kept for r in got) == 2
     assert outliers.quality_rules(docs.limit(0)).collect() == []
+
+
+def test_copies_reject_no_other_text(spark):
+    """A group that is more than half copies of one text: distinct texts keep the verdicts and
+    distances they have without the copies."""
+    rnd = random.Random(1)
+    text = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(2, 9))) for _ in range(n))
+    rows = [(i, text(int(np.exp(rnd.gauss(5, 1)) + 10)), "en", "s") for i in range(200)]
+    copy = text(150)
+    schema = "doc_id long, text string, lang string, source string"
+    alone = {r.doc_id: r for r in outliers.quality_rules(spark.createDataFrame([*rows, (1000, copy, "en", "s")], schema)).collect()}
+    mixed = {r.doc_id: r for r in outliers.quality_rules(spark.createDataFrame([*rows, *[(1000 + k, copy, "en", "s") for k in range(600)]], schema)).collect()}
+    assert len(mixed) == 800 and all(r.kept for r in mixed.values())
+    assert all(mixed[i].kept == r.kept and mixed[i].distance == pytest.approx(r.distance, rel=1e-6) for i, r in alone.items())
