@@ -1,6 +1,7 @@
 """Main text of web pages by a site style tree.
 
 The DOMs of a host are merged: nodes with the same path of tags and classes are one tree node.
+Equal pages of a host count as one page, so copies make no text a template.
 A node has *presentation* importance, the entropy over its pages of the tag sequences of its
 children, and leaves have *content* importance, one less the entropy of a text's spread over
 the pages: what is the same on every page tells nothing. The composite importance of a branch
@@ -11,7 +12,9 @@ its article, what stands outside has none either.
 
 How it scales: one pass over the pages counts (host, node, feature), combined in each batch and
 again before the shuffle, so a host with a third of all pages is no hot task; entropies are
-sums over these counts. What goes back to the pages is, for each host, the set of unimportant
+sums over these counts. Copies are found by digests, combined before the shuffle, and each of k
+equal pages counts 1/k; the digests that stand more than once are broadcast while
+``BROADCAST_DIGESTS`` bound them, and joined beyond. What goes back to the pages is, for each host, the set of unimportant
 nodes; it is broadcast while ``BROADCAST_NODES`` bound it, and joined by host beyond. A second
 pass extracts. No page is moved in the usual case.
 
@@ -42,6 +45,8 @@ LEAST_PAGES = 8
 GAMMA = 0.9
 #: Unimportant nodes are broadcast up to so many (some 60 bytes each).
 BROADCAST_NODES = 200_000
+#: Digests of pages that stand more than once are broadcast up to so many (some 150 bytes each).
+BROADCAST_DIGESTS = 200_000
 #: Where no article is marked, blocks with more of their characters in links are menus.
 MOST_LINKS = 0.5
 
@@ -221,31 +226,39 @@ def style_tree(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     """(host, node, importance, n_pages): the composite importance of every tree node."""
     short_batches(pages.sparkSession, 256)
     src = pages.select(host_of(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("_html"))
+    src = src.withColumn("_digest", F.sha2("_html", 256))
+    copies = src.groupBy("host", "_digest").agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    copies = stored(copies, "copies")
+    if copies.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS:
+        copies = F.broadcast(copies)
+    src = src.join(copies, ["host", "_digest"], "left").select("host", "_html", F.coalesce("_copies", F.lit(1)).alias("_copies"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # kind: "s" a presentation of a node, "c" a text of a leaf, "p" a page of a node
         for b in batches:
             c: Counter = Counter()
             up: dict[int, list[int]] = {}
-            for host, page in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for host, page, copies in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+                part = 1.0 / copies
                 blocks, children = parse(page.as_py())
                 for path, tags in children.items():
                     # runs of one tag are one presentation, so that the number of paragraphs tells nothing
                     node = key_of(path)
-                    c[host, node, "s", _feature(",".join(t for k, t in enumerate(tags) if not k or tags[k - 1] != t)), 0] += 1
-                    c[host, node, "p", 0, 0] += 1
+                    c[host, node, "s", _feature(",".join(t for k, t in enumerate(tags) if not k or tags[k - 1] != t)), 0] += part
+                    c[host, node, "p", 0, 0] += part
                 for x in blocks:
                     node = key_of(x.path)
                     if node not in up:
                         up[node] = [key_of(x.path[:k]) for k in range(1, len(x.path) + 1)]
-                    c[host, node, "c", _feature(x.text), x.chars] += 1
+                    c[host, node, "c", _feature(x.text), x.chars] += part
             rows = [(*k, n, up.get(k[1], []) if k[2] == "c" else []) for k, n in c.items()]
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["host", "node", "kind", "feature", "chars", "n", "up"])
 
-    rows = src.mapInArrow(count, "host string, node long, kind string, feature long, chars long, n long, up array<long>")
-    f = rows.groupBy("host", "node", "kind", "feature").agg(F.sum("n").alias("n"), F.max("chars").alias("chars"), F.max("up").alias("up"))
+    rows = src.mapInArrow(count, "host string, node long, kind string, feature long, chars long, n double, up array<long>")
+    # the parts of equal pages sum to whole numbers
+    f = rows.groupBy("host", "node", "kind", "feature").agg(F.round(F.sum("n")).alias("n"), F.max("chars").alias("chars"), F.max("up").alias("up"))
     x = F.col("n").cast("double")
     f = f.groupBy("host", "node", "kind").agg(F.sum(x).alias("m"), F.sum(x * F.log(x)).alias("nlogn"), F.count(F.lit(1)).alias("kinds"), F.sum(x * F.col("chars")).alias("chars"), F.max("up").alias("up"))
     entropy = F.when(F.col("m") > 1, (F.log("m") - F.col("nlogn") / F.col("m")) / F.log("m")).otherwise(1.0)

@@ -47,3 +47,16 @@ def test_what_every_page_has_is_removed(spark):
 
 def test_empty_table(spark):
     assert st.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_copies_are_no_template(spark):
+    """Pages of hosts made mostly or only of copies keep title and text; what distinct pages share
+    still goes."""
+    page = lambda t: f"<body><div class=top><span>Welcome to our site</span></div><article><h1>Title {t}</h1><p>one {t}</p><p>two {t}</p></article></body>"
+    rows = [(i, f"http://copies.org/{i}", page("c")) for i in range(1000)] + [(2000 + i, f"http://mixed.org/{i}", page(i if i < 30 else "c")) for i in range(600)]
+    rows += [(4000 + i, f"http://plain.org/{i}", page(i).replace("article", "div")) for i in range(20)] + [(5000 + i, f"http://plain.org/c{i}", page(7).replace("article", "div")) for i in range(50)]
+    got = {r.page_id: r.text for r in st.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = lambda t: f"Title {t}\none {t}\ntwo {t}"
+    assert all(got[i] == text("c") for i in range(1000))
+    assert all(got[2000 + i] == text(i if i < 30 else "c") for i in range(600))
+    assert all(got[4000 + i] == text(i) for i in range(20)) and all(got[5000 + i] == text(7) for i in range(50))
