@@ -8,7 +8,10 @@ the pages: what is the same on every page tells nothing. The composite importanc
 weighs both; a branch below ``LEAST_IMPORTANCE`` that enough pages have is noise, and it is
 removed from each page. Elements that say themselves what they are (``nav``, ``aside``, class
 ``sidebar``, comments and so on) have no importance whatever their text; where a page marks
-its article, what stands outside has none either.
+its article, what stands outside has none either. Inside a marked article one generic word of a
+name (``social-history``, ``entry-header``, ``search``) tells nothing: there a whole class or id
+must be one of ``STRONG_NAMES``, or all words of a class of several be noise words. The id of a
+heading names its text, never noise. An inline element that says so loses its own text only.
 
 How it scales: one pass over the pages counts (host, node, feature), combined in each batch and
 again before the shuffle, so a host with a third of all pages is no hot task; entropies are
@@ -60,6 +63,12 @@ NOISE_WORDS = frozenset(
     "topbar masthead header footer foot share sharing social related recommended recommendations comment comments reply replies respond disqus search "
     "pagination pager copyright legal disclaimer form toolbar skip".split()
 )
+#: Whole classes or ids that are evidence enough inside an article.
+STRONG_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox adsense sponsored sidebar widget widgets nav navbar navigation breadcrumb breadcrumbs "
+    "topbar masthead newsletter popup modal comments replies respond disqus pagination pager toolbar".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words that begin so say the same (commentlist, sidebarinner).
 NOISE_STEMS = ("commentlist", "commentbox", "advert", "sidebar", "breadcrumb", "newsletter", "cookiebar", "cookiebanner", "navbar", "adsense")
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
@@ -82,6 +91,17 @@ _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
+def says_noise(classes: str, ids: str, strict: bool) -> bool:
+    """Whether the names of an element say noise; ``strict`` inside a marked article."""
+    if not strict:
+        return any(w in NOISE_WORDS or w.startswith(NOISE_STEMS) for w in _NAME.findall(classes + " " + ids))
+    for name in (*classes.split(), *ids.split()):
+        if name in STRONG_NAMES or (name.isalpha() and name.startswith(NOISE_STEMS)):
+            return True
+    parts = map(_NAME.findall, classes.split())
+    return any(len(x) > 1 and all(w in NOISE_WORDS for w in x) for x in parts)
+
+
 class Block:
     """A run of text in one block element."""
 
@@ -103,18 +123,18 @@ def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
     children: dict[tuple[str, ...], list[str]] = {}
     # an open element: tag, path, noise, inside an article, is inline
     stack: list[tuple[str, tuple[str, ...], bool, bool, bool]] = [("", (), False, False, False)]
-    links = 0
+    links = muted = 0
     block: Block | None = None
 
     def text(s: str) -> None:
         nonlocal block
-        if not s:
+        if not s or muted:
             return
         if block is None:
             if not s.strip():
                 return
             top = next(x for x in reversed(stack) if not x[4])
-            block = Block(top[1], any(x[2] for x in stack), top[3])
+            block = Block(top[1], any(x[2] for x in stack if not x[4]), top[3])
             blocks.append(block)
         s = entities.unescape(s) if "&" in s else s
         block.parts.append(s)
@@ -123,9 +143,10 @@ def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
             block.links += len(s)
 
     def close(k: int) -> None:
-        nonlocal links, block
+        nonlocal links, muted, block
         for x in stack[k:]:
             links -= x[0] == "a"
+            muted -= x[4] and x[2]
             if not x[4]:
                 block = None
         del stack[k:]
@@ -163,18 +184,24 @@ def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
                     close(k)
         if tag in VOID:
             continue
-        attrs, names = m["attrs"] or "", ""
+        attrs, names, classes, ids = m["attrs"] or "", "", "", ""
         role = ""
         if "=" in attrs:
             for key, a, b, c in _ATTR.findall(attrs):
                 if key.lower() == "role":
                     role = (a or b or c).lower()
+                elif key.lower() == "id":
+                    ids += " " + (a or b or c).lower()
                 else:
+                    classes += " " + (a or b or c).lower()
+                if key.lower() != "role":
                     names += " " + (a or b or c).lower()
         words = _NAME.findall(names)
-        said = any(w in NOISE_WORDS or w.startswith(NOISE_STEMS) for w in words) or (bool(attrs) and _HIDDEN.search(attrs) is not None)
         up = stack[-1]
+        said = bool(words) and says_noise(classes, "" if tag in HEADINGS else ids, up[3])
+        said = said or (bool(attrs) and _HIDDEN.search(attrs) is not None)
         if inline:
+            muted += said
             stack.append((tag, up[1], said, up[3], True))
             links += tag == "a"
             continue

@@ -60,3 +60,13 @@ def test_copies_are_no_template(spark):
     assert all(got[i] == text("c") for i in range(1000))
     assert all(got[2000 + i] == text(i if i < 30 else "c") for i in range(600))
     assert all(got[4000 + i] == text(i) for i in range(20)) and all(got[5000 + i] == text(7) for i in range(50))
+
+
+def test_generic_words_cost_an_article_no_text():
+    page = (
+        "<article><div class='entry-header'><h1 id=comments>Title</h1></div><section id='social-history'><h2 id=search class=legal>Social</h2><p>past</p></section>"
+        "<p><span class=ad>See X.</span> long paragraph</p><p>start <span class=ad>See X.</span> end</p><p><a class=related href=/>link</a> text</p>"
+        "<div class='sidebar x'>no</div><div class='cookie-notice'>no</div><section id=comments>no</section><div class=commentlist>no</div></article>"
+    )
+    assert st.main_text(page) == "Title\nSocial\npast\nlong paragraph\nstart end\nlink text"
+    assert st.main_text("<div class='social-bar'>no</div><h2 id=search>yes</h2><p><span class=related>See X.</span> rest</p>") == "yes\nrest"
