@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import decontaminate, order_minhash, outliers, packing, pii, preference, sharding, style_tree, suffix, warc
+from marginflow.llm import decontaminate, order_minhash, outliers, packing, pii, preference, secret_scan, sharding, style_tree, suffix, warc
 from marginflow.llm.common import new_path, table
 
 
@@ -60,6 +60,10 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_order_minhash": op2_order_minhash,
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_style_tree": op8_style_tree,
     "op9_sharding": op9_sharding,
     "op10_outliers": op10_outliers,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLE_SQL = {
