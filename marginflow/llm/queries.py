@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import decontaminate, order_minhash, outliers, packing, pii, preference, secret_scan, sharding, style_tree, suffix, warc
+from marginflow.llm import decontaminate, max_sketch, order_minhash, outliers, packing, pii, preference, prefix_trie, secret_scan, sharding, style_tree, suffix, warc
 from marginflow.llm.common import new_path, table
 
 
@@ -60,6 +60,15 @@ def op10_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_max_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = max_sketch.build_index(table(spark, sf_dir, "documents"))
+    return max_sketch.search(index, table(spark, sf_dir, "benchmark"), k=10).withColumnRenamed("id", "doc_id")
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -75,6 +84,8 @@ QUERIES = {
     "op8_style_tree": op8_style_tree,
     "op9_sharding": op9_sharding,
     "op10_outliers": op10_outliers,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_max_sketch": op12_max_sketch,
     "op13_secret_scan": op13_secret_scan,
 }
 
@@ -123,4 +134,38 @@ ORACLE_SQL = {
                coalesce(array_to_string(['<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>' || chr(10) FOR x IN b[k + 1:]], ''), '') AS rejected,
                coalesce(array_to_string(['0:' || (13 + length(x.role)) || CASE WHEN x.role = 'assistant' THEN ',1:' ELSE ',0:' END || (length(x.text) + 10) || ',0:1' FOR x IN b[k + 1:]], ','), '') AS rejected_mask
         FROM s""",
+    "op11_prefix_trie": r"""
+        WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL),
+        o AS (SELECT c, list({'role': role, 'text': text} ORDER BY turn ASC NULLS FIRST, role, text) AS t FROM t GROUP BY c),
+        bits AS (SELECT c, t, [ascii(x) FOR x IN string_split(CAST(c AS VARCHAR), '')] AS b FROM o),
+        crc AS (SELECT c, t, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], [CAST(x AS BIGINT) FOR x IN b]),
+                    lambda a, x: list_reduce([xor(a, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS r FROM bits),
+        heads AS (SELECT c, t, xor(r, 4294967295) % 4 AS h FROM crc),
+        s AS (SELECT x.c, list_concat(coalesce(list_slice(y.t, 1, x.h), []), list_slice(x.t, x.h + 1, len(x.t))) AS s FROM heads x LEFT JOIN o y ON y.c = x.c - x.c % 20),
+        p AS (SELECT c, CAST(d AS BIGINT) AS d, list_slice(s, 1, d) AS p, len(s) = d AS ends FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM s)),
+        n AS (SELECT p, d, min(c) AS c, count(*) AS n, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends FROM p GROUP BY p, d),
+        k AS (SELECT list_slice(p, 1, d - 1) AS p, d - 1 AS d, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL),
+        w AS (SELECT n.*, coalesce(kids, 0) AS kids, CASE WHEN n.d = 0 THEN 0 ELSE (n.n - 1) * len(regexp_extract_all(n.p[n.d].text, '[^\x20\x09-\x0D]+')) END AS saved
+              FROM n LEFT JOIN k ON k.p = n.p AND k.d = n.d),
+        up AS (SELECT list_slice(p, 1, e) AS p, CAST(e AS BIGINT) AS d, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved
+               FROM (SELECT p, kids, saved, unnest(range(0, d + 1)) AS e FROM w) GROUP BY ALL)
+        SELECT CAST(w.c AS BIGINT) AS conv_id, w.d AS depth, CAST(f.c AS BIGINT) AS parent_conv_id, CAST(w.n AS BIGINT) AS n_convs, CAST(w.kids AS BIGINT) AS n_children,
+               CAST(up.leaves AS BIGINT) AS n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, w.ends AS ends_sha256
+        FROM w JOIN up ON up.p = w.p AND up.d = w.d LEFT JOIN n f ON f.d = w.d - 1 AND f.p = list_slice(w.p, 1, w.d - 1)""",
+    "op12_max_sketch": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+                   FROM documents),
+        b AS (SELECT row_number() OVER () AS q, item_id,
+                     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+              FROM benchmark),
+        total AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(w)) AS BIGINT) AS nt FROM d WHERE len(w) > 0),
+        t AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+        idf AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM t, total GROUP BY term, nd),
+        asked AS (SELECT q, term, CAST(count(*) AS BIGINT) AS times FROM (SELECT q, unnest(w) AS term FROM b) GROUP BY q, term),
+        len AS (SELECT r, doc_id, 100 - 75 + ((75 * CAST(len(w) AS BIGINT) * nd) // nt) AS m FROM d, total WHERE len(w) > 0),
+        s AS (SELECT q, r, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+              FROM asked JOIN idf USING (term) JOIN t USING (term) JOIN len USING (r) GROUP BY q, r),
+        o AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM s JOIN len USING (r) WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o JOIN b USING (q) WHERE rank <= 10""",
 }
