@@ -125,7 +125,7 @@ def build(runs: list[DataFrame]) -> tuple[DataFrame, list[tuple[DataFrame, DataF
             upper.filter("exit is not null").select(F.col("exit").alias("cut"), "root"),
             halves.filter("exit is not null").select("exit", "cut"),
         ))
-        pieces = stored(upper.unionByName(lower), "trie-pieces")
+        pieces = upper.unionByName(lower)
     return pieces.select("root", "exit", "i", "n", "conv", "ending"), steps[::-1]
 
 
@@ -142,7 +142,7 @@ def grafted(own: DataFrame, steps: list[tuple[DataFrame, DataFrame]]) -> DataFra
     below = stored(_summed(own, "root"), "trie-below")  # of each root, within tries of the present height
     grafts = []
     for cuts, _ in steps:
-        g = stored(cuts.join(below.withColumnRenamed("root", "cut"), "cut"), "trie-grafts")
+        g = cuts.join(below.withColumnRenamed("root", "cut"), "cut")
         grafts.append(g)
         below = stored(_summed(below.unionByName(g.drop("cut")), "root"), "trie-below")
     extra = None  # of the pieces' ends, what hangs from there
