@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginflow.session import ensure_checkpoint_dir, stored
-from marginflow.streaming.scd2 import scd2_from_log
+from marginflow.streaming.scd2 import scd2_from_log, scd2_windowed
 
 
 def merge_open(open_: DataFrame, batch: DataFrame, item: str, ts: str, state: Sequence[str], extras: Sequence[str] = (),
@@ -51,7 +51,7 @@ def merge_open(open_: DataFrame, batch: DataFrame, item: str, ts: str, state: Se
     tb = [F.lit(None).cast(batch.schema[t].dataType).alias(t) for t in tiebreak]
     moments = F.explode(F.array("desde", "visto_hasta")).alias(ts)
     syn = open_.join(batch.select(item).distinct(), item, "left_semi").select(item, moments, *state, *extras, *tb).withColumn("_src", F.lit(0))
-    runs = scd2_from_log(syn.unionByName(obs), item, ts, state, extras, ["_src", *tiebreak])
+    runs = scd2_windowed(syn.unionByName(obs), item, ts, state, extras, ["_src", *tiebreak])
     return (runs if late is None else runs.unionByName(known)), untouched.select(*runs.columns), late
 
 
@@ -60,7 +60,7 @@ def scd2_merge_log(history: DataFrame | None, batch: DataFrame, item: str, ts: s
                    tiebreak: Sequence[str] = (), log: DataFrame | None = None) -> DataFrame:
     """``history`` after the observations of ``batch`` (see ``merge_open``)."""
     if history is None:
-        return scd2_from_log(batch.select(item, ts, *state, *extras, *tiebreak), item, ts, state, extras, tiebreak)
+        return scd2_windowed(batch.select(item, ts, *state, *extras, *tiebreak), item, ts, state, extras, tiebreak)
     closed = history.where(F.col("hasta").isNotNull())
     runs, untouched, late = merge_open(history.where(F.col("hasta").isNull()), batch, item, ts, state, extras, tiebreak, log)
     if late is not None:
