@@ -58,10 +58,10 @@ def _local(keys: Sequence[str]) -> Window:
 
 
 def _first_key(ranges: DataFrame, keys: Sequence[str], borders: list[Row]) -> DataFrame:
-    """``ranges`` with ``_head``: whether the row has its range's first key."""
+    """``ranges`` with ``__head``: whether the row has its range's first key."""
     dtype = ranges.select(_key(keys).alias("k")).schema["k"].dataType
-    r = _attach(ranges, [(b[PID], b.first_key) for b in borders], dtype, "_first")
-    return r.withColumn("_head", _key(keys).eqNullSafe(F.col("_first"))).drop("_first")
+    r = _attach(ranges, [(b[PID], b.first_key) for b in borders], dtype, "__first")
+    return r.withColumn("__head", _key(keys).eqNullSafe(F.col("__first"))).drop("__first")
 
 
 def _fold(borders: list[Row], start, step: Callable[[Row, object], object]) -> list[tuple[int, object]]:
@@ -79,13 +79,13 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     """The 0-based place of each row among its key's rows in ``order``; a key of any size is
     spread over many tasks."""
     r = ordered_ranges(df, [*keys, *order], keep)
-    local = r.withColumn("_n", F.row_number().over(_local(keys)).cast("long"))
-    last_n = F.max_by("_n", F.col(AT)).alias("last_n")
+    local = r.withColumn("__n", F.row_number().over(_local(keys)).cast("long"))
+    last_n = F.max_by("__n", F.col(AT)).alias("last_n")
     borders = _border_rows(local, keys, last_n)
     carried = _fold(borders, 0, lambda b, carry: b.last_n + (carry if b.first_key == b.last_key else 0))
-    h = _attach(_first_key(local, keys, borders), carried, T.LongType(), "_carry")
-    place = F.col("_n") - 1 + F.when(F.col("_head"), F.col("_carry")).otherwise(0)
-    return h.withColumn(out, place).drop("_n", "_carry", "_head", PID, AT)
+    h = _attach(_first_key(local, keys, borders), carried, T.LongType(), "__carry")
+    place = F.col("__n") - 1 + F.when(F.col("__head"), F.col("__carry")).otherwise(0)
+    return h.withColumn(out, place).drop("__n", "__carry", "__head", PID, AT)
 
 
 def fill_down(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, out: str) -> DataFrame:
@@ -94,8 +94,8 @@ def fill_down(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     local = r.withColumn(out, F.last(value, ignorenulls=True).over(_local(keys)))
     borders = _border_rows(local, keys, F.max_by(out, F.col(AT)).alias("last_value"))
     carried = _fold(borders, None, lambda b, carry: b.last_value if b.last_value is not None or b.first_key != b.last_key else carry)
-    h = _attach(_first_key(local, keys, borders), carried, df.schema[value].dataType, "_carry")
-    return h.withColumn(out, F.coalesce(out, F.when(F.col("_head"), F.col("_carry")))).drop("_carry", "_head", PID, AT)
+    h = _attach(_first_key(local, keys, borders), carried, df.schema[value].dataType, "__carry")
+    return h.withColumn(out, F.coalesce(out, F.when(F.col("__head"), F.col("__carry")))).drop("__carry", "__head", PID, AT)
 
 
 def lead_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, out: str) -> DataFrame:
@@ -105,8 +105,8 @@ def lead_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     borders = _border_rows(r, keys, F.min_by(F.struct(value), F.col(AT)).alias("first_value"))
     following = [(b[PID], (after.first_key, after.first_value[0])) for b, after in zip(borders, borders[1:], strict=False)]
     dtype = r.select(F.struct(_key(keys).alias("k"), F.col(value).alias("v")).alias("x")).schema["x"].dataType
-    h = _attach(r, following, dtype, "_after")
+    h = _attach(r, following, dtype, "__after")
     here = Window.partitionBy(PID).orderBy(AT)
-    nxt = F.coalesce(F.lead(F.struct(_key(keys).alias("k"), F.col(value).alias("v"))).over(here), F.col("_after"))
-    h = h.withColumn("_next", nxt)
-    return h.withColumn(out, F.when(F.col("_next.k").eqNullSafe(_key(keys)), F.col("_next.v"))).drop("_next", "_after", PID, AT)
+    nxt = F.coalesce(F.lead(F.struct(_key(keys).alias("k"), F.col(value).alias("v"))).over(here), F.col("__after"))
+    h = h.withColumn("__next", nxt)
+    return h.withColumn(out, F.when(F.col("__next.k").eqNullSafe(_key(keys)), F.col("__next.v"))).drop("__next", "__after", PID, AT)

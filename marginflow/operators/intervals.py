@@ -5,8 +5,7 @@ Nothing is materialised as an in-memory list: every operation is a sweep
 line over endpoint events.  By default the sweep is a window per key; with
 ``skew_safe=True`` its running scans are cut into (key, time-bucket)
 segments with carries (``operators.scan``), so a hot key is split over many
-tasks.  The skew-safe form reads its input twice per scan, so deep chains
-of it should cut lineage (``session.cut_lineage``) between steps.
+tasks; each scan writes its local part once (``session.stored``).
 
 * ``interval_union``  — running coverage count over ±1 endpoint events;
 * ``interval_setop``  — one sweep over tagged events (+1 at a start, −1 at an
@@ -24,7 +23,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginflow.operators.borders import lead_in_order
 from marginflow.operators.scan import running_sums
+from marginflow.session import stored
 
 MICROS_PER_HOUR = 3_600_000_000
 
@@ -129,23 +130,78 @@ def interval_hours(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(total_hours().alias("hours"))
 
 
+#: Grain of the dyadic bins (microseconds); a bin of a level has 2^level grains.
+GRAIN = MICROS_PER_HOUR
+
+
+def _levels(size: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of every level up to the highest bit of ``size``."""
+    return F.transform(F.sequence(F.lit(0), F.length(F.bin(size)) - 1), f)
+
+
+def _down(x: Column, level: Column) -> Column:
+    return F.call_function("shiftright", x, level)
+
+
+def _bin(level: Column, at: Column) -> Column:
+    return F.struct(level.cast("tinyint").alias("level"), at.alias("at"))
+
+
+def _cover(first: Column, last: Column) -> Column:
+    """The bins that make up the grains ``first`` to ``last``: at most two of each level, disjoint,
+    as few as there can be."""
+    def at(level: Column) -> Column:
+        lo, hi = -_down(-first, level), _down(last + 1, level)
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        return F.array(F.when((lo < hi) & odd(lo), _bin(level, lo)), F.when((lo < hi) & odd(hi), _bin(level, hi - 1)))
+
+    return F.filter(F.flatten(_levels(last - first + 1, at)), lambda x: x.isNotNull())
+
+
+def _above(grain: Column, used: Column) -> Column:
+    """The bins that hold a grain, of the levels whose bits ``used`` has."""
+    own = _levels(used, lambda level: F.when(_down(used, level).bitwiseAND(F.lit(1)) == 1, _bin(level, _down(grain, level))))
+    return F.filter(own, lambda x: x.isNotNull())
+
+
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str],
                  a_prefix: str = "a_", b_prefix: str = "b_") -> DataFrame:
     """Pairs of overlapping intervals on equal keys, with the clipped piece
     ``[greatest(starts), least(ends))``.
 
-    Both sides are listed under the calendar days they touch and joined on
-    (keys, day), so a key with long histories is not paired all with all; a
-    pair is kept at the day on which its overlap begins."""
-    days = lambda s, e: F.explode(F.sequence(F.to_date(s), F.to_date(F.col(e) - F.expr("INTERVAL 1 MICROSECOND")))).alias("_day")
+    Two intervals overlap where one begins inside the other, so a pair is found
+    once: ``b`` begins in ``a``, or ``a`` begins in ``b`` and after it.  The
+    longer side is listed under its dyadic bins, at most two for each doubling
+    of its length (a ten-year interval has some 30, not 3,650 days); the side
+    that begins is listed under the bins above its start, of the levels that
+    the other side uses, a number that a scalar subquery brings.  So a key with
+    long histories is not paired all with all, however long intervals are."""
+    grain = lambda c, less=0: F.floor((F.unix_micros(F.col(c).cast("timestamp")) - less) / F.lit(GRAIN)).cast("bigint")
     some = F.col("start") < F.col("end")
-    aa = a.where(some).select(*keys, *[F.col(c).alias(a_prefix + c) for c in a.columns if c not in keys], days("start", "end"))
-    bb = b.where(some).select(*keys, *[F.col(c).alias(b_prefix + c) for c in b.columns if c not in keys], days("start", "end"))
-    j = aa.join(bb, [*keys, "_day"])
-    j = j.where((F.col(a_prefix + "start") < F.col(b_prefix + "end")) & (F.col(a_prefix + "end") > F.col(b_prefix + "start")))
-    j = j.withColumn("start", F.greatest(a_prefix + "start", b_prefix + "start")) \
-         .withColumn("end", F.least(a_prefix + "end", b_prefix + "end"))
-    return j.where(F.col("_day") == F.to_date("start")).drop("_day")
+
+    def side(df: DataFrame, prefix: str) -> DataFrame:
+        named = df.where(some).withColumns({"_first": grain("start"), "_last": grain("end", 1)})
+        return named.select(*keys, *[F.col(c).alias(prefix + c) for c in df.columns if c not in keys], F.col("_first").alias(prefix + "_first"), F.col("_last").alias(prefix + "_last"))
+
+    # each side is read four times: as the one that begins, as the one that holds, and for its levels
+    aa, bb = stored(side(a, a_prefix), "overlap-side"), stored(side(b, b_prefix), "overlap-side")
+
+    def begins_in(starting: DataFrame, p: str, holding: DataFrame, q: str, later: bool) -> DataFrame:
+        cover = _cover(F.col(q + "_first"), F.col(q + "_last"))
+        held = holding.withColumn("_cover", cover)
+        bits = F.aggregate("_cover", F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.getField("level").cast("int"))))
+        used = held.agg(F.coalesce(F.bit_or(bits), F.lit(0).cast("bigint"))).scalar()
+        begin = starting.withColumn("_used", used)
+        begin = begin.withColumn("_bin", F.explode(_above(F.col(p + "_first"), F.col("_used")))).drop("_used")
+        held = held.withColumn("_bin", F.explode("_cover")).drop("_cover")
+        j = begin.join(held, [*keys, "_bin"])
+        after = F.col(p + "start") > F.col(q + "start") if later else F.col(p + "start") >= F.col(q + "start")
+        return j.where(after & (F.col(p + "start") < F.col(q + "end")))
+
+    cols = [c for c in aa.columns + [c for c in bb.columns if c not in keys] if not c.endswith(("_first", "_last"))]
+    j = begins_in(bb, b_prefix, aa, a_prefix, False).select(*cols).unionByName(begins_in(aa, a_prefix, bb, b_prefix, True).select(*cols))
+    return j.withColumn("start", F.greatest(a_prefix + "start", b_prefix + "start")) \
+            .withColumn("end", F.least(a_prefix + "end", b_prefix + "end"))
 
 
 def coverage_segments(moments: DataFrame, ts: str, window_end, max_gap_hours: float = 2.0,
@@ -154,14 +210,18 @@ def coverage_segments(moments: DataFrame, ts: str, window_end, max_gap_hours: fl
     ``max_gap`` apart are joined; the last moment covers forward
     ``min(max_gap, window_end)``; no moments → no rows.
 
-    Without keys the ordering is over the (bounded) set of distinct moments."""
-    w = Window.partitionBy(*keys).orderBy(ts) if keys else Window.orderBy(ts)
-    nxt = F.lead(ts).over(w)
-    gap = F.lit(int(max_gap_hours * MICROS_PER_HOUR))
-    d = moments.select(*keys, F.col(ts).alias("start"), nxt.alias("_next"))
-    end_last = F.least(F.col("start") + F.expr(f"INTERVAL {int(max_gap_hours * 3600)} SECONDS"),
-                       F.lit(window_end))
-    seg = d.select(*keys, "start",
-                   F.when(F.col("_next").isNull(), end_last)
-                    .when(duration_micros("start", "_next") <= gap, F.col("_next")).alias("end"))
-    return interval_union(seg.where(F.col("end").isNotNull()), keys)
+    Moments are ordered by ranges with border rows (``operators.borders``), so
+    no key, and not the whole table where there are no keys, is sorted in one
+    task.  Only the moments at which a span begins or ends are looked at again
+    to pair them."""
+    longest = int(max_gap_hours * MICROS_PER_HOUR)
+    d = moments.select(*keys, F.col(ts).alias("t")).where(F.col("t").isNotNull()).distinct()
+    near = lambda a, b: F.coalesce(duration_micros(a, b) <= F.lit(longest), F.lit(False))
+    d = lead_in_order(d, keys, ["t"], "t", "_next").withColumn("_goes_on", near("t", "_next"))
+    d = lead_in_order(d, keys, [F.desc("t")], "t", "_prev").withColumn("_came", near("_prev", "t"))
+    # a last moment covers forward; any other needs a neighbour to be a span
+    last = F.greatest("t", F.least(F.col("t") + F.expr(f"INTERVAL {longest} MICROSECONDS"), F.lit(window_end)))
+    border = d.where((~F.col("_came")) | (~F.col("_goes_on"))).withColumn("_end", F.when(F.col("_next").isNull(), last).when(~F.col("_goes_on"), F.col("t")))
+    border = lead_in_order(border, keys, ["t"], "_end", "_next_end")
+    end = F.when(F.col("_goes_on"), F.col("_next_end")).otherwise(F.col("_end"))
+    return border.where(~F.col("_came")).select(*keys, F.col("t").alias("start"), end.alias("end")).where(F.col("start") < F.col("end"))

@@ -1,11 +1,10 @@
 """Window-based operators: change points, consecutive pairs, streaks, and
 a scalable global numbering.
 
-Windows are always partitioned by an entity key, so work spreads over the
-cluster.  The only ordering that spans all rows (``global_index``) is
-computed without a single-partition window: range-partition, count each
-partition, and add the partition's offset (the counts are one number per
-partition, so they are tiny however large the data).
+Windows over raw rows are partitioned by an entity key, or are cut into range
+partitions whose border rows carry over (``operators.borders``).  The numbering
+of all rows (``global_index``) range-partitions, counts each partition, and adds
+the partition's offset (one number per partition, however large the data).
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginflow.operators.borders import lead_in_order, number_within
 from marginflow.session import stored
 
 
@@ -22,36 +22,28 @@ def _c(x):
     return F.col(x) if isinstance(x, str) else x
 
 
-def changed_from_previous(keys: Sequence[str], order: Sequence[str | Column],
-                          state: Sequence[str]) -> Column:
-    """True on the first row of a key and wherever any state column differs
-    (null-safe) from the previous row's."""
-    w = Window.partitionBy(*keys).orderBy(*[_c(o) for o in order])
-    first = F.lag(F.lit(1)).over(w).isNull()
-    diff = F.lit(False)
-    for s in state:
-        diff = diff | ~F.col(s).eqNullSafe(F.lag(F.col(s)).over(w))
-    return first | diff
-
-
 def change_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], state: Sequence[str]) -> DataFrame:
     """Rows that start a run of equal state per key, with a run number.
-    ``order`` should be total within a key (a time and a tie-breaker)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    flagged = df.withColumn("_chg", changed_from_previous(keys, order, state))
-    flagged = flagged.withColumn("run_no", F.sum(F.col("_chg").cast("int")).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return flagged.where("_chg").drop("_chg")
+    ``order`` should be total within a key (a time and a tie-breaker).
+
+    The state before and the number come over range partitions and their border
+    rows, so a hot key is many tasks."""
+    d = df.withColumn("_state", F.struct(*[F.col(s) for s in state]))
+    d = lead_in_order(d, keys, [F.desc(o) for o in order], "_state", "_was")
+    changed = F.col("_was").isNull()
+    for s in state:
+        changed = changed | ~F.col(s).eqNullSafe(F.col(f"_was.{s}"))
+    heads = d.where(changed).drop("_state", "_was")
+    return number_within(heads, keys, order, "run_no").withColumn("run_no", F.col("run_no") + 1)
 
 
 def gap_pairs(df: DataFrame, ts: str, max_gap_seconds: int, keys: Sequence[str] = ()) -> DataFrame:
     """Consecutive (ts, next_ts) pairs whose gap is ≤ ``max_gap_seconds``.
 
-    With no keys the ordering is global; callers only use that on a
-    bounded set (distinct observation moments), never on raw rows."""
-    w = Window.partitionBy(*keys).orderBy(ts) if keys else Window.orderBy(ts)
-    nxt = F.lead(ts).over(w)
-    out = df.select(*keys, F.col(ts).alias("start"), nxt.alias("end"))
+    The next moment comes over range partitions and their border rows, so
+    neither a hot key nor, without keys, the whole table is one task."""
+    d = df.select(*keys, F.col(ts).alias("start"))
+    out = lead_in_order(d, keys, ["start"], "start", "end")
     gap = F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(F.col("start").cast("timestamp"))
     return out.where(F.col("end").isNotNull() & (gap <= F.lit(max_gap_seconds * 1_000_000)))
 

@@ -68,6 +68,7 @@ ORACLE = {
     "scd2_state": history_sql(*STATE),
     "scd2_from_log": history_sql(*STATE),
     "pulse_stream": history_sql(*STATE),
+    "pulse_keyed": history_sql(*STATE),
     "scd2_price": history_sql(["price"], ["sku"]),
     "scd2_buybox": history_sql(["winning", "status"], ["winner_price"]),
     "interval_union": with_roles(ISLANDS + " SELECT * FROM u", "listing_observations", extra={"obs": _obs_state()}),
@@ -371,3 +372,13 @@ t AS (SELECT band, CAST(sum(CAST(m AS DECIMAL(38,6))) AS DOUBLE) AS margin, CAST
   FROM banded WHERE band IS NOT NULL GROUP BY band)
 SELECT t.band, {sround('t.margin', 2)} AS margin, {sround('t.units', 2)} AS units, (SELECT count(*) FROM w WHERE w.band = t.band) AS skus_won,
   (SELECT count(*) FROM w WHERE w.band = t.band AND w.units >= 15) AS won_with_volume FROM t""", "fact_sales")
+
+ORACLE["late_data_stream"] = """WITH e AS (SELECT event_id, ts, value, least(CAST(floor(date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) / 5.0) AS BIGINT)
+    + CASE WHEN event_id % 97 = 0 THEN 3 WHEN event_id % 31 = 0 THEN 1 ELSE 0 END, 5) AS b FROM events),
+f AS (SELECT * FROM e UNION ALL SELECT event_id, ts, value, least(b + 1, 5) FROM e WHERE event_id % 53 = 0),
+hw AS (SELECT b, max(max(ts)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM f GROUP BY b),
+j AS (SELECT f.*, coalesce(ts <= date_trunc('millisecond', high) - INTERVAL 7 DAY, false) AS late FROM f JOIN hw USING (b)),
+o AS (SELECT date_trunc('hour', ts) AS hour, round(CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE), 2) AS revenue, count(*) AS events
+      FROM (SELECT DISTINCT event_id, ts, value FROM j WHERE NOT late) GROUP BY 1),
+l AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS late_events FROM j WHERE late GROUP BY 1)
+SELECT hour, revenue, coalesce(events, 0) AS events, coalesce(late_events, 0) AS late_events FROM o FULL JOIN l USING (hour)"""

@@ -73,3 +73,27 @@ ORACLE["allocate_proportional"] = with_roles(f"""WITH w AS (SELECT pedido_id, re
 t AS (SELECT pedido_id, CAST(sum(CAST(weight AS DECIMAL(38,6))) AS DOUBLE) AS total FROM w GROUP BY pedido_id)
 SELECT w.pedido_id, w.renglon, w.sku, {sround('CASE WHEN t.total > 0 THEN w.envio * (w.weight / t.total) ELSE 0.0 END', 4)} AS allocated
 FROM w JOIN t ON t.pedido_id = w.pedido_id""", "web_order_items")
+
+ORACLE["file_manifest_diff"] = """WITH s AS (SELECT DISTINCT o_orderstatus AS st FROM orders),
+one AS (SELECT 'kept/o_orderstatus=F' AS name FROM s WHERE st = 'F' UNION ALL SELECT 'grown/o_orderstatus=O' FROM s WHERE st = 'O'
+        UNION ALL SELECT 'moved/o_orderstatus=F' FROM s WHERE st = 'F'),
+two AS (SELECT 'kept/o_orderstatus=F' AS name, 'same' AS change FROM s WHERE st = 'F' UNION ALL SELECT 'grown/o_orderstatus=O', 'changed' FROM s WHERE st = 'O'
+        UNION ALL SELECT 'moved/o_orderstatus=F', 'removed' FROM s WHERE st = 'F' UNION ALL SELECT 'moved/o_orderstatus=' || st, 'added' FROM s WHERE st <> 'F')
+SELECT 1 AS run, name, 'added' AS change FROM one UNION ALL SELECT 2, name, change FROM two
+UNION ALL SELECT 3, name, 'added' FROM two WHERE change <> 'removed'"""
+ORACLE["flatten_documents"] = """SELECT event_id,
+  CASE WHEN event_type = 'purchase' THEN 'n-' || event_id WHEN event_type = 'signup' THEN CAST(user_id AS VARCHAR) END AS amount,
+  CASE WHEN event_type IN ('purchase', 'signup') THEN user_id END AS buyer_code,
+  CASE WHEN event_type = 'purchase' THEN 'c' || (user_id % 9) END AS buyer_place_city,
+  CASE WHEN event_type = 'purchase' THEN '[' || user_id || ',"x"]' END AS buyer_tags,
+  CASE WHEN event_type IN ('view', 'click', 'purchase', 'signup') THEN event_id END AS id,
+  CASE WHEN event_type = 'click' THEN CAST(event_id % 7 AS DOUBLE) + 0.5 END AS pos,
+  CASE WHEN event_type IN ('view', 'click') THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS props_k,
+  CAST(NULL AS VARCHAR) AS ref FROM events"""
+ORACLE["multiget_landed"] = ORACLE["multiget_envelope"]
+ORACLE["evolved_table"] = ORACLE["additive_evolution"]
+ORACLE["guarded_write"] = """SELECT c_custkey AS id, c_mktsegment AS rubro, CAST(NULL AS BIGINT) AS refused FROM customer
+UNION ALL SELECT NULL, NULL, 3"""
+ORACLE["bucketed_joins"] = """WITH p AS (SELECT l_orderkey AS k, count(*) AS n_lines, sum(CAST(l_quantity AS DECIMAL(38,6))) AS q, max(l_extendedprice) AS dearest FROM lineitem GROUP BY 1)
+SELECT o_orderkey AS k, coalesce(n_lines, 0) AS n_lines, round(CAST(q AS DOUBLE), 2) AS quantity, n_lines IS NULL AS missing, dearest
+FROM orders LEFT JOIN p ON p.k = o_orderkey"""

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marginflow.functions import scalars as S
+from marginflow.operators.aggregates import exact_sum
 from marginflow.operators.allocate import allocate_proportional
 from marginflow.operators.dedupe import dedupe_keep_last, latest_per_key
 from marginflow.plans import experiment as EX
 from marginflow.registry import query
-from marginflow.session import ensure_checkpoint_dir
+from marginflow.session import ensure_checkpoint_dir, stored
 from marginflow.sinks import writers as W
 from marginflow.sources import nested as N
 from marginflow.sources import roles as R
@@ -168,6 +169,63 @@ def q_file_manifest_changed(spark, sf):
         "files", N.manifest_changed(F.col("fingerprint"), stored).alias("changed"))
 
 
+def _sheets(df, base, name):
+    df.repartition(1).write.mode("overwrite").partitionBy("o_orderstatus").csv(os.path.join(base, name))
+
+
+@query("file_manifest_diff")
+def q_file_manifest_diff(spark, sf):
+    """Order sheets by status, loaded three times against the stored manifest: first all is new; then
+    one folder's sheet has more rows and another's sheets went for others; then the state is broken, so
+    all counts as new again."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    base, state = _place(spark, "order-sheets"), _place(spark, "manifest")
+
+    def load(run):
+        now = N.sheet_manifest(spark, base)
+        diff = stored(N.manifest_diff(now, N.stored_manifest(spark, state)), "manifest-diff")
+        N.store_manifest(now, state)
+        return diff.select(F.lit(run).alias("run"), "name", "change")
+
+    _sheets(o.where("o_orderstatus = 'F'"), base, "kept")
+    _sheets(o.where("o_orderstatus = 'O' and o_orderkey % 2 = 0"), base, "grown")
+    _sheets(o.where("o_orderstatus = 'F'"), base, "moved")
+    first = load(1)
+    _sheets(o.where("o_orderstatus = 'O'"), base, "grown")
+    _sheets(o.where("o_orderstatus <> 'F'"), base, "moved")
+    second = load(2)
+    o.limit(1).select("o_orderstatus").write.mode("overwrite").text(state)  # no manifest any more
+    return first.unionByName(second).unionByName(load(3))
+
+
+@query("flatten_documents")
+def q_flatten_documents(spark, sf):
+    """Event documents whose shape is found in them: the table's own JSON text nested under a name,
+    fields that only some have, one field that is text in some and a number in others, an array, and
+    texts that are broken or no object."""
+    e = read_table(spark, sf, "events")
+    j = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    ident, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    kind = F.col("event_type")
+    doc = (
+        F.when(kind == "view", j('{"id":', ident, ',"props":', F.col("props"), ',"ref":null}'))
+        .when(kind == "click", j('{"props":', F.col("props"), ',"id":', ident, ',"pos":', (F.col("event_id") % 7).cast("string"), '.5}'))
+        .when(kind == "purchase", j('{"id":', ident, ',"amount":"n-', ident, '","buyer":{"code":', user, ',"tags":[', user, ',"x"],"place":{"city":"c', (F.col("user_id") % 9).cast("string"), '"}}}'))
+        .when(kind == "signup", j('{"id":', ident, ',"amount":', user, ',"buyer":{"code":', user, "}}"))
+        .when(F.col("event_id") % 2 == 0, F.lit("{broken")).otherwise(F.lit("[1, 2]"))
+    )
+    return N.flatten_documents(e.select("event_id", doc.alias("doc")), "doc", keep=["event_id"])
+
+
+@query("multiget_landed")
+def q_multiget_landed(spark, sf):
+    """The bodies as they were landed, and one row with id null for the rejects that the write counted."""
+    path = _place(spark, "multiget")
+    seen = N.land_multiget(_envelopes(spark, sf), path)
+    count = spark.range(1).select(F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("customer"), F.lit(seen["rejected"]).cast("bigint").alias("rejected"))
+    return spark.read.parquet(path).select("id", "customer", F.lit(None).cast("bigint").alias("rejected")).unionByName(count)
+
+
 # --- writers ------------------------------------------------------------------------------
 
 
@@ -258,6 +316,54 @@ def q_schema_contract(spark, sf):
     return actual.agg(F.count(F.lit(1)).alias("rows")).select(F.explode(missing).alias("column_name"), "rows")
 
 
+@query("evolved_table")
+def q_evolved_table(spark, sf):
+    """``additive_evolution`` on stored files: rows with two new columns and without one are appended,
+    and a reader sees files of both schemas as one table."""
+    p = R.preparations(spark, sf)
+    path = _place(spark, "evolving")
+    W.append_evolving(p.where("preparacion_id % 2 = 0"), path)
+    W.append_evolving(p.where("preparacion_id % 2 = 1").select(
+        "preparacion_id", "pedido_codigo", (F.col("preparacion_id") % 3 == 0).alias("urgent"), (F.col("preparacion_id") % 100).cast("int").alias("kg")), path)
+    return W.read_evolving(spark, path)
+
+
+@query("guarded_write")
+def q_guarded_write(spark, sf):
+    """A table of customers by key; batches with a key twice, with a null, and without a declared column
+    are refused by their own writes, and readers go on seeing the last good version. The row with id
+    null counts the refusals."""
+    c = R.erp_customers(spark, sf).select("id", "rubro")
+    base, declared = _place(spark, "guarded"), c.schema
+    publish = lambda df: W.publish_version(spark, W.guarded(df, ["id"], ["id"], declared, "customers"), base)
+    publish(c)
+    refused = 0
+    for bad in (c.unionByName(c.where("id % 5 = 0")), c.withColumn("id", F.when(F.col("id") % 5 != 0, F.col("id"))), c.drop("rubro")):
+        try:
+            publish(bad)
+        except Exception as e:
+            if "customers: " not in str(e):
+                raise
+            refused += 1
+    one = spark.range(1).select(F.lit(None).cast(declared["id"].dataType).alias("id"), F.lit(None).cast("string").alias("rubro"), F.lit(refused).cast("bigint").alias("refused"))
+    return spark.read.parquet(W.latest_version(spark, base)).select("id", "rubro", F.lit(None).cast("bigint").alias("refused")).unionByName(one)
+
+
+@query("bucketed_joins")
+def q_bucketed_joins(spark, sf):
+    """Orders, their lines and the lines' totals as tables bucketed by order: orders without a line, and
+    each order's lines, quantity and share of the whole order in its dearest line, without an exchange."""
+    tag = uuid.uuid4().hex
+    o = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_totalprice")
+    li = read_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), "l_quantity", "l_extendedprice")
+    ob = W.bucketed(o, f"orders_{tag}", ["k"], _place(spark, "bucketed-orders"), buckets=16)
+    lb = W.bucketed(li, f"lines_{tag}", ["k"], _place(spark, "bucketed-lines"), buckets=16)
+    per = lb.groupBy("k").agg(F.count(F.lit(1)).alias("n_lines"), exact_sum("l_quantity").alias("quantity"), F.max("l_extendedprice").alias("dearest"))
+    return (ob.hint("merge").join(per.hint("merge"), "k", "left")
+            .select("k", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.round("quantity", 2).alias("quantity"), F.col("n_lines").isNull().alias("missing"),
+                    "dearest"))
+
+
 # --- histories and allocation ------------------------------------------------------------------
 
 

@@ -107,6 +107,30 @@ def schema_contract(declared: T.StructType, actual: T.StructType | None) -> list
     return [f.name for f in declared.fields if f.name not in have]
 
 
+def guarded(df: DataFrame, unique: Sequence[str] = (), required: Sequence[str] = (), declared: T.StructType | None = None,
+            label: str = "table") -> DataFrame:
+    """``df``, but a job that reads it whole fails where a key of ``unique`` repeats or a ``required``
+    column is null; declared columns that it lacks fail at once.
+
+    The guards are part of the plan of the write itself, so nothing runs before it and a broken batch
+    never becomes a version: its job ends before the version is complete. Keys are counted with a
+    map-side combine; only the keys are shuffled, never the rows."""
+    if declared is not None and (missing := schema_contract(declared, df.schema)):
+        raise ValueError(f"{label}: declared columns are missing: {', '.join(missing)}")
+    out = df
+    for c in required:
+        message = F.concat(F.lit(f"{label}: {c} is null in "), F.to_json(F.struct(*[F.col(x) for x in df.columns])))
+        kind = df.schema[c].dataType
+        out = out.withColumn(c, F.when(F.col(c).isNull(), F.raise_error(message).cast(kind)).otherwise(F.col(c)))
+    if not unique:
+        return out
+    repeated = df.groupBy(*unique).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    message = F.concat(F.lit(f"{label}: key repeats: "), F.to_json(F.struct(*[F.col(x) for x in unique], "_n")))
+    # no row ever comes out of this branch: the first one ends the job
+    broken = repeated.select(*[F.raise_error(message).cast(f.dataType).alias(f.name) for f in out.schema.fields])
+    return out.unionByName(broken)
+
+
 def snapshot_rows(photo: DataFrame, day: dt.date, error_col: str = "error") -> DataFrame:
     """Today's photo without error rows, stamped with the day."""
     return photo.where(F.col(error_col).isNull()).withColumn("fecha", F.lit(day))
@@ -135,12 +159,19 @@ def publish_version(spark: SparkSession, df: DataFrame, base: str,
 
 
 def replace_all_version(spark: SparkSession, df: DataFrame, base: str) -> str | None:
-    """Publish ``df`` as the table's next version; an empty one is dropped
-    again before a reader could see it (its rows are written once)."""
-    staged = new_version_path(os.path.join(base, "_staged"))
+    """Publish ``df`` as the table's next version, unless it is empty.  Rows are written
+    once, aside; the folder becomes the version by its new name, an empty one goes."""
+    staged, path = new_version_path(os.path.join(base, "_staged")), new_version_path(base)
     df.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
-    return None if rows.isEmpty() else publish_version(spark, rows, base)
+    empty = spark.read.schema(df.schema).parquet(staged).isEmpty()
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    if empty:
+        fs.delete(at(staged), True)
+        return None
+    if not fs.rename(at(staged), at(path)):
+        raise OSError(f"{staged} could not become {path}")
+    return path
 
 
 def latest_version(spark: SparkSession, base: str) -> str | None:
@@ -171,6 +202,37 @@ def daily_snapshot(photo: DataFrame, path: str, day: dt.date, error_col: str = "
     replace_partitions(snapshot_rows(photo, day, error_col), path, ["fecha"])
 
 
+def append_evolving(df: DataFrame, path: str) -> None:
+    """Append rows whose columns differ from the stored ones: new columns come in with the types that
+    ``additive_evolution`` gives, known ones keep theirs, and no stored file is touched."""
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        there = read_evolving(spark, path).schema
+        kinds = {f.name: f.dataType for f in there.fields} | dict(additive_evolution(there, df.schema))
+        df = df.select(*[F.col(c).cast(kinds[c]).alias(c) for c in df.columns])
+    df.write.mode("append").parquet(path)
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of files of different schemas; columns that a file lacks are null."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, keys: Sequence[str], path: str, bytes_per_bucket: int = 128 << 20,
+             buckets: int | None = None) -> DataFrame:
+    """``df`` as table ``name`` at ``path``, bucketed and sorted by ``keys``: joins of tables with the
+    same keys and number of buckets need neither an exchange nor a sort.  The number follows the
+    plan's size (a power of two, so that tables of different sizes still line up) unless given."""
+    if buckets is None:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        buckets = 1 << max(0, (min(size // bytes_per_bucket, 1 << 14)).bit_length())
+    # rows of a bucket come from one task: one sorted file a bucket
+    one = df.repartition(buckets, *[F.col(k) for k in keys])
+    one.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def append_incremental(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Append the rows whose key the table lacks, so a run that was broken
     off goes on where it ended and a repeated one adds nothing."""

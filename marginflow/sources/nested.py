@@ -9,7 +9,9 @@ so documents are processed inside the scan's tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +44,70 @@ def flatten_struct_columns(df: DataFrame, sep: str = ".") -> DataFrame:
 
 
 
+def _members(ddl: str) -> list[tuple[str, str]]:
+    """(name, type) of the fields of ``OBJECT<a: …, b: …>``; commas and colons inside brackets or
+    quotes belong to a type or a name."""
+    out, depth, quoted, at, name = [], 0, False, 0, None
+    body = ddl[len("OBJECT<"):-1]
+    for i, c in enumerate(body + ","):
+        if c == "`":
+            quoted = not quoted
+        elif quoted:
+            continue
+        elif c in "<(":
+            depth += 1
+        elif c in ">)":
+            depth -= 1
+        elif c == ":" and depth == 0 and name is None:
+            name, at = body[at:i].strip(), i + 1
+        elif c == "," and depth == 0:
+            if name is not None:
+                bare = name[1:-1].replace("``", "`") if name.startswith("`") else name
+                out.append((bare, body[at:i].strip()))
+            at, name = i + 1, None
+    return out
+
+
+def discovered_leaves(ddl: str) -> list[tuple[tuple[str, ...], str]]:
+    """(path, type) of every leaf of a discovered schema, in the order of the paths. Objects are
+    opened; arrays and fields whose documents disagree are text; numbers with a point are double."""
+    out = []
+    for name, kind in _members(ddl):
+        if kind.startswith("OBJECT<"):
+            out += [((name, *path), k) for path, k in discovered_leaves(kind)]
+        elif kind.startswith("DECIMAL") or kind in ("DOUBLE", "FLOAT"):
+            out.append(((name,), "double"))
+        elif kind in ("BIGINT", "BOOLEAN"):
+            out.append(((name,), kind.lower()))
+        else:  # STRING, ARRAY<…>, VARIANT (documents disagree), VOID (only null seen)
+            out.append(((name,), "string"))
+    return sorted(out)
+
+
+def flatten_documents(df: DataFrame, doc: str, keep: Sequence[str] = (), sep: str = "_") -> DataFrame:
+    """Documents of any shape as one flat table: the schema is not given but found in the documents.
+
+    A first pass merges the shapes of all documents in an aggregate (combined before the shuffle;
+    what reaches the driver is one type), a second one reads each leaf by its path. A field that one
+    document lacks is null there. A field with values of different kinds is the value's JSON text, a
+    string as it is. Two paths that give the same name, and names of ``keep``, get their number added.
+    Text that is not JSON, or is no object, counts as an empty document."""
+    text = F.col(doc).cast("string")
+    shape = df.select(F.try_parse_json(text).alias("v")).where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT<")))
+    found = shape.agg(F.schema_of_variant_agg("v")).first()[0]
+    leaves = discovered_leaves(found) if found and found.startswith("OBJECT<") else []
+    cols, names = [], set(keep)
+    for path, kind in leaves:
+        name = sep.join(path)
+        while name in names:
+            name += "_2"
+        names.add(name)
+        where = "$" + "".join("['" + p.replace("\\", "\\\\").replace("'", "\\'") + "']" for p in path)
+        cols.append(F.try_variant_get("_v", where, kind).alias(name))
+    v = F.try_parse_json(text)
+    return df.select(*keep, v.alias("_v")).select(*keep, *cols)
+
+
 def nested_to_text(df: DataFrame) -> DataFrame:
     """Array/map/struct columns → JSON text (for a text-only sink); null
     fields stay as ``null`` (``to_json`` would drop their keys)."""
@@ -63,6 +129,16 @@ def multiget_envelope(df: DataFrame, code: str = "code", body: str = "body") ->
     return ok, rejects
 
 
+def land_multiget(df: DataFrame, path: str, code: str = "code", body: str = "body") -> dict[str, int]:
+    """Writes the bodies with code 200 and returns ``rows`` and ``rejected``, counted by the write
+    itself (observed metrics): the responses are read once."""
+    good = F.col(code).eqNullSafe(F.lit(200))
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(~good).alias("rejected"))
+    watched.where(good).select(f"{body}.*").write.parquet(path)
+    return seen.get
+
+
 def explode_items(orders: DataFrame, items: str = "order_items") -> DataFrame:
     """Header fields repeated on each item row; an order without items yields
     no rows."""
@@ -184,6 +260,15 @@ def file_manifest(spark: SparkSession, path_glob: str) -> DataFrame:
                      F.col("modificationTime").alias("mtime"))
 
 
+def sheet_manifest(spark: SparkSession, base: str, depth: int = 2) -> DataFrame:
+    """One row per folder of files under ``base``, each a sheet: its path's last ``depth`` parts, size
+    and newest modification time. Files are listed, not read."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+    parts = F.split("path", "/")
+    name = F.array_join(F.slice(parts, F.size(parts) - depth, depth), "/")
+    return df.groupBy(name.alias("name")).agg(F.sum("length").cast("bigint").alias("size"), F.max("modificationTime").alias("mtime"))
+
+
 def fingerprint() -> Column:
     """Aggregate: sha2 over the (name|size|mtime) lines, whatever their order: each line's
     digest is summed as a number, so no list of all files is built."""
@@ -195,3 +280,32 @@ def fingerprint() -> Column:
 def manifest_changed(current: Column, stored: Column) -> Column:
     """Absent or unreadable stored state counts as changed."""
     return stored.isNull() | ~current.eqNullSafe(stored)
+
+
+MANIFEST = "name string, size bigint, mtime timestamp"
+
+
+def stored_manifest(spark: SparkSession, state_path: str) -> DataFrame | None:
+    """The manifest kept at ``state_path``; none where there is none or it cannot be read."""
+    try:
+        kept = spark.read.schema(MANIFEST).parquet(state_path)
+        return kept if kept.count() >= 0 else None
+    except Exception as e:  # a missing or broken state counts as changed, whatever broke it
+        if "PATH_NOT_FOUND" not in str(e) and "FAILED_READ_FILE" not in str(e) and "Parquet" not in str(e):
+            raise
+        return None
+
+
+def manifest_diff(now: DataFrame, kept: DataFrame | None) -> DataFrame:
+    """(name, change) with change ``added``, ``removed``, ``changed`` or ``same``. Without a stored
+    manifest every file is added."""
+    if kept is None:
+        return now.select("name", F.lit("added").alias("change"))
+    a, b = now.select("name", F.struct("size", "mtime").alias("now")), kept.select("name", F.struct("size", "mtime").alias("was"))
+    change = F.when(F.col("was").isNull(), "added").when(F.col("now").isNull(), "removed").when(F.col("now") != F.col("was"), "changed").otherwise("same")
+    return a.join(b, "name", "full_outer").select("name", change.alias("change"))
+
+
+def store_manifest(now: DataFrame, state_path: str) -> None:
+    """Keeps the manifest for the next run; written only after the load has succeeded."""
+    now.select("name", "size", "mtime").coalesce(1).write.mode("overwrite").parquet(state_path)

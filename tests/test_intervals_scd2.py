@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -126,3 +127,41 @@ def test_merge_log_any_batching_equals_rebuild(spark):
         hist = scd2_merge_log(hist, spark.createDataFrame(chunk, schema), "item", "ts", ["st"], ["units"])
         hist = spark.createDataFrame(hist.collect(), hist.schema)
     assert _norm(hist.select("item", "desde", "hasta", "visto_hasta", "st", "units").collect()) == expect
+
+
+def _brute_overlaps(a, b):
+    return sorted((k, i, j, max(s, t), min(e, f)) for k, i, s, e in a for l, j, t, f in b if k == l and s < f and t < e and s < e and t < f)
+
+
+@pytest.mark.parametrize("span", [2, 400, 100_000])
+def test_overlap_join_finds_every_pair_once(spark, span):
+    """Intervals of minutes up to ten years, empty ones, touching ones, ends on the hour, before 1970."""
+    rnd = random.Random(span)
+    base = dt.datetime(1969, 12, 25)
+
+    def some(n):
+        out = []
+        for i in range(n):
+            s = base + dt.timedelta(hours=rnd.randrange(span * 2), minutes=rnd.choice([0, 0, 30, 59]))
+            out.append((rnd.choice("xy"), i, s, s + rnd.choice([dt.timedelta(0), dt.timedelta(microseconds=1), dt.timedelta(hours=1), dt.timedelta(hours=rnd.randrange(span)), dt.timedelta(minutes=7)])))
+        return out
+
+    a, b = some(80), some(80)
+    df = lambda rows: spark.createDataFrame(rows, "k string, i int, start timestamp_ntz, end timestamp_ntz")
+    got = IV.overlap_join(df(a), df(b), ["k"])
+    assert sorted((r.k, r.a_i, r.b_i, r.start, r.end) for r in got.collect()) == _brute_overlaps(a, b)
+
+
+def test_a_ten_year_interval_has_few_bins(spark):
+    from pyspark.sql import functions as F
+
+    n = spark.range(1).select(F.size(IV._cover(F.lit(12_345).cast("long"), F.lit(12_345 + 87_660).cast("long"))).alias("n")).first().n
+    assert n <= 34
+    a = spark.createDataFrame([("x", dt.datetime(2010, 1, 1), dt.datetime(2020, 1, 1))], "k string, start timestamp_ntz, end timestamp_ntz")
+    plan = IV.overlap_join(a, a, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Cartesian" not in plan
+
+
+def test_empty_overlap_join(spark):
+    e = spark.createDataFrame([], "k string, start timestamp_ntz, end timestamp_ntz")
+    assert IV.overlap_join(e, e, ["k"]).collect() == []
