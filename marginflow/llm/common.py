@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows that one Arrow batch carries to Python; texts may be long, so batches are kept short.
 ARROW_ROWS = 512
@@ -49,3 +50,12 @@ def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bounds the rows of an Arrow batch for the jobs that follow, so that a batch of long
     texts stays small in a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def numbered(docs: DataFrame, stem: str) -> tuple[DataFrame, str]:
+    """``docs`` with a row number under a name of its own, written once: whoever reads it sees the
+    same numbers, however its files are split among the cores at hand."""
+    name = stem
+    while name in docs.columns:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from marginflow.llm.common import short_batches, stored
+from marginflow.llm.common import numbered, short_batches, stored
 from marginflow.llm.textbytes import labelled, mix, shingles, word_bytes
 
 WIDTH = 5
@@ -277,11 +277,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, row_col: str | None =
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (read from files) with one row of each class: the row that comes first in the
-    files. All columns are kept as they are."""
-    row = "_near_row"
-    while row in docs.columns:
-        row += "_"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    keep = stored(_classes(numbered, id_col, text_col, row).filter("_row = keep_row").select(F.col("_row").alias(row)), "kept-rows")
-    return numbered.join(keep, row, "left_semi").drop(row)
+    """``docs`` with one row of each class: the row that comes first. All columns are kept as they
+    are."""
+    rows, row = numbered(docs, "_near_row")
+    keep = stored(_classes(rows, id_col, text_col, row).filter("_row = keep_row").select(F.col("_row").alias(row)), "kept-rows")
+    return rows.join(keep, row, "left_semi").drop(row)

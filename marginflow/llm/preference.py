@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginflow.llm.common import stored
 from marginflow.operators.windows import global_index
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -61,7 +62,9 @@ def next_ids(conversations: DataFrame) -> DataFrame:
 
 def pairs_of(conversations: DataFrame) -> DataFrame:
     """(chosen_id, rejected_id, chosen, rejected); ``rejected_id`` is null where the rejected
-    conversation is made from the chosen one."""
+    conversation is made from the chosen one. The conversations are written once and read by
+    all three uses."""
+    conversations = stored(conversations, "preference-conversations")
     named = lambda c: F.concat(F.lit("="), F.col(c).cast("string"))
     # rows without an id, or without a next one, have join keys of their own that match nothing
     own_key = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))

@@ -121,7 +121,7 @@ ORACLE_SQL = {
         n AS (SELECT *, lead(conv_id) OVER w AS next_id, lead(t) OVER w AS next_t,
                      list_position([x.role = 'assistant' FOR x IN t], true) AS head,
                      len(t) + 1 - list_position(list_reverse([x.role = 'assistant' FOR x IN t]), true) AS last
-              FROM c WINDOW w AS (PARTITION BY t[1], floor(conv_id / 256) ORDER BY conv_id)),
+              FROM c WINDOW w AS (PARTITION BY t[1] ORDER BY conv_id)),
         p AS (SELECT conv_id AS chosen_id, next_id AS rejected_id, t AS a,
                      CASE WHEN next_t IS NOT NULL THEN next_t WHEN coalesce(head, 0) = 0 THEN t
                           ELSE list_concat(list_concat(t[:last - 1], CASE WHEN head < last THEN [t[head]] ELSE [] END), t[last + 1:]) END AS b

@@ -20,9 +20,29 @@ def test_prefix_masks_and_pairs(spark):
     assert got[1].chosen == "<|im_start|>assistant\na<|im_end|>\n" and got[1].chosen_mask == "0:22,1:11,0:1"
     assert got[1].rejected_mask == "0:22,1:11,0:1,0:17,0:11,0:1"
     assert got[2].rejected_id == 3 and got[2].tie and got[2].chosen == got[2].rejected == ""
-    assert got[3].rejected_id is None and got[3].n_shared == 1 and got[3].rejected == "<|im_start|>user\nc<|im_end|>\n"
+    assert got[3].rejected_id == 300 and got[3].n_shared == 1 and not got[3].tie and got[3].rejected == ""
+    assert got[3].chosen == "<|im_start|>assistant\nb<|im_end|>\n<|im_start|>user\nc<|im_end|>\n"
     assert got[4].n_shared == 3 and got[4].prompt.startswith("<|im_start|>system\ns<| im_end|><|im_end|>\n") and "x<|im_end|>" in got[4].rejected
-    assert got[300].tie
+    assert got[300].rejected_id is None and got[300].tie
+
+
+def test_sql_agrees_where_pairs_are_real(spark, tmp_path):
+    """Shared first turns, ids far apart, one first turn in a third of the conversations: code and SQL
+    pair alike, and most conversations have a real rejected one."""
+    import duckdb
+
+    ids = [7, 255, 256, 300, 70_000, 10**12, *range(1_000, 90_000, 991)]
+    rows = []
+    for n, i in enumerate(ids):
+        rows.append((i, 0, "user", "hot" if n % 3 == 0 else f"q{n % 9}"))
+        rows += [(i, 1 + k, ("assistant", "user")[k % 2], f"t{(i + k) % 4}") for k in range(n % 5)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op7_preference(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    rel = con.sql(queries.ORACLE_SQL["op7_preference"])
+    assert sorted(map(str, (tuple(r) for r in got.select(*rel.columns).collect()))) == sorted(map(str, rel.fetchall()))
+    assert got.filter("rejected_id is not null").count() == len(ids) - 7  # seven first turns
 
 
 def test_mask_covers_the_completion(spark):

@@ -57,7 +57,7 @@ def test_whole_table_against_brute_force(spark):
     assert sorted(map(tuple, queries.op11_prefix_trie(spark, SF).collect()), key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", [0, 1])
 def test_shared_prefixes_hot_turns_and_repeats(spark, seed):
     """Few different turns, so that prefixes are shared at all depths; a hot first turn."""
     rng = random.Random(seed)
