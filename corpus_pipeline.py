@@ -13,23 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginflow.llm import decontaminate, order_minhash, outliers, packing, pii
-from marginflow.llm.common import new_path
+from marginflow.llm.common import new_path, numbered
 
-
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a row number under a name of its own; the stages read files, so a second
-    scan gives the same numbers."""
-    name = "_row"
-    while name in docs.columns:
-        name += "_"
-    return docs.withColumn(name, F.monotonically_increasing_id()), name
+#: A word of the decontamination stage, fixed as in its operator.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    numbered, row = _numbered(docs)
-    kept = outliers.quality_rules(numbered, row).filter("kept").select(row)
-    return numbered.join(kept, row, "left_semi").drop(row)
+    rows, row = numbered(docs, "_row")
+    kept = outliers.quality_rules(rows, row).filter("kept").select(row)
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +32,18 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark window."""
-    numbered, row = _numbered(docs)
-    found = decontaminate.contamination(numbered, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=row)
+    """Documents that hold no window of a benchmark item of ten words or more. An item of fewer words
+    is one window, which clean texts may hold by chance, so hits of such items reject a document only
+    where they cover half of its words or more."""
+    rows, row = numbered(docs, "_row")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").withColumn("_words", F.regexp_count("text", F.lit(WORD)))
+    found = decontaminate.contamination(rows, items.filter(F.col("_words") >= decontaminate.WINDOW), id_col=row)
     clean = found.filter("not contaminated").select(row)
-    return numbered.join(clean, row, "left_semi").drop(row)
+    short = items.filter(F.col("_words").between(1, decontaminate.WINDOW - 1))
+    if not short.isEmpty():
+        mostly = decontaminate.contamination(rows, short, id_col=row).filter("contaminated and 2 * n_hit >= n_words")
+        clean = clean.join(mostly.select(row), row, "left_anti")
+    return rows.join(clean, row, "left_semi").drop(row)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
