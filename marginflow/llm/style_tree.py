@@ -23,7 +23,10 @@ pass extracts. No page is moved in the usual case.
 
 Defined results: null or empty html gives an empty text. A null url has the host "". Broken
 markup is read as browsers do: unclosed elements end with their parent, stray end tags are
-skipped, an unfinished tag at the end is no text. Hosts of fewer than ``LEAST_PAGES`` pages
+skipped, elements below 512 open ones are siblings, an unfinished tag at the end is no text. A raw
+element (script, svg and so on) that is closed in its own tag or never costs no text after it. Very
+long pages take time in proportion. Only an attribute's own name makes it a class, id, role or
+``hidden``. Other columns, whatever their names, are not read. An empty table gives no rows. Hosts of fewer than ``LEAST_PAGES`` pages
 are judged by their elements alone. Repeated rows give repeated results.
 """
 
@@ -34,6 +37,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -73,33 +77,61 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NOISE_STEMS = ("commentlist", "commentbox", "advert", "sidebar", "breadcrumb", "newsletter", "cookiebar", "cookiebanner", "navbar", "adsense")
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 CONTENT_TAGS = frozenset(("article", "main"))
+#: Words that say nothing beside a noise word (``social-bar``, ``comment-list``).
+NEUTRAL_WORDS = frozenset("site page main global top bottom left right bar box block wrap wrapper container inner outer area list item items link links icon icons btn button buttons js is has el u posts post stories articles".split())
+#: Noise words that hold inside an article with neutral ones beside them.
+CORE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored sidebar breadcrumb breadcrumbs newsletter cookie cookies subscribe share sharing related recommended comment comments reply replies pagination nav".split())
+#: Open elements that a path names; deeper ones count as siblings, as in browsers.
+DEPTH = 512
 #: Start tags that end an open paragraph, and siblings that end each other.
 ENDS_P = frozenset(
     "address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 ENDS_OWN = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+OUTER = frozenset(("table", "ul", "ol", "dl"))
 SCOPES = frozenset(("table", "ul", "ol", "dl", "body", "html", "article", "section", "div", "td", "th", "li"))
 
+#: Comments, CDATA, declarations and tags; a quote without its partner ends with the tag.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(?:/?[A-Za-z])[^>]*\Z",
-    re.S | re.I,
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/><]*)(?=[\s/>]|\Z)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
+    r"|<(?P<end2>/?)(?P<tag2>[A-Za-z][^\s/><]*)(?=[\s/>])[^>]*(?:>|\Z)",
+    re.S,
 )
-_ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
+_NEXT_TAG = re.compile(r"<[A-Za-z/!]")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
 def says_noise(classes: str, ids: str, strict: bool) -> bool:
-    """Whether the names of an element say noise; ``strict`` inside a marked article."""
-    if not strict:
-        return any(w in NOISE_WORDS or w.startswith(NOISE_STEMS) for w in _NAME.findall(classes + " " + ids))
+    """Whether the names of an element say noise; ``strict`` inside a marked article. One generic word
+    among others that say something else (``form-guide``, ``legal-history``) does not."""
     for name in (*classes.split(), *ids.split()):
-        if name in STRONG_NAMES or (name.isalpha() and name.startswith(NOISE_STEMS)):
+        words = _NAME.findall(name)
+        if strict:
+            if name in STRONG_NAMES or (name.isalpha() and name.startswith(NOISE_STEMS)):
+                return True
+            if len(words) > 1 and any(w in CORE_WORDS for w in words) and all(w in NOISE_WORDS or w in NEUTRAL_WORDS for w in words):
+                return True
+        elif any(w in NOISE_WORDS or w.startswith(NOISE_STEMS) for w in words) and all(w in NOISE_WORDS or w in NEUTRAL_WORDS or w.startswith(NOISE_STEMS) for w in words):
             return True
     parts = map(_NAME.findall, classes.split())
-    return any(len(x) > 1 and all(w in NOISE_WORDS for w in x) for x in parts)
+    return strict and any(len(x) > 1 and all(w in NOISE_WORDS for w in x) for x in parts)
+
+
+def attributes(text: str) -> dict[str, str]:
+    """Attributes of a start tag by lower-case name; the first of a name counts, as in browsers."""
+    out: dict[str, str] = {}
+    for name, a, b, c in _ATTR.findall(text):
+        out.setdefault(name.lower(), a or b or c)
+    return out
+
+
+def is_hidden(attrs: dict[str, str]) -> bool:
+    return "hidden" in attrs or attrs.get("aria-hidden", "").strip().lower() == "true" or _NO_DISPLAY.search(attrs.get("style", "")) is not None
 
 
 class Block:
@@ -117,12 +149,27 @@ class Block:
         return _SPACE.sub(" ", "".join(self.parts)).strip()
 
 
+class Open(NamedTuple):
+    """An open element; ``noise`` counts its ancestors' too, ``said`` is an inline element's own."""
+
+    tag: str
+    path: tuple[str, ...]
+    noise: bool
+    inside: bool
+    inline: bool
+    said: bool
+
+
 def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
-    """Blocks with text in page order, and the child tags of every element path."""
+    """Blocks with text in page order, and the child tags of every element path. Time is in
+    proportion to the page: tags that are not open are not looked for, and elements below
+    ``DEPTH`` open ones are siblings."""
     blocks: list[Block] = []
     children: dict[tuple[str, ...], list[str]] = {}
-    # an open element: tag, path, noise, inside an article, is inline
-    stack: list[tuple[str, tuple[str, ...], bool, bool, bool]] = [("", (), False, False, False)]
+    stack: list[Open] = [Open("", (), False, False, False, False)]
+    held: list[Open] = [stack[0]]  # the open block elements
+    is_open: Counter = Counter()
+    no_end: set[str] = set()
     links = muted = 0
     block: Block | None = None
 
@@ -133,8 +180,8 @@ def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
         if block is None:
             if not s.strip():
                 return
-            top = next(x for x in reversed(stack) if not x[4])
-            block = Block(top[1], any(x[2] for x in stack if not x[4]), top[3])
+            top = held[-1]
+            block = Block(top.path, top.noise, top.inside)
             blocks.append(block)
         s = entities.unescape(s) if "&" in s else s
         block.parts.append(s)
@@ -145,24 +192,39 @@ def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
     def close(k: int) -> None:
         nonlocal links, muted, block
         for x in stack[k:]:
-            links -= x[0] == "a"
-            muted -= x[4] and x[2]
-            if not x[4]:
+            is_open[x.tag] -= 1
+            links -= x.tag == "a"
+            muted -= x.said
+            if not x.inline:
+                held.pop()
                 block = None
         del stack[k:]
 
+    def nearest(tags, stop=frozenset()) -> int:
+        """The place of the innermost open element of ``tags``, looked for up to one of ``stop``."""
+        if not any(is_open[t] > 0 for t in tags):
+            return 0
+        return next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in tags or stack[k].tag in stop), 0)
+
+    def push(x: Open) -> None:
+        stack.append(x)
+        is_open[x.tag] += 1
+        if not x.inline:
+            held.append(x)
+
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             text(page[at : m.start()])
         at = m.end()
-        tag = m["tag"]
+        tag = m["tag"] or m["tag2"]
         if tag is None:
             continue
         tag = tag.lower()
-        if m["end"]:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if k and (tag not in INLINE or all(x[4] for x in stack[k:])):
+        given = m["attrs"] or ""
+        if m["end"] or m["end2"]:
+            k = nearest((tag,))
+            if k and (tag not in INLINE or all(x.inline for x in stack[k:])):
                 close(k)
             elif tag == "br":
                 text(" ")
@@ -171,50 +233,46 @@ def parse(page: str) -> tuple[list[Block], dict[tuple[str, ...], list[str]]]:
             if block is not None:
                 text(" ")
             continue
+        if tag in _RAW_END:
+            # what a raw element holds goes; without an end tag it holds nothing (code: up to the next tag)
+            if not given.rstrip().endswith("/"):
+                end = None if tag in no_end else _RAW_END[tag].search(page, at)
+                if end is None:
+                    no_end.add(tag)
+                    if tag in ("script", "style"):
+                        after = _NEXT_TAG.search(page, at)
+                        at = after.start() if after else len(page)
+                else:
+                    at = end.end()
+            continue
         inline = tag in INLINE
         if not inline:
             block = None
-            if tag in ENDS_P:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == "p" or stack[k][0] in SCOPES), 0)
-                if k and stack[k][0] == "p":
-                    close(k)
-            if own := ENDS_OWN.get(tag):
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in own or stack[k][0] in ("table", "ul", "ol", "dl")), 0)
-                if k and stack[k][0] in own:
-                    close(k)
+            if tag in ENDS_P and (k := nearest(("p",), SCOPES)) and stack[k].tag == "p":
+                close(k)
+            if (own := ENDS_OWN.get(tag)) and (k := nearest(own, OUTER)) and stack[k].tag in own:
+                close(k)
         if tag in VOID:
             continue
-        attrs, names, classes, ids = m["attrs"] or "", "", "", ""
-        role = ""
-        if "=" in attrs:
-            for key, a, b, c in _ATTR.findall(attrs):
-                if key.lower() == "role":
-                    role = (a or b or c).lower()
-                elif key.lower() == "id":
-                    ids += " " + (a or b or c).lower()
-                else:
-                    classes += " " + (a or b or c).lower()
-                if key.lower() != "role":
-                    names += " " + (a or b or c).lower()
-        words = _NAME.findall(names)
+        attrs = attributes(given) if given.strip(" /\n\t") else {}
+        classes, ids, role = attrs.get("class", "").lower(), attrs.get("id", "").lower(), attrs.get("role", "").strip().lower()
         up = stack[-1]
-        said = bool(words) and says_noise(classes, "" if tag in HEADINGS else ids, up[3])
-        said = said or (bool(attrs) and _HIDDEN.search(attrs) is not None)
+        said = bool(classes or ids) and says_noise(classes, "" if tag in HEADINGS else ids, up.inside)
+        said = said or (bool(attrs) and is_hidden(attrs))
         if inline:
             muted += said
-            stack.append((tag, up[1], said, up[3], True))
+            push(Open(tag, up.path, up.noise, up.inside, True, said))
             links += tag == "a"
             continue
-        mark = tag + "".join("." + w for w in words[:4])
-        path = (*up[1], mark)
-        children.setdefault(up[1], []).append(mark)
+        mark = tag + "".join("." + w for w in _NAME.findall(f"{classes} {ids}"))
+        children.setdefault(up.path, []).append(mark)
+        path = (*up.path, mark) if len(up.path) < DEPTH else up.path
         children.setdefault(path, [])
-        inside = up[3] or tag in CONTENT_TAGS or role == "main"
+        inside = up.inside or tag in CONTENT_TAGS or role == "main"
         content = tag in CONTENT_TAGS or tag in ("body", "html")
-        noise = tag in NOISE_TAGS or (tag == "header" and not up[3]) or (not content and said) or role in NOISE_ROLES
-        stack.append((tag, path, noise, inside, False))
-    rest = page[at:]
-    text(rest)
+        noise = tag in NOISE_TAGS or (tag == "header" and not up.inside) or (not content and said) or role in NOISE_ROLES
+        push(Open(tag, path, up.noise or noise, inside, False, False))
+    text(page[at:])
     return [b for b in blocks if b.text], children
 
 
@@ -305,17 +363,29 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     tree = style_tree(pages, url_col, html_col)
     low = tree.filter((F.col("importance") < LEAST_IMPORTANCE) & (F.col("n_pages") >= LEAST_PAGES))
     low = stored(low.select("host", "node"), "unimportant")
-    by_host = low.groupBy("host").agg(F.collect_list("node").alias("_low"))
-    if low.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES:
-        by_host = F.broadcast(by_host)
     src = pages.select(F.col(id_col).alias(id_col), F.col(url_col).alias("_url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("_html"))
-    src = src.withColumn("host", host_of(F.col("_url"))).join(by_host, "host", "left").select(id_col, "_url", "_html", "_low")
+    src = src.withColumn("_host", host_of(F.col("_url")))
+    known = None
+    if low.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES:
+        nodes: dict[str, set[int]] = {}
+        for r in low.toLocalIterator():
+            nodes.setdefault(r.host, set()).add(r.node)
+        known = pages.sparkSession.sparkContext.broadcast({h: frozenset(x) for h, x in nodes.items()})
+        src = src.select(id_col, "_url", "_html", "_host", F.lit(None).cast("array<bigint>").alias("_low"))
+    else:
+        by_host = low.groupBy(F.col("host").alias("_host")).agg(F.collect_list("node").alias("_low"))
+        src = src.join(by_host, "_host", "left").select(id_col, "_url", "_html", "_host", "_low")
     kind = src.schema[id_col].dataType.simpleString()
     short_batches(pages.sparkSession, 256)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [main_text(h.as_py(), frozenset(x.as_py() or ())) for h, x in zip(b.column(2), b.column(3), strict=True)]
+            sets = dict(known.value) if known is not None else {}  # one set a host and batch
+            texts = []
+            for page, host, nodes in zip(b.column(2), b.column(3).to_pylist(), b.column(4), strict=True):
+                if host not in sets:
+                    sets[host] = frozenset(nodes.as_py() or ())
+                texts.append(main_text(page.as_py(), sets[host]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=[id_col, url_col, "text", "n_chars"])
 
     return src.mapInArrow(run, f"`{id_col}` {kind}, `{url_col}` string, text string, n_chars long")

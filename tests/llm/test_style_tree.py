@@ -70,3 +70,54 @@ def test_generic_words_cost_an_article_no_text():
     )
     assert st.main_text(page) == "Title\nSocial\npast\nlong paragraph\nstart end\nlink text"
     assert st.main_text("<div class='social-bar'>no</div><h2 id=search>yes</h2><p><span class=related>See X.</span> rest</p>") == "yes\nrest"
+
+
+def in_article(x):
+    return st.main_text(f"<article><h1>T</h1><p>One.</p>{x}<p>Last.</p></article>")
+
+
+def test_raw_elements_cost_no_text_after_them():
+    for x in ('<svg class="i"/>', '<iframe src="x"/>', '<svg class="i">', "<select>", '<script src="a.js"/>', "<noscript>", "<svg><title>no</title></svg>", "<SCRIPT>if (a < b) {}</SCRIPT >", "<script>var x = 1;"):
+        assert in_article(x) == "T\nOne.\nLast.", x
+    assert in_article("<select-box>x</select-box>") == "T\nOne.\nx\nLast."
+    assert in_article("<title-card>kept</title-card>") == "T\nOne.\nkept\nLast."
+
+
+def test_only_an_attribute_of_its_own_name_hides():
+    for x in ('<p title="the hidden cost">', '<p class="md hidden lg">', '<p data-id="sidebar">', '<p data-role="search">', "<p data-style='display:none'>"):
+        assert in_article(x + "kept</p>") == "T\nOne.\nkept\nLast.", x
+    for x in ("<p hidden>", '<p hidden="">', "<p HIDDEN=hidden>", '<p aria-hidden="true">', '<p style="color:red;display : none">'):
+        assert in_article(x + "no</p>") == "T\nOne.\nLast.", x
+    assert st.main_text('<article data-t="a hidden gem"><p>kept</p></article>') == "kept"
+    assert st.main_text('<div data-id="sidebar"><p>kept</p></div>') == "kept"
+
+
+def test_signs_that_are_no_tags():
+    assert in_article("<p>a < b and c<d</p>") == "T\nOne.\na < b and c<d\nLast."
+    assert in_article("<![CDATA[ x > y ]]>") == "T\nOne.\nLast."
+    assert in_article("<p title='it>x</p>") .endswith("Last.")
+
+
+def test_one_generic_word_empties_no_page():
+    for names in ('class="form-guide"', 'id="legal-history"', 'class="search-and-rescue"'):
+        assert st.main_text(f"<body><div {names}><p>kept</p></div></body>") == "kept", names
+    for names in ('class="cookie-notice"', 'id="site-footer"', 'class="main-nav"', 'class="x sidebar"'):
+        assert st.main_text(f"<body><div {names}><p>no</p></div><p>kept</p></body>") == "kept", names
+    assert in_article("<ul class=comment-list><li>no</ul><ul class=commentlist><li>no</ul>") == "T\nOne.\nLast."
+
+
+def test_all_class_words_tell_nodes_apart():
+    paths = lambda c: st.parse(f"<div class='{c}'>x</div>")[0][0].path
+    assert paths("a b c d e") != paths("a b c d f")
+
+
+def test_very_long_and_very_deep_pages_take_time_in_proportion():
+    import time
+
+    n = 200_000
+    pages = ["<div>" * n + "x", "<b>" * n + "x</i>" + "</q>" * n, "<p>x" * n, "<svg>" * n + "x", "<div>x" * n, "<a title=\"x>" * n, "<span><p>x" * 50_000, "x<" * n]
+    for p in pages:
+        t = time.time()
+        got = st.main_text("<article>" + p + "</article>")
+        assert "x" in got or p.startswith("<a title"), p[:20]
+        assert time.time() - t < 60, p[:20]
