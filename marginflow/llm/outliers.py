@@ -17,7 +17,8 @@ kept. Null language or source is a group like any other. A group with fewer than
 ``MIN_GROUP`` vectors takes the estimate of its language, and a language with fewer that of
 all texts; with fewer than that in all, nothing but the base rules rejects. Ties in distance
 share one verdict. Estimates are fitted on distinct texts, each once per group, so that copies
-pull no centre or scatter onto themselves; every row is judged, repeated ones alike.
+pull no centre or scatter onto themselves; every row is judged, repeated ones alike. Very long texts are read whole. Other columns, whatever
+their names, are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Padding is below one window a partition.
 
 Defined results: a null or empty text is the end id alone. Every document appears, whatever
 its id (null and repeated ids too); pieces carry the id as it is. Very long texts are cut into
-many windows. An empty table gives no rows.
+many windows. Of equally good levels the fullest is taken. Other columns, whatever their names, are
+not read. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -18,8 +18,9 @@ Defined results: turns stand by number, then role, then text; exact repetitions
 count once. A null text is empty, a null role is "none". Rows without a conversation id are
 each a conversation of their own. Equal conversations share all turns and have empty
 completions (``tie``). A conversation without an assistant turn, chosen over itself, is a tie
-too. Marker strings inside a text are broken by a space, so that no text can end its turn. An
-empty table gives no rows.
+too. Marker strings inside a text are broken by a space, so that no text can end its turn. Very
+long texts and conversations are rendered whole. Other columns, whatever their names, are not read.
+An empty table gives no rows.
 """
 
 from __future__ import annotations

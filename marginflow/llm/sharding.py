@@ -15,7 +15,8 @@ so that no shard is sorted in one task.
 
 Defined results: a null text has no bytes (size ``OVERHEAD``) and forms a group apart from
 the empty text. Repeated rows are rows of their own; a null id is placed like any other. Ties
-between equal sizes are broken by key. An empty table gives an empty result.
+between equal sizes are broken by key. Only the bytes of a text count, however long it is. Other
+columns, whatever their names, are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations

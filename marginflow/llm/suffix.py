@@ -21,7 +21,8 @@ blocks of windows (``_ladder``), which combines before the shuffle. So no task h
 Defined results: a null text is empty; texts below ``min_bytes`` bytes have no repeats. Of
 equal texts of at least that many bytes each is removed whole (also under repeated or null
 ids). Bytes are those of UTF-8; a cut may fall inside a character. Very long texts are hashed
-in overlapping parts. An empty table gives no rows.
+in overlapping parts. Other columns, whatever their names, are not read. An empty table gives no
+rows.
 """
 
 from __future__ import annotations

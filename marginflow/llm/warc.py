@@ -15,7 +15,8 @@ payload may itself hold the separator.
 Defined results: a null payload is an empty one. Rows that repeat both id and payload are one
 record seen twice, and each is a response. A null id sorts after all others; its
 ``refers_to`` is null. A null url gives no target header; control characters in a url become
-percent escapes. An empty table gives an empty archive. Extra columns are not read.
+percent escapes. An empty table gives an empty archive. Other columns, whatever their names, are not read. Payloads of any length are
+read in chunks; a writer's task holds one payload. Records with equal payloads tie by id.
 """
 
 from __future__ import annotations
