@@ -194,8 +194,8 @@ def _sku_state_pieces(spark, sf, observed: DataFrame, spec: ExperimentSpec) -> D
     week: (sku, week, start, end, sellable, out_of_stock).
 
     Both sides are cut into calendar-day buckets and equi-joined on the day
-    (the observed side is bounded by the experiment length, so it is small);
-    pieces are clipped to the day as well, so no span is counted twice."""
+    (AQE broadcasts the observed side where it measures it small); pieces are
+    clipped to the day as well, so no span is counted twice."""
     end = spec.end
     h = state_history(spark, sf).where(F.col("sku").isNotNull())
     h = h.select("sku", "sellable", "reason", F.greatest(F.col("desde"), F.lit(spec.start)).alias("start"),
@@ -205,7 +205,7 @@ def _sku_state_pieces(spark, sf, observed: DataFrame, spec: ExperimentSpec) -> D
     od = observed.select(F.col("week").alias("o_week"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
                          F.explode(F.sequence(F.to_date(F.col("start")),
                                               F.to_date(F.col("end") - F.expr("INTERVAL 1 MICROSECOND")))).alias("day"))
-    j = hd.join(F.broadcast(od), "day").where((F.col("start") < F.col("o_end")) & (F.col("end") > F.col("o_start")))
+    j = hd.join(od, "day").where((F.col("start") < F.col("o_end")) & (F.col("end") > F.col("o_start")))
     day_start = F.col("day").cast("timestamp_ntz")
     day_end = day_start + F.expr("INTERVAL 1 DAY")
     p = j.select("sku", F.col("o_week").alias("week"),
@@ -250,25 +250,12 @@ def time_weighted_price(spark, sf, sellable: DataFrame, spec: ExperimentSpec = J
     p = price_history(spark, sf).where(F.col("sku").isNotNull() & F.col("price").isNotNull())
     p = p.select("sku", "price", F.greatest(F.col("desde"), F.lit(spec.start)).alias("start"), clip_end(window_end=end).alias("end")) \
          .where(F.col("start") < F.col("end"))
-    # both sides cut into calendar days, joined on (sku, day)
-    p = _by_day(p)
-    vv = _by_day(sellable.select("sku", "week", "start", "end")).select(
-        "sku", "week", "day", F.col("start").alias("v_start"), F.col("end").alias("v_end"))
-    j = p.join(vv, ["sku", "day"]).where((F.col("start") < F.col("v_end")) & (F.col("end") > F.col("v_start")))
-    us = IV.duration_micros(F.greatest("start", "v_start"), F.least("end", "v_end"))
-    j = j.withColumn("_us", us).where(F.col("_us") > 0)
+    j = IV.overlap_join(p, sellable.select("sku", "week", "start", "end"), ["sku"])
+    j = j.select("sku", F.col("b_week").alias("week"), F.col("a_price").alias("price"), IV.duration_micros("start", "end").alias("_us"))
     weight = F.sum((F.col("price") * 100).cast("decimal(28,4)") * F.col("_us")).cast("double") / 100.0
     return j.groupBy("sku", "week").agg(F.try_divide(weight, F.sum("_us").cast("double")).alias("published_price"))
 
 
-def _by_day(df: DataFrame) -> DataFrame:
-    """Intervals cut at midnight, with the calendar ``day`` of each piece."""
-    last = F.col("end") - F.expr("INTERVAL 1 MICROSECOND")
-    d = df.withColumn("day", F.explode(F.sequence(F.to_date("start"), F.to_date(last))))
-    midnight = F.col("day").cast("timestamp_ntz")
-    return d.withColumns({"start": F.greatest("start", midnight), "end": F.least("end", midnight + F.expr("INTERVAL 1 DAY"))})
-
-
 def buybox_hours(spark, sf, sellable: DataFrame, spec: ExperimentSpec = JANUARY) -> DataFrame:
     """Winning ∩ sellable hours per (sku, week); SKUs without winning rows in
     the window are absent (→ null, not 0)."""
@@ -278,11 +265,8 @@ def buybox_hours(spark, sf, sellable: DataFrame, spec: ExperimentSpec = JANUARY)
     b = b.join(cat, "item_id").select("sku", F.col("desde").alias("start"), clip_end(window_end=end).alias("end")) \
          .where((F.col("start") < F.lit(end)) & (F.col("end") > F.lit(spec.start)))
     weeks = sellable.select("sku", "week").distinct()
-    pieces = _by_day(sellable.select("sku", "week", "start", "end")).select(
-        "sku", "week", "day", F.col("start").alias("v_start"), F.col("end").alias("v_end"))
-    won = _by_day(b.where(F.col("start") < F.col("end"))).join(pieces, ["sku", "day"])
-    won = won.where((F.col("start") < F.col("v_end")) & (F.col("end") > F.col("v_start")))
-    won = won.select("sku", "week", F.greatest("start", "v_start").alias("start"), F.least("end", "v_end").alias("end"))
+    won = IV.overlap_join(b.where(F.col("start") < F.col("end")), sellable.select("sku", "week", "start", "end"), ["sku"])
+    won = won.select("sku", F.col("b_week").alias("week"), "start", "end")
     inter = IV.interval_union(won, ["sku", "week"])
     h = inter.groupBy("sku", "week").agg(IV.total_hours("start", "end").alias("h_buybox"))
     present = b.select("sku").distinct()

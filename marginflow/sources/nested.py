@@ -84,6 +84,16 @@ def discovered_leaves(ddl: str) -> list[tuple[tuple[str, ...], str]]:
     return sorted(out)
 
 
+def _member(v: Column, name: str, kind: str) -> Column:
+    """A field of a variant object; a path knows no escapes, so a name with both kinds of quotes is
+    looked up in the object's map."""
+    quote = "'" if "'" not in name else '"'
+    if quote not in name:
+        return F.try_variant_get(v, f"$[{quote}{name}{quote}]", kind)
+    one = F.map_filter(F.from_json(F.to_json(v), "map<string,variant>"), lambda k, _: k == F.lit(name))
+    return F.try_variant_get(F.get(F.map_values(one), 0), "$", kind)
+
+
 def flatten_documents(df: DataFrame, doc: str, keep: Sequence[str] = (), sep: str = "_") -> DataFrame:
     """Documents of any shape as one flat table: the schema is not given but found in the documents.
 
@@ -102,8 +112,10 @@ def flatten_documents(df: DataFrame, doc: str, keep: Sequence[str] = (), sep: st
         while name in names:
             name += "_2"
         names.add(name)
-        where = "$" + "".join("['" + p.replace("\\", "\\\\").replace("'", "\\'") + "']" for p in path)
-        cols.append(F.try_variant_get("_v", where, kind).alias(name))
+        v = F.col("_v")
+        for part in path[:-1]:
+            v = _member(v, part, "variant")
+        cols.append(_member(v, path[-1], kind).alias(name))
     v = F.try_parse_json(text)
     return df.select(*keep, v.alias("_v")).select(*keep, *cols)
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginflow.session import ensure_checkpoint_dir, stored
+from marginflow.streaming.late import close_feed, part_late, run_windows
 from marginflow.streaming.scd2 import scd2_from_log, scd2_windowed
 
 
@@ -172,20 +173,11 @@ def run_pulse_stream(spark: SparkSession, source_path: str, schema, to_observati
 
 def windowed_revenue_stream(spark: SparkSession, source_path: str, schema, out_root: str | None = None,
                             watermark: str = "7 days", window: str = "1 hour") -> DataFrame:
-    """Tumbling hourly revenue with a watermark (late data inside the
-    watermark is still counted; older rows are dropped), appended to Parquet
-    and returned as a batch DataFrame."""
+    """Tumbling revenue of the files available now, the last windows too: the
+    feed is closed at its end.  Rows beyond the watermark are not dropped but
+    kept under ``out_root/late`` (``streaming.late``)."""
     root = out_root or os.path.join(ensure_checkpoint_dir(spark), f"revenue-{uuid.uuid4().hex[:8]}")
-    reader = spark.readStream.schema(schema)
-    if source_path.endswith(".parquet"):
-        reader = reader.option("pathGlobFilter", os.path.basename(source_path))
-        source_path = os.path.dirname(source_path)
-    s = reader.parquet(source_path)
-    s = s.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-    agg = s.groupBy(F.window("ts", window).alias("w")).agg(F.sum("value").alias("revenue"),
-                                                           F.count(F.lit(1)).alias("events"))
-    q = (agg.writeStream.outputMode("append").format("parquet")
-         .option("path", os.path.join(root, "out")).option("checkpointLocation", os.path.join(root, "ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(root, "out"))
+    part_late(spark, source_path, schema, "ts", watermark, root)
+    close_feed(spark, schema, "ts", watermark, root, window)
+    w = run_windows(spark, schema, "ts", "event_id", watermark, root, window, [F.sum("value").alias("revenue"), F.count("event_id").alias("events")])
+    return w.where("events > 0").select(F.struct("start", "end").alias("w"), "revenue", "events")
