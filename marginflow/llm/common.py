@@ -53,9 +53,14 @@ def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 
 
 def numbered(docs: DataFrame, stem: str) -> tuple[DataFrame, str]:
-    """``docs`` with a row number under a name of its own, written once: whoever reads it sees the
-    same numbers, however its files are split among the cores at hand."""
+    """``docs`` with a row key, under a name of its own, that every reading gives alike, however the
+    files are split among the cores at hand. Rows of a plain file scan are named by file and place in
+    the file (the path by 64 bits of hash); other rows are numbered and written once."""
     name = stem
     while name in docs.columns:
         name += "_"
-    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    scan = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    if scan and docs.inputFiles() and "_metadata" not in docs.columns:
+        key = F.concat(F.hex(F.xxhash64("_metadata.file_path")), F.lit(":"), F.col("_metadata.row_index").cast("string"))
+        return docs.select("*", key.alias(name)), name
+    return stored(docs.withColumn(name, F.monotonically_increasing_id().cast("string")), "numbered"), name

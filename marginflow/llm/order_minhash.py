@@ -27,7 +27,8 @@ alternating large-star and small-star steps on tables; the driver sees counts on
 
 Defined results: a null text is in a class of its own. Texts without words are alike only if
 equal. Equal texts are one class, also under repeated or null ids; the class id is the least
-non-null id in the class (null if there is none). An empty table gives no rows.
+non-null id in the class (null if there is none). Very long texts are read whole, their shingles hashed in parts. Other
+columns, whatever their names, are kept or not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -277,7 +278,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, row_col: str | None =
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class: the row that comes first. All columns are kept as they
+    """``docs`` with one row of each class, the same on every reading. All columns are kept as they
     are."""
     rows, row = numbered(docs, "_near_row")
     keep = stored(_classes(rows, id_col, text_col, row).filter("_row = keep_row").select(F.col("_row").alias(row)), "kept-rows")
