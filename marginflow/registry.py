@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marginflow.plans import fact as FCT
-from marginflow.session import stored
 from marginflow.sources import roles as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,14 +25,17 @@ def query(key: str):
 
 
 def fact_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    names = ["erp_sales", "erp_articles", "web_order_items",
-             "market_orders", "market_order_items", "market_shipments"]
-    return {n: getattr(R, n)(spark, sf) for n in names} | sheets(spark, sf)
+    """Sources of all channels over one reading of the lines; a single channel's
+    fact reads its own lines and the sold months instead, and writes nothing."""
+    landed = R.landed_lines(spark, sf)
+    of_lines = {n: getattr(R, n)(spark, sf, landed=landed) for n in ("erp_sales", "web_order_items", "market_order_items")}
+    others = {n: getattr(R, n)(spark, sf) for n in ("erp_articles", "market_orders", "market_shipments")}
+    return of_lines | others | sheets(spark, sf, landed)
 
 
-def sheets(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Cost and offer sheets over one reading of the sold months."""
-    cost = stored(R.cost_sheet(spark, sf), "cost-sheet")
+def sheets(spark: SparkSession, sf: str, landed: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Cost and offer sheets over the sold months, of ``landed`` lines if given."""
+    cost = R.cost_sheet(spark, sf, landed)
     return {"cost_sheet": cost, "offer_sheet": R.offer_sheet(spark, sf, cost)}
 
 

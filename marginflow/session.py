@@ -70,13 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+def stored(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` written once to the shared folder and read back; with ``by`` (the
+    last columns, of few values) in folders of these columns.
 
     Every later use sees the same rows (also rows numbered by partition), no
     step is computed twice, and a lost executor costs no recomputation."""
     path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

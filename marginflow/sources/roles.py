@@ -18,7 +18,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.functions.time import commercial_month
+from marginflow.functions.time import COMMERCIAL_MONTH_FIRST_DAY
+from marginflow.session import stored
 from marginflow.sources.tables import read_table
 
 WHOLESALE_PRIORITIES = ("1-URGENT", "2-HIGH")
@@ -45,12 +46,36 @@ def _orders(spark, sf_dir, priorities, since: dt.date | None = None) -> DataFram
     return o.where(F.col("o_orderdate") >= F.lit(floor))
 
 
-def _lines(spark, sf_dir, priorities, order_cols, since: dt.date | None = None) -> DataFrame:
+def _lines(spark, sf_dir, priorities, order_cols, since: dt.date | None = None,
+           landed: DataFrame | None = None) -> DataFrame:
+    if landed is not None:
+        return landed.where(F.col("channel") == _CHANNEL[priorities[0]])
     o = _orders(spark, sf_dir, priorities, since).select("o_orderkey", *order_cols)
     li = read_table(spark, sf_dir, "lineitem")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
 
 
+_CHANNEL = ({p: "wholesale" for p in WHOLESALE_PRIORITIES} | {p: "webstore" for p in WEBSTORE_PRIORITIES}
+            | {p: "marketplace" for p in MARKETPLACE_PRIORITIES})
+
+
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sales line with its order, joined and written once, in a folder per
+    channel: plans over several channels (and the sold months of all) read
+    ``lineitem`` and shuffle it once, then only their channel's folder and
+    columns.  Orders of no known priority stand under ``other``."""
+    channel = F.lit("other")
+    for priority, name in _CHANNEL.items():
+        channel = F.when(F.col("o_orderpriority") == priority, F.lit(name)).otherwise(channel)
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax")
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice")
+    return stored(li.join(o, li.l_orderkey == o.o_orderkey).withColumn("channel", channel),
+                  "landed-lines", by=("channel",))
+
+
 def _shifted_text(ts_col: str, hours_col, suffix: str):
     shifted = F.expr(f"timestampadd(HOUR, {hours_col}, {ts_col})")
     return F.concat(F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(suffix))
@@ -73,10 +98,11 @@ def company_code(segment):
     return expr.otherwise(out)
 
 
-def erp_sales(spark: SparkSession, sf_dir: str, since: dt.date | None = None) -> DataFrame:
+def erp_sales(spark: SparkSession, sf_dir: str, since: dt.date | None = None,
+              landed: DataFrame | None = None) -> DataFrame:
     """One row per ERP sales line (list price without tax + 3 discounts)."""
     lines = _lines(spark, sf_dir, WHOLESALE_PRIORITIES,
-                   ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"], since)
+                   ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"], since, landed)
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     df = lines.join(cust, lines.o_custkey == cust.c_custkey, "inner")
     return df.select(
@@ -139,26 +165,36 @@ def erp_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # costs
 # ---------------------------------------------------------------------------
 
-def sold_sku_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _month_number(day):
+    """Commercial month as a number: twelve times the year, plus months."""
+    back = F.when(F.dayofmonth(day) >= COMMERCIAL_MONTH_FIRST_DAY, 0).otherwise(1)
+    return F.year(day) * 12 + F.month(day) - 1 - back
+
+
+def sold_sku_months(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> DataFrame:
     """Distinct (part, commercial month) sold in any channel.  A channel's
     local date is up to a day off the order date, so the months of the days
-    around it count too."""
-    o = read_table(spark, sf_dir, "orders")
+    around it count too: a second month at the border of two only.  Months are
+    numbers until each pair stands once."""
+    if landed is None:
+        o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+        li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+        landed = li.join(o, li.l_orderkey == o.o_orderkey)
     day = F.to_date("o_orderdate")
-    months = F.array_distinct(F.array(commercial_month(F.date_sub(day, 1)), commercial_month(day), commercial_month(F.date_add(day, 1))))
-    o = o.select("o_orderkey", months.alias("_months"))
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-            .select(F.col("l_partkey").alias("partkey"), F.explode("_months").alias("mes_comercial"))
-            .distinct())
+    pairs = landed.select(F.col("l_partkey").alias("partkey"), _month_number(F.date_sub(day, 1)).alias("_first"),
+                          _month_number(F.date_add(day, 1)).alias("_last")).distinct()
+    months = F.when(F.col("_first") == F.col("_last"), F.array("_first")).otherwise(F.array("_first", "_last"))
+    sold = pairs.select("partkey", F.explode(months).alias("_month")).distinct()
+    year, month = F.floor(F.col("_month") / 12).cast("int"), F.pmod("_month", F.lit(12)) + 1
+    return sold.select("partkey", F.format_string("%04d-%02d", year, month).alias("mes_comercial"))
 
 
-def cost_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cost_sheet(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> DataFrame:
     """Monthly theoretical cost sheet (sku, month, cost) for every part and
     commercial month sold, whatever range the sales span.  Parts with
     ``p_size <= 2`` have no cost (their margin stays null)."""
     p = read_table(spark, sf_dir, "part").where(F.col("p_size") > 2).select("p_partkey", "p_retailprice")
-    sold = sold_sku_months(spark, sf_dir)
+    sold = sold_sku_months(spark, sf_dir, landed)
     pm = sold.join(p, sold.partkey == p.p_partkey)
     m = F.substring("mes_comercial", 6, 2).cast("int")
     return pm.select(F.col("p_partkey").cast("string").alias("sku"), "mes_comercial",
@@ -180,10 +216,10 @@ def offer_sheet(spark: SparkSession, sf_dir: str, costs: DataFrame | None = None
 # web store
 # ---------------------------------------------------------------------------
 
-def web_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def web_order_items(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> DataFrame:
     """Header fields repeated on each product row; numbers arrive as text."""
     lines = _lines(spark, sf_dir, WEBSTORE_PRIORITIES,
-                   ["o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"])
+                   ["o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"], landed=landed)
     ok, st = F.col("o_orderkey"), F.col("o_orderstatus")
     return lines.select(
         ok.alias("pedido_id"),
@@ -231,9 +267,9 @@ def market_orders(spark: SparkSession, sf_dir: str, since: dt.date | None = None
     )
 
 
-def market_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def market_order_items(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> DataFrame:
     """Marketplace items already exploded: one row per (order, item)."""
-    lines = _lines(spark, sf_dir, MARKETPLACE_PRIORITIES, [])
+    lines = _lines(spark, sf_dir, MARKETPLACE_PRIORITIES, [], landed=landed)
     price = _gross_unit_price()
     return lines.select(
         F.col("l_orderkey").alias("order_id"),
