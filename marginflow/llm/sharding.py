@@ -5,13 +5,18 @@ with the tightest remaining capacity that still takes them; the bins stand in a
 search tree ordered by remaining capacity. The capacity is the least for which so many bins
 suffice, found by bisection.
 
-How it scales: the packing itself sees a bounded number of items at any input size. Groups
-above ``1 / (FINE * n_shards)`` of all bytes are items of their own (so at most ``FINE *
-n_shards``); all others go, by the hash of their text, into ``BUNDLES * n_shards`` bundles,
-each an item. The item tables (at most some 13,000 rows for 40 shards) are broadcast. Only a
-group larger than a whole shard is divided, by the hash of its rows, since no fixed-capacity
-shard can hold it. Slots are numbered within sub-buckets and shifted by their running counts,
-so that no shard is sorted in one task.
+How it scales: every group is packed, none by a hash. Groups of equal size are alike to the
+packing, so it sees the number of groups of each size: a run of equal groups fills the
+tightest bin until the next no longer fits, then the next tightest, which is what
+best-fit-decreasing does with them one by one. Sizes above 2048 are rounded up to eleven
+binary digits (by less than a thousandth), so at most 1,024 sizes for each doubling reach the
+driver at any input size, some 43,000 up to a petabyte. The groups of a size are numbered, in
+sub-buckets shifted by their running counts, and each bin takes its stretch of the numbers.
+A row finds its group's bin by a join on the text's digest; groups with more than ``1 / (FINE
+* n_shards)`` of all bytes or rows, at most ``2 * FINE * n_shards`` of them, are joined by
+broadcast instead, so that no hot key is shuffled. Only a group larger than a whole shard is
+divided, by the hash of its rows, since no fixed-capacity shard can hold it. Slots are
+numbered within sub-buckets too, so that no shard is sorted in one task.
 
 Defined results: a null text has no bytes (size ``OVERHEAD``) and forms a group apart from
 the empty text. Repeated rows are rows of their own; a null id is placed like any other. Ties
@@ -23,20 +28,20 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marginflow.llm.common import stored
 
 OVERHEAD = 16
-#: Groups above this part of a shard are packed by themselves.
+#: Groups above this part of a shard, in bytes or rows, find their bin by broadcast.
 FINE = 64
-#: Bundles of small groups per shard.
-BUNDLES = 256
+#: Binary digits of a size that the packing tells apart.
+DIGITS = 11
 #: A group larger than a shard is divided into parts of this share of one.
 PART = 16
-#: Rows of a sub-bucket of a shard, about.
+#: Rows (or groups) of a sub-bucket, about.
 SLOT_ROWS = 50_000
 
 
@@ -111,24 +116,86 @@ def best_fit_decreasing(items: list[tuple[int, str]], capacity: int, most: int |
     return out
 
 
-def fewest_capacity(items: list[tuple[int, str]], n_bins: int, tries: int = 14) -> list[int]:
-    """The packing into ``n_bins`` bins of the least capacity that bisection finds."""
-    if not items:
-        return []
-    low = max(math.ceil(sum(s for s, _ in items) / n_bins), items[0][0])
-    high, best = low + items[0][0], None
-    while (best := best_fit_decreasing(items, high, n_bins)) is None:
+def best_fit_runs(runs: list[tuple[int, int]], capacity: int, most: int | None = None) -> list[tuple[int, int, int]] | None:
+    """Best-fit-decreasing of ``runs`` (size, number of items) by falling size: (size, bin,
+    number) in the order of placing; None as in ``best_fit_decreasing``."""
+    tree, n, out = BinTree(), 0, []
+    for size, left in runs:
+        if size > capacity:
+            return None
+        while left:
+            found = tree.tightest(size)
+            if found is None:
+                if most is not None and n == most:
+                    return None
+                found = (capacity, n)
+                n += 1
+            else:
+                tree.remove(found)
+            take = min(left, found[0] // size)
+            tree.add((found[0] - take * size, found[1]))
+            out.append((size, found[1], take))
+            left -= take
+    return out
+
+
+def fewest_capacity(runs: list[tuple[int, int]], n_bins: int, tries: int = 14) -> tuple[int, list[tuple[int, int, int]]]:
+    """The least capacity that bisection finds for ``n_bins`` bins, and its packing."""
+    if not runs:
+        return 0, []
+    low = max(math.ceil(sum(s * c for s, c in runs) / n_bins), runs[0][0])
+    high = low + runs[0][0]
+    while (best := best_fit_runs(runs, high, n_bins)) is None:
         high *= 2
     for _ in range(tries):
         if low >= high:
             break
         mid = (low + high) // 2
-        got = best_fit_decreasing(items, mid, n_bins)
+        got = best_fit_runs(runs, mid, n_bins)
         if got is None:
             low = mid + 1
         else:
             high, best = mid, got
-    return best
+    return high, best
+
+
+def size_class(size: Column) -> Column:
+    """The size rounded up to ``DIGITS`` binary digits."""
+    step = F.pow(F.lit(2), F.greatest(F.length(F.bin(size)) - DIGITS, F.lit(0))).cast("long")
+    return (F.ceil(size / step) * step).cast("long")
+
+
+def numbered(df: DataFrame, keys: list[str], order: str, rows: int, n_keys: int) -> DataFrame:
+    """Adds ``number``, gapless from 0 within each value of ``keys``: local numbers within
+    sub-buckets of about ``SLOT_ROWS``, shifted by the counts of those before. ``rows`` is the
+    number of rows, ``n_keys`` a number of values among which they are about even (1: unknown)."""
+    subs = max(1, math.ceil(rows / (n_keys * SLOT_ROWS)))
+    cut = df.withColumn("sub", F.pmod(F.xxhash64(order), F.lit(subs)))
+    counts = cut.groupBy(*keys, "sub").agg(F.count(F.lit(1)).alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy(*keys).orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = counts.select(*keys, "sub", before.alias("before"))
+    local = F.row_number().over(Window.partitionBy(*keys, "sub").orderBy(order))
+    out = cut.withColumn("local", local).join(shift, [*keys, "sub"])
+    return out.withColumn("number", F.col("before") + F.col("local") - 1).drop("sub", "local", "before")
+
+
+def place_groups(items: DataFrame, n_shards: int) -> DataFrame:
+    """``shard`` for each row (item, bytes) of ``items``, a stored table."""
+    spark = items.sparkSession
+    items = items.withColumn("class", size_class(F.col("bytes")))
+    runs = [(int(r["class"]), int(r["n"])) for r in items.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()]
+    runs.sort(reverse=True)
+    taken: dict[int, int] = {}
+    cells = []
+    for size, shard, n in fewest_capacity(runs, n_shards)[1]:
+        first = taken.get(size, 0)
+        cells.append((size, shard, first, first + n))
+        taken[size] = first + n
+    # a size ends in a bin once, and one bin more for each that it fills: a bounded table
+    cells = F.broadcast(spark.createDataFrame(cells, "class long, shard int, first long, past long"))
+    ranked = numbered(items, ["class"], "item", sum(n for _, n in runs), 1)
+    at = (ranked["class"] == cells["class"]) & (ranked["number"] >= cells["first"]) & (ranked["number"] < cells["past"])
+    return ranked.join(cells, at).select("item", "shard")
 
 
 def assign_shards(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,34 +212,24 @@ def assign_shards(docs: DataFrame, n_shards: int = 40, id_col: str = "doc_id", t
     base = stored(base, "shard-rows")
     all_rows = base.agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).first()
     total, rows = int(all_rows["b"] or 0), int(all_rows["n"])
-    large, shard_bytes = max(1, total // (FINE * n_shards)), max(1, total // n_shards)
-    groups = base.groupBy("text_key").agg(F.sum("size").alias("bytes"))
-    groups = stored(groups, "shard-groups")
-
-    n_bundles = BUNDLES * n_shards
-    bundle = lambda: F.pmod(F.xxhash64("text_key"), F.lit(n_bundles)).cast("string")
+    shard_bytes = max(1, total // n_shards)
+    groups = stored(base.groupBy("text_key").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "shard-groups")
+    hot = (F.col("bytes") * (FINE * n_shards) > total) | (F.col("n") * (FINE * n_shards) > rows)
     parts = F.when(F.col("bytes") > shard_bytes, F.ceil(F.col("bytes") * PART / F.lit(shard_bytes))).otherwise(1).cast("int")
-    # at most FINE * n_shards rows
-    big = F.broadcast(groups.filter(F.col("bytes") > large).select("text_key", parts.alias("parts")))
-    keyed = base.join(big, "text_key", "left")
-    item = F.when(F.col("parts").isNull(), F.concat(F.lit("b"), bundle())).otherwise(
-        F.concat(F.col("text_key"), F.lit("/"), F.pmod(F.xxhash64("row"), F.col("parts")).cast("string"))
-    )
-    keyed = keyed.withColumn("item", item)
-    items = [(int(r["s"]), r["item"]) for r in keyed.groupBy("item").agg(F.sum("size").alias("s")).collect()]
-    items.sort(key=lambda x: (-x[0], x[1]))
-    place = list(zip((k for _, k in items), fewest_capacity(items, n_shards), strict=True))
-    bins = F.broadcast(spark.createDataFrame(place, "item string, shard int"))
-    placed = keyed.join(bins, "item")
-
-    subs = max(1, math.ceil(rows / (n_shards * SLOT_ROWS)))
-    placed = placed.withColumn("sub", F.pmod(F.xxhash64("row"), F.lit(subs)))
-    counts = placed.groupBy("shard", "sub").agg(F.count(F.lit(1)).alias("c"))
-    before = F.coalesce(F.sum("c").over(Window.partitionBy("shard").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shift = counts.select("shard", "sub", before.alias("before"))
-    local = F.row_number().over(Window.partitionBy("shard", "sub").orderBy("row"))
-    out = placed.withColumn("local", local).join(shift, ["shard", "sub"])
-    return out.select(id_col, "size", "text_crc32", "shard", (F.col("before") + F.col("local") - 1).alias("slot"))
+    # at most 2 * FINE * n_shards rows
+    big = F.broadcast(groups.filter(hot).select("text_key", parts.alias("parts")))
+    item = F.concat(F.col("text_key"), F.lit("/"), F.pmod(F.xxhash64("row"), F.col("parts")).cast("string"))
+    of_hot = base.join(big, "text_key").withColumn("item", item)
+    of_rest = base.join(big, "text_key", "left_anti").withColumnRenamed("text_key", "item")
+    items = groups.filter(~hot).select(F.col("text_key").alias("item"), "bytes")
+    items = stored(items.unionByName(of_hot.groupBy("item").agg(F.sum("size").alias("bytes"))), "shard-items")
+    place = stored(place_groups(items, n_shards), "shard-places")
+    # at most 2 * FINE * n_shards + (PART + 1) * n_shards rows
+    place_hot = F.broadcast(place.filter(F.col("item").contains("/")))
+    cols = [id_col, "size", "text_crc32", "row", "shard"]
+    placed = of_hot.join(place_hot, "item").select(cols).unionByName(of_rest.join(place, "item").select(cols))
+    out = numbered(placed, ["shard"], "row", rows, n_shards)
+    return out.select(id_col, "size", "text_crc32", "shard", F.col("number").alias("slot"))
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id") -> None:

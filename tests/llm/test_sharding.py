@@ -39,6 +39,54 @@ def test_hot_group_is_divided_only_beyond_a_shard(spark):
     assert max(load.values()) <= 1.1 * sum(load.values()) / 8
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_are_packed_as_their_items_one_by_one(seed):
+    rnd = random.Random(seed)
+    runs = sorted(((s, rnd.randrange(1, 40)) for s in rnd.sample(range(16, 400), 30)), reverse=True)
+    capacity, cells = sharding.fewest_capacity(runs, 7)
+    items = [(s, str(i)) for s, n in runs for i in range(n)]
+    alone = Counter(zip((s for s, _ in items), sharding.best_fit_decreasing(items, capacity, 7), strict=True))
+    got = Counter()
+    for size, shard, n in cells:
+        got[size, shard] += n
+    assert got == alone
+    assert sharding.best_fit_runs(runs, sum(s * n for s, n in runs) // 7 - 1, 7) is None
+
+
+def test_every_group_of_a_table_is_placed_by_the_packing(spark):
+    """Each shard holds the groups, by size, that best-fit-decreasing of all groups gives it."""
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("abcé ") for _ in range(rnd.choice([0, 5, 60, 61, 700, 900]))) for _ in range(900)]
+    rows = [(i, rnd.choice(texts[:200]) if i % 3 else texts[i]) for i in range(900)]
+    out, load = check(spark.createDataFrame(rows, "doc_id long, text string"), 6)
+    size, place = Counter(), {}
+    text = dict(rows)
+    for r in out:
+        size[text[r.doc_id]] += r["size"]
+        assert place.setdefault(text[r.doc_id], r.shard) == r.shard
+    step = {k: 1 << max(0, v.bit_length() - sharding.DIGITS) for k, v in size.items()}
+    rounded = {k: -(-v // step[k]) * step[k] for k, v in size.items()}
+    runs = sorted(Counter(rounded.values()).items(), reverse=True)
+    want = Counter()
+    for s, shard, n in sharding.fewest_capacity(runs, 6)[1]:
+        want[s, shard] += n
+    assert Counter((rounded[k], place[k]) for k in size) == want
+    assert max(load.values()) - min(load.values()) <= 0.02 * max(load.values())
+
+
+def test_sizes_are_rounded_up_by_less_than_a_thousandth(spark):
+    sizes = [1, 16, 2047, 2048, 2049, 4095, 4097, 10**6 + 1, 2**40 + 1, 10**15 + 7]
+    df = spark.createDataFrame([(s,) for s in sizes], "s long")
+    for s, c in df.select("s", sharding.size_class(df["s"])).collect():
+        assert s <= c < s * 1.001 and (c == s or s > 2048)
+
+
+def test_hot_group_of_short_rows_and_sub_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 10)
+    rows = [(i, "" if i % 3 == 0 else f"text {i} " * (i % 17)) for i in range(900)]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), 5)
+
+
 def test_empty_table(spark):
     assert sharding.assign_shards(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
