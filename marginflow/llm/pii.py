@@ -11,8 +11,9 @@ Fitting. There are no hand labels, so labels are weak: a candidate is positive i
 valid base span or has the form of a stated credential. Candidates with equal features are one
 weighted row, counted over all documents, halved by a hash of the text into fitting and
 calibration. Features are bucketed, so the rows that reach the driver are few; the most
-frequent ``FIT_ROWS`` at most are used (the bound of the fitting sample). The trees then are
-``CASE`` expressions. Counting, scoring and selection cover all data.
+frequent ``FIT_ROWS`` of the fitting half at most are used (the bound of the fitting sample).
+The trees then are ``CASE`` expressions. Counting, calibration, scoring and selection cover all
+data: the threshold is read from running sums over every held-out candidate, on Spark.
 
 How it scales: one pass over the texts writes the candidates, with a few characters around
 them, to a small table; all else runs on that table. Offsets are running sums per text. No
@@ -38,8 +39,10 @@ from pyspark.sql.window import Window
 from marginflow.llm.common import numbered, stored
 
 PRECISION = 0.99
-#: Distinct feature vectors that fitting uses at most, the most frequent first.
+#: Distinct feature vectors that fitting uses at most, the most frequent first; calibration uses all.
 FIT_ROWS = 50_000
+#: Blocks of scores in one unit, for the running sums of calibration.
+BLOCKS = 64
 ROUNDS, RATE, DEPTH, LEAST_WEIGHT = 16, 0.4, 2, 2.0
 #: Code points of context kept before and after a candidate.
 BEFORE, AFTER = 24, 4
@@ -225,7 +228,8 @@ def fit(rows: list[tuple[tuple[int, ...], int, float]], names: list[str]) -> lis
 
 
 def threshold(trees: list, held: list[tuple[tuple[int, ...], int, float]]) -> float:
-    """The least score at and above which held-out precision is ``PRECISION`` or more."""
+    """The least score at and above which held-out precision is ``PRECISION`` or more, for rows
+    at hand; ``calibrated`` tells it for a table."""
     by: dict[float, list[float]] = {}
     for x, y, w in held:
         s = by.setdefault(round(sum(_value(t, x) for t in trees), 9), [0.0, 0.0])
@@ -246,6 +250,31 @@ def _as_column(tree, names: list[str]) -> Column:
     return F.when(test, _as_column(left, names)).otherwise(_as_column(right, names))
 
 
+def _score(trees: list, names: list[str]) -> Column:
+    score = F.lit(0.0)
+    for t in trees:
+        score = score + _as_column(t, names)
+    return F.round(score, 9)
+
+
+def calibrated(trees: list, names: list[str], held: DataFrame) -> float:
+    """The least score at and above which precision is ``PRECISION`` or more, over all rows
+    (features, label, n) of ``held``: sums of the blocks of scores above, and running sums within
+    each block."""
+    weight = lambda y: F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0))
+    by = held.withColumn("score", _score(trees, names)).groupBy("score").agg(weight(1).alias("good"), weight(0).alias("bad"))
+    by = by.withColumn("block", F.floor(F.col("score") * BLOCKS))
+    # trees bound the scores, so the blocks are few, however many the rows
+    above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = by.groupBy("block").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    before = blocks.select("block", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("good", "bad")])
+    down = Window.partitionBy("block").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    run = by.join(before, "block").select("score", *[(F.col(f"{c}_above") + F.sum(c).over(down)).alias(c) for c in ("good", "bad")])
+    fine = (F.col("good") >= LEAST_WEIGHT) & (F.col("good") >= PRECISION * (F.col("good") + F.col("bad")))
+    best = run.filter(fine).agg(F.min("score")).first()[0]
+    return math.inf if best is None else best
+
+
 def _weak_label() -> Column:
     """In a valid base span, or a credential by its form."""
     return (F.col("in_base") | (F.col("f_prefix") == 1) | ((F.col("f_stated") == 1) & (F.col("f_digits") >= 2))).cast("int")
@@ -263,16 +292,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     base_start = F.min(F.when(F.col("ok"), F.col("s"))).over(by.rowsBetween(1, Window.unboundedFollowing))
     c = c.withColumn("touches", F.col("ok") | F.coalesce(base_end > F.col("s"), F.lit(False)) | F.coalesce(base_start < F.col("e"), F.lit(False)))
     c = stored(c.withColumn("in_base", F.col("ok") | (F.coalesce(base_end >= F.col("e"), F.lit(False)))), "pii-spans")
-    counted = c.groupBy("fold", *names, _weak_label().alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    picked = counted.orderBy(F.desc("n"), "fold", "label", *names).limit(FIT_ROWS).collect()
+    counted = stored(c.groupBy("fold", *names, _weak_label().alias("label")).agg(F.count(F.lit(1)).alias("n")), "pii-counted")
+    picked = counted.filter("fold = 0").orderBy(F.desc("n"), "label", *names).limit(FIT_ROWS).collect()
     # labels of fitting rows weigh by the square root of their count: no one format drowns the rest
-    sample = [(tuple(r[k] for k in names), r["label"], float(r["n"]), r["fold"]) for r in picked]
-    trees = fit([(x, y, math.sqrt(w)) for x, y, w, f in sample if f == 0], names)
-    least = threshold(trees, [(x, y, w) for x, y, w, f in sample if f == 1])
-    score = F.lit(0.0)
-    for t in trees:
-        score = score + _as_column(t, names)
-    extra = c.filter(~F.col("touches")).withColumn("score", F.round(score, 9)).filter(F.col("score") >= least) if math.isfinite(least) else c.limit(0)
+    trees = fit([(tuple(r[k] for k in names), r["label"], math.sqrt(r["n"])) for r in picked], names)
+    least = calibrated(trees, names, counted.filter("fold = 1"))
+    extra = c.filter(~F.col("touches")).withColumn("score", _score(trees, names)).filter(F.col("score") >= least) if math.isfinite(least) else c.limit(0)
     # extras that overlap each other are one span, named after the first
     order = Window.partitionBy("row").orderBy("s", F.desc("e"), "kind")
     reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))

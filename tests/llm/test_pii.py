@@ -87,3 +87,22 @@ def test_trees_separate_and_threshold_is_calibrated(monkeypatch, rounds):
     trees = pii.fit(rows, ["x", "y"])
     least = pii.threshold(trees, rows)
     assert {x for x, _, _ in rows if sum(pii._value(t, x) for t in trees) >= least - 1e-9} == {x for x, y, _ in rows if y}
+
+
+def test_threshold_counts_every_held_out_candidate(spark, monkeypatch):
+    """With room for the two most frequent feature vectors only, the handles are not among them."""
+    monkeypatch.setattr(pii, "FIT_ROWS", 2)
+    word = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    rows = [(i, f"note {word(i)} password=a1b2c3d4e5f6g7h8ijkl end") for i in range(200)] + [(1000 + i, f"ask {word(i)} me@home now") for i in range(30)]
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("secret" in got[i] for i in range(200)) and all(got[1000 + i] == "" for i in range(30))
+
+
+def test_threshold_of_a_table_equals_that_of_rows(spark):
+    tree = lambda k: (0, k, False, -0.1 * k, 0.07 * k)
+    trees, names = [tree(k) for k in range(9)], ["x", "y"]
+    for bad in (1, 5, 40):
+        rows = [((x, y), int(x > 4), float(1 + (x * 7 + y) % bad if x <= 4 else 300 - y)) for x in range(10) for y in range(3)] + [((9, 9), 0, 2.0)]
+        held = spark.createDataFrame([(*x, y, int(w)) for x, y, w in rows], "x int, y int, label int, n long")
+        assert pii.calibrated(trees, names, held) == pii.threshold(trees, rows)
+    assert pii.calibrated(trees, names, held.filter("label = 0")) == pii.threshold(trees, []) == float("inf")
