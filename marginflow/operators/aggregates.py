@@ -28,6 +28,23 @@ def exact_sum(x, scale: int = MONEY_SCALE) -> Column:
     return F.when(F.coalesce(F.bool_or(nan), F.lit(False)), F.lit(float("nan"))).otherwise(total)
 
 
+def exact_parts(x, name: str, scale: int = MONEY_SCALE) -> list[Column]:
+    """``exact_sum`` of a group in parts that sum up again: ``name``, the decimal, and ``name_nan``."""
+    v = _c(x).cast("double")
+    nan = F.isnan(v)
+    return [F.sum(F.when(~nan, v).cast(f"decimal(38,{scale})")).alias(name), F.coalesce(F.bool_or(nan), F.lit(False)).alias(f"{name}_nan")]
+
+
+def exact_value(name: str) -> Column:
+    """The double that the parts of one group stand for."""
+    return F.when(F.col(f"{name}_nan"), F.lit(float("nan"))).otherwise(F.col(name).cast("double"))
+
+
+def exact_total(name: str) -> Column:
+    """``exact_sum`` over the rows of several groups, of their parts."""
+    return F.when(F.bool_or(f"{name}_nan"), F.lit(float("nan"))).otherwise(F.sum(name).cast("double"))
+
+
 def exact_avg(x) -> Column:
     """exact Σ x / count(x) (null when there are no values)."""
     return exact_sum(x) / F.count(_c(x))

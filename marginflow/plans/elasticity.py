@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginflow.functions import scalars as S
-from marginflow.operators.aggregates import exact_sum
+from marginflow.operators.aggregates import exact_parts, exact_total, exact_value
 
 NEAR_TIE = 0.10
 MIN_UNITS = 15
@@ -29,33 +29,34 @@ def line_margin_pct(df: DataFrame) -> DataFrame:
     return df.withColumn("margin_pct", pct).withColumn("band", S.margin_band("margin_pct"))
 
 
-def elasticity_by_band(sales: DataFrame) -> DataFrame:
+def sku_bands(sales: DataFrame) -> DataFrame:
+    """Per (sku, band): margin and units, and whether the band wins its SKU.
+    The lines are read once; all else runs on these rows."""
     q = F.col("quantity")
-    lines = line_margin_pct(sales).where(F.col("band").isNotNull())
+    lines = line_margin_pct(sales).where(F.col("margin_pct").isNotNull())
     margin = (F.col("net_price") - F.col("unit_cost") - F.col("commission")) * q - S.nz("freight")
-    per = lines.groupBy("sku", "band").agg(exact_sum(margin).alias("margin"), exact_sum(q).alias("units"))
-    per = per.withColumn("margin_per_unit", F.try_divide(F.col("margin"), F.when(F.col("units") != 0, F.col("units"))))
+    per = lines.groupBy("sku", "band").agg(*exact_parts(margin, "margin"), *exact_parts(q, "units"))
+    units = exact_value("units")
+    per = per.withColumn("margin_per_unit", F.try_divide(exact_value("margin"), F.when(units != 0, units)))
     per = per.withColumn("band_rank", F.array_position(F.array(*[F.lit(b[0]) for b in S.MARGIN_BANDS]), F.col("band")))
     w = Window.partitionBy("sku")
-    per = per.withColumn("bands", F.count(F.lit(1)).over(w)).where(F.col("bands") >= 2)
-    per = per.withColumn("best", F.max("margin_per_unit").over(w))
+    per = per.withColumn("bands", F.count(F.lit(1)).over(w)).withColumn("best", F.max("margin_per_unit").over(w))
     near = F.col("margin_per_unit") >= F.col("best") - F.abs(F.col("best")) * NEAR_TIE
-    ranked = per.withColumn("_ok", near)
-    pick = ranked.where("_ok").groupBy("sku").agg(
-        F.max_by(F.struct("band", "margin_per_unit", "units"), "band_rank").alias("w"))
-    return pick.select("sku", F.col("w.band").alias("winner_band"),
-                       F.round("w.margin_per_unit", 4).alias("margin_per_unit"),
-                       F.round("w.units", 4).alias("units"), (F.col("w.units") >= MIN_UNITS).alias("with_volume"))
+    per = per.withColumn("_ok", F.when((F.col("bands") >= 2) & near, F.col("band_rank")))
+    return per.withColumn("wins", F.coalesce(F.col("_ok") == F.max("_ok").over(w), F.lit(False)))
+
+
+def elasticity_by_band(sales: DataFrame) -> DataFrame:
+    units = exact_value("units")
+    return sku_bands(sales).where("wins").select(
+        "sku", F.col("band").alias("winner_band"), F.round("margin_per_unit", 4).alias("margin_per_unit"),
+        F.round(units, 4).alias("units"), (units >= MIN_UNITS).alias("with_volume"))
 
 
 def band_scores(sales: DataFrame) -> DataFrame:
     """Per band: margin and units of all its lines, and the number of SKUs it
     wins (also counting only winners with volume).  Five rows at most."""
-    q = F.col("quantity")
-    lines = line_margin_pct(sales).where(F.col("band").isNotNull())
-    margin = (F.col("net_price") - F.col("unit_cost") - F.col("commission")) * q - S.nz("freight")
-    total = lines.groupBy("band").agg(F.round(exact_sum(margin), 2).alias("margin"), F.round(exact_sum(q), 2).alias("units"))
-    won = elasticity_by_band(sales).groupBy(F.col("winner_band").alias("band")).agg(
-        F.count(F.lit(1)).alias("skus_won"), F.count_if("with_volume").alias("won_with_volume"))
-    return total.join(won, "band", "left").select("band", "margin", "units", F.coalesce("skus_won", F.lit(0)).alias("skus_won"),
-                                                  F.coalesce("won_with_volume", F.lit(0)).alias("won_with_volume"))
+    volume = F.col("wins") & (exact_value("units") >= MIN_UNITS)
+    return sku_bands(sales).groupBy("band").agg(
+        F.round(exact_total("margin"), 2).alias("margin"), F.round(exact_total("units"), 2).alias("units"),
+        F.count_if("wins").alias("skus_won"), F.count_if(volume).alias("won_with_volume"))

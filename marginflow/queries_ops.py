@@ -198,8 +198,8 @@ def q_margin_pct(spark, sf):
 @query("margin_band")
 def q_margin_band(spark, sf):
     f = q_fact_sales(spark, sf)
-    band = S.margin_band(_margin_pct_col())
-    return f.groupBy("channel", band.alias("band")).agg(F.count(F.lit(1)).alias("lines"))
+    f = f.select("channel", _margin_pct_col().alias("margin_pct"))
+    return f.groupBy("channel", S.margin_band("margin_pct").alias("band")).agg(F.count(F.lit(1)).alias("lines"))
 
 
 # --- §2.4 joins -----------------------------------------------------------------
