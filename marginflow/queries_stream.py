@@ -37,9 +37,16 @@ def q_pulse_stream(spark, sf):
 
 
 FEED_BATCHES, FEED_DELAY = 6, "7 days"
+#: Rows of a file of the feed, where several files make a batch.
+FEED_FILE_ROWS = 250_000
 
 
-def write_feed(spark, sf, path):
+def feed_files(spark, sf) -> int:
+    """Files that a batch of the feed is dealt to, so that no task writes or reads more as the feed grows."""
+    return max(1, read_table(spark, sf, "events").count() // (FEED_BATCHES * FEED_FILE_ROWS))
+
+
+def write_feed(spark, sf, path, files=1):
     """Events as a feed of files in the order of arrival, five days each; every 31st comes a batch late,
     every 97th three batches late, and every 53rd comes again in the batch after its own."""
     e = read_table(spark, sf, "events")
@@ -50,7 +57,8 @@ def write_feed(spark, sf, path):
     again = e.where(k % 53 == 0).withColumn("_batch", F.least(F.col("_batch") + 1, F.lit(FEED_BATCHES - 1)))
     feed = stored(e.unionByName(again), "feed")
     for b in range(FEED_BATCHES):  # one after the other: a file stream takes files in the order of their times
-        feed.where(F.col("_batch") == b).drop("_batch").coalesce(1).write.parquet(os.path.join(path, f"batch-{b}"))
+        batch = feed.where(F.col("_batch") == b).drop("_batch")
+        (batch.coalesce(1) if files == 1 else batch.repartition(files)).write.parquet(os.path.join(path, f"batch-{b}"))
     return read_table(spark, sf, "events").schema
 
 
@@ -77,10 +85,11 @@ def q_pulse_keyed(spark, sf):
     """The feed's listing observations, out of order, late and repeated, kept as keyed state with timers;
     the history equals the batch rebuild."""
     root = os.path.join(ensure_checkpoint_dir(spark), f"keyed-{uuid.uuid4().hex}")
-    schema = write_feed(spark, sf, os.path.join(root, "feed"))
+    files = feed_files(spark, sf)
+    schema = write_feed(spark, sf, os.path.join(root, "feed"), files)
     observed = lambda events: EX.observed_states(R.project_observations(events))
     h = run_keyed_pulse(spark, os.path.join(root, "feed", "*"), schema, observed, "item_id", "ts", EX.STATE_COLS, EX.STATE_EXTRAS,
-                        ["event_id"], root, FEED_DELAY, max_files_per_trigger=2)
+                        ["event_id"], root, FEED_DELAY, max_files_per_trigger=2 * files)
     return h.read()
 
 

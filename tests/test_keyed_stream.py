@@ -148,3 +148,16 @@ def test_history_reader_is_reusable(spark, folders):
     h = run(spark, src, root)
     again = KeyedHistory(spark, root, h.schema, lambda s: s, "item", "ts", ["st", "value"], ["units"], ["event_id"])
     assert shown(again.read()) == shown(h.read())
+
+
+def test_a_feed_of_several_files_a_batch_gives_the_same_history(spark, tmp_path, monkeypatch):
+    from marginflow import queries_stream as Q
+    from marginflow.registry import QUERIES
+
+    days = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=5 * i) for i in range(140)]
+    rows = [(i, t, i % 5, ("view", "purchase", "click", "error")[i % 4], float(i), '{"k": %d}' % (i % 9)) for i, t in enumerate(days)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(Q, "FEED_FILE_ROWS", 10)
+    assert Q.feed_files(spark, str(tmp_path)) == 2
+    got, want = (sorted(map(str, QUERIES[q](spark, str(tmp_path)).select("item_id", "desde", "hasta", "reason", "units").collect())) for q in ("pulse_keyed", "scd2_state"))
+    assert got == want and len(got) > 20
