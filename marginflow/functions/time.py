@@ -62,7 +62,15 @@ def commercial_month(d) -> Column:
     previous one.  Null → null."""
     d = _c(d)
     shift = F.when(F.dayofmonth(d) >= COMMERCIAL_MONTH_FIRST_DAY, 0).otherwise(-1)
-    return F.date_format(F.add_months(d, shift), "yyyy-MM")
+    first = F.add_months(d, shift)
+    return month_text(F.year(first), F.month(first), F.date_format(first, "yyyy-MM"))
+
+
+def month_text(year: Column, month: Column, otherwise: Column) -> Column:
+    """``yyyy-MM`` of numbers, put together without a formatter; ``otherwise`` for a null
+    and for years that are not of four digits."""
+    text = F.concat(year.cast("string"), F.when(month < 10, F.lit("-0")).otherwise(F.lit("-")), month.cast("string"))
+    return F.when(year.between(1000, 9999), text).otherwise(otherwise)
 
 
 def text_floor(cutoff_date, slack_days: int = 1) -> str:

@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.functions.time import COMMERCIAL_MONTH_FIRST_DAY
+from marginflow.functions.time import COMMERCIAL_MONTH_FIRST_DAY, month_text
 from marginflow.session import stored
 from marginflow.sources.tables import read_table
 
@@ -186,7 +186,7 @@ def sold_sku_months(spark: SparkSession, sf_dir: str, landed: DataFrame | None =
     months = F.when(F.col("_first") == F.col("_last"), F.array("_first")).otherwise(F.array("_first", "_last"))
     sold = pairs.select("partkey", F.explode(months).alias("_month")).distinct()
     year, month = F.floor(F.col("_month") / 12).cast("int"), F.pmod("_month", F.lit(12)) + 1
-    return sold.select("partkey", F.format_string("%04d-%02d", year, month).alias("mes_comercial"))
+    return sold.select("partkey", month_text(year, month, F.format_string("%04d-%02d", year, month)).alias("mes_comercial"))
 
 
 def cost_sheet(spark: SparkSession, sf_dir: str, landed: DataFrame | None = None) -> DataFrame:
