@@ -130,38 +130,24 @@ def interval_hours(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(total_hours().alias("hours"))
 
 
-#: Grain of the dyadic bins (microseconds); a bin of a level has 2^level grains.
+#: Grain of the bins (microseconds); a bin of a level has 4^level grains.
 GRAIN = MICROS_PER_HOUR
 
 
-def _levels(size: Column, f: Callable[[Column], Column]) -> Column:
-    """``f`` of every level up to the highest bit of ``size``."""
-    return F.transform(F.sequence(F.lit(0), F.length(F.bin(size)) - 1), f)
-
-
 def _down(x: Column, level: Column) -> Column:
-    return F.call_function("shiftright", x, level)
+    return F.call_function("shiftright", x, level * 2)
 
 
-def _bin(level: Column, at: Column) -> Column:
-    return F.struct(level.cast("tinyint").alias("level"), at.alias("at"))
+def _level(first: Column, last: Column) -> Column:
+    """The least level with bins as long as the grains ``first`` to ``last``."""
+    size = last - first
+    return F.when(size > 0, F.floor((F.length(F.bin(size)) + 1) / 2)).otherwise(0).cast("int")
 
 
 def _cover(first: Column, last: Column) -> Column:
-    """The bins that make up the grains ``first`` to ``last``: at most two of each level, disjoint,
-    as few as there can be."""
-    def at(level: Column) -> Column:
-        lo, hi = -_down(-first, level), _down(last + 1, level)
-        odd = lambda x: F.pmod(x, F.lit(2)) == 1
-        return F.array(F.when((lo < hi) & odd(lo), _bin(level, lo)), F.when((lo < hi) & odd(hi), _bin(level, hi - 1)))
-
-    return F.filter(F.flatten(_levels(last - first + 1, at)), lambda x: x.isNotNull())
-
-
-def _above(grain: Column, used: Column) -> Column:
-    """The bins that hold a grain, of the levels whose bits ``used`` has."""
-    own = _levels(used, lambda level: F.when(_down(used, level).bitwiseAND(F.lit(1)) == 1, _bin(level, _down(grain, level))))
-    return F.filter(own, lambda x: x.isNotNull())
+    """The bins of its level, one or two, that the grains ``first`` to ``last`` touch."""
+    level = _level(first, last)
+    return F.array_distinct(F.array(_down(first, level), _down(last, level)))
 
 
 def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str],
@@ -171,34 +157,35 @@ def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str],
 
     Two intervals overlap where one begins inside the other, so a pair is found
     once: ``b`` begins in ``a``, or ``a`` begins in ``b`` and after it.  The
-    longer side is listed under its dyadic bins, at most two for each doubling
-    of its length (a ten-year interval has some 30, not 3,650 days); the side
-    that begins is listed under the bins above its start, of the levels that
-    the other side uses, a number that a scalar subquery brings.  So a key with
-    long histories is not paired all with all, however long intervals are."""
+    longer side is listed under the one or two bins that it touches, of the
+    level whose bins are about as long as it is; the side that begins is listed
+    under the bin above its start, of each level that the other side uses (a
+    ten-year interval uses the ninth).  A scalar subquery brings these levels
+    from a written column.  So a key with long histories is not paired all with
+    all, however long intervals are: a start is only compared with intervals
+    at most some four of their lengths away."""
     grain = lambda c, less=0: F.floor((F.unix_micros(F.col(c).cast("timestamp")) - less) / F.lit(GRAIN)).cast("bigint")
     some = F.col("start") < F.col("end")
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        named = df.where(some).withColumns({"_first": grain("start"), "_last": grain("end", 1)})
-        return named.select(*keys, *[F.col(c).alias(prefix + c) for c in df.columns if c not in keys], F.col("_first").alias(prefix + "_first"), F.col("_last").alias(prefix + "_last"))
+        named = df.where(some).withColumns({"_first": grain("start"), "_last": grain("end", 1)}).withColumn("_level", _level(F.col("_first"), F.col("_last")))
+        return named.select(*keys, *[F.col(c).alias(prefix + c) for c in df.columns if c not in keys], *[F.col(c).alias(prefix + c) for c in own])
 
-    # each side is read four times: as the one that begins, as the one that holds, and for its levels
+    own = ["_first", "_last", "_level"]
+    # each side is read three times: as the one that begins, as the one that holds, and for its levels
     aa, bb = stored(side(a, a_prefix), "overlap-side"), stored(side(b, b_prefix), "overlap-side")
 
     def begins_in(starting: DataFrame, p: str, holding: DataFrame, q: str, later: bool) -> DataFrame:
-        cover = _cover(F.col(q + "_first"), F.col(q + "_last"))
-        held = holding.withColumn("_cover", cover)
-        bits = F.aggregate("_cover", F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.getField("level").cast("int"))))
-        used = held.agg(F.coalesce(F.bit_or(bits), F.lit(0).cast("bigint"))).scalar()
-        begin = starting.withColumn("_used", used)
-        begin = begin.withColumn("_bin", F.explode(_above(F.col(p + "_first"), F.col("_used")))).drop("_used")
-        held = held.withColumn("_bin", F.explode("_cover")).drop("_cover")
-        j = begin.join(held, [*keys, "_bin"])
+        used = holding.agg(F.collect_set(q + "_level")).scalar()
+        begin = starting.withColumn("_used", used).withColumn("_bin_level", F.explode("_used"))
+        begin = begin.withColumn("_bin_at", _down(F.col(p + "_first"), F.col("_bin_level"))).drop("_used")
+        held = holding.withColumns({"_bin_level": F.col(q + "_level"), "_bin_at": F.explode(_cover(F.col(q + "_first"), F.col(q + "_last")))})
+        j = begin.join(held, [*keys, "_bin_level", "_bin_at"])
         after = F.col(p + "start") > F.col(q + "start") if later else F.col(p + "start") >= F.col(q + "start")
         return j.where(after & (F.col(p + "start") < F.col(q + "end")))
 
-    cols = [c for c in aa.columns + [c for c in bb.columns if c not in keys] if not c.endswith(("_first", "_last"))]
+    hidden = {p + c for p in (a_prefix, b_prefix) for c in own}
+    cols = [c for c in aa.columns + [c for c in bb.columns if c not in keys] if c not in hidden]
     j = begins_in(bb, b_prefix, aa, a_prefix, False).select(*cols).unionByName(begins_in(aa, a_prefix, bb, b_prefix, True).select(*cols))
     return j.withColumn("start", F.greatest(a_prefix + "start", b_prefix + "start")) \
             .withColumn("end", F.least(a_prefix + "end", b_prefix + "end"))

@@ -121,10 +121,11 @@ def sales_by_sku_day(sales: DataFrame) -> DataFrame:
 # assignment
 # ---------------------------------------------------------------------------
 
-def experiment_skus(spark, sf, spec: ExperimentSpec = JANUARY) -> DataFrame:
+def experiment_skus(spark, sf, spec: ExperimentSpec = JANUARY, catalog: DataFrame | None = None) -> DataFrame:
     """Universe: every SKU with a listing; flags from its listings' latest
-    state; units sold in the look-back window (0 when none)."""
-    cat = item_catalog(spark, sf)
+    state (``catalog``, where it is at hand); units sold in the look-back
+    window (0 when none)."""
+    cat = catalog if catalog is not None else item_catalog(spark, sf)
     pub = cat.groupBy("sku").agg(F.bool_or(F.col("status") == "active").alias("any_active"),
                                  F.bool_or("catalog_listing").alias("any_catalog"))
     since = (spec.now - dt.timedelta(days=spec.sales_lookback_days)).date()
@@ -149,8 +150,8 @@ def latin_square_assign(groups: DataFrame, spec: ExperimentSpec = JANUARY) -> Da
                     (ws + F.make_dt_interval(days=F.lit(7))).alias("week_end"))
 
 
-def assignment(spark, sf, spec: ExperimentSpec = JANUARY) -> DataFrame:
-    skus = experiment_skus(spark, sf, spec)
+def assignment(spark, sf, spec: ExperimentSpec = JANUARY, catalog: DataFrame | None = None) -> DataFrame:
+    skus = experiment_skus(spark, sf, spec, catalog)
     g = WN.serpentine_groups(skus, [F.desc("any_active"), F.desc("units"), F.asc("sku")], GROUPS, "grp")
     return latin_square_assign(g, spec)
 
@@ -256,12 +257,12 @@ def time_weighted_price(spark, sf, sellable: DataFrame, spec: ExperimentSpec = J
     return j.groupBy("sku", "week").agg(F.try_divide(weight, F.sum("_us").cast("double")).alias("published_price"))
 
 
-def buybox_hours(spark, sf, sellable: DataFrame, spec: ExperimentSpec = JANUARY) -> DataFrame:
+def buybox_hours(spark, sf, sellable: DataFrame, spec: ExperimentSpec = JANUARY, catalog: DataFrame | None = None) -> DataFrame:
     """Winning ∩ sellable hours per (sku, week); SKUs without winning rows in
     the window are absent (→ null, not 0)."""
     end = spec.end
     b = buybox_history(spark, sf).where(F.col("winning") == F.lit(True))
-    cat = item_catalog(spark, sf).select("item_id", "sku")
+    cat = (catalog if catalog is not None else item_catalog(spark, sf)).select("item_id", "sku")
     b = b.join(cat, "item_id").select("sku", F.col("desde").alias("start"), clip_end(window_end=end).alias("end")) \
          .where((F.col("start") < F.lit(end)) & (F.col("end") > F.lit(spec.start)))
     weeks = sellable.select("sku", "week").distinct()
@@ -283,10 +284,11 @@ def last_cost(spark, sf) -> DataFrame:
 
 
 def experiment_consolidate(spark, sf, spec: ExperimentSpec = JANUARY) -> DataFrame:
-    windows = stored(measure_windows(assignment(spark, sf, spec), spec), "windows")
+    catalog = stored(item_catalog(spark, sf), "catalog")
+    windows = stored(measure_windows(assignment(spark, sf, spec, catalog), spec), "windows")
     exp, v = exposure_split(spark, sf, windows, spec)
     price = time_weighted_price(spark, sf, v, spec)
-    bb = buybox_hours(spark, sf, v, spec)
+    bb = buybox_hours(spark, sf, v, spec, catalog)
     sd = sales_by_sku_day(experiment_sales(spark, sf))
     w = windows.select("sku", "week", F.to_date("w_start").alias("d0"), F.to_date("w_end").alias("d1"))
     sw = sd.join(w, (sd.sku == w.sku) & (sd.date >= w.d0) & (sd.date < w.d1)).drop(w.sku)

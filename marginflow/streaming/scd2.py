@@ -88,10 +88,12 @@ def _bucket_runs(log: DataFrame, item: str, ts: str, state: Sequence[str], extra
     bucket = F.lit(0).cast("bigint") if width is None else bucket_of(log, ts, width)
     d = log.select(item, ts, *state, *extras, *tiebreak, bucket.alias("_b")).withColumn("_chg", (first | changed).cast("int"))
     d = d.withColumn("_run", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    last = [F.max_by(F.struct(*[F.col(x) for x in extras]), F.struct(*order)).alias("_x")] if extras else []
     runs = d.groupBy(item, "_b", "_run").agg(
         F.min(ts).alias("desde"), F.max(ts).alias("_last"),
         *[F.first(s).alias(s) for s in state],   # constant within a run (null-safe equal)
-        *[F.max_by(x, F.struct(*order)).alias(x) for x in extras])
+        *last)
+    runs = runs.select(item, "_b", "_run", "desde", "_last", *state, *[F.col(f"_x.{x}").alias(x) for x in extras])
     return runs.withColumn("_next", F.lead("desde").over(Window.partitionBy(item, "_b").orderBy("_run")))
 
 

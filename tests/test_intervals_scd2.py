@@ -165,3 +165,24 @@ def test_a_ten_year_interval_has_few_bins(spark):
 def test_empty_overlap_join(spark):
     e = spark.createDataFrame([], "k string, start timestamp_ntz, end timestamp_ntz")
     assert IV.overlap_join(e, e, ["k"]).collect() == []
+
+
+def test_an_interval_is_listed_under_two_bins_at_most(spark):
+    """The join's shuffled rows: one or two of the holding side, one a level of the beginning side."""
+    from pyspark.sql import functions as F
+
+    spans = [(s, s + n - 1) for s in (-70, -1, 0, 3, 15, 16, 12_345) for n in (1, 2, 4, 5, 16, 17, 500, 87_660)]
+    df = spark.createDataFrame(spans, "f long, l long").select("f", "l", IV._level(F.col("f"), F.col("l")).alias("level"), IV._cover(F.col("f"), F.col("l")).alias("bins"))
+    for r in df.collect():
+        size = 4**r.level
+        assert size >= r.l - r.f + 1 and (r.level == 0 or size < 4 * (r.l - r.f + 1))
+        assert sorted(r.bins) == sorted({r.f // size, r.l // size})
+
+
+def test_consolidation_takes_the_catalog_once(spark, monkeypatch):
+    from marginflow.plans import experiment as EX
+
+    calls, catalog = [], EX.item_catalog
+    monkeypatch.setattr(EX, "item_catalog", lambda *a: calls.append(a) or catalog(*a))
+    EX.experiment_consolidate(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
