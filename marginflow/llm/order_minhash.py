@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
-    nodes = stored(stored(sketches(docs, text_col), "sketches").withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = stored(sketches(docs, text_col).withColumn("node", F.monotonically_increasing_id()), "nodes")
     in_bucket = nodes.select("node", "n", F.explode("keys").alias("key"))
     texts = docs.filter(F.col(text_col).isNotNull()).select(_digest(text_col).alias("digest"), F.col(text_col).cast("binary").alias("t"))
     texts = texts.groupBy("digest").agg(F.first("t").alias("t"))

@@ -143,3 +143,13 @@ def test_hub_pairs_stay_linear_and_no_link_is_lost(spark):
 
 def test_word_bytes_lowers_ascii_only():
     assert word_bytes("ÉA-b9_c".encode()) == ["Éa".encode(), b"b9", b"c"]
+
+
+def test_sketches_are_written_once(spark, monkeypatch):
+    """Nodes are numbered in the job that writes the sketches, not from a copy written before."""
+    names, stored = [], om.stored
+    monkeypatch.setattr(om, "stored", lambda df, name: names.append(name) or stored(df, name))
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, None), (4, "x y")]
+    got = om.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert [n for n in names if n in ("sketches", "nodes")] == ["nodes"]
